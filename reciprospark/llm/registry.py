@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import decontaminate
+from reciprospark.llm import bpe, decontaminate
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
+    "op8_bpe": bpe.op8_bpe,
 }
 ORACLES = {
     "op3_decontamination": decontaminate.ORACLE,
