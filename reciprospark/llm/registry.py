@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate
+from reciprospark.llm import bpe, decontaminate, outliers
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
+    "op4_outliers": outliers.op4_outliers,
     "op8_bpe": bpe.op8_bpe,
 }
 ORACLES = {
