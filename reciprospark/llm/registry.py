@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers
+from reciprospark.llm import bpe, decontaminate, outliers, simhash
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_outliers": outliers.op4_outliers,
+    "op6_simhash": simhash.op6_simhash,
     "op8_bpe": bpe.op8_bpe,
 }
 ORACLES = {
