@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers, simhash
+from reciprospark.llm import bpe, decontaminate, outliers, pieces, simhash
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_outliers": outliers.op4_outliers,
     "op6_simhash": simhash.op6_simhash,
+    "op7_token_counts": pieces.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
 }
 ORACLES = {
