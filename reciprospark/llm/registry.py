@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers, pieces, simhash
+from reciprospark.llm import bpe, decontaminate, outliers, pieces, simhash, urls
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_outliers": outliers.op4_outliers,
+    "op5_url_filter": urls.op5_url_filter,
     "op6_simhash": simhash.op6_simhash,
     "op7_token_counts": pieces.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
 }
 ORACLES = {
     "op3_decontamination": decontaminate.ORACLE,
+    "op5_url_filter": urls.ORACLE,
 }
