@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers, pieces, simhash, urls
+from reciprospark.llm import bpe, decontaminate, outliers, pieces, quotes, simhash, urls
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
@@ -11,8 +11,10 @@ QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op7_token_counts": pieces.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
+    "op9_quote_links": quotes.op9_quote_links,
 }
 ORACLES = {
     "op3_decontamination": decontaminate.ORACLE,
     "op5_url_filter": urls.ORACLE,
+    "op9_quote_links": quotes.ORACLE,
 }
