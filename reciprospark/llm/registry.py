@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers, pieces, quotes, simhash, urls
+from reciprospark.llm import bpe, decontaminate, outliers, pieces, quotes, rules, simhash, urls
 
 QUERIES = {
+    "op2_rule_ensemble": rules.op2_rule_ensemble,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_outliers": outliers.op4_outliers,
     "op5_url_filter": urls.op5_url_filter,
