@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers, pieces, quotes, rules, simhash, urls
+from reciprospark.llm import bpe, decontaminate, outliers, pieces, quotes, rules, simhash, toxicity, urls
 
 QUERIES = {
     "op2_rule_ensemble": rules.op2_rule_ensemble,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_token_counts": pieces.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
     "op9_quote_links": quotes.op9_quote_links,
+    "op10_weak_supervision": toxicity.op10_weak_supervision,
 }
 ORACLES = {
     "op3_decontamination": decontaminate.ORACLE,
