@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
 
 def record(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """An array as bytes: planes of its bytes, compressed."""
+    values = np.ascontiguousarray(values)
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 3) if values.size else b""
+
+
+def unpacked(blob: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    if not blob:
+        return np.zeros(0, dtype)
+    raw = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(dtype)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, outliers, pieces, quotes, rules, simhash, toxicity, urls
+from reciprospark.llm import bpe, decontaminate, lm, outliers, pieces, quotes, rules, simhash, toxicity, urls
 
 QUERIES = {
+    "op1_pitman_yor": lm.op1_pitman_yor,
     "op2_rule_ensemble": rules.op2_rule_ensemble,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_outliers": outliers.op4_outliers,
