@@ -79,6 +79,12 @@ def q_vector(lab: vec.Vector, beam: Beam, convention: str = "2pi") -> tuple[Colu
     return tuple(F.lit(k) * (vec.column(x) / r - F.lit(s)) for x, s in zip(lab, beam.direction, strict=True))
 
 
+def q_length(lab: vec.Vector, beam: Beam, convention: str = "2pi") -> Column:
+    """|q| from the scattering angle: a filter on it, pushed below the projections, stays one short expression."""
+    k = (2 * math.pi if convention == "2pi" else 1.0) / beam.wavelength
+    return F.lit(k) * F.sqrt(F.greatest(F.lit(2.0) - 2.0 * vec.dot(lab, beam.direction) / vec.norm(lab), F.lit(0.0)))
+
+
 def d_spacing(q: Column, convention: str = "2pi") -> Column:
     k = 2 * math.pi if convention == "2pi" else 1.0
     return F.when(q == 0, F.lit(float("inf"))).otherwise(F.lit(k) / F.when(q == 0, F.lit(1.0)).otherwise(q))
@@ -93,7 +99,7 @@ def with_geometry(pixels: DataFrame, panel: Panel, beam: Beam, convention: str =
     lab = lab_position(panel, F.col("slow"), F.col("fast"))
     out = pixels.withColumns(dict(zip(("lab_x", "lab_y", "lab_z"), lab, strict=True)))
     out = out.withColumns(dict(zip(("qx", "qy", "qz"), q_vector([F.col(c) for c in ("lab_x", "lab_y", "lab_z")], beam, convention), strict=True)))
-    out = out.withColumn("q", vec.norm([F.col(c) for c in ("qx", "qy", "qz")]))
+    out = out.withColumn("q", q_length([F.col(c) for c in ("lab_x", "lab_y", "lab_z")], beam, convention))
     return out.withColumn("d", d_spacing(F.col("q"), convention))
 
 
