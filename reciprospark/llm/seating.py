@@ -59,6 +59,8 @@ def _many(n: np.ndarray, q: np.ndarray, d: float, rng: np.random.Generator) -> n
 def tables(n: np.ndarray, q: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
     """Tables of dishes with n customers each; 0 or 1 customers need no draw."""
     out = np.minimum(n, 1).astype(np.int64)
+    if not len(n):
+        return out
     q = np.maximum(np.asarray(q, dtype=float), 1e-12)
     order = np.argsort(n, kind="stable")
     sizes, starts = np.unique(n[order], return_index=True)
