@@ -4,7 +4,7 @@ Two smoothed variable-order Markov models are counted over the distinct URLs (ho
 a rule blocks: each character given up to ORDER - 1 characters before it, shorter contexts mixed in by Witten-Bell
 weights down to a uniform distribution over ALPHABET characters. A URL's score is the log-likelihood difference of the
 two models per character. Three in sixteen rule-decided URLs (by md5) are kept from the counts and calibrate the bound: the
-QUANTILE of the scores of allowed URLs, so that about this share of acceptable URLs would be lost. A URL that no rule
+middle between the low QUANTILE of the scores of allowed URLs and the high one of blocked URLs. A URL that no rule
 decides is allowed if its score reaches the bound.
 
 Scale: counting is a partial aggregation over n-grams; scores come from a join of n-grams with their ratio, salted by SALTS
@@ -98,10 +98,12 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     key = F.concat("host", "path")
     urls = stored(pages.select(key.alias("key"), by_rule.alias("verdict")).groupBy("key").agg(F.first("verdict").alias("verdict")), "urls")
     found = stored(scores(urls), "scores")
-    held = urls.join(found, "key").where((F.col("verdict") == "allow") & ~learned_from())
+    held = urls.join(found, "key").where(F.col("verdict").isNotNull() & ~learned_from())
     both = urls.where(learned_from()).agg((F.count_if(F.col("verdict") == "allow") > 0).alias("a"), (F.count_if(F.col("verdict") == "block") > 0).alias("b"))
-    bound = held.agg(F.percentile("score", F.lit(QUANTILE)).alias("bound")).crossJoin(both)
-    bound = F.broadcast(bound.select(F.when(F.col("a") & F.col("b"), F.coalesce("bound", F.lit(0.0))).alias("__bound")))  # one row
+    ends = [F.percentile(F.when(F.col("verdict") == v, F.col("score")), F.lit(q)).alias(v) for v, q in (("allow", QUANTILE), ("block", 1 - QUANTILE))]
+    bound = held.agg(*ends).crossJoin(both)
+    middle = F.round((F.coalesce("allow", "block", F.lit(0.0)) + F.coalesce("block", "allow", F.lit(0.0))) / 2, 9)
+    bound = F.broadcast(bound.select(F.when(F.col("a") & F.col("b"), middle).alias("__bound")))  # one row
     found = found.withColumnsRenamed({"key": "__key", "score": "__score"})
     pages = pages.drop("score", "verdict").join(found, key == F.col("__key"), "left").crossJoin(bound)
     verdict = F.coalesce(by_rule, F.when(F.col("__score") < F.col("__bound"), F.lit("block")).otherwise(F.lit("allow")))
@@ -138,7 +140,7 @@ grams as (select gram, count(*) filter (v = 'allow' and learn) as a, count(*) fi
 {chr(10).join(steps)}
 sc as (select key, round(avg(ln(pa) - ln(pb)), 9) as score from pl join p{ORDER} on p{ORDER}.g = pl.gram group by key),
 bd as (select case when (select count(*) from kc where learn and v = 'allow') > 0 and (select count(*) from kc where learn and v = 'block') > 0
-    then coalesce((select quantile_cont(score, {QUANTILE}) from sc join kc using (key) where v = 'allow' and not learn), 0) end as bound)
+    then round((coalesce(qa, qb, 0) + coalesce(qb, qa, 0)) / 2, 9) end as bound from (select quantile_cont(score, {QUANTILE}) filter (v = 'allow') as qa, quantile_cont(score, {1 - QUANTILE}) filter (v = 'block') as qb from sc join kc using (key) where not learn))
 select page_id, host, path, rule, coalesce({verdict}, case when score < bound then 'block' else 'allow' end) as verdict, score
 from ru left join sc on sc.key = host || path, bd
 """
