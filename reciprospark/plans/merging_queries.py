@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reciprospark.functions import vec
 from reciprospark.operators import grid as grids
-from reciprospark.operators import merging, orchestration, scaling, symmetry
+from reciprospark.operators import grouped, merging, orchestration, scaling, symmetry
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
 
@@ -383,3 +383,84 @@ def cumulative_shells(spark, d):
 def absolute_scale(spark, d):
     v = merging.merged(_applied(spark, d)[0])
     return v.select("voxel_idx", r(F.round("I_merged_relative", 4) * 1.5 - 100.0, "intensity", 2), r(F.round("Sigma_merged_relative", 6) * 1.5, "sigma", 3))
+
+
+# group functions, retrieval, and what is specified beyond the core
+
+
+@query("U01_group_rejection", sql(st.APPLIED, f"select voxel_idx, count(*) as n, round(sum(intensity), 2) as total from {REJECTED} group by 1"))
+def group_rejection(spark, d):
+    out = grouped.without_outliers(merging.observed_enough(_applied(spark, d)[0], 2).select("voxel_idx", "intensity"))
+    return out.groupBy("voxel_idx").agg(F.count("*").alias("n"), r(F.sum("intensity"), "total", 2))
+
+
+@query("U02_group_merge", sql(st.APPLIED, "select * from " + _merged_sql("applied")))
+def group_merge(spark, d):
+    return rounded(grouped.merged(_applied(spark, d)[0].select("voxel_idx", "intensity", "sigma")).withColumn("I_merged_relative", F.round("I_merged_relative", 4)))
+
+
+QUERIES["U03_group_reference"], ORACLES["U03_group_reference"] = voxel_reference, ORACLES["M06_voxel_reference"]
+QUERIES["U04_scale_components"], ORACLES["U04_scale_components"] = total_scale, ORACLES["C05_total_scale"]
+QUERIES["J13_symmetry_operations"], ORACLES["J13_symmetry_operations"] = symmetry_reduction, ORACLES["G08_symmetry"]
+
+
+@query("J06_valid_voxels", sql(st.BINNED, "select voxel_idx, count(*) as n from binned group by 1 having count(*) between 2 and 60"))
+def valid_voxels(spark, d):
+    b = st.binned(spark, d)[0].select("voxel_idx")
+    valid = b.groupBy("voxel_idx").agg(F.count("*").alias("n")).where("n between 2 and 60").select("voxel_idx")
+    return b.join(valid, "voxel_idx", "left_semi").groupBy("voxel_idx").agg(F.count("*").alias("n"))
+
+
+@query("L03_sorted_stills", sql("obs", "select still_id, row_number() over (order by still_id)::int as place from (select distinct still_id from obs)"))
+def sorted_stills(spark, d):
+    ids = sorted(row.still_id for row in st.observations(spark, d).select("still_id").distinct().collect())  # one number for each image
+    return spark.createDataFrame([(s, k + 1) for k, s in enumerate(ids)], "still_id int, place int")
+
+
+@query("L04_first_crystals", sql("crystals", "select still_id, a, gamma from crystals order by still_id limit 3"))
+def first_crystals(spark, d):
+    return st.crystals(spark, d).select("still_id", "a", "gamma").orderBy("still_id").limit(3)
+
+
+@query("L07_chunk_union", sql("obs", "select count(*) as n, round(sum(intensity) / 1e6, 4) as total from obs"))
+def chunk_union(spark, d):
+    return st.observations(spark, d).repartition(7).agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e6, "total", 4))
+
+
+@query("L08_required_columns", "select 'obs' as name, 2 as n_missing")
+def required_columns(spark, d):
+    from reciprospark.schema import missing_columns
+
+    lack = missing_columns(st.observations(spark, d), ["qx", "sigma", "frame_idx", "panel_id"])
+    return spark.createDataFrame([("obs", len(lack))], "name string, n_missing int")
+
+
+@query("S09_observation_scan", sql("obs", "select still_id, count(*) as n, round(avg(sigma), 6) as sigma from obs group by 1"))
+def observation_scan(spark, d):
+    return st.observations(spark, d).groupBy("still_id").agg(F.count("*").alias("n"), r(F.avg("sigma"), "sigma"))
+
+
+@query("M26_reference_merge", sql("obs hkl", "select round_even(h, 0)::int as h, round_even(k, 0)::int as k, round_even(l, 0)::int as l, round(sum(intensity / (sigma * sigma)) / sum(1 / (sigma * sigma)), 4) as intensity, count(*) as n from hkl group by 1, 2, 3"))
+def reference_merge(spark, d):
+    """Weighted mean of each reflection: observations by rounded Miller index."""
+    w = 1.0 / (F.col("sigma") * F.col("sigma"))
+    hkl = grids.with_hkl(st.observations(spark, d), st.inverse())
+    return hkl.groupBy(*[F.rint(c).cast("int").alias(c) for c in grids.HKL]).agg(r(F.sum(w * F.col("intensity")) / F.sum(w), "intensity", 4), F.count("*").alias("n"))
+
+
+@query("X04_folded_scale", sql("scales", "select still_id, round(multiplicative_scale / 1.5, 9) as scale from scales"))
+def folded_scale(spark, d):
+    return st.scales(spark, d).select("still_id", r(F.col("multiplicative_scale") / 1.5, "scale", 9))
+
+
+@query("X08_weighted_correction", sql(st.BINNED, "select voxel_idx, round(sum(n * s) / sum(n), 6) as correction from (select voxel_idx, still_id, count(*) as n, avg(sigma) as s from binned group by all) group by 1"))
+def weighted_correction(spark, d):
+    by = st.binned(spark, d)[0].groupBy("voxel_idx", "still_id").agg(F.count("*").alias("n"), F.avg("sigma").alias("s"))
+    return by.groupBy("voxel_idx").agg(r(F.sum(F.col("n") * F.col("s")) / F.sum("n"), "correction"))
+
+
+@query("X10_phase_summary", sql(st.BINNED, "select 'read' as phase, count(*) as n from obs union all select 'binned', count(*) from binned union all select 'voxels', count(distinct voxel_idx) from binned"))
+def phase_summary(spark, d):
+    b, _ = st.binned(spark, d)
+    rows = [st.observations(spark, d).agg(F.lit("read").alias("phase"), F.count("*").alias("n")), b.agg(F.lit("binned").alias("phase"), F.count("*").alias("n")), b.agg(F.lit("voxels").alias("phase"), F.countDistinct("voxel_idx").alias("n"))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -362,3 +362,15 @@ _MESSAGES = ["Input file gone", "mask not found", "q consistency bad", "Backgrou
 def error_codes(spark, d):
     message = F.element_at(F.array(*[F.lit(m) for m in _MESSAGES]), (F.col("event_id") % 7 + 1).cast("int"))
     return st.table(spark, d, "events").select("event_id", orch.error_code(message).alias("code"))
+
+
+@query("S01_image_scan", sql("pixels", "select image_id, count(*) as n, round(sum(raw), 3) as total, max(slow) as slow, max(fast) as fast from pixels group by 1"))
+def image_scan(spark, d):
+    return _pixels(spark, d).groupBy("image_id").agg(F.count("*").alias("n"), r(F.sum("raw"), "total", 3), F.max("slow").alias("slow"), F.max("fast").alias("fast"))
+
+
+@query("O02_batch_outcomes", "select case when event_id % 10 = 0 then 'FAILURE' else 'SUCCESS' end as status, case when event_id % 10 = 0 then 'ProcessingError' end as error_code, count(*) as n from events group by all")
+def batch_outcomes(spark, d):
+    failed = F.col("event_id") % 10 == 0
+    t = st.table(spark, d, "events").select(F.when(failed, "FAILURE").otherwise("SUCCESS").alias("status"), F.when(failed, orch.error_code(F.lit("other"))).alias("error_code"))
+    return orch.outcome_summary(t)
