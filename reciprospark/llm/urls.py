@@ -99,15 +99,14 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     urls = stored(pages.select(key.alias("key"), by_rule.alias("verdict")).groupBy("key").agg(F.first("verdict").alias("verdict")), "urls")
     found = stored(scores(urls), "scores")
     held = urls.join(found, "key").where(F.col("verdict").isNotNull() & ~learned_from())
-    both = urls.where(learned_from()).agg((F.count_if(F.col("verdict") == "allow") > 0).alias("a"), (F.count_if(F.col("verdict") == "block") > 0).alias("b"))
-    ends = [F.percentile(F.when(F.col("verdict") == v, F.col("score")), F.lit(q)).alias(v) for v, q in (("allow", QUANTILE), ("block", 1 - QUANTILE))]
-    bound = held.agg(*ends).crossJoin(both)
-    middle = F.round((F.coalesce("allow", "block", F.lit(0.0)) + F.coalesce("block", "allow", F.lit(0.0))) / 2, 9)
-    bound = F.broadcast(bound.select(F.when(F.col("a") & F.col("b"), middle).alias("__bound")))  # one row
+    seen = urls.where(learned_from()).agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in ("allow", "block")]).first()
+    at = held.agg(*[F.percentile(F.when(F.col("verdict") == v, F.col("score")), F.lit(q)).alias(v) for v, q in (("allow", QUANTILE), ("block", 1 - QUANTILE))]).first()
+    ends = [x for x in (at.allow, at.block) if x is not None] or [0.0]
+    bound = sum(ends) / len(ends) if seen.allow and seen.block else float("-inf")
     found = found.withColumnsRenamed({"key": "__key", "score": "__score"})
-    pages = pages.drop("score", "verdict").join(found, key == F.col("__key"), "left").crossJoin(bound)
-    verdict = F.coalesce(by_rule, F.when(F.col("__score") < F.col("__bound"), F.lit("block")).otherwise(F.lit("allow")))
-    return pages.withColumn("verdict", verdict).withColumn("score", F.col("__score")).drop("__key", "__score", "__bound")
+    pages = pages.drop("score", "verdict").join(found, key == F.col("__key"), "left")
+    verdict = F.coalesce(by_rule, F.when(F.col("__score") < F.lit(bound), F.lit("block")).otherwise(F.lit("allow")))
+    return pages.withColumn("verdict", verdict).withColumn("score", F.col("__score")).drop("__key", "__score")
 
 
 def op5_url_filter(spark, sf_dir: str) -> DataFrame:
@@ -140,7 +139,7 @@ grams as (select gram, count(*) filter (v = 'allow' and learn) as a, count(*) fi
 {chr(10).join(steps)}
 sc as (select key, round(avg(ln(pa) - ln(pb)), 9) as score from pl join p{ORDER} on p{ORDER}.g = pl.gram group by key),
 bd as (select case when (select count(*) from kc where learn and v = 'allow') > 0 and (select count(*) from kc where learn and v = 'block') > 0
-    then round((coalesce(qa, qb, 0) + coalesce(qb, qa, 0)) / 2, 9) end as bound from (select quantile_cont(score, {QUANTILE}) filter (v = 'allow') as qa, quantile_cont(score, {1 - QUANTILE}) filter (v = 'block') as qb from sc join kc using (key) where not learn))
+    then (coalesce(qa, qb, 0) + coalesce(qb, qa, 0)) / 2 end as bound from (select quantile_cont(score, {QUANTILE}) filter (v = 'allow') as qa, quantile_cont(score, {1 - QUANTILE}) filter (v = 'block') as qb from sc join kc using (key) where not learn))
 select page_id, host, path, rule, coalesce({verdict}, case when score < bound then 'block' else 'allow' end) as verdict, score
 from ru left join sc on sc.key = host || path, bd
 """
