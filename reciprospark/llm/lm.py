@@ -45,6 +45,8 @@ from reciprospark.llm.common import packed, record, remainder, slices, stored, t
 from reciprospark.llm.seating import tables
 
 CHUNK_BYTES, BLOCK_TOKENS, BUCKET_WORDS = 16 << 20, 2_000_000, 200_000
+#: Blocks' sums for a slice that meet in one task.
+FAN_IN = 64
 BURN_IN, SAMPLES, STRENGTH, SEED = 1, 2, 1.0, 20240
 UNKNOWN, SPECIAL = 0, 1  # SPECIAL: the end as a word, the begin as a context
 
@@ -271,12 +273,19 @@ STATE = "kind string, idx int, a binary, b binary, sum_a long, sum_b long, ones
 _STATE = ["kind", "idx", "a", "b", "sum_a", "sum_b", "ones", "twos", "special", "special_b"]
 
 
-def _state(added: DataFrame, singles: DataFrame | None, number: int, last: Sweep | None, seed: int) -> DataFrame:
+PARTS = "kind string, idx int, `from` int, part binary"
+
+
+def _total(parts) -> np.ndarray:
+    return sum((unpacked(b, np.int64) for b in parts), 0)
+
+
+def _state(added: DataFrame, singles: DataFrame | None, number: int, last: Sweep | None, seed: int, grid: int) -> DataFrame:
     """Sum what blocks add for each slice (kind, idx, part); draw the tables of the parent's words."""
 
     def total(f: pd.DataFrame) -> pd.DataFrame:
         kind, idx = str(f.kind.iloc[0]), int(f.idx.iloc[0])
-        a = sum((unpacked(b, np.int64) for b in f["part"]), np.zeros(0, np.int64) if not len(f) else 0)
+        a = _total(f["part"])
         b = np.minimum(a, 1)
         if kind == "w" and last is not None:
             q = (STRENGTH + last.parent_discount * last.tables) * last.base
@@ -284,6 +293,13 @@ def _state(added: DataFrame, singles: DataFrame | None, number: int, last: Sweep
         special = idx == 0 and len(a) > 0
         return pd.DataFrame([(kind, idx, packed(a), packed(b), int(a.sum()), int(b.sum()), int((a == 1).sum()), int((a == 2).sum()), float(a[0]) if special else None, float(b[0]) if special else None)], columns=_STATE)
 
+    def some(f: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(str(f.kind.iloc[0]), int(f.idx.iloc[0]), int(f["from"].iloc[0]), packed(_total(f["part"])))], columns=["kind", "idx", "from", "part"])
+
+    step = FAN_IN
+    while grid > step:  # as many rounds as the logarithm of the grid
+        added = added.withColumn("from", F.expr(f"cast(`from` div {FAN_IN} as int)")).groupBy("kind", "idx", "from").applyInPandas(some, PARTS)
+        step *= FAN_IN
     if singles is not None:
         added = added.unionByName(singles)
     return added.groupBy("kind", "idx").applyInPandas(total, STATE)
@@ -316,24 +332,23 @@ def sampled(pairs: DataFrame, size: Sizes, burn_in: int, samples: int, seed: int
     i, j = (F.col("block") / grid).cast("int"), (F.col("block") % grid).cast("int")
 
     def once(f: DataFrame) -> DataFrame:
-        return f.select(F.explode(F.array(F.struct(F.lit("u").alias("kind"), i.alias("idx"), F.col("once_u").alias("part")), F.struct(F.lit("w").alias("kind"), j.alias("idx"), F.col("once_w").alias("part")))).alias("s")).select("s.*")
+        return f.select(F.explode(F.array(F.struct(F.lit("u").alias("kind"), i.alias("idx"), j.alias("from"), F.col("once_u").alias("part")), F.struct(F.lit("w").alias("kind"), j.alias("idx"), i.alias("from"), F.col("once_w").alias("part")))).alias("s")).select("s.*")
 
     def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
             for r in f.itertuples(index=False):
                 out += _sums(r.block, _undelta(r.keys2), None, grid, size.slice_len)
-            yield pd.DataFrame(out, columns=["kind", "idx", "part"])
+            yield pd.DataFrame(out, columns=["kind", "idx", "from", "part"])
 
-    parts = "kind string, idx int, part binary"
-    singles = stored(_state(once(pairs.select("block", "once_u", "once_w")), None, 0, None, seed).select("kind", "idx", F.col("a").alias("part")), "singles")
+    singles = stored(_state(once(pairs.select("block", "once_u", "once_w")), None, 0, None, seed, grid).select("kind", "idx", F.lit(0).alias("from"), F.col("a").alias("part")), "singles")
     heavy = stored(pairs.select("block", "keys2", "counts2"), "heavy")
-    states = [stored(_state(heavy.mapInPandas(begin, parts), singles, 0, None, seed), "state")]
+    states = [stored(_state(heavy.mapInPandas(begin, PARTS), singles, 0, None, seed, grid), "state")]
     sweeps = [_known(states[0], discount, None, base)]
     for number in range(1, burn_in + samples + 1):
         near = _at_blocks(states[-1].select("kind", "idx", "a", "b"), grid)
-        added = heavy.groupBy("block").cogroup(near.groupBy("block")).applyInPandas(_drawing(number, sweeps[-1], size, seed), parts)
-        states.append(stored(_state(added, singles, number, sweeps[-1], seed), "state"))
+        added = heavy.groupBy("block").cogroup(near.groupBy("block")).applyInPandas(_drawing(number, sweeps[-1], size, seed), PARTS)
+        states.append(stored(_state(added, singles, number, sweeps[-1], seed, grid), "state"))
         sweeps.append(_known(states[-1], discount, sweeps[-1].parent_discount, base))
     return states, sweeps
 
@@ -348,11 +363,25 @@ def _drawing(number: int, last: Sweep, size: Sizes, seed: int):
             keys2 = _undelta(r.keys2)
             t = _drawn(int(r.block), number, keys2, unpacked(r.counts2, np.int64), t_u, p_w, last.discount, size.grid, seed)
             out += _sums(r.block, keys2, t, size.grid, size.slice_len)
-        return pd.DataFrame(out, columns=["kind", "idx", "part"])
+        return pd.DataFrame(out, columns=["kind", "idx", "from", "part"])
 
     return draw
 
 
+def _by_bucket(grid: int, buckets: int):
+    """Cut slices into the ids of each vocabulary bucket: every (buckets / grid)-th of a slice."""
+    step = buckets // grid
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for r in f.itertuples(index=False):
+                a, b = unpacked(r.a, np.int64), unpacked(r.b, np.int64)
+                out = [(r.number, r.kind, int(r.idx) + grid * k, packed(a[k::step]), packed(b[k::step])) for k in range(step)]
+                yield pd.DataFrame(out, columns=["number", "kind", "bucket", "a", "b"])
+
+    return run
+
+
 def _slices(state: pd.DataFrame, sweep: Sweep) -> tuple[np.ndarray, np.ndarray]:
     """Tables of the contexts, and the parent's probabilities of the words, of a block's two slices."""
     by = {r.kind: r for r in state.itertuples(index=False)}
@@ -362,7 +391,9 @@ def _slices(state: pd.DataFrame, sweep: Sweep) -> tuple[np.ndarray, np.ndarray]:
 def _sums(block: int, keys2: np.ndarray, t: np.ndarray | None, grid: int, width: int) -> list[tuple]:
     iu, iw = _local(keys2, grid)
     weights = np.ones(len(keys2)) if t is None else t
-    return [("u", int(block) // grid, packed(np.bincount(iu, weights=weights, minlength=width).astype(np.int64))), ("w", int(block) % grid, packed(np.bincount(iw, weights=weights, minlength=width).astype(np.int64)))]
+    sums = [packed(np.bincount(at, weights=weights, minlength=width).astype(np.int64)) for at in (iu, iw)]
+    i, j = int(block) // grid, int(block) % grid
+    return [("u", i, j, sums[0]), ("w", j, i, sums[1])]
 
 
 def scores(rows: DataFrame, replies: DataFrame, pairs: DataFrame, states: list[DataFrame], sweeps: list[Sweep], size: Sizes, burn_in: int, seed: int) -> DataFrame:
@@ -395,7 +426,7 @@ def scores(rows: DataFrame, replies: DataFrame, pairs: DataFrame, states: list[D
         out = []
         for r in asked.itertuples(index=False):
             ids = unpacked(r.ids, np.uint32).astype(np.int64)
-            at = (ids - 1) // grid
+            at = (ids - 1) // buckets
             t = np.stack([np.where(ids > 0, u[at], 0) for u, _ in found] or [np.zeros(len(ids), np.int64) for _ in kept])
             p = np.stack([np.where(ids > 0, w[at], 0.0) for _, w in found] or [np.zeros(len(ids)) for _ in kept])
             out.append((r.chunk, "word", int(r.bucket), packed(t.astype(np.uint32).ravel()), packed(p.astype(np.float32).ravel())))
@@ -404,7 +435,7 @@ def scores(rows: DataFrame, replies: DataFrame, pairs: DataFrame, states: list[D
     answer = "chunk string, kind string, part int, x binary, y binary"
     words = replies.where("chunk is not null").select("chunk", "bucket", "ids", "counts")
     of_pairs = pairs.select("block", "keys", "counts", "asked").groupBy("block").cogroup(_at_blocks(union([k - 1 for k in kept]), grid).groupBy("block")).applyInPandas(pair_replies, answer)
-    of_words = words.withColumn("idx", (F.col("bucket") % grid).cast("int")).groupBy("idx").cogroup(union(kept).groupBy("idx")).applyInPandas(word_replies, answer)
+    of_words = words.groupBy("bucket").cogroup(union(kept).mapInPandas(_by_bucket(grid, buckets), "number int, kind string, bucket int, a binary, b binary").groupBy("bucket")).applyInPandas(word_replies, answer)
     ids = words.select("chunk", F.lit("id").alias("kind"), F.col("bucket").alias("part"), F.col("ids").alias("x"), F.col("counts").alias("y"))
     all_replies = of_pairs.unionByName(of_words).unionByName(ids)
     base_total = size.train + size.vocab + 1

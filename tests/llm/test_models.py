@@ -33,6 +33,7 @@ def test_lm_scores(spark, odd_docs, folder, monkeypatch, small):
         monkeypatch.setattr(lm, "CHUNK_BYTES", 100_000)
         monkeypatch.setattr(lm, "BLOCK_TOKENS", 20_000)
         monkeypatch.setattr(lm, "BUCKET_WORDS", 50)
+        monkeypatch.setattr(lm, "FAN_IN", 2)
     docs = [*odd_docs, *[(100 + k, "the same start of a text " + prose(k % 20, 40), "en", "s", 1) for k in range(60)]]
     got = lm.op1_pitman_yor(spark, folder(documents=(docs, DOCS))).collect()
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == brute_base(docs)
