@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from reciprospark.llm import bpe, decontaminate, outliers, rules, simhash
 from reciprospark.llm.common import stored, table
 
+WIDTH, SIMILARITY = 5, 0.8
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return outliers.filtered(docs)
@@ -24,7 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.deduplicated(docs)
+    """Copies of at least SIMILARITY go, by the Jaccard similarity of shingles of WIDTH words."""
+    return simhash.deduplicated(docs, WIDTH, SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reciprospark.llm import near
 from reciprospark.llm.common import record, slices, stored, table
 
 SEED, WIDTH, BITS = 42, 3, 2
@@ -90,15 +91,15 @@ def _linked(choice: int, fps: np.ndarray) -> list[tuple[int, int]]:
         return k
 
     out = []
-    near = _neighbours(choice) if len(fps) > 128 else None
-    order = {int(x): k for k, x in enumerate(fps)} if near is not None else {}
+    around = _neighbours(choice) if len(fps) > 128 else None
+    order = {int(x): k for k, x in enumerate(fps)} if around is not None else {}
     for k in range(len(fps)):
-        if near is None:
+        if around is None:
             x = fps[k + 1 :] ^ fps[k]
             shared = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
             others = k + 1 + np.flatnonzero((shared >= SHARED) & (np.bitwise_count(x) <= BITS))
         else:
-            others = [j for y in (near ^ fps[k]).tolist() if (j := order.get(y, -1)) > k]
+            others = [j for y in (around ^ fps[k]).tolist() if (j := order.get(y, -1)) > k]
         for j in others:
             a, b = find(k), find(int(j))
             if a != b:
@@ -161,16 +162,32 @@ def clustered(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...) without text, with fp, root (the component's smallest fingerprint, as bigint) and component_id."""
     prints = stored(fingerprints(docs), "prints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
-    roots = components(links(first.select("fp")))
+    return _marked(prints, first, components(links(first.select("fp"))))
+
+
+def _marked(prints: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
     whole = first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
     return prints.join(stored(whole.join(least, "root").select("fp", "root", "component_id"), "ids"), "fp")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one of smallest id (null last), then of smallest hash of its text. Columns of docs stay as they are."""
+def similar(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """As clustered, by links between texts whose shingles of the given width have that Jaccard similarity; fp is a text's words (see near.py)."""
+    prints = stored(near.fingerprints(docs, width), "prints")
+    first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("sig").alias("sig")), "first")
+    roots = components(near.links(docs, first.select("fp", "sig"), width, similarity))
+    return _marked(prints.drop("sig"), first.drop("sig"), roots)
+
+
+def deduplicated(docs: DataFrame, width: int = WIDTH, similarity: float | None = None) -> DataFrame:
+    """One document of each component: the one of smallest id (null last), then of smallest hash of its text. Columns of docs stay as they are.
+
+    Without similarity, components are op6's, of fingerprints within BITS; with it, of shingles of the given width."""
+    if similarity is None and width != WIDTH:
+        raise ValueError(f"without a similarity the width is {WIDTH}")
     text_hash = F.xxhash64("text")
-    marked = stored(clustered(docs.select("doc_id", "text", text_hash.alias("h"))), "marked")
+    rows = docs.select("doc_id", "text", text_hash.alias("h"))
+    marked = stored(clustered(rows) if similarity is None else similar(rows, width, similarity), "marked")
     pick = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")).alias("s"))
     times = marked.groupBy("doc_id", "h").agg(F.count("*").alias("__times")).where("__times > 1").withColumnsRenamed({"doc_id": "__doc", "h": "__h"})
     pick = pick.select(F.col("s.doc_id").alias("__id"), F.col("s.h").alias("__hash"))
