@@ -7,8 +7,8 @@ A row is rejected beyond the chi-square bound CUT (of probability TAIL: the stat
 third of all rows is no hot key; only sums of a group, never its rows, meet in one task. Medians and thresholds are
 mergeable sketches of relative rank error 1e-4, exact for groups of up to 10,000 rows.
 
-Groups of under LEAST rows use the estimate of their language; a language of under LEAST rows rejects none by this
-method. FLOOR is added to each standard deviation's square: a statistic that hardly varies rejects no small change.
+Groups of under LEAST rows use the estimate of their language, and languages of under LEAST rows one pooled over all rows;
+only where all rows together are under LEAST is there no estimate, and none is rejected by this method. FLOOR is added to each standard deviation's square: a statistic that hardly varies rejects no small change.
 
 Cases: null language or source are values like any other; null and empty texts fail the base rule (no words);
 rows that fail the base rules are rejected and take no part in the estimates; repeated rows count each.
@@ -139,10 +139,11 @@ def estimated(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return fit
 
 
-def fitted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Estimates by language and source, and by language, of the rows that pass the base rules; rows has x0.. and base_failed."""
+def fitted(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Estimates by language and source, by language, and of all of the rows that pass the base rules; rows has x0.. and base_failed."""
     good = rows.where(~F.col("base_failed")).select("lang", "source", *[f"x{i}" for i in range(P)])
-    return estimated(good), estimated(good.withColumn("source", F.lit(None).cast("string")))
+    none = F.lit(None).cast("string")
+    return estimated(good), estimated(good.withColumn("source", none)), estimated(good.withColumns({"lang": none, "source": none}))
 
 
 def vectors(docs: DataFrame) -> DataFrame:
@@ -151,14 +152,16 @@ def vectors(docs: DataFrame) -> DataFrame:
     return out.withColumns({f"x{i}": c for i, c in enumerate(transformed())})
 
 
-def verdicts(rows: DataFrame, fits: tuple[DataFrame, DataFrame]) -> DataFrame:
+def verdicts(rows: DataFrame, fits: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
     """rows with distance (null where there is no estimate) and kept."""
-    own, language = fits
+    own, language, pooled = fits
     own = own.where(F.col("n") >= LEAST)
     language = language.where(F.col("n") >= LEAST).drop("source")
+    pooled = pooled.where(F.col("n") >= LEAST).drop("lang", "source")
     rows = joined(rows, own).withColumn("distance", distance()).drop(*_NAMES[2:])
     language = language.withColumnRenamed("lang", "_lang")
     rows = rows.join(language, rows.lang.eqNullSafe(language._lang), "left").withColumn("distance", F.coalesce("distance", distance())).drop("_lang", *_NAMES[2:])
+    rows = rows.join(F.broadcast(pooled), F.lit(True), "left").withColumn("distance", F.coalesce("distance", distance())).drop(*_NAMES[2:])
     return rows.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUT))
 
 

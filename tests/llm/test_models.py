@@ -106,6 +106,13 @@ def test_outlier_rows(spark, odd_docs, folder):
     assert outliers.filtered(docs.limit(0)).count() == 0
 
 
+def test_outliers_of_a_rare_language(spark, folder):
+    good = [(k, prose(k, 150) + ".\nNext line " + prose(k + 500, 50), "de" if k % 10 == 0 else "en", "src", 1) for k in range(150)]
+    junk = [(5000 + k, " ".join(w + "###" for w in prose(k, 200).split()), "de", "src", 1) for k in range(3)]
+    got = {r.doc_id: r for r in outliers.op4_outliers(spark, folder(documents=([*good, *junk], DOCS))).collect()}
+    assert all(r.kept == (i < 5000) and r.distance is not None for i, r in got.items())
+
+
 # rules
 
 
