@@ -82,11 +82,15 @@ def misorientation(u: Column, of: Column) -> Column:
     return F.degrees(F.acos((F.greatest(F.least(trace, F.lit(3.0)), F.lit(-1.0)) - 1.0) / 2.0))
 
 
+def misorientations(crystals: DataFrame) -> DataFrame:
+    """crystals with angle: degrees between each and the first still."""
+    first = crystals.orderBy("still_id").limit(1).select(F.col("u").alias("_u"))
+    return crystals.crossJoin(F.broadcast(first)).withColumn("angle", misorientation(F.col("u"), F.col("_u"))).drop("_u")  # one row
+
+
 def orientation_spread(crystals: DataFrame) -> DataFrame:
     """Root mean square of the misorientations against the first still: one row, rms and n."""
-    first = crystals.orderBy("still_id").limit(1).select(F.col("u").alias("_u"))
-    angles = crystals.crossJoin(F.broadcast(first)).select(misorientation(F.col("u"), F.col("_u")).alias("angle"))  # one row
-    return angles.agg(F.sqrt(F.avg(F.col("angle") * F.col("angle"))).alias("rms"), F.count("*").alias("n"))
+    return misorientations(crystals).agg(F.sqrt(F.avg(F.col("angle") * F.col("angle"))).alias("rms"), F.count("*").alias("n"))
 
 
 def check_spread(crystals: DataFrame, most: float = 2.0, warn: float = 1.0) -> tuple[float, bool]:
@@ -139,6 +143,19 @@ def hkl_bounds(hkl: DataFrame, ndiv: tuple[int, int, int]) -> DataFrame:
     return hkl.agg(*low, *high)
 
 
+def diagnostics(obs: DataFrame, crystals: DataFrame, grid: Grid) -> DataFrame:
+    """One row: crystals and their spread, observations and those outside the grid, the range of the Miller indices, and how far they are from whole numbers."""
+    hkl = with_hkl(obs, grid.inverse)
+    inside = F.lit(True)
+    for s, a, b in zip(subdivided(grid.ndiv), grid.low, grid.high, strict=True):
+        inside = inside & s.between(a, b)
+    off = sum((F.pow(F.col(c) - F.rint(c), 2) for c in HKL), F.lit(0.0))
+    ranges = [f(c).alias(f"{n}_{c}") for c in HKL for f, n in ((F.min, "min"), (F.max, "max"))]
+    found = hkl.agg(F.count("*").alias("n_observations"), F.count_if(~inside).alias("n_outside"), *ranges, F.sqrt(F.avg(off)).alias("rms_delta_hkl"))
+    spread = orientation_spread(crystals).select(F.col("rms").alias("rms_misorientation"), F.col("n").alias("n_crystals"))
+    return found.crossJoin(spread)  # one row each
+
+
 def fit(obs: DataFrame, setting, ndiv: tuple[int, int, int], d_min: float | None = None, d_max: float | None = None) -> Grid:
     """The grid that holds the observations of a resolution range: one job with one row."""
     if (d_min is None) != (d_max is None) or (d_min is not None and not 0 < d_min < d_max):
@@ -179,9 +196,10 @@ def binned(obs: DataFrame, grid: Grid, operations=None, mode: str = "canonical")
 def centre(index: Column, grid: Grid) -> tuple[Column, ...]:
     """hkl of a voxel's centre."""
     nh, nk, _ = grid.shape
+    div = lambda x, n: F.call_function("div", x, F.lit(n).cast("long"))  # noqa: E731  whole numbers: an index may be beyond 2**53
     h = index % nh
-    k = F.floor((index % (nh * nk)) / nh)
-    l = F.floor(index / (nh * nk))  # noqa: E741
+    k = div(index % (nh * nk), nh)
+    l = div(index, nh * nk)  # noqa: E741
     return tuple((x.cast("long") + a).cast("double") / n for x, a, n in zip((h, k, l), grid.low, grid.ndiv, strict=True))
 
 

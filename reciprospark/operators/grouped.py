@@ -30,6 +30,16 @@ def without_outliers(obs: DataFrame, threshold: float = 3.0) -> DataFrame:
     return by_voxel(obs, keep, obs.schema)
 
 
+def references(scaled: DataFrame) -> DataFrame:
+    """As scaling.references, voxel by voxel."""
+
+    def one(g: pd.DataFrame) -> pd.DataFrame:
+        w = 1 / ((g["sigma"] / g["scale"]) ** 2 + TINY)
+        return pd.DataFrame({"voxel_idx": g["voxel_idx"].iloc[:1], "reference": (w * g["intensity"] / g["scale"]).sum() / w.sum(), "reference_sigma": 1 / np.sqrt(w.sum()), "n": len(g)})
+
+    return by_voxel(scaled.select("voxel_idx", "intensity", "sigma", "scale"), one, "voxel_idx long, reference double, reference_sigma double, n long")
+
+
 def merged(obs: DataFrame) -> DataFrame:
     def one(g: pd.DataFrame) -> pd.DataFrame:
         x, s = g["intensity"].to_numpy(), g["sigma"].to_numpy()

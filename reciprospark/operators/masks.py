@@ -44,11 +44,15 @@ def pixel_statistics(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy(*KEY).agg(F.sum("raw").alias("total"), F.count("raw").alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high"))
 
 
+def hot_or_negative(low: Column, high: Column, hot: float | None, negative: float) -> Column:
+    """Whether a range of values goes over hot or under -|negative|."""
+    out = low < -abs(negative)
+    return out if hot is None else out | (high > hot)
+
+
 def dynamic_mask(statistics: DataFrame, hot: float | None = 1e6, negative: float = 0.0) -> DataFrame:
     """Good unless a value was over hot or under -|negative|; a pixel never seen is good."""
-    bad = F.col("low") < -abs(negative)
-    if hot is not None:
-        bad = bad | (F.col("high") > hot)
+    bad = hot_or_negative(F.col("low"), F.col("high"), hot, negative)
     return statistics.select(*KEY, (F.coalesce(F.col("n"), F.lit(0)).eqNullSafe(0) | ~F.coalesce(bad, F.lit(False))).alias("good"))
 
 
@@ -57,16 +61,22 @@ def combined_mask(one: DataFrame, other: DataFrame) -> DataFrame:
     return one.join(other, KEY).select(*KEY, (F.col("good") & F.col("_other")).alias("good"))
 
 
-def spot_pixels(reflections: DataFrame, half: int = 2, n_slow: int | None = None, n_fast: int | None = None) -> DataFrame:
-    """Pixels of boxes around spots (panel_id, x, y; x is fast): rounded half to even, clipped, each once. Generated, not range-joined."""
+def box_pixels(reflections: DataFrame, half: int = 2, n_slow: int | None = None, n_fast: int | None = None) -> DataFrame:
+    """reflections, once for each pixel (slow, fast) of the box around its spot (panel_id, x, y; x is fast): rounded half to even, clipped.
+    Generated, not range-joined."""
     x, y = F.rint("x").cast("int"), F.rint("y").cast("int")
 
     def side(centre: Column, n: int | None) -> Column:
         low, high = F.greatest(centre - half, F.lit(0)), centre + half if n is None else F.least(centre + half, F.lit(n - 1))
         return F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
 
-    rows = reflections.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select("panel_id", F.explode(side(y, n_slow)).alias("slow"), side(x, n_fast).alias("_x"))
-    return rows.select("panel_id", "slow", F.explode("_x").alias("fast")).distinct()
+    rows = reflections.where(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("slow", F.explode(side(y, n_slow)))
+    return rows.withColumn("fast", F.explode(side(x, n_fast)))
+
+
+def spot_pixels(reflections: DataFrame, half: int = 2, n_slow: int | None = None, n_fast: int | None = None) -> DataFrame:
+    """Pixels of the boxes around spots, each once."""
+    return box_pixels(reflections.select("panel_id", "x", "y"), half, n_slow, n_fast).select(*KEY).distinct()
 
 
 def spot_centres(reflections: DataFrame) -> DataFrame:
@@ -83,12 +93,17 @@ def of_frame(spots: DataFrame, frame: int) -> DataFrame:
     return spots.where(F.round("frame") == frame)
 
 
+def is_peak(code: Column) -> Column:
+    """Whether a shoebox code has the foreground or the strong bit."""
+    return code.bitwiseAND(FOREGROUND | STRONG) != 0
+
+
 def shoebox_pixels(reflections: DataFrame, n_slow: int, n_fast: int) -> DataFrame:
     """Peak pixels of shoeboxes: cells with a foreground or strong bit, on the panel that z names, inside the panel."""
     require_columns(reflections, ["shoebox"], "reflections")
     cells = reflections.select("shoebox", F.posexplode("shoebox.mask").alias("at", "code"))
     wide, high = F.col("shoebox.x2") - F.col("shoebox.x1"), F.col("shoebox.y2") - F.col("shoebox.y1")
-    cells = cells.where((wide > 0) & (high > 0) & (F.col("code").bitwiseAND(FOREGROUND | STRONG) != 0))
+    cells = cells.where((wide > 0) & (high > 0) & is_peak(F.col("code")))
     plane = F.greatest(wide * high, F.lit(1))
     cells = cells.select(
         F.floor(F.col("shoebox.z1") + F.col("at") / plane).cast("int").alias("panel_id"),

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reciprospark.functions.vec import ratio
 from reciprospark.operators.grid import Grid, with_centres
+from reciprospark.operators.symmetry import reduced
+from reciprospark.operators.validation import enough_partiality
 
 TINY = 1e-10
 MAD_TO_SIGMA = 1.4826
@@ -65,6 +70,36 @@ def merge(binned: DataFrame, grid: Grid, method: str = "inverse_variance", least
     return with_centres(merged(out, method, least), grid)
 
 
+def bragg_merge(reflections: DataFrame, operations, least_partiality: float = 0.1) -> DataFrame:
+    """Weighted mean intensity of each reflection, mates by symmetry together: h, k, l (whole), intensity, sigma, n. Reflections
+    of too little partiality go; intensities are not divided by it."""
+    kept = reflections.where(enough_partiality(least_partiality))
+    kept = reduced(kept.withColumns({c: F.rint(c) for c in ("h", "k", "l")}), operations)
+    w = F.lit(1.0) / (F.col("sigma") * F.col("sigma") + TINY)
+    keys = [F.col(c).cast("int").alias(c) for c in ("h", "k", "l")]
+    return kept.groupBy(*keys).agg((F.sum(w * F.col("intensity")) / F.sum(w)).alias("intensity"), (F.lit(1.0) / F.sqrt(F.sum(w))).alias("sigma"), F.count("*").alias("n"))
+
+
+def integrated(binned: DataFrame, frame: str = "still_id") -> DataFrame:
+    """counts, pixels and mean_frame (weighted by counts) of each voxel."""
+    i = F.col("intensity")
+    return binned.groupBy("voxel_idx").agg(F.sum(i).alias("counts"), F.count("*").alias("pixels"), ratio(F.sum(F.col(frame) * i), F.sum(i)).alias("mean_frame"))
+
+
+def averaged_correction(binned: DataFrame, value: str) -> DataFrame:
+    """The mean of a correction in each voxel, of each still's mean weighted by its observations."""
+    by = binned.groupBy("voxel_idx", "still_id").agg(F.count("*").alias("n"), F.avg(value).alias("s"))
+    return by.groupBy("voxel_idx").agg((F.sum(F.col("n") * F.col("s")) / F.sum("n")).alias("correction"))
+
+
+def concatenated(chunks: Sequence[DataFrame]) -> DataFrame:
+    """All rows of tables of the same columns, in any order of columns."""
+    out = chunks[0]
+    for c in chunks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def merge_statistics(voxels: DataFrame) -> DataFrame:
     """One row of statistics of a merged map; nulls and zeros for an empty one."""
     i, s, n, q = (F.col(c) for c in ("I_merged_relative", "Sigma_merged_relative", "num_observations", "q_magnitude_center"))

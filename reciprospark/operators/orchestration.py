@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reciprospark.operators import grid as grids
 from reciprospark.operators import merging, scaling
+from reciprospark.operators.pixels import Beam, Extraction, Panel, observations, unfolded
 from reciprospark.sources.headers import route
 
 
@@ -44,6 +45,51 @@ def error_code(message: Column) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class Defaults:
+    """Settings of a batch before the merging phase."""
+
+    gain: float = 1.0
+    cell_length_tolerance: float = 0.02
+    cell_angle_tolerance: float = 2.0
+    orientation_tolerance: float = 5.0
+    q_tolerance: float = 0.01
+    pixel_step: int = 1
+    lp_correction: bool = False
+    hot_pixel: float = 1e6
+    negative_pixel: float = 0.0
+    most_bad_pixels: float = 0.1
+    peak_border: int = 2
+    least_partiality: float = 0.1
+    min_spot_area: int = 3
+
+    def rows(self) -> list[tuple[str, str]]:
+        return [(f.name, str(getattr(self, f.name))) for f in fields(self)]
+
+
+def process_batch(images: DataFrame, panel: Panel, beam: Beam, settings: Extraction = Extraction(), bad: DataFrame | None = None, forced: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """All images of a batch at once: their observations, and one outcome for each image.
+
+    images: image_id, panel_id, n_slow, n_fast, data (array), increment. An image without data, or with data of another size than it
+    says, fails by itself: it has an outcome with an error code and no observations; the others go on.
+    """
+    size = F.col("n_slow") * F.col("n_fast")
+    doubt = F.when(F.col("data").isNull(), F.lit("Input image not found")).when(F.size("data") != size, F.lit("image of another size than its header says"))
+    checked = routed(images, forced).withColumn("message", doubt)
+    found = observations(unfolded(checked.where("message is null")), panel, beam, settings, bad).withColumnRenamed("image_id", "still_id")
+    counts = found.groupBy("still_id").agg(F.count("*").alias("n_observations")).withColumnRenamed("still_id", "image_id")
+    out = checked.select("image_id", "route", "message").join(counts, "image_id", "left")
+    failed = F.col("message").isNotNull()
+    out = out.select("image_id", "route", F.when(failed, "FAILURE").otherwise("SUCCESS").alias("status"), "message", F.when(failed, error_code(F.col("message"))).alias("error_code"), F.coalesce("n_observations", F.lit(0).cast("long")).alias("n_observations"))
+    return found, out
+
+
+def consistency_outcome(checked: DataFrame) -> DataFrame:
+    """status, message and error_code of what validation.q_consistency found."""
+    message = F.when(~F.col("passed"), F.lit("q consistency check failed"))
+    return checked.select("n", F.when(F.col("passed"), "SUCCESS").otherwise("FAILURE").alias("status"), message.alias("message"), F.when(~F.col("passed"), error_code(message)).alias("error_code"))
+
+
 def outcome_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("status", "error_code").agg(F.count("*").alias("n"))
 

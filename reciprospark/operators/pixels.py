@@ -108,6 +108,19 @@ def usable(pixels: DataFrame, bad: DataFrame | None) -> DataFrame:
     return pixels if bad is None else pixels.join(bad.select("panel_id", "slow", "fast").distinct(), ["panel_id", "slow", "fast"], "left_anti")
 
 
+def with_background(pixels: DataFrame, measured: DataFrame) -> DataFrame:
+    """pixels with bg of a measured background (panel_id, slow, fast, bg), null where it has none."""
+    return pixels.join(measured.select("panel_id", "slow", "fast", "bg"), ["panel_id", "slow", "fast"], "left")
+
+
+def placed() -> Column:
+    """Whether a pixel has a position in the laboratory."""
+    out = F.lit(True)
+    for c in ("lab_x", "lab_y", "lab_z"):
+        out = out & F.col(c).isNotNull() & ~F.isnan(c)
+    return out
+
+
 def limits(column: str, low: float | None, high: float | None) -> Column:
     out = F.lit(True)
     if low is not None:
@@ -122,10 +135,10 @@ def observations(pixels: DataFrame, panel: Panel, beam: Beam, settings: Extracti
     out = usable(thinned(pixels, settings.pixel_step), bad)
     bg = None
     if measured is not None:
-        out, bg = out.join(measured.select("panel_id", "slow", "fast", "bg"), ["panel_id", "slow", "fast"], "left"), F.col("bg")
+        out, bg = with_background(out, measured), F.col("bg")
     out = with_geometry(out, panel, beam, settings.q_convention)
     lab = [F.col(c) for c in ("lab_x", "lab_y", "lab_z")]
-    out = out.where(~F.isnan("lab_x") & ~F.isnan("lab_y") & ~F.isnan("lab_z")).where(limits("d", settings.max_res, settings.min_res))
+    out = out.where(placed()).where(limits("d", settings.max_res, settings.min_res))
     factors = {
         "lp": corrections.lp_factor(F.col("lp_div")) if settings.use_lp and "lp_div" in pixels.columns else F.lit(1.0),
         "qe": corrections.qe_factor(F.col("qe")) if settings.use_qe and "qe" in pixels.columns else F.lit(1.0),

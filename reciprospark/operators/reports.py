@@ -65,6 +65,45 @@ def slice_of(voxels: DataFrame, grid: Grid, axis: str, at: int | None = None) ->
     return out.withColumn("i_over_sigma", F.when(s > 0, F.col("I_merged_relative") / F.when(s > 0, s).otherwise(1.0)).otherwise(0.0))
 
 
+def orthogonal_slices(voxels: DataFrame, grid: Grid) -> DataFrame:
+    """The middle planes of the three axes: axis, steps, intensity, sigma, i_over_sigma and occupancy of their voxels."""
+    out = None
+    for axis in "HKL":
+        one = slice_of(voxels, grid, axis)
+        one = one.select(F.lit(axis).alias("axis"), "voxel_idx", "h_step", "k_step", "l_step", F.col("I_merged_relative").alias("intensity"), F.col("Sigma_merged_relative").alias("sigma"), "i_over_sigma", F.col("num_observations").alias("occupancy"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def sigma_by_intensity(obs: DataFrame, n_bins: int = 50) -> DataFrame:
+    """bin of the intensity, its centre, mean sigma and n."""
+    rows = _ranged(obs.where(finite("intensity", "sigma")), "intensity", n_bins)
+    return rows.groupBy("bin").agg(F.min("_centre").alias("centre"), F.avg("sigma").alias("sigma"), F.count("*").alias("n"))
+
+
+def q_projections(obs: DataFrame, width: float) -> DataFrame:
+    """Counts and mean intensity in squares of the three planes of q: plane, i, j, n, mean."""
+    rows = obs.where(finite("qx", "qy", "qz"))
+    at = {c: F.floor(F.col(c) / width).cast("int") for c in ("qx", "qy", "qz")}
+    planes = F.array(*[F.struct(F.lit(a[1] + b[1]).alias("plane"), at[a].alias("i"), at[b].alias("j")) for a, b in (("qx", "qy"), ("qx", "qz"), ("qy", "qz"))])
+    return rows.select(F.explode(planes).alias("p"), "intensity").groupBy("p.plane", "p.i", "p.j").agg(F.count("*").alias("n"), F.avg("intensity").alias("mean"))
+
+
+def evaluated(spark, f, low: float, high: float, n: int = 100) -> DataFrame:
+    """q and scale: any function of one |q|, at n places."""
+    places = [low + (high - low) * k / max(n - 1, 1) for k in range(n)]
+    return spark.createDataFrame([(q, float(f(q))) for q in places], "q double, scale double")
+
+
+def phase_summary(phases: dict[str, DataFrame]) -> DataFrame:
+    """phase, n (rows) and columns with nulls among them, of each named table: one aggregation for each."""
+    out = None
+    for name, df in phases.items():
+        one = df.agg(F.lit(name).alias("phase"), F.count("*").alias("n"), F.count_if(F.lit(False) if not df.columns else F.greatest(*[F.col(c).isNull() for c in df.columns], F.lit(False))).alias("n_with_null"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def scale_summary(scales: DataFrame, value: str = "multiplicative_scale") -> DataFrame:
     v = F.col(value)
     return scales.agg(F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("low"), F.max(v).alias("high"), (F.avg(v) - F.stddev_pop(v)).alias("mean_less_std"), (F.avg(v) + F.stddev_pop(v)).alias("mean_plus_std"))

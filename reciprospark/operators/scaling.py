@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Up to so many stills, scales are a literal map in the plan; beyond, a table that is joined.
@@ -87,11 +88,11 @@ class ScaleModel:
     def scaled(self, obs: DataFrame) -> DataFrame:
         """obs with scale (M)."""
         if len(self.stills) <= LITERAL_STILLS:
-            known = F.create_map(*[F.lit(x) for pair in self.stills.items() for x in pair]) if self.stills else None
-            b = F.coalesce(F.try_element_at(known, F.col("still_id").cast("int")), F.lit(1.0)) if known is not None else F.lit(1.0)
+            known = F.create_map(*[x for s, b in self.stills.items() for x in (F.lit(s).cast("long"), F.lit(b))]) if self.stills else None
+            b = F.coalesce(F.try_element_at(known, F.col("still_id").cast("long")), F.lit(1.0)) if known is not None else F.lit(1.0)
             out = obs.withColumn("scale", b)
         else:
-            table = obs.sparkSession.createDataFrame(list(self.stills.items()), "still_id int, _b double")
+            table = obs.sparkSession.createDataFrame(list(self.stills.items()), "still_id long, _b double")
             out = obs.join(table, "still_id", "left").withColumn("scale", F.coalesce("_b", F.lit(1.0))).drop("_b")
         return out if self.smoother is None else out.withColumn("scale", F.col("scale") * self.smoother.column(F.col("q")))
 
@@ -102,6 +103,20 @@ def with_scales(obs: DataFrame, scales: DataFrame) -> DataFrame:
     return obs.join(found, "still_id", "left").withColumn("scale", F.coalesce("scale", F.lit(1.0)))
 
 
+def product(components: Sequence[Callable[[DataFrame], Column]], obs: DataFrame) -> DataFrame:
+    """obs with scale: the product of what components give for it. A component is any function from a table to a column."""
+    out = F.lit(1.0)
+    for component in components:
+        out = out * component(obs)
+    return obs.withColumn("scale", out)
+
+
+def model_info(scales: DataFrame, value: str = "multiplicative_scale") -> DataFrame:
+    """One row: number, mean, deviation and range of the scales of a table, for any number of stills."""
+    v = F.col(value)
+    return scales.agg(F.count("*").alias("n_stills"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("low"), F.max(v).alias("high"))
+
+
 def applied(obs: DataFrame, offset: float = 0.0) -> DataFrame:
     """Intensity and sigma on the common scale."""
     return obs.withColumn("intensity", (F.col("intensity") - F.lit(offset)) / F.col("scale")).withColumn("sigma", F.col("sigma") / F.abs("scale"))
@@ -114,10 +129,9 @@ def references(scaled: DataFrame) -> DataFrame:
 
 
 def with_references(scaled: DataFrame) -> DataFrame:
-    """The same mean beside each observation, by a window over its voxel: no join, no second shuffle."""
-    w = F.lit(1.0) / (F.pow(F.col("sigma") / F.col("scale"), 2) + TINY)
-    over = Window.partitionBy("voxel_idx")
-    return scaled.withColumn("reference", F.sum(w * F.col("intensity") / F.col("scale")).over(over) / F.sum(w).over(over))
+    """The same mean beside each observation. Sums are partial, so a voxel of many observations is no hot key of the
+    aggregation; in the join Spark broadcasts the means or splits what is skewed, and shuffles nothing that is dealt by voxel already."""
+    return scaled.join(references(scaled).select("voxel_idx", "reference"), "voxel_idx")
 
 
 def r_factor(referred: DataFrame) -> DataFrame:
@@ -149,23 +163,29 @@ def normal_sums(referred: DataFrame, model: ScaleModel, weighted: bool = False)
 
 
 def _step(rows, model: ScaleModel) -> tuple[ScaleModel, float]:
+    """A Gauss-Newton step. The normal matrix is diagonal in the stills with a border for each control point: the stills are
+    eliminated (Schur complement), so the cost is linear in their number and the matrix to solve has as many rows as points."""
     ids = list(model.stills)
     at = {s: k for k, s in enumerate(ids)}
     n, p = len(ids), len(model.smoother.values) if model.smoother else 0
-    jtj, jtr = np.zeros((n + p, n + p)), np.zeros(n + p)
+    jj, jr, border = np.full(n, DAMPING), np.zeros(n), np.zeros((n, p))
+    corner, points = DAMPING * np.eye(p), np.zeros(p)
     for row in rows:
         k = at.get(row.still_id)
         if k is not None:
-            jtj[k, k], jtr[k] = row.jj, row.jr
+            jj[k] += row.jj
+            jr[k] = row.jr
         for i in range(p):
-            jtr[n + i] += row[f"kr{i}"]
+            points[i] += row[f"kr{i}"]
             if k is not None:
-                jtj[k, n + i] = jtj[n + i, k] = row[f"jk{i}"]
+                border[k, i] = row[f"jk{i}"]
             for o in range(i, p):
-                jtj[n + i, n + o] += row[f"kk{i}_{o}"]
+                corner[i, o] += row[f"kk{i}_{o}"]
                 if o != i:
-                    jtj[n + o, n + i] += row[f"kk{i}_{o}"]
-    shift = np.linalg.solve(jtj + DAMPING * np.eye(n + p), -jtr)
+                    corner[o, i] += row[f"kk{i}_{o}"]
+    ratio = border / jj[:, None]
+    by_point = np.linalg.solve(corner - border.T @ ratio, -points + ratio.T @ jr) if p else np.zeros(0)
+    shift = np.concatenate([-jr / jj - ratio @ by_point, by_point])
     stills = {s: b + float(d) for (s, b), d in zip(model.stills.items(), shift, strict=False)}
     smoother = Smoother(tuple(v + float(d) for v, d in zip(model.smoother.values, shift[n:], strict=True)), model.smoother.q_min, model.smoother.q_max) if p else None
     return ScaleModel(stills, smoother), float(np.abs(shift).max())
@@ -174,8 +194,8 @@ def _step(rows, model: ScaleModel) -> tuple[ScaleModel, float]:
 def refined(binned: DataFrame, model: ScaleModel, rounds: int = 10, tolerance: float = 1e-6, shift_tolerance: float = 1e-6, weighted: bool = False, partitions: int | None = None) -> tuple[ScaleModel, dict]:
     """Gauss-Newton refinement of the scales.
 
-    The observations are dealt by voxel once and kept (memory, then disk); a round is a window over them and one small
-    aggregation by still, whose rows (at most one for each still) come to the driver for the solution. Parameters are
+    The observations are dealt by voxel once and kept (memory, then disk); a round is a join of each voxel's mean in place and one
+    small aggregation by still, whose rows (at most one for each still) come to the driver for the solution. Parameters are
     numbers of the driver, so no lineage builds up.
     """
     if rounds < 1:

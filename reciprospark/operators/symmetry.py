@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from fractions import Fraction
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,19 +18,64 @@ def diagonal(a: int, b: int, c: int):
     return ((a, 0, 0), (0, b, 0), (0, 0, c))
 
 
-#: Rotations of some space groups, the identity first.
-GROUPS = {
-    "P1": (IDENTITY,),
-    "P2": (IDENTITY, diagonal(-1, 1, -1)),
-    "P222": (IDENTITY, diagonal(-1, -1, 1), diagonal(-1, 1, -1), diagonal(1, -1, -1)),
-    "P4": (IDENTITY, diagonal(-1, -1, 1), ((0, -1, 0), (1, 0, 0), (0, 0, 1)), ((0, 1, 0), (-1, 0, 0), (0, 0, 1))),
-}
+_2X, _2Y, _2Z, _4Z = diagonal(1, -1, -1), diagonal(-1, 1, -1), diagonal(-1, -1, 1), ((0, -1, 0), (1, 0, 0), (0, 0, 1))
+_3Z, _6Z, _3XYZ = ((0, -1, 0), (1, -1, 0), (0, 0, 1)), ((1, -1, 0), (1, 0, 0), (0, 0, 1)), ((0, 0, 1), (1, 0, 0), (0, 1, 0))
+_2XY, _2YX = ((0, 1, 0), (1, 0, 0), (0, 0, -1)), ((0, -1, 0), (-1, 0, 0), (0, 0, -1))
+#: Rotations that generate the point groups of crystals of chiral molecules, by symbol: b is the axis of "2", hexagonal axes for 3.
+GENERATORS = {
+    "1": (), "2": (_2Y,), "121": (_2Y,), "112": (_2Z,), "222": (_2Z, _2Y), "4": (_4Z,), "422": (_4Z, _2X), "3": (_3Z,), "32": (_3Z, _2XY), "321": (_3Z, _2XY),
+    "312": (_3Z, _2YX), "6": (_6Z,), "622": (_6Z, _2XY), "23": (_2Z, _3XYZ), "432": (_4Z, _3XYZ),
+}
+
+
+def closed(generators):
+    """All products of integer matrices, the identity first, then in the order in which they are found."""
+    found = [IDENTITY]
+    for a in found:  # the list grows as it is read
+        for g in generators:
+            product = tuple(tuple(int(x) for x in row) for row in np.array(g) @ np.array(a))
+            if product not in found:
+                found.append(product)
+            if len(found) > 48:
+                raise ValueError("these matrices generate no crystallographic point group")
+    return tuple(found)
+
+
+def point_group(group: str) -> str:
+    """The symbol of a space group's rotations: "P 21 21 21" and "P222" are "222"."""
+    if not (found := re.fullmatch(r"[A-Z]((?: *[1-6]+)+)", group.strip())):
+        return ""
+    parts = found[1].split()
+    return "".join(p[0] for p in parts) if " " in group.strip() else parts[0]  # a screw axis turns as its rotation does
 
 
 def operations(group: str):
-    if group not in GROUPS:
+    """The rotations of a space group by its symbol, as "P 43 21 2"; ValueError for symbols without them."""
+    if (symbol := point_group(group)) not in GENERATORS:
         raise ValueError(f"no operations for space group {group!r}; pass them as matrices")
-    return GROUPS[group]
+    return closed(GENERATORS[symbol])
+
+
+def parsed(triplets) -> tuple:
+    """Rotations of a crystal's own operations given as "x,y,z", "-y,x-y,z+1/3" ...: translations are left out."""
+    out = []
+    for text in triplets:
+        rows = []
+        for part in text.lower().replace(" ", "").split(","):
+            row = [Fraction(0)] * 3
+            for sign, axis in re.findall(r"([+-]?)([xyz])", part):
+                row["xyz".index(axis)] += -1 if sign == "-" else 1
+            rows.append(tuple(int(x) for x in row))
+        if len(rows) != 3 or abs(round(np.linalg.det(np.array(rows, dtype=float)))) != 1:
+            raise ValueError(f"{text!r} is no symmetry operation")
+        out.append(tuple(rows))
+    return tuple(dict.fromkeys(out))
+
+
+def mates(hkl: DataFrame, ops) -> DataFrame:
+    """hkl once for each operation, with op (its number) and h, k, l turned by it: a literal list, no join."""
+    each = [F.struct(F.lit(n).alias("op"), *[x.alias(c) for x, c in zip(vec.apply(op, [F.col(c) for c in ("h", "k", "l")]), ("h", "k", "l"), strict=True)]) for n, op in enumerate(ops)]
+    return hkl.withColumn("_m", F.explode(F.array(*each))).withColumns({c: F.col(f"_m.{c}") for c in ("op", "h", "k", "l")}).drop("_m")
 
 
 def reduced(hkl: DataFrame, ops, mode: str = "canonical") -> DataFrame:

@@ -12,8 +12,8 @@ from reciprospark.schema import missing_columns
 
 
 def sampled(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows without replacement, the same ones for a seed: those of smallest hash."""
-    return rows.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """n rows without replacement, the same ones for a seed: those of smallest md5 of key and seed."""
+    return rows.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary")), key).limit(n)
 
 
 def q_residuals(reflections: DataFrame, panel: Panel, s0: tuple[float, float, float]) -> DataFrame:
@@ -24,12 +24,12 @@ def q_residuals(reflections: DataFrame, panel: Panel, s0: tuple[float, float, fl
     return reflections.withColumn("delta", vec.norm([F.col("s1")[k] - length * x / r for k, x in enumerate(lab)]))
 
 
-def q_consistency(reflections: DataFrame, panel: Panel, s0: tuple[float, float, float], tolerance: float = 0.01, most: int = 500, key: str = "refl_id") -> DataFrame:
-    """One row: n, mean, median and max of the residuals of a sample, and passed. Missing columns or no rows: not passed."""
+def q_consistency(reflections: DataFrame, panel: Panel, s0: tuple[float, float, float], tolerance: float = 0.01, most: int | None = 500, key: str = "refl_id") -> DataFrame:
+    """One row: n, mean, median and max of the residuals of a sample (most None: of all rows), and passed. Missing columns or no rows: not passed."""
     if missing_columns(reflections, ["s1", "x", "y", key]):
         return reflections.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"), *[F.lit(None).cast("double").alias(c) for c in ("mean", "median", "max")], F.lit(False).alias("passed"))
     d = F.col("delta")
-    out = q_residuals(sampled(reflections, key, most), panel, s0).agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.median(d).alias("median"), F.max(d).alias("max"))
+    out = q_residuals(reflections if most is None else sampled(reflections, key, most), panel, s0).agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.median(d).alias("median"), F.max(d).alias("max"))
     return out.withColumn("passed", F.coalesce((F.col("mean") <= tolerance) & (F.col("max") <= 5 * tolerance), F.lit(False)))
 
 
@@ -43,6 +43,22 @@ def cell_mismatch(cells: DataFrame, reference: tuple[float, ...], length_toleran
     return cells.withColumn("mismatch", out)
 
 
+def cell_mismatch_of(crystals: DataFrame, references: DataFrame, length_tolerance: float, angle_tolerance: float) -> DataFrame:
+    """As cell_mismatch, against a table of reference cells (r_a .. r_gamma) joined by space_group; null where there is no reference."""
+    names = ("a", "b", "c", "alpha", "beta", "gamma")
+    both = crystals.join(references.select("space_group", *[f"r_{c}" for c in names]), "space_group", "left")
+    out: Column = F.lit(None).cast("string")
+    for k, c in reversed(list(enumerate(names))):
+        off = F.abs(F.col(c) - F.col(f"r_{c}"))
+        out = F.when(off > (length_tolerance * F.col(f"r_{c}") if k < 3 else F.lit(angle_tolerance)), F.lit(c)).otherwise(out)
+    return both.withColumn("mismatch", out).drop(*[f"r_{c}" for c in names])
+
+
+def enough_partiality(least: float = 0.1, column: str = "partiality") -> Column:
+    """Whether a reflection is whole enough to be used; intensities are never divided by it. Unknown: not."""
+    return F.coalesce(F.col(column) >= least, F.lit(False))
+
+
 def rotation_angle(a1: np.ndarray, a2: np.ndarray) -> float:
     """Degrees of the rotation from one setting to the other, the lesser of both hands; 180 for a singular setting."""
     a1, a2 = np.asarray(a1, float).reshape(3, 3), np.asarray(a2, float).reshape(3, 3)

@@ -9,12 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reciprospark.plans import merging_queries, pixel_queries, report_queries
+from reciprospark.plans import io_queries, merging_queries, phase_queries, pixel_queries, report_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-for _part in (merging_queries, pixel_queries, report_queries):
+for _part in (merging_queries, pixel_queries, report_queries, phase_queries, io_queries):
     QUERIES |= _part.QUERIES
     ORACLES |= _part.ORACLES

@@ -9,6 +9,7 @@ from reciprospark.operators import grid as grids
 from reciprospark.operators import grouped, merging, orchestration, scaling, symmetry
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
+from reciprospark.streaming import accumulate
 
 QUERIES, ORACLES, query = lister()
 sql = st.with_tables
@@ -118,7 +119,20 @@ def normal_equations(spark, d):
     return sums.select("still_id", r(F.col("jr") / 1e9, "jr", 5), r(F.col("jj") / 1e9, "jj", 5))
 
 
-@query("M09_refinement")
+def _rounds(n: int) -> str:
+    """Tables s0 .. sn (still_id, b) of n rounds of refinement from scales of 1 over the table binned."""
+    out = ["s0 as materialized (select distinct still_id, 1.0::double as b from binned)"]
+    for k in range(n):
+        w = "1.0 / ((sigma / b) * (sigma / b) + 1e-10)"
+        out.append(f"ref{k} as materialized (select voxel_idx, sum({w} * intensity / b) / sum({w}) as reference from binned join s{k} using (still_id) group by 1)")
+        out.append(f"s{k + 1} as materialized (select still_id, b - sum(-(intensity / b / b) * (intensity / b - reference)) / (sum((intensity / b / b) * (intensity / b / b)) + 1e-6) as b from binned join s{k} using (still_id) join ref{k} using (voxel_idx) group by still_id, b)")
+    return ",\n".join(out)
+
+
+st.SQL["refined3"] = _rounds(3)
+
+
+@query("M09_refinement", sql(f"{st.BINNED} refined3", "select still_id, round(b / avg(b) over (), 6) as multiplicative_scale from s3"))
 def refinement(spark, d):
     """Scales after three rounds, relative to their mean."""
     model, _ = scaling.refined(st.binned(spark, d)[0], scaling.ScaleModel.start(range(7)), rounds=3)
@@ -126,12 +140,49 @@ def refinement(spark, d):
     return spark.createDataFrame(rows, "still_id int, multiplicative_scale double")
 
 
-@query("C01_scale_lookup", sql(f"scales {st.BINNED} scaled", "select still_id, round(min(scale), 9) as low, round(max(scale), 9) as high, count(*) as n from scaled group by 1"))
+def _model(spark, d):
+    return scaling.ScaleModel({row.still_id: row.multiplicative_scale for row in st.scales(spark, d).collect()})  # one number for each image
+
+
+_BY_STILL = sql(f"scales {st.BINNED} scaled", "select still_id, round(min(scale), 9) as low, round(max(scale), 9) as high, count(*) as n from scaled group by 1")
+
+
+@query("C01_scale_lookup", _BY_STILL)
 def scale_lookup(spark, d):
+    """Scales that the model holds as literals."""
+    return _model(spark, d).scaled(st.binned(spark, d)[0]).groupBy("still_id").agg(r(F.min("scale"), "low", 9), r(F.max("scale"), "high", 9), F.count("*").alias("n"))
+
+
+@query("J04_scale_join", _BY_STILL)
+def scale_join(spark, d):
+    """Scales joined from a table."""
     return _scaled(spark, d).groupBy("still_id").agg(r(F.min("scale"), "low", 9), r(F.max("scale"), "high", 9), F.count("*").alias("n"))
 
 
-QUERIES["J04_scale_join"], ORACLES["J04_scale_join"] = scale_lookup, ORACLES["C01_scale_lookup"]
+@query("C02_set_scale", sql("scales", "select still_id, round(case still_id when 2 then 1.75 else multiplicative_scale end, 9) as scale from scales"))
+def set_scale(spark, d):
+    model = _model(spark, d).with_scale(2, 1.75)
+    return spark.createDataFrame([(k, round(v, 9)) for k, v in model.stills.items()], "still_id int, scale double")
+
+
+def _raised(f) -> str:
+    try:
+        f()
+    except ValueError:
+        return "ValueError"
+    return "none"
+
+
+@query("C08_model_guards", "select * from (values ('two points', 'none'), ('six points', 'ValueError'), ('empty range', 'ValueError'), ('additive part', 'ValueError'), ('unknown still', 'ValueError'), ('negative scale', 'ValueError')) t(what, raised)")
+def model_guards(spark, d):
+    model = _model(spark, d)
+    cases = {
+        "two points": lambda: scaling.Smoother((1.0, 1.0), 0.0, 1.0), "six points": lambda: scaling.Smoother((1.0,) * 6, 0.0, 1.0), "empty range": lambda: scaling.Smoother((1.0,), 1.0, 1.0),
+        "additive part": lambda: scaling.ScaleModel.start([0], components=("additive",)), "unknown still": lambda: model.with_scale(99, 1.0), "negative scale": lambda: model.with_scale(2, -1.0),
+    }
+    return spark.createDataFrame([(k, _raised(f)) for k, f in cases.items()], "what string, raised string")
+
+
 _SMOOTHER = scaling.Smoother((1.0, 1.2, 0.9), 0.1, 1.5)
 _X = "greatest(0.1, least(1.5, sqrt(qx * qx + qy * qy + qz * qz)))"
 _WEIGHTS = [f"exp(-pow(({_X} - {p!r}) / 0.7, 2))" for p in _SMOOTHER.points]
@@ -176,8 +227,13 @@ def apply_scale(spark, d):
 
 @query("C09_model_info", sql("scales", "select count(*) as n_stills, round(avg(multiplicative_scale), 6) as mean, round(stddev_pop(multiplicative_scale), 6) as std, round(min(multiplicative_scale), 6) as low, round(max(multiplicative_scale), 6) as high from scales"))
 def model_info(spark, d):
-    v = "multiplicative_scale"
-    return st.scales(spark, d).agg(F.count("*").alias("n_stills"), r(F.avg(v), "mean"), r(F.stddev_pop(v), "std"), r(F.min(v), "low"), r(F.max(v), "high"))
+    return rounded(scaling.model_info(st.scales(spark, d)))
+
+
+@query("C09_driver_info", sql("scales", "select count(*) as n_parameters, round(avg(multiplicative_scale), 6) as mean, round(max(multiplicative_scale), 6) as high from scales"))
+def driver_info(spark, d):
+    info = _model(spark, d).info()
+    return spark.createDataFrame([(info["n_parameters"], round(info["mean"], 6), round(info["max"], 6))], "n_parameters long, mean double, high double")
 
 
 # grid
@@ -185,7 +241,7 @@ def model_info(spark, d):
 
 @query("G01_mean_cell", sql("crystals", "select " + ", ".join(f"round(avg({c}), 6) as {c}" for c in grids.CELL) + " from crystals"))
 def mean_cell(spark, d):
-    return st.crystals(spark, d).agg(*[r(F.avg(c), c) for c in grids.CELL])
+    return spark.createDataFrame([tuple(round(x, 6) for x in grids.mean_cell(st.crystals(spark, d)))], ", ".join(f"{c} double" for c in grids.CELL))
 
 
 @query("G02_orientation_spread", sql("crystals", "select round(sqrt(avg(g * g)), 5) as rms, count(*) as n from (select degrees(acos(greatest(least(cos(t.turn) * cos(f.turn) + sin(t.turn) * sin(f.turn) + sin(t.turn) * sin(f.turn) + cos(t.turn) * cos(f.turn) + 1.0, 3.0), -1.0) / 2 - 0.5)) as g from crystals t, (select turn from crystals order by still_id limit 1) f)"))
@@ -193,8 +249,22 @@ def orientation_spread(spark, d):
     return rounded(grids.orientation_spread(st.crystals(spark, d)), 5)
 
 
-QUERIES["M24_rms_misorientation"], ORACLES["M24_rms_misorientation"] = orientation_spread, ORACLES["G02_orientation_spread"]
-QUERIES["J11_first_crystal"], ORACLES["J11_first_crystal"] = orientation_spread, ORACLES["G02_orientation_spread"]
+_ANGLE = "degrees(acos(greatest(least(2 * cos(t.turn - f.turn) + 1.0, 3.0), -1.0) / 2 - 0.5))"
+
+
+@query("J11_first_crystal", sql("crystals", f"select still_id, round({_ANGLE}, 4) as angle from crystals t, (select turn from crystals order by still_id limit 1) f"))
+def first_crystal(spark, d):
+    return grids.misorientations(st.crystals(spark, d)).select("still_id", r("angle", "angle", 4))
+
+
+@query("M24_rms_misorientation", sql("crystals", f"select round(sqrt(avg(g * g)), 4) as rms, sqrt(avg(g * g)) > 0.2 as warned, sqrt(avg(g * g)) > 2.0 as refused from (select {_ANGLE} as g from crystals t, (select turn from crystals order by still_id limit 1) f)"))
+def rms_misorientation(spark, d):
+    """The check that a grid makes of its crystals: its value, and whether it warns or refuses."""
+    try:
+        rms, warned, refused = *grids.check_spread(st.crystals(spark, d), most=2.0, warn=0.2), False
+    except ValueError:
+        rms, warned, refused = float("nan"), True, True
+    return spark.createDataFrame([(round(rms, 4), bool(warned), refused)], "rms double, warned boolean, refused boolean")
 
 
 @query("G03_mean_orientation", sql("crystals", "select round(cos(a), 6) as u0, round(-sin(a), 6) as u1, 0.0::double as u2, round(sin(a), 6) as u3, round(cos(a), 6) as u4 from (select atan2(avg(sin(turn)), avg(cos(turn))) as a from crystals)"))
@@ -203,10 +273,16 @@ def mean_orientation(spark, d):
     return spark.createDataFrame([tuple(round(float(x), 6) + 0.0 for x in u[:5])], "u0 double, u1 double, u2 double, u3 double, u4 double")
 
 
-@query("G04_setting_matrix")
+_CELL = "(select avg(a) as a, avg(b) as b, avg(c) as c, cos(radians(avg(alpha))) as ca, cos(radians(avg(beta))) as cb, cos(radians(avg(gamma))) as cg, sin(radians(avg(gamma))) as sg, atan2(avg(sin(turn)), avg(cos(turn))) as t from crystals)"
+_REAL = f"(select *, a as r11, b * cg as r12, c * cb as r13, b * sg as r22, c * (ca - cb * cg) / sg as r23, c * sqrt(1 - ca * ca - cb * cb - cg * cg + 2 * ca * cb * cg) / sg as r33 from {_CELL})"
+_BASIS = f"(select t, 1 / r11 as b00, -r12 / (r11 * r22) as b10, (r12 * r23 - r13 * r22) / (r11 * r22 * r33) as b20, 1 / r22 as b11, -r23 / (r22 * r33) as b21, 1 / r33 as b22 from {_REAL})"
+_SETTING = [("cos(t) * b00 - sin(t) * b10", "-sin(t) * b11", "0.0::double"), ("sin(t) * b00 + cos(t) * b10", "cos(t) * b11", "0.0::double"), ("b20", "b21", "b22")]
+
+
+@query("G04_setting_matrix", sql("crystals", " union all ".join(f"select {k} as row, " + ", ".join(f"round({x}, 6) + 0.0 as c{j}" for j, x in enumerate(row)) + f" from {_BASIS}" for k, row in enumerate(_SETTING))))
 def setting_matrix(spark, d):
     a = grids.setting_matrix(st.crystals(spark, d))
-    return spark.createDataFrame([(k, *[round(x, 6) for x in row]) for k, row in enumerate(a)], "row int, c0 double, c1 double, c2 double")
+    return spark.createDataFrame([(k, *[round(x, 6) + 0.0 for x in row]) for k, row in enumerate(a)], "row int, c0 double, c1 double, c2 double")
 
 
 @query("G05_hkl_transform", sql("obs hkl", "select still_id, round(avg(h), 6) as h, round(avg(k), 6) as k, round(avg(l), 6) as l from hkl group by 1"))
@@ -258,8 +334,16 @@ def linear_index(spark, d):
     return st.binned(spark, d)[0].groupBy("voxel_idx", "still_id").agg(F.count("*").alias("n"))
 
 
-QUERIES["F06_voxel_bounds"], ORACLES["F06_voxel_bounds"] = linear_index, ORACLES["G10_linear_index"]
-QUERIES["T01_add_observations"], ORACLES["T01_add_observations"] = linear_index, ORACLES["G10_linear_index"]
+_NARROW = sql("obs hkl bounds", "select still_id, count(*) as n from (select hkl.*, bounds.*, " + ", ".join(f"round_even({c} * {n}, 0)::bigint as s{c}" for c, n in zip("hkl", st.NDIV, strict=True)) + " from hkl, bounds) where sh between low_h + 2 and high_h - 2 and sk between low_k + 2 and high_k - 2 and sl between low_l + 2 and high_l - 2 group by 1")
+
+
+@query("F06_voxel_bounds", _NARROW)
+def voxel_bounds(spark, d):
+    """A grid that is too small by two steps on each side: what falls outside goes."""
+    obs = st.observations(spark, d)
+    g = st.grid(obs)
+    small = grids.Grid(g.setting, g.ndiv, tuple(x + 2 for x in g.low), tuple(x - 2 for x in g.high))
+    return grids.binned(obs, small).groupBy("still_id").agg(F.count("*").alias("n"))
 
 
 @query("G11_index_to_centre", sql(st.BINNED, _centres("(select distinct voxel_idx from binned)")))
@@ -268,14 +352,30 @@ def index_to_centre(spark, d):
     return rounded(grids.with_centres(b.select("voxel_idx").distinct(), g))
 
 
-QUERIES["G12_centre_q"], ORACLES["G12_centre_q"] = index_to_centre, ORACLES["G11_index_to_centre"]
+@query("G12_centre_q", sql(st.BINNED, f"select still_id, round(avg(sqrt(pow(qx - q_center_x, 2) + pow(qy - q_center_y, 2) + pow(qz - q_center_z, 2))), 6) as off from binned join ({_centres('(select distinct voxel_idx from binned)')}) using (voxel_idx) group by 1"))
+def centre_q(spark, d):
+    """How far observations are from the centres of their voxels."""
+    b, g = st.binned(spark, d)
+    centres = rounded(grids.with_centres(b.select("voxel_idx").distinct(), g)).select("voxel_idx", *[F.col(f"q_center_{x}").alias(f"_{x}") for x in "xyz"])
+    off = vec.norm([F.col(f"q{x}") - F.col(f"_{x}") for x in "xyz"])
+    return b.join(centres, "voxel_idx").groupBy("still_id").agg(r(F.avg(off), "off"))
+
+
+@query("G14_grid_validation", "select * from (values ('no subdivision', 'ValueError'), ('too many voxels', 'ValueError'), ('one limit', 'ValueError'), ('limits in the wrong order', 'ValueError'), ('nothing in range', 'ValueError'), ('a valid range', 'none')) t(what, raised)")
+def grid_validation(spark, d):
+    obs = st.observations(spark, d)
+    cases = {
+        "no subdivision": lambda: grids.Grid(st.SETTING, (0, 1, 1), (0, 0, 0), (1, 1, 1)), "too many voxels": lambda: grids.Grid(st.SETTING, (1, 1, 1), (0, 0, 0), (1 << 30,) * 3),
+        "one limit": lambda: grids.fit(obs, st.SETTING, st.NDIV, 1.0), "limits in the wrong order": lambda: grids.fit(obs, st.SETTING, st.NDIV, 2.0, 1.0),
+        "nothing in range": lambda: grids.fit(obs, st.SETTING, st.NDIV, 1e6, 1e7), "a valid range": lambda: grids.fit(obs, st.SETTING, st.NDIV, 0.6, 4.0),
+    }
+    return spark.createDataFrame([(k, _raised(f)) for k, f in cases.items()], "what string, raised string")
 
 
-@query("G13_grid_diagnostics", sql("obs hkl bounds", "select count(*) as n_obs, min(low_h) as low_h, max(high_h) as high_h from obs, bounds"))
+@query("G13_grid_diagnostics", sql("crystals obs hkl", "select count(*) as n_observations, 0::bigint as n_outside, " + ", ".join(f"round(min({c}), 4) as min_{c}, round(max({c}), 4) as max_{c}" for c in "hkl") + ", round(sqrt(avg(" + " + ".join(f"pow({c} - round_even({c}, 0), 2)" for c in "hkl") + f")), 4) as rms_delta_hkl, (select round(sqrt(avg(g * g)), 4) from (select {_ANGLE} as g from crystals t, (select turn from crystals order by still_id limit 1) f)) as rms_misorientation, (select count(*) from crystals) as n_crystals from hkl"))
 def grid_diagnostics(spark, d):
     obs = st.observations(spark, d)
-    g = st.grid(obs)
-    return obs.agg(F.count("*").alias("n_obs"), F.lit(g.low[0]).cast("long").alias("low_h"), F.lit(g.high[0]).cast("long").alias("high_h"))
+    return rounded(grids.diagnostics(obs, st.crystals(spark, d), st.grid(obs)), 4)
 
 
 @query("G15_frame_transform", sql("obs hkl", "select still_id, round(avg(case when still_id < 3 then qx * 0.8::double else h end), 6) as h from hkl group by 1"))
@@ -311,7 +411,8 @@ def still_counts(spark, d):
 
 @query("M25_running_statistics", sql(st.BINNED, "select voxel_idx, count(*) as n, round(avg(intensity), 4) as mean, round(var_pop(intensity) / 1e6, 4) as variance from binned group by 1"))
 def running_statistics(spark, d):
-    return st.binned(spark, d)[0].groupBy("voxel_idx").agg(F.count("*").alias("n"), r(F.avg("intensity"), "mean", 4), r(F.var_pop("intensity") / 1e6, "variance", 4))
+    out = accumulate.running_statistics(st.binned(spark, d)[0])
+    return out.select("voxel_idx", "n", r("mean", "mean", 4), r(F.col("variance") / 1e6, "variance", 4))
 
 
 @query("L01_point_lookup", sql(st.BINNED, "select still_id, count(*) as n, round(sum(intensity), 2) as total from binned where voxel_idx = (select min(voxel_idx) from binned) group by 1"))
@@ -326,13 +427,13 @@ def binned_export(spark, d):
     return st.binned(spark, d)[0].select("voxel_idx", "still_id", r("intensity", "intensity", 4), r("sigma", "sigma"))
 
 
-@query("L06_union_stills", sql("obs", "select still_id, count(*) as n from obs where still_id < 3 group by 1"))
+@query("L06_union_stills", sql("obs", "select still_id, count(*) as n, round(sum(intensity) / 1e6, 4) as total from obs group by 1"))
 def union_stills(spark, d):
+    """The union of the tables of all stills."""
     obs = st.observations(spark, d)
-    out = obs.where("still_id = 0")
-    for k in (1, 2):
-        out = out.unionByName(obs.where(F.col("still_id") == k))
-    return out.groupBy("still_id").agg(F.count("*").alias("n"))
+    stills = [row.still_id for row in obs.select("still_id").distinct().collect()]  # one number for each image
+    out = merging.concatenated([obs.where(F.col("still_id") == k) for k in stills])
+    return out.groupBy("still_id").agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e6, "total", 4))
 
 
 @query("F16_still_selection", sql("obs", "select count(*) as n, round(avg(intensity), 4) as mean from obs where still_id = 2"))
@@ -340,49 +441,44 @@ def still_selection(spark, d):
     return st.observations(spark, d).where("still_id = 2").agg(F.count("*").alias("n"), r(F.avg("intensity"), "mean", 4))
 
 
-@query("F14_positive_finite", sql("obs", "select count(*) as n from obs where intensity > 5000 and isfinite(intensity / sigma)"))
+_ODD = "case when obs_id % 5 = 0 then -intensity when obs_id % 7 = 0 then 'nan'::double when obs_id % 11 = 0 then 'inf'::double else intensity end"
+
+
+@query("F14_positive_finite", sql("obs", f"select count(*) as n, count(*) filter (i > 0) as n_positive, round(sum(i / s) filter (i > 0) / 1e3, 4) as snr from (select {_ODD} as i, case when obs_id % 13 = 0 then 0.0 else sigma end as s from obs) where isfinite(i) and s <> 0"))
 def positive_finite(spark, d):
+    """Observations some of which are negative, not a number, infinite or without an error."""
     from reciprospark.operators.reports import signal_to_noise
 
-    return signal_to_noise(st.observations(spark, d).where("intensity > 5000")).agg(F.count("*").alias("n"))
+    k = F.col("obs_id")
+    i = F.when(k % 5 == 0, -F.col("intensity")).when(k % 7 == 0, float("nan")).when(k % 11 == 0, float("inf")).otherwise(F.col("intensity"))
+    obs = st.observations(spark, d).withColumn("intensity", i).withColumn("sigma", F.when(k % 13 == 0, 0.0).otherwise(F.col("sigma")))
+    found, positive = signal_to_noise(obs), F.col("intensity") > 0
+    return found.agg(F.count("*").alias("n"), F.count_if(positive).alias("n_positive"), r(F.sum(F.when(positive, F.col("snr"))) / 1e3, "snr", 4))
+
+
+st.SQL["near"] = f"near as (select * from hkl where {_D} between {st.D_MIN} and {st.D_MAX})"
+st.SQL["near_bounds"] = st.SQL["bounds"].replace("from hkl", "from near")
+st.SQL["refined2"] = _rounds(2)
+st.SQL["phase"] = "applied as (select voxel_idx, still_id, intensity / b as intensity, sigma / abs(b) as sigma from binned join s2 using (still_id))"
 
 
-@query("O04_merge_phase")
+@query("O04_merge_phase", sql("obs hkl near near_bounds binned refined2 phase", _centres(_merged_sql(REJECTED, 2))))
 def merge_phase(spark, d):
     """Grid, refinement and merge of all stills with the defaults of a batch."""
     out, _ = orchestration.merge_phase(st.observations(spark, d), st.SETTING, orchestration.MergePhase(d_min=st.D_MIN, d_max=st.D_MAX, ndiv=st.NDIV, rounds=2))
-    return rounded(out)
-
-
-_X3 = "case when intensity < 20000 then 0 when intensity < 60000 then 1 else 2 end"
+    return rounded(out.withColumn("I_merged_relative", F.round("I_merged_relative", 4)))
 
 
-@query("X06_count_histogram", sql(st.BINNED, f"select voxel_idx, {_X3} as level, count(*) as n from binned group by all"))
-def count_histogram(spark, d):
-    level = F.when(F.col("intensity") < 20000, 0).when(F.col("intensity") < 60000, 1).otherwise(2).alias("level")
-    return st.binned(spark, d)[0].groupBy("voxel_idx", level).agg(F.count("*").alias("n"))
+@query("O03_merge_gate", "select * from (values (0, true, false), (1, true, false), (2, true, true), (7, true, true), (7, false, false)) t(n_outputs, configured, open)")
+def merge_gate(spark, d):
+    cases = [(0, True), (1, True), (2, True), (7, True), (7, False)]
+    return spark.createDataFrame([(n, c, orchestration.may_merge(n, orchestration.MergePhase() if c else None)) for n, c in cases], "n_outputs int, configured boolean, open boolean")
 
 
 @query("X07_voxel_integration", sql(st.BINNED, "select voxel_idx, round(sum(intensity), 2) as counts, count(*) as pixels, round(sum(still_id * intensity) / sum(intensity), 6) as mean_frame from binned group by 1"))
 def voxel_integration(spark, d):
-    i = F.col("intensity")
-    return st.binned(spark, d)[0].groupBy("voxel_idx").agg(r(F.sum(i), "counts", 2), F.count("*").alias("pixels"), r(F.sum(F.col("still_id") * i) / F.sum(i), "mean_frame"))
-
-
-@query("X02_cumulative_shells", sql("obs", "select shell, n, round(sum(total) over (order by shell) / 1e6, 4) as running from (select floor(sqrt(qx * qx + qy * qy + qz * qz) * 10)::int as shell, count(*) as n, sum(intensity) as total from obs group by 1)"))
-def cumulative_shells(spark, d):
-    """Radial shells and their running total: a window over a few shells, after the aggregation."""
-    from pyspark.sql import Window
-
-    q = vec.norm([F.col(c) for c in grids.Q])
-    shells = st.observations(spark, d).groupBy(F.floor(q * 10).cast("int").alias("shell")).agg(F.count("*").alias("n"), F.sum("intensity").alias("total"))
-    return shells.select("shell", "n", r(F.sum("total").over(Window.orderBy("shell")) / 1e6, "running", 4))
-
-
-@query("X03_absolute_scale", sql(st.APPLIED, "select voxel_idx, round(I_merged_relative * 1.5 - 100.0, 2) as intensity, round(Sigma_merged_relative * 1.5, 3) as sigma from " + _merged_sql("applied")))
-def absolute_scale(spark, d):
-    v = merging.merged(_applied(spark, d)[0])
-    return v.select("voxel_idx", r(F.round("I_merged_relative", 4) * 1.5 - 100.0, "intensity", 2), r(F.round("Sigma_merged_relative", 6) * 1.5, "sigma", 3))
+    out = merging.integrated(st.binned(spark, d)[0])
+    return out.select("voxel_idx", r("counts", "counts", 2), "pixels", r("mean_frame", "mean_frame"))
 
 
 # group functions, retrieval, and what is specified beyond the core
@@ -399,9 +495,49 @@ def group_merge(spark, d):
     return rounded(grouped.merged(_applied(spark, d)[0].select("voxel_idx", "intensity", "sigma")).withColumn("I_merged_relative", F.round("I_merged_relative", 4)))
 
 
-QUERIES["U03_group_reference"], ORACLES["U03_group_reference"] = voxel_reference, ORACLES["M06_voxel_reference"]
-QUERIES["U04_scale_components"], ORACLES["U04_scale_components"] = total_scale, ORACLES["C05_total_scale"]
-QUERIES["J13_symmetry_operations"], ORACLES["J13_symmetry_operations"] = symmetry_reduction, ORACLES["G08_symmetry"]
+@query("U03_group_reference", ORACLES["M06_voxel_reference"])
+def group_reference(spark, d):
+    out = grouped.references(_scaled(spark, d))
+    return out.select("voxel_idx", r("reference", "reference", 4), r("reference_sigma", "reference_sigma"), "n")
+
+
+@query("U04_scale_components", ORACLES["C05_total_scale"])
+def scale_components(spark, d):
+    """The same total scale, from two components of one's own."""
+    known = F.create_map(*[F.lit(x) for pair in _MODEL.stills.items() for x in pair])
+    parts = [lambda obs: F.coalesce(F.try_element_at(known, obs["still_id"]), F.lit(1.0)), lambda obs: _SMOOTHER.column(vec.norm([obs[c] for c in grids.Q]))]
+    return scaling.product(parts, st.observations(spark, d)).groupBy("still_id").agg(r(F.avg("scale"), "scale"))
+
+
+@query("U05_evaluated_smoother", f"with x as (select 0.05::double + k * (1.95::double / 99) as q0 from range(100) t(k)), y as (select q0, greatest(0.1, least(1.5, q0)) as x from x) select round(q0, 9) as q, round(greatest(0.01, ({' + '.join(f'{v!r} * exp(-pow((x - {p!r}) / 0.7, 2))' for v, p in zip(_SMOOTHER.values, _SMOOTHER.points, strict=True))}) / ({' + '.join(f'exp(-pow((x - {p!r}) / 0.7, 2))' for p in _SMOOTHER.points)})), 9) as scale from y")
+def evaluated_smoother(spark, d):
+    """A function of one |q| on the driver, evaluated for a curve."""
+    from reciprospark.operators.reports import evaluated
+
+    return rounded(evaluated(spark, _SMOOTHER.at, 0.05, 2.0), 9)
+
+
+_MATES = [("h", "k", "l"), ("-h", "-k", "l"), ("-h", "k", "-l"), ("h", "-k", "-l")]
+
+
+@query("J13_symmetry_operations", sql("obs hkl", " union all ".join(f"select {n} as op, count(*) as n, round(avg({a}), 6) as h, round(avg({b}), 6) as k, round(avg({c}), 6) as l from hkl" for n, (a, b, c) in enumerate(_MATES))))
+def symmetry_operations(spark, d):
+    """Each observation by each operation of the group."""
+    out = symmetry.mates(grids.with_hkl(st.observations(spark, d), st.inverse()), symmetry.operations("P 21 21 21"))
+    return out.groupBy("op").agg(F.count("*").alias("n"), *[r(F.avg(c), c) for c in grids.HKL])
+
+
+_P4212 = [("h", "k", "l"), ("-k", "h", "l"), ("-h", "-k", "l"), ("k", "-h", "l"), ("h", "-k", "-l"), ("k", "h", "-l"), ("-h", "k", "-l"), ("-k", "-h", "-l")]
+
+
+@query("G08_space_group", sql("obs hkl", "select round(m.h, 6) as h, round(m.k, 6) as k, round(m.l, 6) as l, count(*) as n from (select greatest(" + ", ".join(f"{{'h': {a}, 'k': {b}, 'l': {c}}}" for a, b, c in _P4212) + ") as m from (select round(h, 6) as h, round(k, 6) as k, round(l, 6) as l from hkl)) group by all"))
+def space_group(spark, d):
+    """A group by its symbol, and the same from the crystal's own operations."""
+    own = symmetry.parsed(["x,y,z", "-y+1/2,x+1/2,z+3/4", "-x,-y,z+1/2", "y+1/2,-x+1/2,z+1/4", "x+1/2,-y+1/2,-z+1/4", "y,x,-z", "-x+1/2,y+1/2,-z+3/4", "-y,-x,-z+1/2"])
+    if set(own) != set(symmetry.operations("P 43 21 2")):
+        raise AssertionError("the symbol and the operations differ")
+    hkl = grids.with_hkl(st.observations(spark, d), st.inverse()).select(*[r(c, c) for c in grids.HKL])
+    return symmetry.reduced(hkl, own).groupBy(*[r(F.col(c) + 0.0, c) for c in grids.HKL]).agg(F.count("*").alias("n"))
 
 
 @query("J06_valid_voxels", sql(st.BINNED, "select voxel_idx, count(*) as n from binned group by 1 having count(*) between 2 and 60"))
@@ -424,7 +560,9 @@ def first_crystals(spark, d):
 
 @query("L07_chunk_union", sql("obs", "select count(*) as n, round(sum(intensity) / 1e6, 4) as total from obs"))
 def chunk_union(spark, d):
-    return st.observations(spark, d).repartition(7).agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e6, "total", 4))
+    obs = st.observations(spark, d)
+    chunks = [obs.where(F.pmod("obs_id", F.lit(3)) == k).select(*(obs.columns if k else reversed(obs.columns))) for k in range(3)]
+    return merging.concatenated(chunks).agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e6, "total", 4))
 
 
 @query("L08_required_columns", "select 'obs' as name, 2 as n_missing")
@@ -435,32 +573,41 @@ def required_columns(spark, d):
     return spark.createDataFrame([("obs", len(lack))], "name string, n_missing int")
 
 
-@query("S09_observation_scan", sql("obs", "select still_id, count(*) as n, round(avg(sigma), 6) as sigma from obs group by 1"))
-def observation_scan(spark, d):
-    return st.observations(spark, d).groupBy("still_id").agg(F.count("*").alias("n"), r(F.avg("sigma"), "sigma"))
+_WHOLE = "(select round_even(h, 0)::int as h, round_even(k, 0)::int as k, round_even(l, 0)::int as l, intensity, sigma, (obs_id % 20) / 20.0::double as partiality from hkl)"
+_ASU = "greatest(" + ", ".join(f"{{'h': {a}, 'k': {b}, 'l': {c}}}" for a, b, c in _MATES) + ")"
+
 
+def _bragg(least: float) -> str:
+    return sql("obs hkl", f"select m.h as h, m.k as k, m.l as l, round(sum(w * intensity) / sum(w), 4) as intensity, round(1 / sqrt(sum(w)), 6) as sigma, count(*) as n from (select {_ASU} as m, intensity, 1 / (sigma * sigma + 1e-10) as w from {_WHOLE} where partiality >= {least}) group by all")
 
-@query("M26_reference_merge", sql("obs hkl", "select round_even(h, 0)::int as h, round_even(k, 0)::int as k, round_even(l, 0)::int as l, round(sum(intensity / (sigma * sigma)) / sum(1 / (sigma * sigma)), 4) as intensity, count(*) as n from hkl group by 1, 2, 3"))
+
+def _merged_bragg(spark, d, least: float):
+    hkl = grids.with_hkl(st.observations(spark, d), st.inverse()).withColumn("partiality", (F.col("obs_id") % 20) / 20.0)
+    out = merging.bragg_merge(hkl, symmetry.operations("P222"), least)
+    return out.select("h", "k", "l", r("intensity", "intensity", 4), r("sigma", "sigma"), "n")
+
+
+@query("M26_reference_merge", _bragg(0.1))
 def reference_merge(spark, d):
-    """Weighted mean of each reflection: observations by rounded Miller index."""
-    w = 1.0 / (F.col("sigma") * F.col("sigma"))
-    hkl = grids.with_hkl(st.observations(spark, d), st.inverse())
-    return hkl.groupBy(*[F.rint(c).cast("int").alias(c) for c in grids.HKL]).agg(r(F.sum(w * F.col("intensity")) / F.sum(w), "intensity", 4), F.count("*").alias("n"))
+    """Weighted mean of each reflection, mates together, of observations whole enough."""
+    return _merged_bragg(spark, d, 0.1)
 
 
-@query("X04_folded_scale", sql("scales", "select still_id, round(multiplicative_scale / 1.5, 9) as scale from scales"))
-def folded_scale(spark, d):
-    return st.scales(spark, d).select("still_id", r(F.col("multiplicative_scale") / 1.5, "scale", 9))
+@query("X05_bragg_filter", _bragg(0.95))
+def bragg_filter(spark, d):
+    """The same of observations that are nearly whole."""
+    return _merged_bragg(spark, d, 0.95)
 
 
 @query("X08_weighted_correction", sql(st.BINNED, "select voxel_idx, round(sum(n * s) / sum(n), 6) as correction from (select voxel_idx, still_id, count(*) as n, avg(sigma) as s from binned group by all) group by 1"))
 def weighted_correction(spark, d):
-    by = st.binned(spark, d)[0].groupBy("voxel_idx", "still_id").agg(F.count("*").alias("n"), F.avg("sigma").alias("s"))
-    return by.groupBy("voxel_idx").agg(r(F.sum(F.col("n") * F.col("s")) / F.sum("n"), "correction"))
+    return rounded(merging.averaged_correction(st.binned(spark, d)[0], "sigma"))
 
 
-@query("X10_phase_summary", sql(st.BINNED, "select 'read' as phase, count(*) as n from obs union all select 'binned', count(*) from binned union all select 'voxels', count(distinct voxel_idx) from binned"))
+@query("X10_phase_summary", sql(f"scales {st.BINNED} scaled", "select 'read' as phase, count(*) as n, 0::bigint as n_with_null from obs union all select 'binned', count(*), 0 from binned union all select 'merged', count(distinct voxel_idx), 0 from binned union all select 'scales', count(*), count(*) filter (multiplicative_scale is null) from (select distinct still_id from obs) left join scales using (still_id)"))
 def phase_summary(spark, d):
-    b, _ = st.binned(spark, d)
-    rows = [st.observations(spark, d).agg(F.lit("read").alias("phase"), F.count("*").alias("n")), b.agg(F.lit("binned").alias("phase"), F.count("*").alias("n")), b.agg(F.lit("voxels").alias("phase"), F.countDistinct("voxel_idx").alias("n"))]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    from reciprospark.operators.reports import phase_summary as summary
+
+    b, g = st.binned(spark, d)
+    obs = st.observations(spark, d)
+    return summary({"read": obs, "binned": b, "merged": merging.merge(b, g), "scales": obs.select("still_id").distinct().join(st.scales(spark, d), "still_id", "left")})

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from reciprospark.functions import air, corrections, vec
+from reciprospark.operators import grid as grids
 from reciprospark.operators import masks, pixels, validation
 from reciprospark.operators import orchestration as orch
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
+from reciprospark.schema import PIXELS
 from reciprospark.sources import headers
+from reciprospark.sources.shared import scratch
+from reciprospark.streaming import accumulate
 
 QUERIES, ORACLES, query = lister()
 sql = st.with_tables
@@ -96,12 +101,16 @@ def _background(spark, d):
 
 @query("P07_background", "with " + st.SQL["pixels"] + ", " + _BG + " select image_id, slow, fast, round(coalesce(bg, 1.5), 5) as bg, round(coalesce(greatest(bg, 0.0), 0.0), 5) as variance from pixels left join background using (panel_id, slow, fast)")
 def background(spark, d):
-    out = _pixels(spark, d).join(_background(spark, d), ["panel_id", "slow", "fast"], "left")
+    out = pixels.with_background(_pixels(spark, d), _background(spark, d))
     level, variance = corrections.background(F.col("bg"), 1.5)
     return out.select("image_id", "slow", "fast", r(level, "bg", 5), r(variance, "variance", 5))
 
 
-QUERIES["J02_background_join"], ORACLES["J02_background_join"] = background, ORACLES["P07_background"]
+@query("J02_background_join", "with " + st.SQL["pixels"] + ", " + _BG + " select image_id, count(*) as n, count(bg) as n_with, round(sum(raw - coalesce(bg, 0)), 3) as net from pixels left join background using (panel_id, slow, fast) group by 1")
+def background_join(spark, d):
+    """Each image's net counts over a measured background that covers a part of the panel."""
+    out = pixels.with_background(_pixels(spark, d), _background(spark, d))
+    return out.groupBy("image_id").agg(F.count("*").alias("n"), F.count("bg").alias("n_with"), r(F.sum(F.col("raw") - F.coalesce("bg", F.lit(0.0))), "net", 3))
 
 
 def _interpolated(element: str) -> str:
@@ -145,7 +154,11 @@ def pixel_mask_join(spark, d):
     return pixels.usable(_pixels(spark, d), _bad(spark, d)).select("image_id", "slow", "fast", r("raw", "raw"))
 
 
-QUERIES["F01_mask"], ORACLES["F01_mask"] = pixel_mask_join, ORACLES["J01_pixel_mask_join"]
+@query("F01_mask", sql("pixels", "select image_id, count(*) as n, round(sum(raw), 3) as total from pixels where not (pow(slow - 3.0, 2) + pow(fast - 4.0, 2) <= 4.0 or (slow between 6 and 7 and fast between 0 and 2)) group by 1"))
+def good_pixels(spark, d):
+    """The pixels that a mask calls good."""
+    out = pixels.usable(_pixels(spark, d), _static(spark, d).where("not good"))
+    return out.groupBy("image_id").agg(F.count("*").alias("n"), r(F.sum("raw"), "total", 3))
 
 _TOTAL = f"({SA} * {AIR})"
 _OBSERVED = f"select {KEYS}, round(qx, 6) as qx, round(qy, 6) as qy, round(qz, 6) as qz, round(raw * {_TOTAL}, 1) as intensity, round(sqrt(raw) * {_TOTAL}, 1) as sigma from geometry where not ({_BAD}) and d between 0.4956 and 0.49575 and raw >= 0 and raw * {_TOTAL} >= 1000000"
@@ -162,7 +175,7 @@ def extraction(spark, d):
 @query("F02_valid_lab", sql("pixels lab", f"select {KEYS} from lab where fast <> 3"))
 def valid_lab(spark, d):
     out = pixels.with_geometry(_pixels(spark, d), st.PANEL, st.BEAM).withColumn("lab_x", F.when(F.col("fast") == 3, float("nan")).otherwise(F.col("lab_x")))
-    return out.where(~F.isnan("lab_x")).select("image_id", "slow", "fast")
+    return out.where(pixels.placed()).select("image_id", "slow", "fast")
 
 
 @query("F03_resolution_limits", sql(GEO, f"select {KEYS}, round(d, 6) as d from geometry where d >= 0.4956 and d <= 0.49575"))
@@ -202,7 +215,9 @@ def static_mask(spark, d):
     return _static(spark, d)
 
 
-QUERIES["F12_regions"], ORACLES["F12_regions"] = static_mask, ORACLES["M12_static_mask"]
+@query("F12_regions", "with " + _DET + " select slow, fast, pow(slow - 3.0, 2) + pow(fast - 4.0, 2) <= 4.0 as in_circle, slow between 6 and 7 and fast between 0 and 2 as in_rectangle from det")
+def regions(spark, d):
+    return masks.detector(spark, [(0, 8, 8)]).select("slow", "fast", masks.in_circle(3, 4, 2).alias("in_circle"), masks.in_rectangle(6, 7, 0, 2).alias("in_rectangle"))
 
 
 @query("M10_pixel_statistics", MASKS + "select panel_id, slow, fast, round(total, 3) as total, n, round(low, 6) as low, round(high, 6) as high from stats")
@@ -211,7 +226,14 @@ def pixel_statistics(spark, d):
     return out.select("panel_id", "slow", "fast", r("total", "total", 3), "n", r("low", "low"), r("high", "high"))
 
 
-QUERIES["T03_mask_accumulation"], ORACLES["T03_mask_accumulation"] = pixel_statistics, ORACLES["M10_pixel_statistics"]
+@query("T03_mask_accumulation", ORACLES["M10_pixel_statistics"])
+def mask_accumulation(spark, d):
+    """The same sums as a stream of image files gives them, batch by batch."""
+    source, out = scratch(spark, "pixels"), scratch(spark, "statistics")
+    _pixels(spark, d).repartition(4).write.parquet(source)
+    stream = accumulate.observation_stream(spark, source, PIXELS, 2)
+    accumulate.to_table(accumulate.running_mask_statistics(stream), out, scratch(spark, "checkpoint")).awaitTermination()
+    return accumulate.last_batch(spark, out).select("panel_id", "slow", "fast", r("total", "total", 3), "n", r("low", "low"), r("high", "high"))
 
 
 @query("M11_dynamic_mask", MASKS + "select panel_id, slow, fast, good from dynamic")
@@ -219,7 +241,11 @@ def dynamic_mask(spark, d):
     return _dynamic(spark, d)
 
 
-QUERIES["F13_hot_negative"], ORACLES["F13_hot_negative"] = dynamic_mask, ORACLES["M11_dynamic_mask"]
+@query("F13_hot_negative", sql("pixels", "select image_id, count(*) as n, round(sum(raw), 3) as total from pixels where raw < -20.0 or raw > 25.0 group by 1"))
+def hot_negative(spark, d):
+    """Single values that are hot or too negative."""
+    out = _pixels(spark, d).where(masks.hot_or_negative(F.col("raw"), F.col("raw"), 25.0, 20.0))
+    return out.groupBy("image_id").agg(F.count("*").alias("n"), r(F.sum("raw"), "total", 3))
 
 
 @query("M13_combined_mask", MASKS + "select panel_id, slow, fast, good from combined")
@@ -232,22 +258,63 @@ def spot_mask(spark, d):
     return _spots(spark, d)
 
 
-for _k in ("J08_reflection_boxes", "L09_distinct_pixels", "U06_box_generator", "F10_clip_to_panel", "F09_frame_filter"):
-    QUERIES[_k], ORACLES[_k] = spot_mask, ORACLES["M14_spot_mask"]
+def _sides(half: int) -> str:
+    """Rows of reflections with the sides of their clipped boxes."""
+    return f"(select *, greatest(round_even(x, 0) - {half}, 0) as x0, least(round_even(x, 0) + {half}, 7) as x9, greatest(round_even(y, 0) - {half}, 0) as y0, least(round_even(y, 0) + {half}, 7) as y9 from reflections)"
 
-_SHOEBOX = "select (user_id % 6)::int as x1, (event_id % 5)::int as y1, (event_id % 2)::int as z1, event_id from events where event_id % 50 = 0"
+
+_EACH = "(select refl_id, panel_id, slow::int as slow, unnest(range(x0::bigint, x9::bigint + 1))::int as fast from (select *, unnest(range(y0::bigint, y9::bigint + 1)) as slow from " + _sides(1) + "))"
+
+
+@query("F09_frame_filter", sql("reflections", "select refl_id from reflections where round(frame) = 7"))
+def frame_filter(spark, d):
+    return masks.of_frame(st.reflections(spark, d), 7).select("refl_id")
+
+
+@query("J08_reflection_boxes", sql("reflections", f"select panel_id, slow, fast, count(*) as n, sum(refl_id)::bigint as total from {_EACH} group by all"))
+def reflection_boxes(spark, d):
+    """How many reflections cover each pixel, and which: the boxes of all of them."""
+    out = masks.box_pixels(st.reflections(spark, d), 1, 8, 8)
+    return out.groupBy("panel_id", "slow", "fast").agg(F.count("*").alias("n"), F.sum("refl_id").alias("total"))
+
+
+@query("L09_distinct_pixels", sql("reflections", f"select distinct panel_id, slow, fast from {_EACH}"))
+def distinct_pixels(spark, d):
+    return masks.spot_pixels(st.reflections(spark, d), 1, 8, 8)
+
+
+@query("U06_box_generator", sql("reflections", f"select refl_id, slow, fast from {_EACH}"))
+def box_generator(spark, d):
+    return masks.box_pixels(st.reflections(spark, d), 1, 8, 8).select("refl_id", "slow", "fast")
+
+
+@query("F10_clip_to_panel", sql("reflections", "select refl_id, greatest(x9 - x0 + 1, 0)::bigint * greatest(y9 - y0 + 1, 0)::bigint as n from " + _sides(2) + " where x9 >= x0 and y9 >= y0"))
+def clip_to_panel(spark, d):
+    """Pixels that the panel leaves of each reflection's box."""
+    return masks.box_pixels(st.reflections(spark, d), 2, 8, 8).groupBy("refl_id").agg(F.count("*").alias("n"))
+
+
+_SHOEBOX = "select (user_id % 6)::int as x1, (event_id % 5)::int as y1, (event_id % 2)::int as z1, event_id from events"
 
 
 @query("M15_shoebox_mask", f"with b as ({_SHOEBOX}), c as (select *, unnest(range(12))::int as k from b) select distinct z1 + k // 6 as panel_id, (y1 + (k % 6) // 3)::int as slow, (x1 + k % 3)::int as fast from c where (((event_id + k) % 7) * 4)::int & 20 <> 0 and y1 + (k % 6) // 3 between 0 and 7 and x1 + k % 3 between 0 and 7")
 def shoebox_mask(spark, d):
-    t = st.table(spark, d, "events").where("event_id % 50 = 0")
+    return masks.shoebox_pixels(_shoeboxes(spark, d), 8, 8)
+
+
+def _shoeboxes(spark, d):
+    t = st.table(spark, d, "events")
     x1, y1, z1 = (F.col("user_id") % 6).cast("int"), (F.col("event_id") % 5).cast("int"), (F.col("event_id") % 2).cast("int")
     codes = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: (((F.col("event_id") + k) % 7) * 4).cast("int"))
     box = F.struct(z1.alias("z1"), y1.alias("y1"), x1.alias("x1"), (z1 + 2).alias("z2"), (y1 + 2).alias("y2"), (x1 + 3).alias("x2"), codes.alias("mask"))
-    return masks.shoebox_pixels(t.select(box.alias("shoebox")), 8, 8)
+    return t.select("event_id", box.alias("shoebox"))
 
 
-QUERIES["F11_shoebox_code"], ORACLES["F11_shoebox_code"] = shoebox_mask, ORACLES["M15_shoebox_mask"]
+@query("F11_shoebox_code", f"with b as ({_SHOEBOX}) select event_id, count(*) as n from (select event_id, ((event_id + unnest(range(12))) % 7 * 4)::int as code from b) where code & 20 <> 0 group by 1")
+def shoebox_code(spark, d):
+    """Cells of each shoebox with a code of a peak."""
+    cells = _shoeboxes(spark, d).select("event_id", F.explode("shoebox.mask").alias("code"))
+    return cells.where(masks.is_peak(F.col("code"))).groupBy("event_id").agg(F.count("*").alias("n"))
 
 
 @query("M16_total_mask", MASKS + "select c.panel_id, c.slow, c.fast, good and p.slow is null as good from combined c left join peaks p using (panel_id, slow, fast)")
@@ -255,7 +322,17 @@ def total_mask(spark, d):
     return masks.total_mask(masks.combined_mask(_static(spark, d), _dynamic(spark, d)), _spots(spark, d))
 
 
-QUERIES["J07_mask_algebra"], ORACLES["J07_mask_algebra"] = total_mask, ORACLES["M16_total_mask"]
+@query("J07_mask_algebra", MASKS + "select y.slow, y.fast, s.good as is_static, y.good as is_dynamic, s.good and y.good as both, s.good and y.good and p.slow is null as total from static s join dynamic y using (panel_id, slow, fast) left join peaks p using (panel_id, slow, fast)")
+def mask_algebra(spark, d):
+    """Each mask and what they give together."""
+    s, y = _static(spark, d), _dynamic(spark, d)
+    both = masks.combined_mask(s, y)
+    parts = {"is_static": s, "is_dynamic": y, "both": both, "total": masks.total_mask(both, _spots(spark, d))}
+    out = None
+    for name, m in parts.items():
+        m = m.withColumnRenamed("good", name)
+        out = m if out is None else out.join(m, masks.KEY)
+    return out.drop("panel_id")
 
 
 @query("M17_mask_compatibility", MASKS + "select * from (select panel_id, count(*) as n1, max(slow) as slow1, max(fast) as fast1 from static group by 1) join (select panel_id, count(*) as n2, max(slow) as slow2, max(fast) as fast2 from static where slow < 5 group by 1) using (panel_id)")
@@ -285,13 +362,25 @@ _DELTA = "delta as (select refl_id, partiality * 0.002::double as delta from ref
 
 @query("M18_q_consistency", "with " + st.SQL["reflections"] + ", " + _DELTA + " select count(*) as n, round(avg(delta), 9) as mean, round(median(delta), 9) as median, round(max(delta), 9) as max, avg(delta) <= 0.01 and max(delta) <= 0.05 as passed from delta")
 def q_consistency(spark, d):
-    return rounded(validation.q_consistency(_s1(spark, d), st.PANEL, (0.0, 0.0, -1.0), most=1 << 30), 9)
+    return rounded(validation.q_consistency(_s1(spark, d), st.PANEL, (0.0, 0.0, -1.0), most=None), 9)
+
+
+@query("J09_reflection_panel", "with " + st.SQL["reflections"] + ", " + _DELTA + " select refl_id, round(delta, 9) as delta from delta")
+def reflection_panel(spark, d):
+    """The residual of each reflection on its panel."""
+    return validation.q_residuals(_s1(spark, d), st.PANEL, (0.0, 0.0, -1.0)).select("refl_id", r("delta", "delta", 9))
+
+
+@query("O07_consistency_outcome", "with " + st.SQL["reflections"] + ", " + _DELTA + " select count(*) as n, case when avg(delta) <= 0.0001 and max(delta) <= 0.0005 then 'SUCCESS' else 'FAILURE' end as status, 'q consistency check failed' as message, 'ConsistencyCheckFailed' as error_code from delta")
+def consistency_outcome(spark, d):
+    """The outcome of a check with a narrow tolerance."""
+    return orch.consistency_outcome(validation.q_consistency(_s1(spark, d), st.PANEL, (0.0, 0.0, -1.0), tolerance=0.0001, most=None))
 
 
-QUERIES["J09_reflection_panel"], ORACLES["J09_reflection_panel"] = q_consistency, ORACLES["M18_q_consistency"]
+_SAMPLE = "(select * from delta order by md5(refl_id::varchar || ':42'), refl_id limit 500)"
 
 
-@query("L05_sampled_reflections")
+@query("L05_sampled_reflections", "with " + st.SQL["reflections"] + ", " + _DELTA + f" select count(*) as n, round(avg(delta), 9) as mean, round(median(delta), 9) as median, round(max(delta), 9) as max, avg(delta) <= 0.01 and max(delta) <= 0.05 as passed from {_SAMPLE}")
 def sampled_reflections(spark, d):
     return rounded(validation.q_consistency(_s1(spark, d), st.PANEL, (0.0, 0.0, -1.0), most=500), 9)
 
@@ -301,8 +390,31 @@ def cell_check(spark, d):
     return validation.cell_mismatch(st.crystals(spark, d), (10.05, 15.05, 20.05, 90.0, 90.0, 90.0), 0.004, 0.03).select("still_id", "mismatch")
 
 
-for _k in ("F17_cell_tolerance", "J12_reference_cell"):
-    QUERIES[_k], ORACLES[_k] = cell_check, ORACLES["M20_cell_check"]
+@query("F17_cell_tolerance", sql("crystals", "select still_id from crystals where abs(a - 10.05) <= 0.004 * 10.05 and abs(b - 15.05) <= 0.004 * 15.05 and abs(c - 20.05) <= 0.004 * 20.05 and abs(alpha - 90.0) <= 0.03 and abs(beta - 90.0) <= 0.03 and abs(gamma - 90.0) <= 0.03"))
+def cell_tolerance(spark, d):
+    """Crystals within the tolerances."""
+    return validation.cell_mismatch(st.crystals(spark, d), (10.05, 15.05, 20.05, 90.0, 90.0, 90.0), 0.004, 0.03).where("mismatch is null").select("still_id")
+
+
+_CELLS = [("P 1", 10.05, 15.05, 20.05, 90.05, 90.05, 90.05), ("P 2", 10.0, 15.0, 20.0, 90.025, 90.025, 90.0)]
+_OFF = " ".join(f"when space_group = '{g}' and abs({c} - {v!r}) > {f'0.004 * {v!r}' if k < 3 else '0.03'} then '{c}'" for g, *cell in _CELLS for k, (c, v) in enumerate(zip(("a", "b", "c", "alpha", "beta", "gamma"), cell, strict=True)))
+
+
+@query("J12_reference_cell", sql("crystals", f"select still_id, space_group, case {_OFF} end as mismatch from (select *, case still_id % 3 when 0 then 'P 1' when 1 then 'P 2' else 'P 3' end as space_group from crystals)"))
+def reference_cells(spark, d):
+    """Crystals against the reference cell of their group, which one group lacks."""
+    group = F.when(F.col("still_id") % 3 == 0, "P 1").when(F.col("still_id") % 3 == 1, "P 2").otherwise("P 3")
+    references = spark.createDataFrame(_CELLS, "space_group string, r_a double, r_b double, r_c double, r_alpha double, r_beta double, r_gamma double")
+    out = validation.cell_mismatch_of(st.crystals(spark, d).withColumn("space_group", group), references, 0.004, 0.03)
+    return out.select("still_id", "space_group", "mismatch")
+
+
+@query("R16_misorientation", sql("crystals", "select x.still_id, round(degrees(acos(greatest(least(2 * cos(x.turn - y.turn) + 1, 3.0), -1.0) / 2 - 0.5)), 3) as angle from crystals x join crystals y on y.still_id = x.still_id + 1 where x.still_id < 6"))
+def misorientation(spark, d):
+    """Angles between pairs of crystals, each pair on the driver."""
+    basis = grids.reciprocal_basis((10.0, 15.0, 20.0, 90.0, 90.0, 90.0))
+    a = {row.still_id: np.array(row.u).reshape(3, 3) @ basis for row in st.crystals(spark, d).where("still_id < 7").collect()}  # seven crystals
+    return spark.createDataFrame([(k, round(validation.rotation_angle(a[k], a[k + 1]), 3)) for k in sorted(a) if k + 1 in a], "still_id int, angle double")
 
 
 @query("M19_geometry_validation", "select c_custkey as still_id, c_custkey % 4 <> 0 and c_custkey % 10 > 0 and coalesce(case when c_custkey % 3 = 0 then null else c_custkey % 3 = 1 end, true) as passed from customer")
@@ -314,10 +426,7 @@ def geometry_validation(spark, d):
 
 @query("F15_partiality", sql("reflections", "select refl_id from reflections where partiality >= 0.1"))
 def partiality(spark, d):
-    return st.reflections(spark, d).where("partiality >= 0.1").select("refl_id")
-
-
-QUERIES["X05_bragg_filter"], ORACLES["X05_bragg_filter"] = partiality, ORACLES["F15_partiality"]
+    return st.reflections(spark, d).where(validation.enough_partiality(0.1)).select("refl_id")
 
 
 @query("J10_angle_to_frame", "select event_id, ((event_id % 400) // 5)::int as frame from events")
@@ -369,8 +478,31 @@ def image_scan(spark, d):
     return _pixels(spark, d).groupBy("image_id").agg(F.count("*").alias("n"), r(F.sum("raw"), "total", 3), F.max("slow").alias("slow"), F.max("fast").alias("fast"))
 
 
-@query("O02_batch_outcomes", "select case when event_id % 10 = 0 then 'FAILURE' else 'SUCCESS' end as status, case when event_id % 10 = 0 then 'ProcessingError' end as error_code, count(*) as n from events group by all")
+def _batch(spark, d):
+    """Images some of which have no data, or less than they say."""
+    k = F.col("image_id") % 7
+    images = st.images(spark, d).withColumn("data", F.when(k == 3, F.slice("data", 1, 60)).when(k != 5, F.transform("data", F.abs)))
+    return orch.process_batch(images.withColumn("increment", F.when(k % 2 == 0, 0.0)), st.PANEL, st.BEAM, pixels.Extraction(max_res=0.4956, min_res=0.49575), _bad(spark, d))
+
+
+_IN_BATCH = f"image_id % 7 not in (3, 5) and not ({_BAD}) and d between 0.4956 and 0.49575"
+
+
+@query("O02_batch_outcomes", sql(GEO, f"select vec_id::int as image_id, case when (vec_id % 7) % 2 = 0 then 'stills' else 'sequence' end as route, case when vec_id % 7 in (3, 5) then 'FAILURE' else 'SUCCESS' end as status, case vec_id % 7 when 3 then 'image of another size than its header says' when 5 then 'Input image not found' end as message, case vec_id % 7 when 3 then 'ProcessingError' when 5 then 'InputFileError' end as error_code, coalesce(n, 0)::bigint as n_observations from embeddings left join (select image_id, count(*) as n from geometry where {_IN_BATCH} group by 1) on image_id = vec_id"))
 def batch_outcomes(spark, d):
-    failed = F.col("event_id") % 10 == 0
-    t = st.table(spark, d, "events").select(F.when(failed, "FAILURE").otherwise("SUCCESS").alias("status"), F.when(failed, orch.error_code(F.lit("other"))).alias("error_code"))
-    return orch.outcome_summary(t)
+    return _batch(spark, d)[1]
+
+
+@query("O02_batch_observations", sql(GEO, f"select image_id as still_id, slow, fast, round(abs(raw) * {_TOTAL}, 1) as intensity from geometry where {_IN_BATCH}"))
+def batch_observations(spark, d):
+    return _batch(spark, d)[0].select("still_id", "slow", "fast", r("intensity", "intensity", 1))
+
+
+@query("O02_batch_summary", "select case when vec_id % 7 in (3, 5) then 'FAILURE' else 'SUCCESS' end as status, case vec_id % 7 when 3 then 'ProcessingError' when 5 then 'InputFileError' end as error_code, count(*) as n from embeddings group by all")
+def batch_summary(spark, d):
+    return orch.outcome_summary(_batch(spark, d)[1])
+
+
+@query("O06_defaults", "select * from (values ('gain', '1.0'), ('cell_length_tolerance', '0.02'), ('cell_angle_tolerance', '2.0'), ('orientation_tolerance', '5.0'), ('q_tolerance', '0.01'), ('pixel_step', '1'), ('lp_correction', 'False'), ('hot_pixel', '1000000.0'), ('negative_pixel', '0.0'), ('most_bad_pixels', '0.1'), ('peak_border', '2'), ('least_partiality', '0.1'), ('min_spot_area', '3')) t(name, value)")
+def defaults(spark, d):
+    return spark.createDataFrame(orch.Defaults().rows(), "name string, value string")

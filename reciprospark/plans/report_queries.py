@@ -41,15 +41,21 @@ def occupancy(spark, d):
     return rounded(reports.occupancy(_map(spark, d)[0]))
 
 
-@query("R03_occupancy_histogram", sql(st.APPLIED, "select least(floor(ln(n / 1.0::double) / ln(1000.0::double) * 12), 11)::int as bin, count(*) as n from (select count(*) as n from applied group by voxel_idx) where n <= 1000 group by 1"))
+@query("R03_occupancy_histogram", sql(st.APPLIED, "select least(floor(ln(n / 1.0::double) / ln(most + 1.5::double) * 12), 11)::int as bin, count(*) as n from (select n, max(n) over () as most from (select count(*) as n from applied group by voxel_idx)) group by 1"))
 def occupancy_histogram(spark, d):
-    return reports.log_histogram(_map(spark, d)[0].withColumn("v", F.col("num_observations").cast("double")), "v", 1.0, 1000.0, 12)
+    """Bins of equal ratio from one observation to beyond the most that a voxel has."""
+    v = _map(spark, d)[0].withColumn("v", F.col("num_observations").cast("double"))
+    return reports.log_histogram(v, "v", 1.0, float(v.agg(F.max("v")).first()[0] or 1.0) + 1.5, 12)
 
 
-@query("R04_slice", sql(st.APPLIED, f"select voxel_idx, round(case when s > 0 then i / s else 0 end, 3) as i_over_sigma from (select voxel_idx, I_merged_relative as i, Sigma_merged_relative as s, round_even(L_center * {st.NDIV[2]}, 0)::bigint as step from ({MAP})), (select floor((low_l + high_l) / 2.0)::bigint as mid from bounds) where step = mid"))
-def map_slice(spark, d):
+_STEPPED = f"(select *, I_merged_relative as i, Sigma_merged_relative as s, " + ", ".join(f"round_even({c}_center * {n}, 0)::bigint as {c.lower()}_step" for c, n in zip("HKL", st.NDIV, strict=True)) + f" from ({MAP}))"
+
+
+@query("R04_slices", sql(st.APPLIED, " union all ".join(f"select '{c.upper()}' as axis, voxel_idx, h_step, k_step, l_step, round(i, 3) as intensity, round(s, 4) as sigma, round(case when s > 0 then i / s else 0 end, 3) as i_over_sigma, num_observations as occupancy from {_STEPPED}, (select floor((low_{c} + high_{c}) / 2.0)::bigint as mid from bounds) where {c}_step = mid" for c in "hkl")))
+def map_slices(spark, d):
     v, g = _map(spark, d)
-    return reports.slice_of(v, g, "L").select("voxel_idx", r("i_over_sigma", "i_over_sigma", 3))
+    out = reports.orthogonal_slices(v, g)
+    return out.withColumns({"intensity": F.round("intensity", 3), "sigma": F.round("sigma", 4), "i_over_sigma": F.round("i_over_sigma", 3)})
 
 
 @query("R05_positive_statistics", sql(st.APPLIED, f"select count(*) as n, count(*) filter (i > 0) as n_positive, round(avg(i) filter (i > 0), 3) as mean, round(median(i) filter (i > 0), 3) as median from (select I_merged_relative as i from {mq._merged_sql('applied')})"))
@@ -88,6 +94,24 @@ def snr_histogram(spark, d):
     return reports.histogram(reports.signal_to_noise(st.observations(spark, d)), "snr").select("bin", "n")
 
 
+_RANGE = "(select *, intensity as v, min(intensity) over () as lo, max(intensity) over () as hi from obs)"
+
+
+@query("R11_intensity_histogram", sql("obs", f"select {_BIN} as bin, round(min(lo + ({_BIN} + 0.5) * (hi - lo) / 50), 3) as centre, count(*) as n from {_RANGE} group by 1"))
+def intensity_histogram(spark, d):
+    return rounded(reports.histogram(st.observations(spark, d), "intensity"), 3)
+
+
+@query("R11_sigma_by_intensity", sql("obs", f"select {_BIN} as bin, round(min(lo + ({_BIN} + 0.5) * (hi - lo) / 50), 3) as centre, round(avg(sigma), 3) as sigma, count(*) as n from {_RANGE} group by 1"))
+def sigma_by_intensity(spark, d):
+    return rounded(reports.sigma_by_intensity(st.observations(spark, d)), 3)
+
+
+@query("R11_q_projections", sql("obs", " union all ".join(f"select '{a}{b}' as plane, floor(q{a} / 0.15)::int as i, floor(q{b} / 0.15)::int as j, count(*) as n, round(avg(intensity), 3) as mean from obs group by 2, 3" for a, b in ("xy", "xz", "yz"))))
+def q_projections(spark, d):
+    return rounded(reports.q_projections(st.observations(spark, d), 0.15), 3)
+
+
 @query("R12_colour_limits", sql("obs", "select round(quantile_cont(intensity, 0.01), 4) as low, round(quantile_cont(intensity, 0.999), 4) as high from obs"))
 def colour_limits(spark, d):
     return rounded(reports.colour_limits(st.observations(spark, d), "intensity"), 4)

@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of a file that may hold its header.
+#: Bytes of a file that are looked at first; a header that goes on beyond them is read to its end.
 HEADER_BYTES = 32 << 10
+DATA_MARK = r"_array_data\.data|octet-stream"
 NUMBER = r"([+-]?\d*\.?\d+)"
 
 
 def headers(spark: SparkSession, path: str) -> DataFrame:
-    """path and header text of files."""
+    """path and header text of files: up to the mark of the binary part, or the whole file without one."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.decode(F.substring("content", 1, HEADER_BYTES), "ISO-8859-1").alias("header"))
+    head, whole = F.decode(F.substring("content", 1, HEADER_BYTES), "ISO-8859-1"), F.decode("content", "ISO-8859-1")
+    return files.select("path", before_data(F.when(head.rlike(DATA_MARK), head).otherwise(whole)).alias("header"))
 
 
 def before_data(header: Column) -> Column:
     """The lines before the binary part."""
-    return F.regexp_extract(header, r"(?s)^(.*?)(?:(?:^|\n)[^\n]*(?:_array_data\.data|octet-stream)|\z)", 1)
+    return F.regexp_extract(header, r"(?s)^(.*?)(?:(?:^|\n)[^\n]*(?:" + DATA_MARK + r")|\z)", 1)
 
 
 def header_value(header: Column, name: str) -> Column:

@@ -1,13 +1,15 @@
-"""Sinks: Parquet for rows, JSON for the few numbers of a run."""
+"""Sinks: Parquet for rows, JSON and text for the few numbers of a run; all through Spark's writers, to any store that it reaches."""
 
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reciprospark.schema import OUTCOMES, require_columns
+from reciprospark.operators.grid import Grid
+from reciprospark.operators.scaling import ScaleModel
+from reciprospark.schema import MASK, OUTCOMES, require_columns
 from reciprospark.sources.tables import VOXEL_COLUMNS
 
 
@@ -36,8 +38,45 @@ def append_outcomes(spark: SparkSession, outcomes: list[tuple], path: str) -> No
     spark.createDataFrame(outcomes, OUTCOMES).coalesce(1).write.mode("append").parquet(path)
 
 
-def save_json(numbers: dict, path: str) -> None:
-    Path(path).write_text(json.dumps(numbers, indent=2, sort_keys=True), encoding="utf-8")
+def save_mask(mask: DataFrame, path: str) -> None:
+    names = [f.split()[0] for f in MASK.split(", ")]
+    require_columns(mask, names, "mask").select(*names).write.mode("overwrite").parquet(path)
+
+
+def save_text(spark: SparkSession, lines: list[str], path: str) -> None:
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def save_json(spark: SparkSession, numbers: dict, path: str) -> None:
+    save_text(spark, [json.dumps(numbers, sort_keys=True)], path)
+
+
+def save_grid(spark: SparkSession, grid: Grid, path: str) -> None:
+    save_text(spark, [grid.to_json()], path)
+
+
+def save_scale_model(spark: SparkSession, model: ScaleModel, statistics: dict, path: str) -> None:
+    s = model.smoother
+    smoother = {"values": list(s.values), "q_min": s.q_min, "q_max": s.q_max} if s else None
+    save_json(spark, {"refined_parameters": {"stills": {str(k): v for k, v in model.stills.items()}, "smoother": smoother}, "refinement_statistics": statistics}, path)
+
+
+def save_report(numbers: DataFrame, path: str, title: str = "report") -> None:
+    """The rows of a report as text: a line "name: value" for each column of each row. Reports have a few rows."""
+    lines = [f"{c}: {v}" for r in numbers.collect() for c, v in r.asDict().items()]
+    save_text(numbers.sparkSession, [f"# {title}", *lines], path)
+
+
+def save_experiments(beam: DataFrame, panel: DataFrame, crystal: DataFrame, path: str) -> None:
+    """One experiment file in JSON, as tables.experiments reads it; lists are in order of image_id, panel_id and still_id."""
+
+    def listed(df: DataFrame, key: str) -> DataFrame:
+        rows = F.sort_array(F.collect_list(F.struct(F.col(key).alias("_k"), F.struct(*[c for c in df.columns if c != key]).alias("_v"))))
+        return df.agg(F.transform(rows, lambda x: x["_v"]).alias("list"))
+
+    out = listed(beam, "image_id").select(F.col("list").alias("beam")).crossJoin(listed(crystal, "still_id").select(F.col("list").alias("crystal")))  # one row each
+    out = out.crossJoin(listed(panel, "panel_id").select(F.array(F.struct(F.col("list").alias("panels"))).alias("detector")))
+    out.coalesce(1).write.mode("overwrite").json(path)
 
 
 def save_manifest(outputs: DataFrame, path: str) -> None:

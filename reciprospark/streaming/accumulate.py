@@ -6,12 +6,14 @@ batch operations.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reciprospark.operators.grid import Grid, binned
 from reciprospark.operators.masks import pixel_statistics
+from reciprospark.operators.merging import accumulation_statistics
+from reciprospark.schema import OBSERVATIONS
 
 TINY = 1e-10
 
@@ -29,6 +31,39 @@ def accumulate(stream: DataFrame, grid: Grid, path: str, checkpoint: str) -> Str
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def add_observations(obs: DataFrame, grid: Grid, path: str) -> int:
+    """Bin the observations of stills into path and give the number binned. A still that is added again replaces itself."""
+    found = binned(obs, grid)
+    session = obs.sparkSession
+    before = session.conf.get("spark.sql.sources.partitionOverwriteMode")
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        counted = found.observe(seen := Observation(), F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").partitionBy("still_id").parquet(path)
+    finally:
+        session.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    return seen.get["n"]
+
+
+def of_arrays(spark: SparkSession, still_id: int, q, intensities, sigmas) -> DataFrame:
+    """Observations of one still from arrays of equal length."""
+    if not len(q) == len(intensities) == len(sigmas):
+        raise ValueError(f"{len(q)} vectors, {len(intensities)} intensities and {len(sigmas)} errors")
+    rows = [(still_id, *map(float, v), float(i), float(s)) for v, i, s in zip(q, intensities, sigmas, strict=True)]
+    return spark.createDataFrame(rows, OBSERVATIONS)
+
+
+def finalized(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """All that was accumulated in path, and one row of its statistics."""
+    rows = spark.read.parquet(path)
+    return rows, accumulation_statistics(rows)
+
+
+def running_statistics(stream: DataFrame) -> DataFrame:
+    """n, mean and variance of each voxel's intensities: sums that a stream and a batch update alike."""
+    return stream.groupBy("voxel_idx").agg(F.count("*").alias("n"), F.avg("intensity").alias("mean"), F.var_pop("intensity").alias("variance"))
+
+
 def running_merge(stream: DataFrame) -> DataFrame:
     """Inverse-variance sums of each voxel: voxel_idx, w, wx, n, intensity, sigma."""
     w = F.lit(1.0) / (F.col("sigma") * F.col("sigma") + TINY)
@@ -41,5 +76,20 @@ def running_mask_statistics(pixels: DataFrame) -> DataFrame:
     return pixel_statistics(pixels)
 
 
+def to_table(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The aggregate after each micro-batch, written whole by the executors to path/batch=number: nothing comes to the driver."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return frame.writeStream.foreachBatch(put).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def last_batch(spark: SparkSession, path: str) -> DataFrame:
+    """The latest of what to_table wrote."""
+    rows = spark.read.parquet(path)
+    return rows.join(F.broadcast(rows.agg(F.max("batch").alias("batch"))), "batch").drop("batch")  # one row
+
+
 def to_memory(frame: DataFrame, name: str, mode: str = "complete") -> StreamingQuery:
     return frame.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
+from reciprospark.operators import absolute, counts, merging, orchestration, pixels, scaling, symmetry
 from reciprospark.operators import grid as grids
-from reciprospark.operators import merging, scaling
 
 OBS = "voxel_idx long, still_id int, intensity double, sigma double"
 IDENTITY = ((1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, 0.0, 1.0))
@@ -138,3 +141,69 @@ def test_nested_round_trip(spark):
     flat = spark.createDataFrame(rows, OBS)
     back = merging.flattened(merging.nested(flat)).select("voxel_idx", "still_id", "intensity", "sigma")
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_centres_of_large_indices(spark):
+    g = grids.Grid(IDENTITY, (1, 1, 1), (0, 0, 0), ((1 << 20) - 1, (1 << 20) - 1, (1 << 22) - 1))
+    index = 1048570 * (1 << 40) + (1 << 40) - 1
+    got = grids.with_centres(spark.createDataFrame([(index,)], "voxel_idx long"), g).first()
+    assert (got.H_center, got.K_center, got.L_center) == ((1 << 20) - 1, (1 << 20) - 1, 1048570)
+
+
+def test_still_ids_are_whole_longs(spark):
+    ids = [5_000_000_000, 7]
+    obs = spark.createDataFrame([(0, s, 1.0, 1.0) for s in ids], "voxel_idx long, still_id long, intensity double, sigma double")
+    few, many = scaling.ScaleModel({ids[0]: 2.0}), scaling.ScaleModel({ids[0]: 2.0} | {k: 1.0 for k in range(10**6, 10**6 + 600)})
+    assert [{r.still_id: r.scale for r in m.scaled(obs).collect()} for m in (few, many)] == [{ids[0]: 2.0, 7: 1.0}] * 2
+
+
+def test_steps_equal_the_whole_normal_equations():
+    rng = np.random.default_rng(0)
+    n, p = 6, 3
+    model = scaling.ScaleModel.start(range(n), scaling.Smoother((1.0, 1.1, 0.9), 0.1, 1.0))
+    j = rng.normal(size=(60, n + p)) * np.concatenate([np.eye(n)[rng.integers(0, n, 60)], np.ones((60, p))], axis=1)
+    r, still = rng.normal(size=60), (j[:, :n] != 0).argmax(1)
+    rows = []
+    for s in range(n):
+        a, k, e = j[still == s, s], j[still == s, n:], r[still == s]
+        row = {"still_id": s, "jj": a @ a, "jr": a @ e} | {f"kr{i}": k[:, i] @ e for i in range(p)} | {f"jk{i}": a @ k[:, i] for i in range(p)} | {f"kk{i}_{o}": k[:, i] @ k[:, o] for i in range(p) for o in range(i, p)}
+        rows.append(Row(**row))
+    shift = np.linalg.solve(j.T @ j + scaling.DAMPING * np.eye(n + p), -j.T @ r)
+    got, most = scaling._step(rows, model)
+    assert np.array([*got.stills.values(), *got.smoother.values]) == pytest.approx(np.array([*[1.0] * n, 1.0, 1.1, 0.9]) + shift) and most == pytest.approx(np.abs(shift).max())
+
+
+def test_point_groups():
+    sizes = {"P 1": 1, "C 1 2 1": 2, "P 1 1 2": 2, "P 21 21 21": 4, "I 41": 4, "P 43 21 2": 8, "P 31": 3, "H 3 2": 6, "P 31 1 2": 6, "P 65": 6, "P 61 2 2": 12, "I 21 3": 12, "F 41 3 2": 24}
+    assert {g: len(symmetry.operations(g)) for g in sizes} == sizes
+    assert all(round(np.linalg.det(np.array(m))) == 1 for g in sizes for m in symmetry.operations(g))
+    with pytest.raises(ValueError, match="no operations"):
+        symmetry.operations("P -1")
+    with pytest.raises(ValueError, match="no symmetry operation"):
+        symmetry.parsed(["x,y"])
+
+
+def test_mates_are_one_reflection(spark):
+    ops = symmetry.operations("P 43 21 2")
+    mates = symmetry.mates(spark.createDataFrame([(1.0, 2.0, 3.0)], "h double, k double, l double"), ops)
+    assert mates.count() == 8 and symmetry.reduced(mates, ops).select("h", "k", "l").distinct().count() == 1
+
+
+def test_form_factors_at_rest_count_electrons(spark):
+    row = spark.range(1).select(*[absolute.form_factor(e, F.lit(0.0)).alias(e) for e in absolute.ATOMS]).first()
+    assert all(row[e] == pytest.approx(z, abs=0.03) for e, (z, _) in absolute.ATOMS.items())
+
+
+def test_divergence_finds_the_voxel_with_peaks(spark):
+    g = grids.Grid(IDENTITY, (1, 1, 1), (0, 0, 0), (9, 0, 0))
+    rng = np.random.default_rng(3)
+    rows = [(v, int(c)) for v in range(10) for c in rng.poisson(4, 400)] + [(5, 200)] * 40
+    hist = counts.histogram(spark.createDataFrame(rows, "voxel_idx long, count int"))
+    found = {r.voxel_idx: r.divergence for r in counts.divergence(hist, g).collect()}
+    assert max(found[v] for v in (0, 1, 2, 8, 9)) < 0.1 < min(found[v] for v in (4, 5, 6))
+
+
+def test_batch_goes_on_after_a_failure(spark):
+    images = spark.createDataFrame([(0, 0, 2, 2, [1.0, 2.0, 3.0, 4.0], 0.0), (1, 0, 2, 2, [1.0], None), (2, 0, 2, 2, None, 0.1)], "image_id int, panel_id int, n_slow int, n_fast int, data array<double>, increment double")
+    obs, out = orchestration.process_batch(images, pixels.Panel((0.0, 0.0, 100.0)), pixels.Beam(1.0))
+    assert obs.count() == 4 and {r.image_id: (r.route, r.status, r.error_code, r.n_observations) for r in out.collect()} == {0: ("stills", "SUCCESS", None, 4), 1: ("sequence", "FAILURE", "ProcessingError", 0), 2: ("sequence", "FAILURE", "InputFileError", 0)}

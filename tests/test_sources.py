@@ -4,10 +4,12 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reciprospark.operators.grid import Grid
+from reciprospark.operators.scaling import ScaleModel, Smoother
 from reciprospark.plans import stand_ins as st
-from reciprospark.sources import sinks, tables
+from reciprospark.sources import adapters, headers, sinks, tables
 from reciprospark.streaming import accumulate
 
 GRID = Grid(((1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, 0.0, 1.0)), (1, 1, 1), (-5, -5, -5), (5, 5, 5))
@@ -31,7 +33,7 @@ def test_experiment_file(spark, tmp_path):
     (tmp_path / "e.json").write_text(json.dumps(one))
     got = tables.experiments(spark, str(tmp_path / "e.json"))
     assert got["beam"].first().wavelength == 1.0 and got["panel"].first().n_fast == 4 and got["crystal"].first().space_group == "P1"
-    assert tables.settings('{"a": 1}') == {"a": 1}
+    assert tables.settings(spark, '{"a": 1}') == {"a": 1}
 
 
 def test_voxel_format(spark):
@@ -56,6 +58,64 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {r.voxel_idx: (r.n, round(r.intensity, 9)) for r in spark.table("running").collect()} == merged
 
 
+def test_settings_and_regions(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"beamstop": {"type": "circle", "center_x": 1, "center_y": 2, "radius": 1}}')
+    assert len(tables.static_regions(tables.settings(spark, str(tmp_path / "m.json")))[0]) == 1
+    with pytest.raises(ValueError, match="lacks grid"):
+        tables.settings(spark, '{"a": 1}', ("grid",))
+    with pytest.raises(ValueError, match="circle or a rectangle"):
+        tables.static_regions({"beamstop": {"type": "line"}})
+
+
+def test_scales_and_grid_round_trip(spark, tmp_path):
+    model = ScaleModel({0: 1.5, 3: 0.5}, Smoother((1.0, 1.2), 0.1, 1.0))
+    sinks.save_scale_model(spark, model, {"n": 1}, str(tmp_path / "s"))
+    assert tables.scale_model(spark, str(tmp_path / "s")) == model
+    sinks.save_grid(spark, GRID, str(tmp_path / "g"))
+    assert tables.grid(spark, str(tmp_path / "g")) == GRID
+
+
+def test_voxels_of_npz(spark, tmp_path):
+    arrays = {"voxel_indices" if c == "voxel_idx" else c: np.arange(3.0) for c in tables.VOXEL_COLUMNS}
+    np.savez(tmp_path / "v.npz", **arrays)
+    assert [r.voxel_idx for r in tables.voxels(spark, str(tmp_path / "v.npz")).orderBy("voxel_idx").collect()] == [0, 1, 2]
+    with pytest.raises(ValueError, match="read from"):
+        tables.voxels(spark, "a.hdf5")
+
+
+def test_many_files_are_one_scan(spark, tmp_path):
+    paths = []
+    for k in range(5):
+        paths.append(str(tmp_path / f"o{k}"))
+        frame = spark.createDataFrame([(0.1, 0.2, 0.3, float(k), 1.0)], "qx double, qy double, qz double, intensity double, sigma double")
+        (frame.withColumn("panel_id", F.lit(k)) if k % 2 else frame).write.parquet(paths[-1])
+    got = tables.observations(spark, list(reversed(paths)))
+    assert sorted((r.still_id, r.intensity) for r in got.collect()) == [(k, 4.0 - k) for k in range(5)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0
+
+
+def test_long_headers_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.cbf").write_bytes(b"# x\n" * 20_000 + b"# Start_angle 7.5 deg.\n_array_data.data\n# Angle_increment 9.0\n" + bytes(range(256)) * 40)
+    (tmp_path / "b.cbf").write_bytes(b"# Angle_increment 0.5 deg.\n")
+    got = {r.path[-5]: (r.start, r.step) for r in headers.headers(spark, str(tmp_path)).select("path", headers.start_angle(F.col("header")).alias("start"), headers.angle_increment(F.col("header")).alias("step")).collect()}
+    assert got == {"a": (7.5, None), "b": (None, 0.5)}
+
+
+def test_stills_added_again_replace_themselves(spark, tmp_path):
+    one = accumulate.of_arrays(spark, 4, [(0.1, 0.2, 0.3), (9.0, 9.0, 9.0)], [1.0, 2.0], [1.0, 1.0])
+    assert [accumulate.add_observations(one, GRID, str(tmp_path / "b")) for _ in range(2)] == [1, 1]
+    assert accumulate.add_observations(accumulate.of_arrays(spark, 5, [], [], []), GRID, str(tmp_path / "b")) == 0
+    rows, statistics = accumulate.finalized(spark, str(tmp_path / "b"))
+    assert rows.count() == 1 and statistics.first().n_observations == 1
+    with pytest.raises(ValueError, match="2 vectors, 1 intensities"):
+        accumulate.of_arrays(spark, 1, [(0, 0, 0)] * 2, [1.0], [1.0])
+
+
+def test_unknown_adapter(spark):
+    with pytest.raises(ValueError, match="no reader"):
+        adapters.read(spark, "unheard", "x")
+
+
 def test_stand_ins(spark):
     g = st.grid(st.observations(spark, "/root/testdata/sf0.001"))
     assert g.total_voxels > 10
