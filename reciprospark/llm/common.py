@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,51 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str = "part") -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, and survives the loss of executors."""
     path = f"{shared_dir(df.sparkSession)}-{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that stored() returned and that nothing reads any more."""
+    for df in tables:
+        if path := _PATHS.pop(df, None):
+            context = df.sparkSession.sparkContext
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many "_" before it as it takes to clash with none (Spark's names ignore case)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
+#: Bits of a bitmap of hashed keys: 4 MB, at most 524,288 rows. A key that is not marked is none of those put in.
+MARKS = 1 << 25
+
+
+def marks(keys: DataFrame) -> DataFrame:
+    """A bitmap of the column key (long, hashed): word and bits. Of a fixed size, whatever the number of keys."""
+    bit = F.col("key").bitwiseAND(MARKS - 1)
+    return keys.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(key & 63 as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
+
+
+def marked(df: DataFrame, key: Column, bitmap: DataFrame, name: str) -> DataFrame:
+    """df with a boolean column: whether the key's bit is set. The bitmap (see marks) is broadcast: its size is fixed."""
+    word, bits = fresh("word", df.columns), fresh("bits", df.columns)
+    small = F.broadcast(bitmap.select(F.col("word").alias(word), F.col("bits").alias(bits)))
+    out = df.join(small, F.shiftright(key.bitwiseAND(MARKS - 1), 6) == F.col(word), "left")
+    return out.withColumn(name, F.coalesce(F.getbit(F.col(bits), key.bitwiseAND(63).cast("int")) == 1, F.lit(False))).drop(word, bits)
 
 
 def remainder(key: Column, modulus: int) -> Column:

@@ -8,24 +8,30 @@ tallied; pairs under the minimum (SPREAD standard deviations below the similarit
 are verified on their whole sets of shingles. At similarity 0.8 a pair shares no list with probability 2e-4, and falls under
 the minimum with 1e-4; both fall fast with similarity.
 
-Lists of up to SMALL nodes are compared in all pairs. In longer ones a node is compared with the nodes before it that had
-no strong match when their turn came, and is settled with a strong match or TRIES others: links grow with the list's length,
-not its square. Links of one node are verified in PARTS groups, so that a large cluster is no hot key.
+Two rounds keep the work near-linear without losing links. The first compares lists of up to SMALL nodes in all pairs; in a
+longer one a node waits after a strong match or TRIES others. The second takes the longer lists again, with the components
+that the verified links have made: every pair of different components that reaches the minimum is verified. Nodes that are
+connected already need no further link; so all that the tally lets through is decided, in lists of any length.
+
+Texts are not shuffled to verify: of those whose node a bitmap of fixed size marks (see common.marks), one for each node and task is
+sent on, compressed, and an exact join follows. Links of one node are verified in PARTS groups, so that a large cluster is no
+hot key.
 
 Cases: null and empty texts are one node; repeated rows and ids are each reported.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import packed, record, slices, stored, unpacked
+from reciprospark.llm.common import MARKS, discard, marks, record, slices, stored
 
 SEED, BYTES, BAND, SPREAD, SMALL, TRIES, PARTS = 42, 64, 4, 4.0, 8, 4, 64
 _DRAW = np.random.default_rng(SEED)
@@ -34,9 +40,8 @@ _SHIFTS = _DRAW.integers(0, 1 << 63, BYTES, dtype=np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def node(text: bytes) -> int:
-    """Of the lower-cased words in their order; 0 without any."""
-    words = text.lower().split()
+def node(words: list[bytes]) -> int:
+    """Of lower-cased words in their order; 0 without any."""
     return xxhash.xxh64_intdigest(b" ".join(words), SEED) if words else 0
 
 
@@ -79,7 +84,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
-            fp = np.array([node(t) for t in texts], dtype=np.uint64).view(np.int64)
+            fp = np.array([node(t.lower().split()) for t in texts], dtype=np.uint64).view(np.int64)
             sig = [fingerprint(shingles(t, width)) for t in texts]
             schema = pa.schema([*[batch.schema.field(c) for c in own], ("fp", pa.int64()), ("sig", pa.binary())])
             yield record(schema, [*[batch.column(c) for c in own], fp, sig])
@@ -103,8 +108,34 @@ def listed(nodes: DataFrame) -> DataFrame:
     return nodes.mapInArrow(run, "key long, fp long, sig binary")
 
 
-def _candidates(sig: np.ndarray, least: int, strong: int) -> list[tuple[int, int]]:
-    """Pairs of one list that agree in enough bytes."""
+def _by_list(rows: DataFrame, columns: tuple[str, ...], out: str, of: Callable[..., list[list]]) -> DataFrame:
+    """What ``of`` gives of each list of rows (key, fp, sig, ...): its key, then the given columns and the bytes as arrays."""
+    names = ("key", *columns)
+    schema = pa.schema([(n.split()[0], pa.int64()) for n in out.split(", ")])
+
+    def made(held: list[np.ndarray]) -> pa.RecordBatch:
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(held[0])) + 1])
+        ends = np.append(starts[1:], len(held[0]))
+        found = [of(int(held[0][s]), *(x[s:e] for x in held[1:])) for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True)]
+        return record(schema, [np.concatenate([np.zeros(0, np.int64), *[x[k] for x in found]]) for k in range(len(schema))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [*(np.zeros(0, np.int64) for _ in names), np.zeros((0, BYTES), np.uint8)]  # a list that the next batch may continue
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, BYTES)
+            held = [np.concatenate(x) for x in zip(held, [*(batch.column(n).to_numpy() for n in names), sig], strict=True)]
+            if len(held[0]) and len(stop := np.flatnonzero(np.diff(held[0]))):
+                stop = int(stop[-1]) + 1
+                yield made([x[:stop] for x in held])
+                held = [x[stop:] for x in held]
+        if len(held[0]):
+            yield made(held)
+
+    return rows.select(*names, "sig").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, out)
+
+
+def _first(sig: np.ndarray, least: int, strong: int) -> list[tuple[int, int]]:
+    """Pairs of one list that agree in enough bytes; in a long one a node with a strong match, or TRIES others, waits for the second round."""
     out = []
     n = len(sig)
     tries = np.zeros(n, dtype=np.int64)
@@ -118,60 +149,104 @@ def _candidates(sig: np.ndarray, least: int, strong: int) -> list[tuple[int, int
     return out
 
 
-def candidates(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) to verify, a < b. nodes: distinct fp, with sig."""
-    least, strong = minimum(similarity), int(np.ceil(BYTES * (1 + similarity) / 2))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _apart(root: np.ndarray, sig: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Pairs of one list that agree in enough bytes and belong to different components: all of them."""
+    _, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
+    if len(sizes) < 2:
+        return []
+    out = []
+    place = np.argsort(np.argsort(sizes, kind="stable"))  # of each component, by size
+    for k in np.flatnonzero(of != int(np.argmax(place))).tolist():  # each pair from its smaller component
+        others = np.flatnonzero(place[of] > place[of[k]])
+        out += [(k, j) for j in others[(sig[others] == sig[k]).sum(axis=1) >= least].tolist()]
+    return out
 
-    def pairs(key: np.ndarray, fp: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-        ends = np.append(starts[1:], len(key))
-        found = []
-        for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
-            found += [(s + i, s + j) for i, j in _candidates(sig[s:e], least, strong)]
-        at = np.array(found, dtype=np.int64).reshape(-1, 2)
-        return record(schema, [fp[at[:, 0]], fp[at[:, 1]]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, BYTES), np.uint8))  # a list that the next batch may continue
-        for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, BYTES)
-            held = tuple(np.concatenate(x) for x in zip(held, (batch.column("key").to_numpy(), batch.column("fp").to_numpy(), sig), strict=True))
-            if len(held[0]) and len(stop := np.flatnonzero(np.diff(held[0]))):
-                stop = int(stop[-1]) + 1
-                yield pairs(*(x[:stop] for x in held))
-                held = tuple(x[stop:] for x in held)
-        if len(held[0]):
-            yield pairs(*held)
+def _columns(pairs: list[tuple[int, int]], fp: np.ndarray) -> list[np.ndarray]:
+    at = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+    return [np.minimum(fp[at[:, 0]], fp[at[:, 1]]), np.maximum(fp[at[:, 0]], fp[at[:, 1]])]
 
-    return listed(nodes).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "a long, b long").distinct()
 
+def first_round(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Of kind 0, pairs (a, b) to verify; of kind 1, members b of long lists a. nodes: distinct fp, with sig."""
+    least, strong = minimum(similarity), int(np.ceil(BYTES * (1 + similarity) / 2))
 
-def sets(docs: DataFrame, fps: DataFrame, width: int) -> DataFrame:
-    """fp and its packed shingles, for each of fps (distinct fp)."""
+    def of(key: int, fp: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
+        a, b = _columns(_first(sig, least, strong), fp)
+        more = fp if len(fp) > SMALL else fp[:0]
+        return [np.repeat([0, 1], [len(a), len(more)]), np.concatenate([a, np.full(len(more), key)]), np.concatenate([b, more])]
 
-    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            yield record(pa.schema([("fp", pa.int64()), ("text", pa.string())]), [np.array([node(t) for t in texts], dtype=np.uint64).view(np.int64), batch.column("text")])
+    return _by_list(listed(nodes), ("fp",), "kind long, a long, b long", of)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            yield record(pa.schema([("fp", pa.int64()), ("items", pa.binary())]), [batch.column("fp"), [packed(shingles(t, width)) for t in texts]])
 
-    texts = docs.select("text").mapInArrow(nodes, "fp long, text string").join(fps, "fp", "left_semi")
-    return texts.groupBy("fp").agg(F.min("text").alias("text")).mapInArrow(pack, "fp long, items binary")
+def second_round(members: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of nodes in a list whose components differ. members: key, fp, root, sig."""
+    least = minimum(similarity)
+    return _by_list(members, ("fp", "root"), "a long, b long", lambda key, fp, root, sig: _columns(_apart(root, sig, least), fp)).distinct()
+
 
+def bodies(docs: DataFrame, fps: DataFrame) -> DataFrame:
+    """fp and the compressed words of each of fps (distinct fp): one row for each node."""
+    found = marks(fps.select(F.col("fp").alias("key"))).toPandas()  # of a fixed size
+    bitmap = np.zeros(MARKS // 64, dtype=np.uint64)
+    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
-def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes of at least the given similarity. nodes: distinct fp, with sig."""
-    pairs = stored(candidates(nodes, similarity), "pairs").withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS)))
-    items = stored(sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), width), "sets")
-    one = pairs.select("a", "part").distinct().join(items.withColumnsRenamed({"fp": "a", "items": "one"}), "a")
-    both = pairs.join(items.withColumnsRenamed({"fp": "b", "items": "other"}), "b").join(one, ["a", "part"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        schema = pa.schema([("fp", pa.int64()), ("body", pa.binary())])
+        for _, texts in slices(batches):
+            words = [t.lower().split() for t in texts]
+            fp = np.array([node(w) for w in words], dtype=np.uint64)
+            bit = (held.value[(fp & np.uint64(MARKS - 1)) >> np.uint64(6)] >> (fp & np.uint64(63))) & np.uint64(1)
+            out = []
+            for k in np.flatnonzero(bit).tolist():
+                if (f := int(fp[k])) not in seen:
+                    seen.add(f)
+                    out.append((fp[k : k + 1].view(np.int64)[0], zstandard.compress(b" ".join(words[k]), 3)))
+            yield record(schema, [[x[0] for x in out], [x[1] for x in out]])
+
+    return docs.select("text").mapInArrow(run, "fp long, body binary").join(fps, "fp", "left_semi").dropDuplicates(["fp"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of at least the given similarity. texts: fp, body."""
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS)))
+    one = pairs.select("a", "part").distinct().join(texts.withColumnsRenamed({"fp": "a", "body": "one"}), "a")
+    both = pairs.join(texts.withColumnsRenamed({"fp": "b", "body": "other"}), "b").join(one, ["a", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+
+        def items(fp: int, body: pa.Scalar) -> np.ndarray:
+            if (out := known.get(fp)) is None:
+                if len(known) >= 64:
+                    known.clear()
+                out = known[fp] = shingles(zstandard.decompress(body.as_py()), width)
+            return out
+
         for batch in batches:
-            near = [jaccard(unpacked(x.as_py(), np.uint64), unpacked(y.as_py(), np.uint64)) >= similarity for x, y in zip(batch.column("one"), batch.column("other"), strict=True)]
+            a, b, one, other = batch.columns
+            near = [jaccard(items(i, x), items(j, y)) >= similarity for i, j, x, y in zip(a.to_pylist(), b.to_pylist(), one, other, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return both.select("a", "b", "one", "other").mapInArrow(run, "a long, b long")
+
+
+def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs (a, b) of nodes of at least the given similarity, enough of them to connect all. nodes: distinct fp, with sig."""
+    found = stored(first_round(nodes, similarity), "found")
+    pairs = found.where("kind = 0").select("a", "b").distinct()
+    long = found.where("kind = 1")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).union(long.select(F.col("b").alias("fp")))
+    texts = stored(bodies(docs, ends.distinct()), "bodies")
+    good = stored(verified(pairs, texts, width, similarity), "good")
+    if long.isEmpty():
+        discard(found, texts)
+        return good
+    roots = components(good)
+    members = long.select(F.col("a").alias("key"), F.col("b").alias("fp")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(nodes, "fp")
+    rest = second_round(members, similarity).join(pairs, ["a", "b"], "left_anti")
+    out = stored(good.union(verified(rest, texts, width, similarity)), "links")
+    discard(found, texts, good, roots)
+    return out

@@ -1,12 +1,17 @@
 """SimHash near-duplicates: an inverted index of byte positions with count filtering.
 
 A fingerprint has 64 bits over the XXH64 (seed 42) of a text's 3-word shingles, repeats included. Two fingerprints of at
-most BITS = 2 differing bits agree in at least 8 - BITS = 6 of their 8 positional bytes. The index therefore lists each
-distinct fingerprint under every choice of SHARED = 6 positional bytes (28 lists of 48 bits, as many for any number of
-fingerprints); two fingerprints that meet in a list have the guaranteed count of shared bytes. Within a list the shared
-bytes of a pair are tallied, pairs under the minimum are passed over, and the rest are verified bit by bit. Only distinct
-fingerprints are listed, so thousands of copies are one entry; within a list a union-find keeps a spanning set of links,
-and a list longer than the number of neighbours that a fingerprint can have there is searched by those neighbours.
+most BITS = 2 differing bits agree in at least SHARED = 8 - BITS = 6 of their 8 positional bytes.
+
+The index lists each distinct fingerprint by positional bytes. A list of one byte would hold a 256th of all fingerprints and tally
+a number of pairs that grows with the square of the input, so a list's key is LISTED = 5 positional bytes. LEFT_OUT holds
+the positions that each of the 11 keys leaves out: any two positions are left out together by one of them, so two fingerprints
+that differ in two bytes at most meet in a list. Within a list the shared positional bytes of each pair are tallied over all
+8 positions, pairs under the minimum of 6 are passed over, and the rest are verified bit by bit. A list of over LONG
+fingerprints is hot and is split: it is listed again by each of the three bytes left out, one of which a pair with the
+minimum shares; what is long even then is verified by looking up the few fingerprints within BITS bits of each. No pair is lost in
+either way. Only distinct fingerprints are listed, so thousands of copies are one entry; a union-find keeps a
+spanning set of a list's links.
 
 Components of links are found by repeated large-star and small-star steps on distinct fingerprints, each written to the
 shared folder. Nothing of all documents comes to the driver but counts.
@@ -27,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reciprospark.llm import near
-from reciprospark.llm.common import record, slices, stored, table
+from reciprospark.llm.common import discard, fresh, marked, marks, record, slices, stored, table
 
-SEED, WIDTH, BITS = 42, 3, 2
+SEED, WIDTH, BITS, LISTED, LONG = 42, 3, 2, 5, 1024
 SHARED = 8 - BITS
-CHOICES = list(combinations(range(8), SHARED))
+LEFT_OUT = ((0, 1, 2), (0, 1, 3), (0, 2, 4), (0, 3, 5), (0, 6, 7), (1, 4, 5), (1, 6, 7), (2, 3, 6), (2, 5, 7), (3, 4, 7), (4, 5, 6))
 
 
 def fingerprint(text: bytes, width: int = WIDTH) -> int:
@@ -68,43 +73,57 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def listed(prints: DataFrame) -> DataFrame:
     """The index: key (a choice of positions and their bytes) and fp. Column expressions only."""
-    masks = [sum(0xFF << (8 * p) for p in c) for c in CHOICES]
+    masks = [sum(0xFF << (8 * p) for p in range(8) if p not in out) for out in LEFT_OUT]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*[F.struct(F.lit(k).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes")) for k, m in enumerate(signed)])
     return prints.select("fp", F.explode(keys).alias("key"))
 
 
-def _neighbours(choice: int) -> np.ndarray:
-    """What a fingerprint's free bytes can be XORed with to stay within BITS."""
-    bits = [np.uint64(1) << np.uint64(8 * p + b) for p in range(8) if p not in CHOICES[choice] for b in range(8)]
-    return np.array([np.bitwise_or.reduce(x) for n in range(1, BITS + 1) for x in map(list, combinations(bits, n))], dtype=np.uint64)
+def _within(positions: tuple[int, ...]) -> np.ndarray:
+    """What the bytes at these positions can be XORed with to change 1 to BITS bits."""
+    bits = [1 << (8 * p + b) for p in positions for b in range(8)]
+    return np.array([sum(x) for n in range(1, BITS + 1) for x in combinations(bits, n)], dtype=np.uint64)
 
 
-def _linked(choice: int, fps: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning set of the links among the distinct fingerprints of one list."""
-    root = list(range(len(fps)))
+def _links_of(fps: np.ndarray, left_out: tuple[int, ...]) -> Iterator[tuple[int, int]]:
+    """Pairs of one list's fingerprints that share the minimum of bytes and differ by at most BITS bits; the bytes beside left_out are equal."""
+    if len(fps) <= LONG:
+        for k in range(len(fps) - 1):
+            x = fps[k + 1 :] ^ fps[k]
+            counted = np.flatnonzero((x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= SHARED)
+            for j in counted[np.bitwise_count(x[counted]) <= BITS].tolist():
+                yield int(fps[k]), int(fps[k + 1 + j])
+    elif 8 - len(left_out) < SHARED:
+        for p in left_out:
+            byte = (fps >> np.uint64(8 * p)) & np.uint64(0xFF)
+            order = np.argsort(byte, kind="stable")
+            for part in np.split(fps[order], np.flatnonzero(np.diff(byte[order])) + 1):
+                yield from _links_of(part, tuple(x for x in left_out if x != p))
+    else:
+        fps = np.sort(fps)
+        for change in _within(left_out):
+            other = fps ^ change
+            at = np.minimum(np.searchsorted(fps, other), len(fps) - 1)
+            for k in np.flatnonzero((fps[at] == other) & (fps < other)).tolist():
+                yield int(fps[k]), int(other[k])
+
+
+def _spanning(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of the pairs that connect what earlier ones do not."""
+    root: dict[int, int] = {}
 
     def find(k: int) -> int:
-        while root[k] != k:
-            root[k] = root[root[k]]
-            k = root[k]
+        while (up := root.setdefault(k, k)) != k:
+            root[k] = root[up]
+            k = up
         return k
 
     out = []
-    around = _neighbours(choice) if len(fps) > 128 else None
-    order = {int(x): k for k, x in enumerate(fps)} if around is not None else {}
-    for k in range(len(fps)):
-        if around is None:
-            x = fps[k + 1 :] ^ fps[k]
-            shared = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-            others = k + 1 + np.flatnonzero((shared >= SHARED) & (np.bitwise_count(x) <= BITS))
-        else:
-            others = [j for y in (around ^ fps[k]).tolist() if (j := order.get(y, -1)) > k]
-        for j in others:
-            a, b = find(k), find(int(j))
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                out.append((int(fps[k].view(np.int64)), int(fps[j].view(np.int64))))
+    for i, j in pairs:
+        a, b = find(i), find(j)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((i, j))
     return out
 
 
@@ -134,14 +153,14 @@ def _pairs(rows: tuple[np.ndarray, ...], new: np.ndarray, stop: int) -> list[lis
     ends = np.concatenate([starts[1:], [stop]])
     found = []
     for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
-        found += _linked(int(rows[0][s]), rows[2][s:e].view(np.uint64))
-    return [[x[0] for x in found], [x[1] for x in found]]
+        found += _spanning(_links_of(rows[2][s:e].view(np.uint64), LEFT_OUT[int(rows[0][s])]))
+    return list(np.array(found, dtype=np.uint64).reshape(-1, 2).T.astype(np.int64))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """The smallest node (root) that each node with a link reaches. edges: a, b. Large-star and small-star in turn."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    for _ in range(rounds):
+def components(links: DataFrame) -> DataFrame:
+    """The smallest node (root) that each node with a link reaches. links: a, b. Large-star and small-star in turn."""
+    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    while True:
         # large star: all larger neighbours of a node go to the smallest of its neighbours and itself
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
@@ -152,20 +171,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", F.col("low").alias("b")))
         after = stored(small.where("a <> b").distinct(), "small")
         same = edges.join(after, ["a", "b"], "left_anti").isEmpty() and after.join(edges, ["a", "b"], "left_anti").isEmpty()
+        discard(edges, large)
         edges = after
         if same:
             return edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def clustered(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...) without text, with fp, root (the component's smallest fingerprint, as bigint) and component_id."""
     prints = stored(fingerprints(docs), "prints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
-    return _marked(prints, first, components(links(first.select("fp"))))
+    return _named(prints, first, components(links(first.select("fp"))))
 
 
-def _marked(prints: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
+def _named(prints: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
     whole = first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
     return prints.join(stored(whole.join(least, "root").select("fp", "root", "component_id"), "ids"), "fp")
@@ -175,28 +194,36 @@ def similar(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """As clustered, by links between texts whose shingles of the given width have that Jaccard similarity; fp is a text's words (see near.py)."""
     prints = stored(near.fingerprints(docs, width), "prints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("sig").alias("sig")), "first")
-    roots = components(near.links(docs, first.select("fp", "sig"), width, similarity))
-    return _marked(prints.drop("sig"), first.drop("sig"), roots)
+    roots = components(near.links(docs, first.select("fp", "sig"), width, similarity, components))
+    return _named(prints.drop("sig"), first.drop("sig"), roots)
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, similarity: float | None = None) -> DataFrame:
     """One document of each component: the one of smallest id (null last), then of smallest hash of its text. Columns of docs stay as they are.
 
-    Without similarity, components are op6's, of fingerprints within BITS; with it, of shingles of the given width."""
+    Without similarity, components are op6's, of fingerprints within BITS; with it, of shingles of the given width. Rows that are
+    alone in their component are not shuffled: a bitmap of fixed size tells them from the rows that are joined with what is kept."""
     if similarity is None and width != WIDTH:
         raise ValueError(f"without a similarity the width is {WIDTH}")
     text_hash = F.xxhash64("text")
     rows = docs.select("doc_id", "text", text_hash.alias("h"))
-    marked = stored(clustered(rows) if similarity is None else similar(rows, width, similarity), "marked")
-    pick = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")).alias("s"))
-    times = marked.groupBy("doc_id", "h").agg(F.count("*").alias("__times")).where("__times > 1").withColumnsRenamed({"doc_id": "__doc", "h": "__h"})
-    pick = pick.select(F.col("s.doc_id").alias("__id"), F.col("s.h").alias("__hash"))
-    keep = stored(pick.join(times, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__h")), "left").select("__id", "__hash", "__times"), "keep")
-    out = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")))
-    names = docs.columns
-    once = out.where("__times is null").select(*names)
-    repeated = out.where("__times is not null").dropDuplicates(["doc_id", "__hash"]).select(*names)
-    return once.unionByName(repeated)
+    whole = stored(clustered(rows) if similarity is None else similar(rows, width, similarity), "clusters")
+    roots = whole.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")).alias("s"))
+    roots = stored(roots.select("root", "n", F.col("s.doc_id").alias("__id"), F.col("s.h").alias("__hash")), "roots")
+    crowded = whole.join(roots.where("n > 1").select("root"), "root", "left_semi")
+    bitmap = stored(marks(crowded.select(F.xxhash64("doc_id", "h").alias("key"))), "marks")
+    times = crowded.groupBy("doc_id", "h").agg(F.count("*").alias("__times")).where("__times > 1").withColumnsRenamed({"doc_id": "__doc", "h": "__h"})
+    keep = stored(roots.join(times, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__h")), "left").select("__id", "__hash", "__times"), "keep")
+    names, flag = docs.columns, fresh("shared", docs.columns)
+    found = marked(docs, F.xxhash64(F.col("doc_id"), text_hash), bitmap, flag)
+    alone = found.where(~F.col(flag)).select(*names)
+    names_of = {n: fresh(n, names) for n in ("__id", "__hash", "__times")}
+    keep = keep.withColumnsRenamed(names_of)
+    at, h, n = names_of.values()
+    out = found.where(flag).join(keep, F.col("doc_id").eqNullSafe(F.col(at)) & (text_hash == F.col(h)))
+    once = out.where(F.col(n).isNull()).select(*names)
+    repeated = out.where(F.col(n).isNotNull()).dropDuplicates(["doc_id", h]).select(*names)
+    return alone.unionByName(once).unionByName(repeated)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tests.llm.conftest import DOCS, prose
 
@@ -67,6 +68,12 @@ def test_removal(spark):
     got = {r.doc_id: r.text for r in decontaminate.remove(docs, bench).collect()}
     assert got == {1: "keep this, ; and that", 2: "clean text"}
     assert [r.doc_id for r in decontaminate.remove(docs, bench, "documents").collect()] == [2]
+    clash = docs.withColumns({"items": F.lit("mine"), "n_words": F.lit(13), "spans": F.lit(None).cast("string"), "N_HIT": F.lit(1)})
+    for mode, block in (("spans", 1), ("spans", 10**6), ("documents", 1)):
+        out = decontaminate.remove(clash, bench, mode, block_words=block)
+        assert out.columns == clash.columns and out.collect() and all(r["items"] == "mine" and r.n_words == 13 and r.spans is None for r in out.collect())
+    nameless = decontaminate.hits(docs, bench.select(F.lit(None).cast("long").alias("item_id"), "text")).collect()
+    assert any(r.n_hit for r in nameless) and all(r["items"] == [] for r in nameless)
     assert decontaminate.remove(docs, bench.limit(0)).count() == 2 and decontaminate.hits(docs.limit(0), bench).count() == 0
     with pytest.raises(ValueError, match="mode"):
         decontaminate.remove(docs, bench, "other")
@@ -186,7 +193,23 @@ def brute_components(prints):
     return [find(k) for k in range(len(prints))]
 
 
-def test_links_against_all_pairs(spark):
+def brute_fingerprint(text):
+    words = text.encode().lower().split()
+    if not words:
+        return 0
+    parts = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64(p, seed=42).intdigest() for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_bit_by_bit():
+    texts = ["", " ", "One", "one TWO", "a b c", "É b c d", "a b c a b c a b c", *[prose(k, 5 + 40 * k) for k in range(8)]]
+    assert [simhash.fingerprint(t.encode()) for t in texts] == [brute_fingerprint(t) for t in texts]
+
+
+@pytest.mark.parametrize("long", [4, 1024])
+def test_links_against_all_pairs(spark, monkeypatch, long):
+    monkeypatch.setattr(simhash, "LONG", long)  # 4: nearly every list is split
     rng = random.Random(7)
     prints = {0, 1, 3}
     for _ in range(40):
@@ -212,6 +235,18 @@ def test_links_against_all_pairs(spark):
     assert all(found.get(x, x) == min(g) for g in groups.values() for x in g)
 
 
+def test_every_two_positions_are_left_out_together():
+    assert all(any({a, b} <= set(out) for out in simhash.LEFT_OUT) for a in range(8) for b in range(a))
+    assert all(len(out) == 8 - simhash.LISTED for out in simhash.LEFT_OUT)
+
+
+def test_deduplication_keeps_other_columns(spark, odd_docs):
+    text = prose(11, 60)
+    docs = spark.createDataFrame([*odd_docs, (50, text, "en", "s", 1), (51, text, "en", "s", 1)], DOCS).withColumns({c: F.lit("mine") for c in ("root", "fp", "shared", "__id", "word", "bits", "h", "component_id")})
+    got = simhash.deduplicated(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id or -1 for r in got.collect()) == [-1, 1, 3, 4, 6, 7, 50] and all(r.root == "mine" for r in got.collect())
+
+
 def test_deduplication(spark, odd_docs):
     text = prose(11, 400)
     rows = [*odd_docs, (50, text, "en", "s", 1), (51, text.upper(), "en", "s", 1), (52, text, "en", "s", 1), (50, text, "en", "s", 1), (60, prose(12, 400), "en", "s", 1), (None, prose(13, 50), "en", "s", 1), (None, prose(14, 50), "en", "s", 1)]
