@@ -4,11 +4,13 @@ Words are lower-cased runs of ASCII digits, ASCII letters and characters beyond
 words of a test item; an item with fewer words, but some, is one window. A scan looks each window of a text up by a
 64-bit hash, verifies it word by word, and marks the words that any occurrence covers.
 
-The test windows are cut into blocks of at most BLOCK_WORDS words, a bound on what is broadcast: each block is one
-pass over the documents, and the passes' spans are merged by row, so any number of items is handled.
+The test windows are cut into blocks of at most BLOCK_WORDS words (and one item), a bound on what is broadcast: each block is
+one pass over the documents, which is written to the shared folder before the next begins, and the passes' spans are merged by
+row; so any number of items is handled, and a worker holds one block at a time.
 
 Cases: null and empty texts have no words and are never hit; an item without words has no window; repeated items count
-once by their id; repeated documents are each reported; other columns are passed through only by ``remove``.
+once by their id; an item of null id hits words but is not listed; repeated documents are each reported. ``hits`` replaces
+columns of the names that it adds; ``remove`` returns the columns of docs as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import record, slices, table
+from reciprospark.llm.common import discard, fresh, record, slices, stored, table
 
 WINDOW = 10
 #: Words of test items in one broadcast: about 100 MB in a Python worker.
@@ -38,14 +40,16 @@ def words_of(text: bytes) -> list[bytes]:
 class Windows:
     """Windows of test items by length: sorted hashes for a first look, exact word ids to verify, items of each."""
 
-    def __init__(self, items: list[tuple[str, bytes]], size: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str | None, bytes]], size: int = WINDOW) -> None:
         self.ids: dict[bytes, int] = {}
         self.items: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             found = [self.ids.setdefault(w, len(self.ids)) for w in words_of(text)]
             n = min(size, len(found))
             for k in range(len(found) - n + 1 if n else 0):
-                self.items.setdefault(tuple(found[k : k + n]), set()).add(item)
+                of = self.items.setdefault(tuple(found[k : k + n]), set())
+                if item is not None:
+                    of.add(item)
         self.hashes = {}
         for n in {len(x) for x in self.items}:
             rows = np.array([x for x in self.items if len(x) == n], dtype=np.int64)
@@ -100,7 +104,7 @@ def blocks(benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WO
     """Windows of the items, a bounded number of words at a time."""
     held, words = [], 0
     for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator(prefetchPartitions=False):
-        held.append((str(row.item_id), row.text.encode()))
+        held.append((None if row.item_id is None else str(row.item_id), row.text.encode()))
         words += len(words_of(held[-1][1]))
         if words >= block_words:
             yield Windows(held, size)
@@ -110,39 +114,54 @@ def blocks(benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WO
 
 
 SPANS = "array<struct<first: int, stop: int>>"
+ADDED = ("n_words", "n_hit", "items", "spans")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with n_words, n_hit, items (sorted ids) and spans (of words, stop excluded). One narrow pass for each block of test items."""
-    names = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "spans")]
-    docs = docs.select(*names)
-    found = _pass(docs, Windows([], size))
-    for k, windows in enumerate(blocks(benchmark, size, block_words)):
-        found = _pass(found if k else docs, windows, bool(k))
-    return found
-
-
-def _pass(docs: DataFrame, windows: Windows, more: bool = False) -> DataFrame:
-    """One scan; with more, its spans and items are merged into those of earlier scans."""
-    own = docs.drop("n_words", "n_hit", "items", "spans")
-    held, kept = docs.sparkSession.sparkContext.broadcast(windows), own.columns
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in ADDED])
+    return _passes(docs, benchmark, dict(zip(ADDED, ADDED, strict=True)), size, block_words, False)
+
+
+def _passes(docs: DataFrame, benchmark: DataFrame, names: dict[str, str], size: int, block_words: int, cut: bool) -> DataFrame:
+    """docs after a scan for each block; the columns ADDED go by names. cut: the last scan cuts the spans out of the texts."""
+    found, before, of = docs, None, blocks(benchmark, size, block_words)
+    windows = next(of, Windows([], size))
+    while True:
+        after = next(of, None)
+        done = _pass(docs, found, names, windows, cut and after is None)
+        if after is None:
+            return done
+        done = stored(done, "hits")
+        if before is not None:
+            discard(before)
+        found, before, windows = done, done, after
+
+
+def _pass(docs: DataFrame, found: DataFrame, names: dict[str, str], windows: Windows, cut: bool) -> DataFrame:
+    """One scan of docs, or of found: docs after earlier scans, whose spans and items are merged with this one's."""
+    held, kept, more = docs.sparkSession.sparkContext.broadcast(windows), docs.columns, found is not docs
     span = pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))
-    extra = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", span)]
+    extra = [(names["n_words"], pa.int64()), (names["n_hit"], pa.int64()), (names["items"], pa.list_(pa.string())), (names["spans"], span)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             n, hit, items, spans = held.value.scan(texts)
             if more:
-                for k, (was, mine) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True)):
+                for k, (was, mine) in enumerate(zip(batch.column(names["spans"]).to_pylist(), batch.column(names["items"]).to_pylist(), strict=True)):
                     items[k] |= set(mine)
                     spans[k] = merged(spans[k] + [(s["first"], s["stop"]) for s in was])
                     hit[k] = sum(b - a for a, b in spans[k])
-            keep = [f for f in batch.schema if f.name in kept]
-            schema = pa.schema([*keep, *[pa.field(*x) for x in extra]])
-            yield record(schema, [*[batch.column(f.name) for f in keep], n, hit, [sorted(x) for x in items], [[{"first": a, "stop": b} for a, b in x] for x in spans]])
+            own = {f.name: batch.column(f.name) for f in batch.schema if f.name in kept}
+            if cut and hit.any():
+                kind = own["text"].type
+                own["text"] = pa.array([without(t, x) if x else t for t, x in zip(own["text"].to_pylist(), spans, strict=True)], type=kind)
+            schema = pa.schema([*[f for f in batch.schema if f.name in kept], *[pa.field(*x) for x in extra]])
+            yield record(schema, [*own.values(), n, hit, [sorted(x) for x in items], [[{"first": a, "stop": b} for a, b in x] for x in spans]])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return docs.mapInArrow(run, f"{fields}, n_words long, n_hit long, items array<string>, spans {SPANS}")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    added = ", ".join(f"`{names[c]}` {t}" for c, t in zip(ADDED, ("long", "long", "array<string>", SPANS), strict=True))
+    return found.mapInArrow(run, f"{fields}, {added}")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,23 +187,13 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[last:]])
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "spans", size: int = WINDOW) -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "spans", size: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with the hit spans cut out of their texts (mode "spans") or without the documents hit (mode "documents")."""
     if mode not in ("spans", "documents"):
         raise ValueError(f"mode {mode!r} is neither spans nor documents")
-    found = hits(docs, benchmark, size)
-    if mode == "documents":
-        return found.where("n_hit = 0").select(*docs.columns)
-    schema = docs.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _ in slices(batches):
-            if any(batch.column("n_hit").to_pylist()):
-                texts = [without(t, [(s["first"], s["stop"]) for s in x]) if x else t for t, x in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
-                batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, type=batch.schema.field("text").type))
-            yield batch.select(schema.names)
-
-    return found.mapInArrow(run, schema)
+    names = {c: fresh(c, docs.columns) for c in ADDED}
+    found = _passes(docs, benchmark, names, size, block_words, mode == "spans")
+    return (found if mode == "spans" else found.where(F.col(names["n_hit"]) == 0)).select(*docs.columns)
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:
