@@ -1,10 +1,13 @@
 """LM scoring by a hierarchical Pitman-Yor model of word pairs.
 
 Restaurants: one for each context (the word before, or the begin of a text), all sharing one parent, the restaurant without
-context, whose base is uniform over the V training tokens and one unknown. A sweep of Gibbs sampling draws the tables of every
-dish of every context restaurant from its conditional given the rest of the last sweep (see ``seating``); their tables are
-the parent's customers, whose tables are drawn in turn. After BURN_IN sweeps each sweep is a sample; the predictive
-probabilities of the samples are averaged. Discounts come from the counts of counts at each level.
+context, whose base is uniform over the V training tokens and one unknown. A sweep of Gibbs sampling draws the parent's measure
+given its seating, then, given that measure, a gamma variable of each context restaurant and the tables of all its dishes,
+exactly and independently (see ``seating``): context restaurants do not depend on each other but through the measure, so a
+block of them is drawn at once without standing in for a sequence. Their tables are the parent's customers, whose tables are drawn in
+the same way. One thing is not exact: the part of the parent's measure that has no table yet is spread over the words as the base
+is, at its mean. After BURN_IN sweeps each sweep is a sample; the predictive probabilities of the samples are averaged;
+``perplexity`` is of those. Discounts come from the counts of counts at each level; strengths are fixed.
 
 Tokens are the words of a text, A-Z lower-cased, and one end.
 
@@ -18,10 +21,11 @@ Data flow (all arrays are packed blobs, a row for each chunk, bucket or block, s
 * slices: the state of a sweep (tables of contexts; customers and tables of words) cut by id modulo G. A block meets its two
   slices by key, draws, and adds up its tables for each of them. Nothing that grows with the corpus is broadcast or
   collected; the driver holds a dozen totals.
-* scores: blocks and slices reply to the chunks that asked, and each chunk adds up its documents.
+* scores: blocks and slices reply to the chunks that asked, and each chunk adds up its documents; a task has a few chunks.
 
-Draws are seeded by (seed, sweep, block), so a task that runs again repeats them, and the last pass redraws the samples'
-tables in place of storing them. Word ids take 32 bits: beyond 2**32 - 2 distinct training words it raises.
+Draws are seeded by (seed, sweep, block or slice), so a task that runs again repeats them, and the last pass redraws the samples'
+tables in place of storing them. Ids go by count, then by the word's bytes, so they do not depend on how files are cut.
+Word ids take 32 bits: beyond 2**32 - 2 distinct training words it raises.
 
 Cases: null and empty texts are one end token; a word that no training text has is unknown (probability of the
 uniform base's unknown, by the parent); without training texts all probabilities are 1; null ids count as training rows
@@ -31,7 +35,7 @@ uniform base's unknown, by the parent); without training texts all probabilities
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -41,8 +45,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import packed, record, remainder, slices, stored, table, unpacked
-from reciprospark.llm.seating import tables
+from reciprospark.llm.common import discard, packed, record, remainder, slices, stored, table, unpacked
+from reciprospark.llm.seating import restaurant_masses, root_masses, tables
 
 CHUNK_BYTES, BLOCK_TOKENS, BUCKET_WORDS = 16 << 20, 2_000_000, 200_000
 #: Blocks' sums for a slice that meet in one task.
@@ -60,6 +64,7 @@ class Sizes:
     grid: int
     buckets: int
     ids: int  # ids are below it
+    chunks: int = 1
 
     @property
     def slice_len(self) -> int:
@@ -134,8 +139,8 @@ def vocabulary(rows: DataFrame, buckets: int) -> DataFrame:
             total.append(unpacked(r.counts, np.int64))
         c = np.bincount(np.concatenate(local), weights=np.concatenate(total), minlength=len(known)).astype(np.int64)
         bucket, first = int(f.bucket.iloc[0]), int(f.bucket.iloc[0] == 0)  # bucket 0 leaves its first id to SPECIAL
-        rank = np.empty(len(c), dtype=np.int64)
-        rank[np.argsort(-c, kind="stable")] = np.arange(len(c))
+        rank, names = np.empty(len(c), dtype=np.int64), list(known)
+        rank[sorted(range(len(c)), key=lambda k: (-c[k], names[k]))] = np.arange(len(c))
         ids = np.where(c > 0, 1 + bucket + buckets * (rank + first), UNKNOWN)
         if len(ids) and ids.max() >= 1 << 32:
             raise ValueError("more distinct training words than 32-bit ids")
@@ -243,14 +248,18 @@ def blocks(rows: DataFrame, replies: DataFrame, size: Sizes) -> DataFrame:
 
 @dataclass(frozen=True)
 class Sweep:
-    """What the driver knows of a sweep: the discounts, the parent's totals, and the state of SPECIAL."""
+    """What the driver knows of a sweep: the discounts, the parent's totals, the state of SPECIAL, and what it draws for the next sweep."""
 
+    number: int
     discount: float
     parent_discount: float
     base: float
     customers: int
     tables: int
     special: tuple[float, float]  # tables of the begin context; probability of the end by the parent
+    masses: float = 1.0  # of the parent's measure: the sum of all, before division
+    rest: float = 0.0  # of that, the part without a table
+    root: float = 1.0  # d g of the parent restaurant
 
     def parent(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
         mass = (STRENGTH + self.parent_discount * self.tables) * self.base
@@ -263,10 +272,25 @@ def _at_blocks(state: DataFrame, grid: int) -> DataFrame:
     return state.withColumn("_o", other).withColumn("block", F.when(F.col("kind") == "u", F.col("idx") * grid + F.col("_o")).otherwise(F.col("_o") * grid + F.col("idx")).cast("int")).drop("_o")
 
 
-def _drawn(block: int, number: int, keys2: np.ndarray, c2: np.ndarray, t_u: np.ndarray, p_w: np.ndarray, discount: float, grid: int, seed: int) -> np.ndarray:
-    """The tables of a block's pairs of two or more customers, given the slices of the sweep before."""
+_BLOCK, _CONTEXTS, _WORDS, _ROOT, _DRIVER = range(5)  # what a draw is for
+
+
+def _rng(seed: int, number: int, what: int, index: int = 0) -> np.random.Generator:
+    return np.random.default_rng([seed, number, what, index])
+
+
+def _drawn(block: int, keys2: np.ndarray, c2: np.ndarray, state: pd.DataFrame, last: Sweep, grid: int, seed: int) -> np.ndarray:
+    """The tables of a block's pairs of two or more customers, given its slices of the sweep before."""
     iu, iw = _local(keys2, grid)
-    return tables(c2, (STRENGTH + discount * t_u[iu]) * p_w[iw], discount, np.random.default_rng([seed, number, block]))
+    by = {r.kind: r for r in state.itertuples(index=False)}
+    contexts = restaurant_masses(unpacked(by["u"].a, np.int64), STRENGTH, last.discount, _rng(seed, last.number + 1, _CONTEXTS, int(by["u"].idx)))
+    words = _measure(by["w"], last, seed) / last.masses + last.rest / last.masses * last.base
+    return tables(c2, contexts[iu] * words[iw], last.discount, _rng(seed, last.number + 1, _BLOCK, block))
+
+
+def _measure(row, last: Sweep, seed: int) -> np.ndarray:
+    """The parent's measure of a slice's words, not yet divided by the sum of all."""
+    return root_masses(unpacked(row.a, np.int64), unpacked(row.b, np.int64), last.parent_discount, _rng(seed, last.number + 1, _WORDS, int(row.idx)))
 
 
 STATE = "kind string, idx int, a binary, b binary, sum_a long, sum_b long, ones long, twos long, special double, special_b double"
@@ -280,7 +304,7 @@ def _total(parts) -> np.ndarray:
     return sum((unpacked(b, np.int64) for b in parts), 0)
 
 
-def _state(added: DataFrame, singles: DataFrame | None, number: int, last: Sweep | None, seed: int, grid: int) -> DataFrame:
+def _state(added: DataFrame, singles: DataFrame | None, last: Sweep | None, seed: int, grid: int) -> DataFrame:
     """Sum what blocks add for each slice (kind, idx, part); draw the tables of the parent's words."""
 
     def total(f: pd.DataFrame) -> pd.DataFrame:
@@ -288,8 +312,7 @@ def _state(added: DataFrame, singles: DataFrame | None, number: int, last: Sweep
         a = _total(f["part"])
         b = np.minimum(a, 1)
         if kind == "w" and last is not None:
-            q = (STRENGTH + last.parent_discount * last.tables) * last.base
-            b = tables(a, np.full(len(a), q), last.parent_discount, np.random.default_rng([seed, number, 1 << 30, idx]))
+            b = tables(a, np.full(len(a), last.root * last.base), last.parent_discount, _rng(seed, last.number + 1, _ROOT, idx))
         special = idx == 0 and len(a) > 0
         return pd.DataFrame([(kind, idx, packed(a), packed(b), int(a.sum()), int(b.sum()), int((a == 1).sum()), int((a == 2).sum()), float(a[0]) if special else None, float(b[0]) if special else None)], columns=_STATE)
 
@@ -305,16 +328,25 @@ def _state(added: DataFrame, singles: DataFrame | None, number: int, last: Sweep
     return added.groupBy("kind", "idx").applyInPandas(total, STATE)
 
 
-def _known(state: DataFrame, discount: float, parent_discount: float | None, base: float) -> Sweep:
+def _known(state: DataFrame, number: int, discount: float, parent_discount: float | None, base: float, seed: int) -> Sweep:
     """The totals of a state; parent_discount None: from its counts of counts."""
     row = {r.kind: r for r in state.groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("sum_a", "sum_b", "ones", "twos", "special", "special_b")]).collect()}
     w, u = row.get("w"), row.get("u")
     if w is None:
-        return Sweep(discount, 0.5, base, 0, 0, (0.0, base))
+        return Sweep(number, discount, 0.5, base, 0, 0, (0.0, base))
     d = parent_discount if parent_discount is not None else _discount(w.ones, w.twos)
-    out = Sweep(discount, d, base, w.sum_a, w.sum_b, (u.special or 0.0, 0.0))
+    out = Sweep(number, discount, d, base, w.sum_a, w.sum_b, (u.special or 0.0, 0.0))
     end = float(out.parent(np.array([w.special or 0.0]), np.array([w.special_b or 0.0]))[0])
-    return Sweep(discount, d, base, w.sum_a, w.sum_b, (u.special or 0.0, end))
+
+    def masses(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"idx": f.idx, "mass": [float(_measure(r, out, seed).sum()) for r in f.itertuples(index=False)]})
+
+    parts = state.where("kind = 'w'").select("idx", "a", "b").mapInPandas(masses, "idx int, mass double").collect()  # a number for each slice
+    rng = _rng(seed, number + 1, _DRIVER)
+    rest = float(rng.standard_gamma(STRENGTH + d * w.sum_b))
+    root = float(restaurant_masses(np.array([float(w.sum_b)]), STRENGTH, d, rng)[0])
+    return replace(out, special=(u.special or 0.0, end), masses=rest + sum(p.mass for p in sorted(parts)), rest=rest, root=root)
 
 
 def _discount(ones: int, twos: int) -> float:
@@ -341,27 +373,27 @@ def sampled(pairs: DataFrame, size: Sizes, burn_in: int, samples: int, seed: int
                 out += _sums(r.block, _undelta(r.keys2), None, grid, size.slice_len)
             yield pd.DataFrame(out, columns=["kind", "idx", "from", "part"])
 
-    singles = stored(_state(once(pairs.select("block", "once_u", "once_w")), None, 0, None, seed, grid).select("kind", "idx", F.lit(0).alias("from"), F.col("a").alias("part")), "singles")
+    singles = stored(_state(once(pairs.select("block", "once_u", "once_w")), None, None, seed, grid).select("kind", "idx", F.lit(0).alias("from"), F.col("a").alias("part")), "singles")
     heavy = stored(pairs.select("block", "keys2", "counts2"), "heavy")
-    states = [stored(_state(heavy.mapInPandas(begin, PARTS), singles, 0, None, seed, grid), "state")]
-    sweeps = [_known(states[0], discount, None, base)]
+    states = [stored(_state(heavy.mapInPandas(begin, PARTS), singles, None, seed, grid), "state")]
+    sweeps = [_known(states[0], 0, discount, None, base, seed)]
     for number in range(1, burn_in + samples + 1):
         near = _at_blocks(states[-1].select("kind", "idx", "a", "b"), grid)
-        added = heavy.groupBy("block").cogroup(near.groupBy("block")).applyInPandas(_drawing(number, sweeps[-1], size, seed), PARTS)
-        states.append(stored(_state(added, singles, number, sweeps[-1], seed, grid), "state"))
-        sweeps.append(_known(states[-1], discount, sweeps[-1].parent_discount, base))
+        added = heavy.groupBy("block").cogroup(near.groupBy("block")).applyInPandas(_drawing(sweeps[-1], size, seed), PARTS)
+        states.append(stored(_state(added, singles, sweeps[-1], seed, grid), "state"))
+        sweeps.append(_known(states[-1], number, discount, sweeps[-1].parent_discount, base, seed))
+    discard(singles, heavy)
     return states, sweeps
 
 
-def _drawing(number: int, last: Sweep, size: Sizes, seed: int):
+def _drawing(last: Sweep, size: Sizes, seed: int):
     """A sweep of the context restaurants: what each block's tables add to its slices."""
 
     def draw(block: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in block.itertuples(index=False):
-            t_u, p_w = _slices(state, last)
             keys2 = _undelta(r.keys2)
-            t = _drawn(int(r.block), number, keys2, unpacked(r.counts2, np.int64), t_u, p_w, last.discount, size.grid, seed)
+            t = _drawn(int(r.block), keys2, unpacked(r.counts2, np.int64), state, last, size.grid, seed)
             out += _sums(r.block, keys2, t, size.grid, size.slice_len)
         return pd.DataFrame(out, columns=["kind", "idx", "from", "part"])
 
@@ -383,7 +415,7 @@ def _by_bucket(grid: int, buckets: int):
 
 
 def _slices(state: pd.DataFrame, sweep: Sweep) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of the contexts, and the parent's probabilities of the words, of a block's two slices."""
+    """Tables of the contexts, and the parent's predictive probabilities of the words, of two slices."""
     by = {r.kind: r for r in state.itertuples(index=False)}
     return unpacked(by["u"].a, np.int64), sweep.parent(unpacked(by["w"].a, np.int64), unpacked(by["w"].b, np.int64))
 
@@ -415,7 +447,7 @@ def scores(rows: DataFrame, replies: DataFrame, pairs: DataFrame, states: list[D
             keys, c = _undelta(r.keys), unpacked(r.counts, np.int64)
             more, t = c > 1, np.minimum(c, 1).astype(float)
             if more.any():
-                t[more] = np.mean([_drawn(int(r.block), k, keys[more], c[more], *_slices(state[state.number == k - 1], sweeps[k - 1]), sweeps[k - 1].discount, grid, seed) for k in kept], axis=0)
+                t[more] = np.mean([_drawn(int(r.block), keys[more], c[more], state[state.number == k - 1], sweeps[k - 1], grid, seed) for k in kept], axis=0)
             weight = (c - sweeps[-1].discount * t).astype(np.float32)
             out += [(a["chunk"], "pair", int(r.block), packed(weight[unpacked(a["at"], np.uint32)]), b"") for a in r.asked]
         return pd.DataFrame(out, columns=["chunk", "kind", "part", "x", "y"])
@@ -468,23 +500,30 @@ def scores(rows: DataFrame, replies: DataFrame, pairs: DataFrame, states: list[D
             out.append(pd.DataFrame({"doc_id": pd.array([None if i is None or i != i else int(i) for i in r.doc_ids], dtype="Int64"), "held_out": np.array(r.held, dtype=bool), "n_tokens": lens, "n_known": cut((c > 0).astype(np.int64)), "train_tokens": size.train, "base_score": cut(np.log10((c + 1) / base_total)), "score": cut(logp)}))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    own = rows.select("chunk", "doc_ids", "held", "lens", "words", "ids")
+    own = rows.select("chunk", "doc_ids", "held", "lens", "words", "ids").repartition(size.chunks, "chunk")
+    all_replies = all_replies.repartition(size.chunks, "chunk")
     return own.groupBy("chunk").cogroup(all_replies.groupBy("chunk")).applyInPandas(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def scored(docs: DataFrame, held: Column, burn_in: int = BURN_IN, samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
     """Learn from the texts of docs (doc_id, text) that are not held out, and score all of them."""
     rows = stored(chunks(docs.select("doc_id", "text", held.alias("held"))), "chunks")
-    n = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_tokens", "n_train", "n_texts", "n_distinct")]).first()
+    n = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_tokens", "n_train", "n_texts", "n_distinct")], F.count("*").alias("n_chunks")).first()
     grid = max(1, int(np.ceil(np.sqrt(n.n_tokens / BLOCK_TOKENS))))
     buckets = grid * max(1, int(np.ceil(n.n_distinct / BUCKET_WORDS / grid)))
     replies = stored(vocabulary(rows, buckets), "vocabulary")
     v = replies.where("chunk is null").agg(F.sum("v").alias("v"), F.max("top").alias("top")).first()
-    size = Sizes(n.n_tokens, n.n_texts, n.n_train, (v.v or 0) + (n.n_texts > 0), grid, buckets, max(v.top or 0, 2))
+    size = Sizes(n.n_tokens, n.n_texts, n.n_train, (v.v or 0) + (n.n_texts > 0), grid, buckets, max(v.top or 0, 2), max(n.n_chunks, 1))
     pairs = stored(blocks(rows, replies, size), "blocks")
     states, sweeps = sampled(pairs, size, burn_in, samples, seed)
     return scores(rows, replies, pairs, states, sweeps, size, burn_in, seed)
 
 
+def perplexity(scores_: DataFrame) -> DataFrame:
+    """held_out, n_texts, n_tokens and the perplexity of what scored() gives: of the averaged predictive probabilities, ends included."""
+    out = scores_.groupBy("held_out").agg(F.count("*").alias("n_texts"), F.sum("n_tokens").alias("n_tokens"), F.sum("score").alias("s"))
+    return out.select("held_out", "n_texts", "n_tokens", F.pow(F.lit(10.0), -F.col("s") / F.col("n_tokens")).alias("perplexity"))
+
+
 def op1_pitman_yor(spark, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 2)

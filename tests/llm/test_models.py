@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.llm.conftest import DOCS, prose
 
-from reciprospark.llm import lm, outliers, quotes, rules, toxicity, urls
+from reciprospark.llm import lm, outliers, quotes, rules, seating, toxicity, urls
 from reciprospark.llm.common import stored
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -43,14 +43,96 @@ def test_lm_scores(spark, odd_docs, folder, monkeypatch, small):
 
 
 def test_lm_is_a_distribution(spark):
-    """The probabilities of all one-word texts after a known context, with the unknown word, add up to one."""
+    """The probabilities of what may follow a context add up to one: those after a word give the chances that a text ends there, which those after the begin must agree with."""
     docs = [(k, t, "en", "s", 1) for k, t in enumerate(["a b a c", "a b", "c a b", "b"] * 3)]
     train = spark.createDataFrame(docs, DOCS).select("doc_id", "text", F.lit(False).alias("held"))
-    asked = spark.createDataFrame([(100 + k, t, True) for k, t in enumerate(["a", "b", "c", "zzz", ""])], "doc_id long, text string, held boolean")
-    got = {r.doc_id: r.score for r in lm.scored(train.unionByName(asked), F.col("held")).where("doc_id >= 100").collect()}
-    first = {k: 10 ** got[100 + k] for k in range(5)}
-    # P(word) P(end | word): recover P(word) from texts "word word'" is not needed: bound by the sum
-    assert 0 < sum(first.values()) < 1.0 and first[4] < first[1]
+    names = ["a", "b", "c", "zzz"]
+    texts = ["", *names, *[f"{x} {y}" for x in names for y in names]]
+    asked = spark.createDataFrame([(100 + k, t, True) for k, t in enumerate(texts)], "doc_id long, text string, held boolean")
+    got = {texts[r.doc_id - 100]: 10**r.score for r in lm.scored(train.unionByName(asked), F.col("held")).where("doc_id >= 100").collect()}
+    one = np.array([got[x] for x in names])  # P(x) P(end | x)
+    two = np.array([[got[f"{x} {y}"] for y in names] for x in names])
+    chance = np.linalg.solve(np.diag(one) - two, one)  # 1 / P(end | x), if what follows each x adds up to one
+    assert (chance > 1).all() and (one * chance).sum() + got[""] == pytest.approx(1, abs=1e-5)
+
+
+def test_perplexity(spark):
+    rows = spark.createDataFrame([(True, 2, -3.0), (True, 4, -3.0), (False, 1, -1.0)], "held_out boolean, n_tokens long, score double")
+    assert {r.held_out: (r.n_texts, r.n_tokens, r.perplexity) for r in lm.perplexity(rows).collect()} == {True: (2, 6, pytest.approx(10.0)), False: (1, 1, pytest.approx(10.0))}
+
+
+def test_scores_do_not_depend_on_files(spark):
+    docs = spark.createDataFrame([(k, prose(k % 9, 30 + k), k % 5 == 0) for k in range(40)], "doc_id long, text string, held boolean")
+    one, many = ({r.doc_id: r.score for r in lm.scored(docs.repartition(n, "doc_id"), F.col("held")).collect()} for n in (1, 5))
+    assert one == pytest.approx(many, rel=1e-6)
+
+
+def seat_by_seat(n, d, d0, base, sweeps, seed):
+    """Mean tables of each dish, and of each of the root's, by moving one customer at a time."""
+    r, rest, root = random.Random(seed), [[[] for _ in row] for row in n], [[] for _ in n[0]]
+
+    def chosen(sizes, weights, new):
+        x = r.random() * (new + sum(weights))
+        for k, w in enumerate(weights):
+            x -= w
+            if x < 0:
+                return k
+        sizes.append(0)
+        return len(sizes) - 1
+
+    def enter(sizes, discount, new):
+        k = chosen(sizes, [z - discount for z in sizes], new)
+        sizes[k] += 1
+        return sizes[k] == 1
+
+    def leave(sizes):
+        k = chosen(sizes, list(sizes), 0)
+        sizes[k] -= 1
+        if not sizes[k]:
+            del sizes[k]
+            return True
+        return False
+
+    def new_in_root():
+        return (1 + d0 * sum(map(len, root))) * base
+
+    def add(u, w):
+        p = (sum(root[w]) - d0 * len(root[w]) + new_in_root()) / (1 + sum(map(sum, root)))
+        if enter(rest[u][w], d, (1 + d * sum(map(len, rest[u]))) * p):
+            enter(root[w], d0, new_in_root())
+
+    def remove(u, w):
+        if leave(rest[u][w]):
+            leave(root[w])
+
+    customers = [(u, w) for u, row in enumerate(n) for w, c in enumerate(row) for _ in range(c)]
+    for u, w in customers:
+        add(u, w)
+    tables, roots = np.zeros(np.shape(n)), np.zeros(len(n[0]))
+    for k in range(sweeps):
+        for u, w in customers:
+            remove(u, w)
+            add(u, w)
+        if k >= 50:
+            tables += [[len(x) for x in row] for row in rest]
+            roots += [len(x) for x in root]
+    return tables / (sweeps - 50), roots / (sweeps - 50)
+
+
+def test_blocks_are_seated_as_seat_by_seat():
+    n, d, d0, base = np.array([[9, 3, 1, 0], [2, 8, 2, 1], [0, 1, 6, 4]]), 0.6, 0.5, 0.2
+    want = seat_by_seat(n.tolist(), d, d0, base, 3000, 1)
+    rng, t, roots = np.random.default_rng(2), np.minimum(n, 1), np.ones(4, dtype=np.int64)
+    c, total, total_root, sweeps = t.sum(0), np.zeros(n.shape), np.zeros(4), 3000
+    for k in range(sweeps):
+        mass, rest = seating.root_masses(c, roots, d0, rng), rng.standard_gamma(1 + d0 * roots.sum())
+        p = (mass + rest * base) / (mass.sum() + rest)
+        t = seating.tables(n.ravel(), (seating.restaurant_masses(t.sum(1), 1.0, d, rng)[:, None] * p).ravel(), d, rng).reshape(n.shape)
+        c = t.sum(0)
+        roots = seating.tables(c, np.full(4, seating.restaurant_masses(np.array([roots.sum()]), 1.0, d0, rng)[0] * base), d0, rng)
+        if k >= 50:
+            total, total_root = total + t, total_root + roots
+    assert total / (sweeps - 50) == pytest.approx(want[0], rel=0.05) and total_root / (sweeps - 50) == pytest.approx(want[1], rel=0.05)
 
 
 def test_lm_edges(spark):
@@ -63,32 +145,66 @@ def test_lm_edges(spark):
 # outliers
 
 
+def brute_mcd(x):
+    """The estimate of one group: mean, covariance, rows in the nearest share."""
+    floor = np.diag(np.square(outliers.FLOOR))
+    v = np.rint(x * outliers.VALUES) / outliers.VALUES
+    q = np.array([[np.sort(c)[max(0, math.ceil(share * len(c)) - 1)] for c in v.T] for share in (0.25, 0.5, 0.75)])
+    scale = (q[2] - q[0]) / 1.349
+    z = (x - q[1]) / np.sqrt(scale**2 + np.square(outliers.FLOOR))
+    best = None
+    for m in (np.eye(outliers.P), np.tanh(z).T @ np.tanh(z), (z / np.square(z).sum(1)[:, None]).T @ z):
+        size = np.sqrt(np.diag(m))
+        mean, cov, last, h = q[1], m / size / size[:, None] * scale * scale[:, None], math.inf, 0
+        while True:
+            d = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov + floor), x - mean)
+            step = np.floor(np.log2(d + 1e-6) * outliers.RESOLUTION)
+            near = x[step <= np.sort(step)[math.ceil(outliers.KEPT * len(x)) - 1]]
+            new = near.mean(0), np.cov(near.T, bias=True)
+            det = np.linalg.slogdet(new[1] + floor)[1]
+            if h and det >= last - outliers.FALL:
+                break
+            (mean, cov), last, h = new, det, len(near)
+        if best is None or last < best[0] - 1e-9:
+            best = last, mean, cov, h
+    return best[1:]
+
+
 def test_mcd_against_numpy(spark):
     rng = np.random.default_rng(1)
-    x = rng.normal(size=(400, outliers.P)) * 0.2 + 1
+    mix = rng.normal(size=(outliers.P, outliers.P)) * 0.2
+    x = rng.normal(size=(400, outliers.P)) @ mix + 1
     x[:60] += 3
-    rows = spark.createDataFrame([("en", None, *map(float, r)) for r in x], "lang string, source string, " + ", ".join(f"x{i} double" for i in range(outliers.P)))
-    got = outliers.estimated(stored(rows)).collect()
-    assert len(got) == 1 and got[0].n == 400
-
-    def pick(v, share):  # the sketch gives a value of the data
-        return np.sort(v)[max(0, math.ceil(share * len(v)) - 1)]
-
-    mean = np.array([pick(c, 0.5) for c in x.T])
-    cov = np.diag([((pick(c, 0.75) - pick(c, 0.25)) / 1.349) ** 2 for c in x.T])
-    floor = np.diag(np.square(outliers.FLOOR))
-    for step in range(outliers.STEPS):
-        d = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov + floor), x - mean)
-        near = x[d <= pick(d, outliers.KEPT)]
-        mean, cov = near.mean(0), np.cov(near.T, bias=True) * (outliers.CONSISTENCY if step == outliers.STEPS - 1 else 1)
-    inverse = np.linalg.inv(cov + floor)
-    assert [got[0][f"m{i}"] for i in range(outliers.P)] == pytest.approx(mean.tolist())
-    assert [got[0][f"v{i}_{j}"] for i, j in outliers.PAIRS] == pytest.approx([inverse[i, j] for i, j in outliers.PAIRS])
-    d = np.einsum("ni,ij,nj->n", x - mean, inverse, x - mean)
-    assert (d[:60] > outliers.CUT).all() and (d[60:] < outliers.CUT).all()
+    small = rng.normal(size=(7, outliers.P)) * 0.1
+    rows = [("en", None, *map(float, r)) for r in x] + [("fr", "s", *map(float, r)) for r in small]
+    rows = stored(spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"x{i} double" for i in range(outliers.P))).withColumn("base_failed", F.lit(False)))
+    found = {(r.level, r.lang): r for r in outliers.estimated(rows).collect()}
+    want = {(0, "en"): x, (1, "en"): x, (0, "fr"): small, (1, "fr"): small, (2, None): np.concatenate([x, small])}
+    assert found.keys() == want.keys()
+    fits = {k: brute_mcd(v) for k, v in want.items()}
+    for k, r in found.items():
+        mean, cov, h = fits[k]
+        assert (r.n, r.h) == (len(want[k]), h) and [r[f"m{i}"] for i in range(outliers.P)] == pytest.approx(mean.tolist(), abs=1e-7)
+        assert [r[f"c{i}_{j}"] for i, j in outliers.PAIRS] == pytest.approx([cov[i, j] for i, j in outliers.PAIRS], abs=1e-7)
+    # small groups are drawn towards larger ones by the same rule
+    drawn = {r.lang: r for r in outliers.fitted(rows).collect()}
+    mean = cov = None
+    for level in (2, 1, 0):
+        key = (level, None if level == 2 else "fr")
+        n, (m, c, h) = len(want[key]), fits[key]
+        c = c * outliers.consistency(h / n)
+        mean, cov = (m, c) if mean is None else ((n * m + outliers.PRIOR * mean) / (n + outliers.PRIOR), (n * c + outliers.PRIOR * cov) / (n + outliers.PRIOR))
+    assert [drawn["fr"][f"m{i}"] for i in range(outliers.P)] == pytest.approx(mean.tolist(), abs=1e-6)
+    got = outliers.verdicts(rows, outliers.fitted(rows)).where("lang = 'en'").collect()
+    assert sum(not r.kept for r in got) >= 60 and all(not r.kept for r in got if r.x0 > x[60:, 0].max() and r.distance > outliers.CUT)
+    d = np.array([r.distance for r in got])
+    far = np.array([min(np.abs(np.array([r[c] for c in outliers.X]) - y).max() for y in x[:60]) < 1e-9 for r in got])
+    assert (d[far] > outliers.CUT).all() and (d[~far] < outliers.CUT).all()
 
 
 def test_chi_square():
+    logs = np.log(np.random.default_rng(0).chisquare(6, 200_000))
+    assert outliers.log_chi_square(6) == pytest.approx((logs.mean(), logs.std()), abs=0.01)
     assert outliers.chi_square(outliers.chi_square_bound(0.05, 6), 6) == pytest.approx(0.95)
     assert outliers.chi_square_bound(0.05, 6) == pytest.approx(12.5916, abs=1e-3)
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -275,3 +276,24 @@ def test_tables_follow_their_conditional():
     a, b = seating._few(256, np.full(5000, 200.0), 0.7, rng), seating._many(np.full(5000, 256.0), np.full(5000, 200.0), 0.7, rng)
     assert a.mean() == pytest.approx(b.mean(), rel=0.01) and a.std() == pytest.approx(b.std(), rel=0.1)
     assert seating.tables(np.array([0, 1, 1_000_000]), np.ones(3), 0.5, rng)[:2].tolist() == [0, 1]
+
+
+def test_stirling_numbers_by_contour():
+    for d in (0.1, 0.5, 0.8, 0.95):
+        table = seating.log_stirling(d)
+        for n in (300, 1000):
+            t = np.unique(np.concatenate([np.arange(1, 25), np.geomspace(1, n, 40).astype(int), n - np.arange(5)]))
+            got = seating.log_coefficient(np.full(len(t), n), t, d) + math.lgamma(n + 1) - np.array([math.lgamma(x + 1) for x in t])
+            assert got == pytest.approx(table[n, t], abs=1e-3) and np.median(np.abs(got - table[n, t])) < 1e-8
+
+
+def test_many_customers_follow_their_conditional():
+    """Draws by rejection against the whole distribution, by chi-square."""
+    rng = np.random.default_rng(1)
+    for n, q, d in ((300, 0.05, 0.7), (1000, 60.0, 0.8), (600, 900.0, 0.9), (400, 3.0, 0.3)):
+        w = seating.log_stirling(d)[n, 1 : n + 1] + np.arange(1, n + 1) * math.log(q)
+        w = np.exp(w - w.max())
+        want = 8000 * w / w.sum()
+        got = np.bincount(seating._many(np.full(8000, float(n)), np.full(8000, q), d, rng), minlength=n + 1)[1:]
+        often = want >= 5
+        assert (np.square(got - want)[often] / want[often]).sum() < often.sum() + 5 * math.sqrt(2 * often.sum()) + 3 and got[~often].sum() < 200
