@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,8 +31,8 @@ from reciprospark.llm.common import record, slices, table
 NONE = 1 << 62
 #: ASCII, Latin letters and general punctuation, for which all versions of Unicode in use agree.
 _COMMON = regex.compile("[\\x00-\u024f\u2010-\u2027]*+")
-#: Pretokens whose ids a worker remembers at most; beyond it starts anew.
-REMEMBERED = 500_000
+#: Bytes of pretokens and their ids that a worker remembers in each of two generations; when the young one is full, the old one goes.
+REMEMBERED_BYTES = 32 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -114,7 +115,10 @@ class Codec:
         self.text = {k: t for t, k in self.ids.items()} | {k: t for t, k in self.special.items()}
         self.alphabet = byte_alphabet()
         self.path, self.tables, self.byte = path, None, {}
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.spaced = {k: f" {t}".encode() for k, t in self.text.items()}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def pretokens(self, text: str) -> list[str]:
         """Normalised and cut. Scripts whose characters differ between versions of Unicode are left to the library's own tables."""
@@ -133,24 +137,27 @@ class Codec:
         symbols[-1] += self.end
         return [k for s in merge_ranks(symbols, self.ranks) if (k := self.ids.get(s)) is not None]
 
-    def remembered(self, word: str) -> tuple[bytes, bytes]:
-        """Packed ids of a pretoken, and their tokens joined as decode() does, by blanks."""
+    def remembered(self, word: str) -> bytes:
+        """Packed ids of a pretoken."""
         if (out := self.known.get(word)) is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = self.of_pretoken(word)
-            out = self.known[word] = (np.array(ids, dtype="<u4").tobytes(), "".join(f" {self.text[k]}" for k in ids).encode())
+            if (out := self.older.get(word)) is None:
+                out = struct.pack(f"<{len(ids := self.of_pretoken(word))}I", *ids)
+            self.held += 200 + len(word) + len(out)  # and what Python's objects take
+            if self.held > REMEMBERED_BYTES:
+                self.older, self.known, self.held = self.known, {}, 0
+            self.known[word] = out
         return out
 
     def packed(self, text: str) -> tuple[bytes, bytes]:
         """The ids of a text as little-endian unsigned 32-bit integers, and its decoded text in UTF-8."""
-        found: list[tuple[bytes, bytes]] = []
-        for k, part in enumerate(self.specials.split(text) if self.specials and "<|" in text else [text]):
+        found: list[bytes] = []
+        for k, part in enumerate(self.specials.split(text) if self.specials else [text]):
             if k % 2:
-                found.append((self.special[part].to_bytes(4, "little"), f" {part}".encode()))
+                found.append(self.special[part].to_bytes(4, "little"))
             else:
                 found += map(self.remembered, self.pretokens(part))
-        return b"".join(x[0] for x in found), b"".join(x[1] for x in found)[1:]
+        ids = b"".join(found)
+        return ids, b"".join(map(self.spaced.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))[1:]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text)[0], dtype="<u4").tolist()

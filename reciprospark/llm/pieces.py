@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from reciprospark.llm.bpe import byte_alphabet
 from reciprospark.llm.common import record, slices, table
 
-REMEMBERED = 500_000
+#: Distinct words that a worker remembers the counts of; beyond it starts anew.
+REMEMBERED = 100_000
 
 
 class Automaton:
