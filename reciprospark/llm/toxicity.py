@@ -1,20 +1,23 @@
 """Toxicity by weak supervision: many voters, a generative model of their votes, and a linear classifier.
 
-Voters. Lexicon voters are words and word beginnings mined from labelled rows: those whose share among toxic documents is
-LIFT times that among others, counted by partial aggregation over the labelled rows. Pattern voters look at the
-form of a text (shouting, runs of "!", address in the second person beside an insult). A voter votes or abstains.
+Voters. Lexicon voters are words and word beginnings mined from labelled rows: all those in at least LEAST toxic documents whose
+share among toxic documents is LIFT times that among others, counted by partial aggregation over the labelled rows. Pattern
+voters look at the form of a text (shouting, runs of "!", address in the second person beside an insult).
 
-Label model. A generative model with the rate of each voter in both classes (its accuracy) and the correlations of the
-votes within the classes, fitted by expectation maximisation from the labelled sample, whose labels are one more, trusted
-voter. Voters that are correlated share their evidence instead of counting twice; a voter that abstains tells nothing.
+Label model. The class of a document is not observed; given it, the votes are a tree: a voter votes by its own rate in
+the class (its accuracy) and, where it hangs on another voter, by a log odds ratio with that one's vote (their correlation,
+shared by both classes), so that voters that go together do not count twice. Edges are the spanning forest of greatest
+mutual information within the classes, of those beyond the chi-square bound EDGE. All is fitted by expectation maximisation on the
+votes alone; labels are no voters. They give the share of the class, and, as PSEUDO pseudo-documents, the rates that voters begin with.
 
 Classifier. A logistic regression on the votes and their number, trained on the posterior labels; its weights score every
-whole text in one narrow pass.
+whole text in one narrow pass. LEAST, LIFT and the penalty were chosen by cross-validation on rows that may be learned from.
 
-The labelled sample has at most SAMPLE rows and at most VOTERS voters are kept: bounds on what comes to the driver.
+The labelled sample has at most SAMPLE rows, which bounds what comes to the driver; every voter that qualifies is kept.
 
-Cases: null and empty texts have no votes; labels other than 0 and 1, or null, are not learned from; without both classes
-the score is the share of the one, or a half without any; repeated rows are each scored; other columns are passed through.
+Cases: null and empty texts have no votes; labels other than 0 and 1, or null, are not learned from; of several labels of one id
+the least counts; without both classes the score is the share of the one, or a half without any; repeated rows are each
+scored; other columns are passed through, but for score and n_votes, which are replaced.
 """
 
 from __future__ import annotations
@@ -31,10 +34,10 @@ from pyspark.sql import functions as F
 from reciprospark.llm.common import record, remainder, slices, stored, table
 from reciprospark.llm.rules import labelled
 
-SAMPLE, VOTERS, LIFT, LEAST, BEGINS = 20_000, 96, 12.0, 4, (4, 5, 6, 7)
+SAMPLE, LIFT, LEAST, BEGINS, PSEUDO, EDGE, PENALTY = 20_000, 24.0, 4, (4, 5, 6, 7), 20.0, 10.83, 1e-4
 PATTERNS = ("p_shouting", "p_exclaims", "p_second_person", "p_stars")
 _SECOND = frozenset(("you", "your", "du", "dein", "tu", "toi", "usted", "eres"))
-_KNOWN = 300_000
+_KNOWN = 100_000
 _CUT = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -55,7 +58,7 @@ def patterns(text: bytes, words: set[str]) -> tuple[float, ...]:
 
 
 def mined(sample: DataFrame) -> list[str]:
-    """Terms of the sample (text, y) that go with the toxic class, strongest first; at most VOTERS."""
+    """Terms of the sample (text, y) that go with the toxic class, strongest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -71,18 +74,21 @@ def mined(sample: DataFrame) -> list[str]:
     found = sample.select("text", "y").mapInArrow(run, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     share = (F.col("toxic") + 0.1) / (sizes.toxic + 0.2) / ((F.col("clean") + 0.1) / (sizes.clean + 0.2))
     strength = F.log(share) * F.sqrt("toxic")
-    top = found.where((F.col("toxic") >= LEAST) & (share >= LIFT)).orderBy(strength.desc(), "term").limit(20 * VOTERS).collect()
-    kept: list[str] = []
-    covered: dict[str, tuple[int, int]] = {}
-    for r in top:  # a longer term adds nothing to a kept beginning of it, nor a beginning to a kept term that has its documents
-        longer = any(k.endswith("*") and r.term.rstrip("*").startswith(k[:-1]) for k in kept)
-        same = r.term.endswith("*") and any(k.rstrip("*").startswith(r.term[:-1]) and covered[k][0] >= 0.8 * r.toxic for k in kept)
+    rows = found.where((F.col("toxic") >= LEAST) & (share >= LIFT)).orderBy(strength.desc(), "term").collect()  # terms of the bounded sample
+    kept: dict[str, int] = {}
+    begins: set[str] = set()  # kept beginnings
+    under: dict[str, int] = {}  # the most toxic rows of a kept term that begins so
+    for r in rows:  # a longer term adds nothing to a kept beginning of it, nor a beginning to a kept term that has its documents
+        stem = r.term.rstrip("*")
+        longer = any(stem[:n] in begins for n in range(1, len(stem) + 1))
+        same = r.term.endswith("*") and under.get(stem, 0) >= 0.8 * r.toxic
         if not longer and not same:
-            kept.append(r.term)
-            covered[r.term] = (r.toxic, r.clean)
-        if len(kept) == VOTERS:
-            break
-    return kept
+            kept[r.term] = r.toxic
+            if r.term.endswith("*"):
+                begins.add(stem)
+            for n in range(1, len(stem) + 1):
+                under[stem[:n]] = max(under.get(stem[:n], 0), r.toxic)
+    return list(kept)
 
 
 @dataclass
@@ -108,38 +114,91 @@ class Voters:
         return out
 
 
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
 @dataclass(frozen=True)
 class LabelModel:
-    """prior: log odds of the class; accuracy: log ratio of a voter's rates in both classes; silence: that of no vote at all;
-    shared: correlations of the votes within the classes, negative ones as 0."""
+    """prior: log odds of the toxic class; parent: the voter that each one hangs on, or -1; alone: log odds of a vote while the
+    parent does not vote, for the clean and the toxic class; together: what a vote of the parent adds, in both."""
 
     prior: float
-    accuracy: np.ndarray
-    silence: float
-    shared: np.ndarray
+    parent: np.ndarray
+    alone: np.ndarray
+    together: np.ndarray
 
     def odds(self, v: np.ndarray) -> np.ndarray:
-        """Log odds of the toxic class. A vote counts by its accuracy, divided by 1 and its correlations with the other votes cast."""
-        cast = v.sum(axis=1) > 0
-        return self.prior + np.where(cast, (v * self.accuracy / (1 + v @ self.shared)).sum(axis=1), self.silence)
+        """Log odds of the toxic class."""
+        above = _above(v, self.parent)
+        out = np.full(len(v), self.prior)
+        for sign, alone in zip((-1, 1), self.alone, strict=True):
+            p = np.clip(logistic(alone + self.together * above), 1e-7, 1 - 1e-7)
+            out += sign * (v * np.log(p) + (1 - v) * np.log(1 - p)).sum(axis=1)
+        return out
 
 
-def label_model(v: np.ndarray, y: np.ndarray, trust: float = 0.97, rounds: int = 10) -> tuple[LabelModel, np.ndarray]:
-    """Expectation maximisation; y: 0, 1 or NaN. A label is one more voter of known accuracy, so what the votes say can correct it. The model, and the posterior labels."""
-    label = np.where(np.isnan(y), 0.0, np.where(y == 1, 1.0, -1.0)) * np.log(trust / (1 - trust))
-    q = np.where(np.isnan(y), np.nanmean(y), np.where(y == 1, trust, 1 - trust))
-    none = v.sum(axis=1) == 0
-    for _ in range(rounds):
-        n1, n0 = q.sum(), (1 - q).sum()
-        toxic, clean = (q @ v + 0.1) / (n1 + 1), ((1 - q) @ v + 0.1) / (n0 + 1)
-        d1, d0 = v - toxic, v - clean
-        cov = ((d1 * q[:, None]).T @ d1 + (d0 * (1 - q)[:, None]).T @ d0) / len(v) + np.diag(np.full(v.shape[1], 1e-6))
-        scale = np.sqrt(np.diag(cov))
-        shared = np.maximum(cov / scale / scale[:, None], 0)
-        np.fill_diagonal(shared, 0)
-        silence = np.log((q @ none + 0.1) / (n1 + 1)) - np.log(((1 - q) @ none + 0.1) / (n0 + 1))
-        model = LabelModel(float(np.log(n1 / n0)), np.log(toxic / clean), float(silence), shared)
-        q = 1 / (1 + np.exp(-np.clip(model.odds(v) + label, -30, 30)))
+def _above(v: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """The votes of each voter's parent; 0 without one."""
+    return np.where(parent >= 0, v[:, np.maximum(parent, 0)], 0)
+
+
+def mutual_information(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Of all pairs of voters, within the classes; q: each row's share in the toxic one."""
+    out = np.zeros((v.shape[1], v.shape[1]))
+    for w in (q, 1 - q):
+        total = w.sum() + 1e-9
+        both = (v * w[:, None]).T @ v / total
+        a = np.diag(both)[:, None]
+        b = a.T
+        for p, expected in ((both, a * b), (a - both, a * (1 - b)), (b - both, (1 - a) * b), (1 - a - b + both, (1 - a) * (1 - b))):
+            ok = (p > 1e-12) & (expected > 1e-300)
+            out += total / len(v) * np.where(ok, p * np.log(np.where(ok, p, 1) / np.where(ok, expected, 1)), 0)
+    return out
+
+
+def forest(information: np.ndarray, n: int) -> np.ndarray:
+    """The parents of the spanning forest of greatest information over n rows, without edges under the bound."""
+    size = len(information)
+    parent, left = np.full(size, -1), np.ones(size, dtype=bool)
+    best, by = np.full(size, -1.0), np.full(size, -1)
+    for _ in range(size):
+        k = int(np.argmax(np.where(left, best, -2.0)))
+        left[k] = False
+        parent[k] = by[k] if 2 * n * best[k] >= EDGE else -1
+        closer = left & (information[k] > best)
+        best[closer], by[closer] = information[k][closer], k
+    return parent
+
+
+def _alone(rate: np.ndarray, above: np.ndarray, together: np.ndarray) -> np.ndarray:
+    """The log odds of a vote without the parent's that give a voter its rate, the parent's rate being above."""
+    low, high = np.full(len(rate), -40.0), np.full(len(rate), 40.0)
+    for _ in range(50):
+        x = (low + high) / 2
+        less = above * logistic(x + together) + (1 - above) * logistic(x) < rate
+        low, high = np.where(less, x, low), np.where(less, high, x)
+    return x
+
+
+def label_model(v: np.ndarray, rates: tuple[np.ndarray, np.ndarray], share: float, rounds: int = 60) -> tuple[LabelModel, np.ndarray]:
+    """Expectation maximisation over votes v, from the voters' rates in the clean and the toxic class and the share of the latter. The model, and the posterior of each row."""
+    prior = float(np.log(share / (1 - share)))
+    size = v.shape[1]
+    model = LabelModel(prior, np.full(size, -1), np.stack([np.log(r / (1 - r)) for r in rates]), np.zeros(size))
+    q = logistic(model.odds(v))
+    for number in range(rounds):
+        parent = forest(mutual_information(v, q), len(v)) if number in (0, 5, 15) else model.parent
+        above = _above(v, parent)
+        on, votes, under = q @ (v * above), q @ v, q @ above
+        a, b, c, d = on + 0.5, under - on + 0.5, votes - on + 0.5, q.sum() - under - votes + on + 0.5
+        together = np.where(parent >= 0, np.clip(np.log(a * d / (b * c)), -6, 6), 0)
+        base = [(w @ v + PSEUDO * rate) / (w.sum() + PSEUDO) for w, rate in zip((1 - q, q), rates, strict=True)]
+        alone = np.stack([_alone(b, np.where(parent >= 0, b[np.maximum(parent, 0)], 0), together) for b in base])
+        model = LabelModel(prior, parent, alone, together)
+        last, q = q, logistic(model.odds(v))
+        if number > 16 and np.abs(q - last).max() < 1e-4:
+            break
     return model, q
 
 
@@ -149,7 +208,7 @@ def inputs(v: np.ndarray, terms: int) -> np.ndarray:
     return np.concatenate([v, np.log1p(n), np.minimum(n, 1)], axis=1).astype(np.float64)
 
 
-def linear(x: np.ndarray, q: np.ndarray, penalty: float = 2e-5, rounds: int = 50) -> np.ndarray:
+def linear(x: np.ndarray, q: np.ndarray, penalty: float = PENALTY, rounds: int = 50) -> np.ndarray:
     """Logistic regression on soft labels by Newton steps; the last weight is the bias."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(x.shape[1])
@@ -181,16 +240,17 @@ def learned(docs: DataFrame, labels: DataFrame, keep: Column, limit: int = SAMPL
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             votes = [voters.votes(t).astype(np.uint8).tobytes() for t in texts]
-            yield record(pa.schema([("doc_id", pa.int64()), ("y", pa.float64()), ("votes", pa.binary())]), [batch.column("doc_id"), batch.column("y"), votes])
+            yield record(pa.schema([("h", pa.int64()), ("y", pa.float64()), ("votes", pa.binary())]), [batch.column("h"), batch.column("y"), votes])
 
-    rows = sample.mapInArrow(run, "doc_id long, y double, votes binary").orderBy(F.xxhash64("doc_id"), "votes").limit(limit).toPandas()
+    rows = sample.select(F.xxhash64("doc_id").alias("h"), "text", "y").mapInArrow(run, "h long, y double, votes binary").orderBy("h", "y", "votes").limit(limit).toPandas()
     size = len(terms) + len(PATTERNS)
     y = rows["y"].to_numpy(float)
     if not terms or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.5
         return Model([], np.concatenate([np.zeros(len(PATTERNS) + 2), [np.log((share + 1e-3) / (1 - share + 1e-3))]]))
     v = np.frombuffer(b"".join(bytes(x) for x in rows["votes"]), dtype=np.uint8).reshape(-1, size).astype(np.float64)
-    _, posterior = label_model(v, y)
+    rates = tuple((w @ v + 0.1) / (w.sum() + 0.2) for w in (1 - y, y))
+    _, posterior = label_model(v, rates, float(y.mean()))
     return Model(terms, linear(inputs(v, len(terms)), posterior))
 
 

@@ -285,13 +285,33 @@ def test_weak_supervision(spark, odd_docs, folder):
 
 def test_correlated_voters_share_their_evidence():
     rng = np.random.default_rng(4)
-    y = rng.random(4000) < 0.3
-    lone = (rng.random(4000) < np.where(y, 0.6, 0.05)).astype(float)
-    twin = (rng.random(4000) < np.where(y, 0.6, 0.05)).astype(float)
-    v = np.stack([lone, twin, twin, twin], 1)
-    model, _ = toxicity.label_model(v, y.astype(float))
-    odds = model.odds(np.array([[1.0, 0, 0, 0], [0, 1, 1, 1]])) - model.prior
-    assert odds[1] < 1.6 * odds[0]
+    y = rng.random(8000) < 0.3
+    lone = (rng.random((8000, 5)) < np.where(y, 0.6, 0.05)[:, None]).astype(float)
+    twins = np.where(rng.random((8000, 2)) < 0.97, lone[:, 4:], 1 - lone[:, 4:])
+    model, q = toxicity.label_model(np.concatenate([lone, twins], axis=1), (np.full(7, 0.05), np.full(7, 0.5)), 0.3)
+    assert ((q > 0.5) == y).mean() > 0.93 and sorted(tuple(sorted((k, p))) for k, p in enumerate(model.parent.tolist()) if k >= 4 <= p) in ([(4, 5), (4, 6)], [(4, 5), (5, 6)], [(4, 6), (5, 6)])
+    votes = np.zeros((3, 7))
+    votes[1, 0] = votes[2, 4:] = 1  # none, one by itself, three that go together
+    none, one, three = model.odds(votes)
+    assert 0 < three - none < 1.5 * (one - none)
+
+
+def test_label_model_finds_rates_without_labels():
+    """Rates and the class of each row from the votes alone, with two voters that go together."""
+    rng = np.random.default_rng(5)
+    y = rng.random(6000) < 0.2
+    rates = np.where(y[:, None], [0.7, 0.6, 0.5, 0.4, 0.5], [0.02, 0.05, 0.03, 0.1, 0.02])
+    v = (rng.random((6000, 5)) < rates).astype(float)
+    v = np.concatenate([v, np.where(rng.random(6000) < 0.9, v[:, 0], 1 - v[:, 0])[:, None]], axis=1)
+    model, q = toxicity.label_model(v, (np.full(6, 0.1), np.full(6, 0.4)), 0.2)
+    assert q @ v[:, :5] / q.sum() == pytest.approx(np.array([0.7, 0.6, 0.5, 0.4, 0.5]), abs=0.06)
+    assert ((q > 0.5) == y).mean() > 0.94 and 0 in (model.parent[5], 5 * (model.parent[0] != 5))
+
+
+def test_forest_keeps_the_strongest_edges():
+    info = np.array([[0, 0.5, 0.4, 0], [0.5, 0, 0.45, 0], [0.4, 0.45, 0, 0], [0, 0, 0, 0]])
+    parent = toxicity.forest(info, 1000)
+    assert sorted(tuple(sorted((k, p))) for k, p in enumerate(parent.tolist()) if p >= 0) == [(0, 1), (1, 2)]
 
 
 def test_no_labels(spark, folder):
