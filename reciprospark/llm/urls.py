@@ -4,13 +4,15 @@ Two smoothed variable-order Markov models are counted over the distinct URLs (ho
 a rule blocks: each character given up to ORDER - 1 characters before it, shorter contexts mixed in by Witten-Bell
 weights down to a uniform distribution over ALPHABET characters. A URL's score is the log-likelihood difference of the
 two models per character. Three in sixteen rule-decided URLs (by md5) are kept from the counts and calibrate the bound: the
-middle between the low QUANTILE of the scores of allowed URLs and the high one of blocked URLs. A URL that no rule
+middle between the low QUANTILE of the scores of allowed URLs and the high one of blocked URLs, scores rounded to four
+digits there, so that the quantiles are of counts of a bounded number of values. A URL that no rule
 decides is allowed if its score reaches the bound.
 
 Scale: counting is a partial aggregation over n-grams; scores come from a join of n-grams with their ratio, salted by SALTS
 since each URL may hold the same n-gram; each distinct URL is scored once and joined back to its pages.
 
-Cases: a null URL and one without "://" have an empty host and path, which are scored like others; without an allowed
+Cases: the path of "http://net" is empty and does not start with that of the rule "net/", which therefore does not fit; a
+URL of any length is scored whole, a row for each character; a null URL and one without "://" have an empty host and path, which are scored like others; without an allowed
 and a blocked URL to learn from, what no rule decides is allowed; repeated rows are each judged.
 """
 
@@ -100,7 +102,8 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     found = stored(scores(urls), "scores")
     held = urls.join(found, "key").where(F.col("verdict").isNotNull() & ~learned_from())
     seen = urls.where(learned_from()).agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in ("allow", "block")]).first()
-    at = held.agg(*[F.percentile(F.when(F.col("verdict") == v, F.col("score")), F.lit(q)).alias(v) for v, q in (("allow", QUANTILE), ("block", 1 - QUANTILE))]).first()
+    held = held.groupBy("verdict", F.round("score", 4).alias("score")).agg(F.count("*").alias("n"))
+    at = held.agg(*[F.percentile(F.when(F.col("verdict") == v, F.col("score")), F.lit(q), F.col("n")).alias(v) for v, q in (("allow", QUANTILE), ("block", 1 - QUANTILE))]).first()
     ends = [x for x in (at.allow, at.block) if x is not None] or [0.0]
     bound = sum(ends) / len(ends) if seen.allow and seen.block else float("-inf")
     found = found.withColumnsRenamed({"key": "__key", "score": "__score"})
@@ -139,7 +142,7 @@ grams as (select gram, count(*) filter (v = 'allow' and learn) as a, count(*) fi
 {chr(10).join(steps)}
 sc as (select key, round(avg(ln(pa) - ln(pb)), 9) as score from pl join p{ORDER} on p{ORDER}.g = pl.gram group by key),
 bd as (select case when (select count(*) from kc where learn and v = 'allow') > 0 and (select count(*) from kc where learn and v = 'block') > 0
-    then (coalesce(qa, qb, 0) + coalesce(qb, qa, 0)) / 2 end as bound from (select quantile_cont(score, {QUANTILE}) filter (v = 'allow') as qa, quantile_cont(score, {1 - QUANTILE}) filter (v = 'block') as qb from sc join kc using (key) where not learn))
+    then (coalesce(qa, qb, 0) + coalesce(qb, qa, 0)) / 2 end as bound from (select quantile_cont(round(score, 4), {QUANTILE}) filter (v = 'allow') as qa, quantile_cont(round(score, 4), {1 - QUANTILE}) filter (v = 'block') as qb from sc join kc using (key) where not learn))
 select page_id, host, path, rule, coalesce({verdict}, case when score < bound then 'block' else 'allow' end) as verdict, score
 from ru left join sc on sc.key = host || path, bd
 """
