@@ -27,7 +27,7 @@ Draws are seeded by (seed, sweep, block or slice), so a task that runs again rep
 tables in place of storing them. Ids go by count, then by the word's bytes, so they do not depend on how files are cut.
 Word ids take 32 bits: beyond 2**32 - 2 distinct training words it raises.
 
-Cases: null and empty texts are one end token; a word that no training text has is unknown (probability of the
+Cases: ids are whole numbers; null and empty texts are one end token; a word that no training text has is unknown (probability of the
 uniform base's unknown, by the parent); without training texts all probabilities are 1; null ids count as training rows
 (crc32 of empty text) and are returned as null; repeated rows count and are scored each.
 """

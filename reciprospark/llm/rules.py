@@ -8,7 +8,7 @@ statistics, evaluated in generated code over all rows; the statistics come from
 The sample: at most SAMPLE labelled rows, those of smallest hash of their id. It is all that comes to the driver.
 
 Cases: null and empty texts have zero statistics and get the score of such texts; labels other than 0 and 1, or null,
-are not learned from; with labels of one class only, or none, the score is that class's share, or a half; repeated rows
+are not learned from; of several labels of one id the least counts; with labels of one class only, or none, the score is that class's share, or a half; repeated rows
 are each scored; other columns are passed through.
 """
 

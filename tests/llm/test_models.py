@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -354,3 +356,67 @@ def test_quotes(spark):
     order = [(r.conv_id, r.turn) for r in quotes.conversations(df.where("conv_id = 1 and turn is not null")).collect()]
     assert order == [(1, 1), (1, 2), (1, 4), (1, 3), (1, 5)]
     assert quotes.linked(df.limit(0)).count() == 0
+
+
+def brute_quotes(rows):
+    """(parent, thread, depth, lines quoted, levels, text without quotes) of each row, by looking at all pairs."""
+
+    def lines(text):
+        for line in (text or "").split("\n"):
+            mark = re.match(r"[ \t]*(?:>[ \t]*)+", line)
+            yield (mark[0].count(">") if mark else 0), " ".join((line[mark.end() :] if mark else line).lower().split()), line
+
+    parents = {}
+    for conv, turn, _, text in rows:
+        if turn is None:
+            continue
+        found = {}
+        for level, passage, _ in lines(text):
+            sources = [t for c, t, _, other in rows if c == conv and t is not None and t < turn and any(n == 0 and p == passage for n, p, _ in lines(other))]
+            first = min((t for c, t, _, other in rows if c == conv and t is not None and any(n == 0 and p == passage for n, p, _ in lines(other))), default=None)
+            if level and passage and sources and first is not None:
+                found[level, first] = found.get((level, first), 0) + len(passage)
+        if found:
+            best = min(found, key=lambda k: (k[0], -found[k], -k[1]))[1]
+            parents[conv, turn] = min(best, parents.get((conv, turn), best))
+    out = []
+    for conv, turn, _, text in rows:
+        at, depth = turn, 0
+        while (conv, at) in parents:
+            at, depth = parents[conv, at], depth + 1
+        each = list(lines(text))
+        own = None if text is None else "\n".join(line for n, _, line in each if n == 0)
+        out.append((conv, turn, parents.get((conv, turn)), at, depth, sum(n > 0 for n, _, _ in each), max(n for n, _, _ in each), own))
+    return out
+
+
+def test_quotes_against_all_pairs(spark, folder):
+    """Nested quotes, one line that most messages have, a null conversation, a long text, null turns and texts."""
+    rng = random.Random(8)
+    rows = []
+    for conv in (1, 2, None):
+        said = []
+        for turn in range(25):
+            own = [f"  {prose(1000 * (conv or 9) + turn, 4)} ", rng.choice(["Kind regards", "kind  REGARDS", "thanks"])]
+            quoted = [f"{rng.choice(['>', '> > ', '>>', ' >'])} {line.upper()}" for text in rng.sample(said, min(len(said), rng.randrange(3))) for line in text.split("\n")]
+            said.append("\n".join([*quoted, *own]))
+            rows.append((conv, turn, "u", said[-1]))
+    rows += [(1, None, "u", "> thanks"), (2, 40, "v", None), (2, 41, "v", ""), (1, 50, "u", "\n".join(f"> {prose(k, 30)}" for k in range(400)))]
+    key = lambda r: tuple(str(x) for x in r)
+    d = folder(conversations=(rows, "conv_id long, turn long, role string, text string"))
+    got = quotes.op9_quote_links(spark, d).collect()
+    assert sorted(((r.conv_id, r.turn, r.parent, r.thread, r.depth, r.n_quoted, r.max_level, r.text) for r in got), key=key) == sorted(brute_quotes(rows), key=key)
+    assert sum(r.parent is not None for r in got) > 20 and max(r.depth for r in got) > 2
+    order = [(r.conv_id or 0, r.thread if r.thread is not None else -1, r.turn if r.turn is not None else -1) for r in got]
+    assert order == sorted(order)
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{d}/conversations.parquet/*.parquet'")
+    names = ("conv_id", "turn", "parent", "thread", "depth", "n_quoted", "max_level", "text")
+    sql = [tuple(None if x != x else x for x in r) for r in con.sql(f"select {', '.join(names)} from ({quotes.ORACLE})").fetchall()]
+    assert sorted(sql, key=key) == sorted((tuple(r[n] for n in names) for r in got), key=key)
+
+
+def test_repeated_messages_are_each_returned(spark):
+    rows = [(1, 1, "a b c"), (1, 1, "d e f"), (1, 2, "> d e f"), (1, 2, "> d e f")]
+    got = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    assert sorted((r.turn, r.parent) for r in got if r.turn == 2) == [(2, 1), (2, 1)] and len(got) == 4
