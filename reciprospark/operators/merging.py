@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reciprospark.functions.vec import ratio
+from reciprospark.operators import quantiles
 from reciprospark.operators.grid import Grid, with_centres
 from reciprospark.operators.symmetry import reduced
 from reciprospark.operators.validation import enough_partiality
@@ -34,8 +35,29 @@ def observed_enough(obs: DataFrame, least: int) -> DataFrame:
     return obs.withColumn("_n", F.count("*").over(Window.partitionBy("voxel_idx"))).where(F.col("_n") >= least).drop("_n")
 
 
-def without_outliers(obs: DataFrame, threshold: float = 3.0) -> DataFrame:
-    """Within threshold robust sigmas of the voxel's median; all of a voxel of up to two, or if none were left."""
+def without_outliers(obs: DataFrame, threshold: float = 3.0, hot: int = quantiles.MOST) -> DataFrame:
+    """Within threshold robust sigmas of the voxel's median; all of a voxel of up to two, or if none were left.
+
+    Medians are windows over voxels. A voxel of over hot observations is not brought into one task: its medians
+    are narrowed by histograms (one count beforehand tells which voxels, if any, are)."""
+    crowded = [r.voxel_idx for r in obs.groupBy("voxel_idx").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("voxel_idx").collect()]
+    if not crowded:
+        return _by_window(obs, threshold)
+    keys = F.broadcast(obs.sparkSession.createDataFrame([(k,) for k in crowded], "voxel_idx long"))
+    own = obs.join(keys, "voxel_idx", "left_semi")
+
+    def with_median(rows: DataFrame, value: str, name: str) -> DataFrame:
+        found = quantiles.by_key(rows.select(F.col("voxel_idx").alias("key"), F.col(value).cast("double").alias("value")), [0.5])
+        return rows.join(F.broadcast(rows.sparkSession.createDataFrame([(k, v[0]) for k, v in found.items()], f"voxel_idx long, {name} double")), "voxel_idx", "left")
+
+    own = with_median(own, "intensity", "_median").withColumn("_off", F.abs(F.col("intensity") - F.col("_median")))
+    own = with_median(own, "_off", "_mad").withColumn("_near", F.col("_off") <= threshold * MAD_TO_SIGMA * F.col("_mad"))
+    left = own.groupBy("voxel_idx").agg(F.max("_near").alias("_any"))
+    own = own.join(F.broadcast(left), "voxel_idx").where(F.col("_near") | ~F.col("_any"))  # a row for each crowded voxel
+    return _by_window(obs.join(keys, "voxel_idx", "left_anti"), threshold).unionByName(own.select(*obs.columns))
+
+
+def _by_window(obs: DataFrame, threshold: float) -> DataFrame:
     over = Window.partitionBy("voxel_idx")
     out = obs.withColumn("_median", F.median("intensity").over(over)).withColumn("_off", F.abs(F.col("intensity") - F.col("_median")))
     out = out.withColumn("_mad", F.median("_off").over(over)).withColumn("_n", F.count("*").over(over))
@@ -104,9 +126,10 @@ def merge_statistics(voxels: DataFrame) -> DataFrame:
     """One row of statistics of a merged map; nulls and zeros for an empty one."""
     i, s, n, q = (F.col(c) for c in ("I_merged_relative", "Sigma_merged_relative", "num_observations", "q_magnitude_center"))
     first = voxels.agg((F.avg(i) + 2 * F.stddev_pop(i)).alias("_bound"))
+    middle = quantiles.of(voxels, "I_merged_relative", [0.5])[0]
     rel = s / (i + TINY)
     return voxels.crossJoin(F.broadcast(first)).agg(  # one row
-        F.count("*").alias("n_voxels"), F.avg(i).alias("i_mean"), F.stddev_pop(i).alias("i_std"), F.min(i).alias("i_min"), F.max(i).alias("i_max"), F.median(i).alias("i_median"),
+        F.count("*").alias("n_voxels"), F.avg(i).alias("i_mean"), F.stddev_pop(i).alias("i_std"), F.min(i).alias("i_min"), F.max(i).alias("i_max"), F.max(F.lit(middle).cast("double")).alias("i_median"),
         F.avg(n).alias("obs_mean"), F.coalesce(F.sum(n), F.lit(0)).alias("obs_total"), F.count_if(n == 1).alias("n_single"), F.max(n).alias("obs_max"),
         F.min(q).alias("q_min"), F.max(q).alias("q_max"), F.avg(q).alias("q_mean"), F.avg(rel).alias("rel_mean"),
         F.count_if(i > F.col("_bound")).alias("n_high"), F.count_if(rel < 0.1).alias("n_precise"),

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reciprospark.operators import quantiles
 from reciprospark.operators.grid import Grid
 
 FINITE = "not isnan({0}) and {0} is not null and abs({0}) < double('infinity')"
@@ -46,13 +47,14 @@ def log_histogram(rows: DataFrame, value: str, low: float, high: float, n_bins:
 
 
 def occupancy(voxels: DataFrame, n: str = "num_observations") -> DataFrame:
-    c = F.col(n)
-    return voxels.agg(F.min(c).alias("n_min"), F.max(c).alias("n_max"), F.avg(c).alias("n_mean"), F.median(c).alias("n_median"), F.sum(c).alias("n_total"), F.count_if(c > 0).alias("n_filled"), (100.0 * F.count_if(c < 3) / F.count("*")).alias("percent_under_3"))
+    c, middle = F.col(n), quantiles.of(voxels, n, [0.5])[0]
+    return voxels.agg(F.min(c).alias("n_min"), F.max(c).alias("n_max"), F.avg(c).alias("n_mean"), F.max(F.lit(middle).cast("double")).alias("n_median"), F.sum(c).alias("n_total"), F.count_if(c > 0).alias("n_filled"), (100.0 * F.count_if(c < 3) / F.count("*")).alias("percent_under_3"))
 
 
 def positive_statistics(voxels: DataFrame, value: str = "I_merged_relative") -> DataFrame:
     v = F.col(value)
-    return voxels.agg(F.count("*").alias("n"), F.count_if(v > 0).alias("n_positive"), F.avg(F.when(v > 0, v)).alias("mean"), F.median(F.when(v > 0, v)).alias("median"))
+    middle = quantiles.of(voxels.where(v > 0), value, [0.5])[0]
+    return voxels.agg(F.count("*").alias("n"), F.count_if(v > 0).alias("n_positive"), F.avg(F.when(v > 0, v)).alias("mean"), F.max(F.lit(middle).cast("double")).alias("median"))
 
 
 def slice_of(voxels: DataFrame, grid: Grid, axis: str, at: int | None = None) -> DataFrame:
@@ -132,7 +134,8 @@ def signal_to_noise(obs: DataFrame) -> DataFrame:
 
 def colour_limits(rows: DataFrame, value: str, low: float = 0.01, high: float = 0.999) -> DataFrame:
     """Exact percentiles of finite values; a range that is empty is widened by one."""
-    out = rows.where(finite(value)).agg(F.percentile(value, F.lit(low)).alias("low"), F.percentile(value, F.lit(high)).alias("high"))
+    a, b = quantiles.of(rows.where(finite(value)), value, [low, high])
+    out = rows.sparkSession.createDataFrame([(a, b)], "low double, high double")
     return out.withColumn("high", F.when(F.col("high") <= F.col("low"), F.col("low") + 1.0).otherwise(F.col("high")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reciprospark.functions import vec
+from reciprospark.operators import quantiles
 from reciprospark.operators.pixels import Panel
 from reciprospark.schema import missing_columns
 
@@ -29,7 +30,9 @@ def q_consistency(reflections: DataFrame, panel: Panel, s0: tuple[float, float,
     if missing_columns(reflections, ["s1", "x", "y", key]):
         return reflections.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"), *[F.lit(None).cast("double").alias(c) for c in ("mean", "median", "max")], F.lit(False).alias("passed"))
     d = F.col("delta")
-    out = q_residuals(reflections if most is None else sampled(reflections, key, most), panel, s0).agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.median(d).alias("median"), F.max(d).alias("max"))
+    found = q_residuals(reflections if most is None else sampled(reflections, key, most), panel, s0)
+    middle = quantiles.of(found, "delta", [0.5])[0]
+    out = found.agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.max(F.lit(middle).cast("double")).alias("median"), F.max(d).alias("max"))
     return out.withColumn("passed", F.coalesce((F.col("mean") <= tolerance) & (F.col("max") <= 5 * tolerance), F.lit(False)))
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from reciprospark.operators import absolute, counts, merging, orchestration, pixels, scaling, symmetry
+from reciprospark.operators import absolute, counts, merging, orchestration, pixels, quantiles, scaling, symmetry
 from reciprospark.operators import grid as grids
 
 OBS = "voxel_idx long, still_id int, intensity double, sigma double"
@@ -207,3 +207,24 @@ def test_batch_goes_on_after_a_failure(spark):
     images = spark.createDataFrame([(0, 0, 2, 2, [1.0, 2.0, 3.0, 4.0], 0.0), (1, 0, 2, 2, [1.0], None), (2, 0, 2, 2, None, 0.1)], "image_id int, panel_id int, n_slow int, n_fast int, data array<double>, increment double")
     obs, out = orchestration.process_batch(images, pixels.Panel((0.0, 0.0, 100.0)), pixels.Beam(1.0))
     assert obs.count() == 4 and {r.image_id: (r.route, r.status, r.error_code, r.n_observations) for r in out.collect()} == {0: ("stills", "SUCCESS", None, 4), 1: ("sequence", "FAILURE", "ProcessingError", 0), 2: ("sequence", "FAILURE", "InputFileError", 0)}
+
+
+def test_quantiles_by_narrowing(spark):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([rng.normal(size=3000), [7.0] * 900, [1e12, -1e12, 1e-300]])
+    rows = spark.createDataFrame([(k % 2, float(v)) for k, v in enumerate(values)] + [(0, float("nan")), (1, None)], "key long, value double")
+    shares = [0.0, 0.01, 0.5, 0.75, 0.999, 1.0]
+    for most in (10, 10**6):
+        got = quantiles.by_key(rows, shares, most)
+        for k in (0, 1):
+            assert got[k] == pytest.approx(np.quantile(values[k::2], shares).tolist())
+        assert quantiles.of(rows, "value", [0.5], most) == pytest.approx([float(np.median(values))])
+    assert quantiles.of(rows.limit(0), "value", [0.5, 0.9]) == [None, None]
+
+
+def test_crowded_voxels_are_judged_alike(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(v), k % 3, float(x), 1.0) for k, (v, x) in enumerate(zip(rng.integers(0, 4, 600) ** 2 // 3, rng.standard_cauchy(600), strict=True))] + [(77, 0, 5.0, 1.0)] * 60 + [(77, 0, 6.0, 1.0)]
+    obs = spark.createDataFrame(rows, OBS)
+    one, other = (sorted(map(tuple, merging.without_outliers(obs, 3.0, hot).collect())) for hot in (50, 10**6))
+    assert one == other and 0 < len(one) < len(rows)
