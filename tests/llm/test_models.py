@@ -247,6 +247,30 @@ def test_rule_ensemble(spark, odd_docs, folder):
     assert "score" in kept.columns and not any((r.doc_id or 0) >= 3000 for r in kept.collect())
 
 
+def test_lasso_is_optimal():
+    """Where a weight is 0 the slope of the loss is within the penalty, elsewhere it balances it."""
+    rng = np.random.default_rng(9)
+    r = (rng.random((500, 12)) < 0.4).astype(float)
+    y = (rng.random(500) < 1 / (1 + np.exp(-(2 * r[:, 0] - 1.5 * r[:, 1] - 0.3)))).astype(float)
+    for penalty in (0.03, 0.005):
+        b, w = rules.lasso(r, y, penalty, 3000)
+        slope = r.T @ (1 / (1 + np.exp(-(r @ w + b))) - y) / len(y)
+        zero = np.abs(w) < 1e-7
+        assert zero.any() and (np.abs(slope[zero]) <= penalty + 1e-5).all()
+        assert slope[~zero] == pytest.approx(-penalty * np.sign(w[~zero]), abs=1e-5) and abs((1 / (1 + np.exp(-(r @ w + b))) - y).mean()) < 1e-6
+
+
+def test_rules_are_the_paths_of_trees():
+    rng = np.random.default_rng(10)
+    x = {"p": rng.random(600), "q": rng.random(600)}
+    y = ((x["p"] > 0.5) & (x["q"] <= 0.3)).astype(float)
+    found = rules.tree_rules(x, y, trees=3, depth=2)
+    assert all(1 <= len(rule.terms) <= 2 for rule in found) and len(set(found)) == len(found)
+    assert all((rule.on(x) == np.all([(x[f] > b) if above else (x[f] <= b) for f, b, above in rule.terms], axis=0)).all() for rule in found)
+    best = max(found, key=lambda rule: (rule.on(x) == y).mean())
+    assert (best.on(x) == y).mean() > 0.95
+
+
 def test_compiled_rules_equal_numpy(spark):
     rng = np.random.default_rng(2)
     x = {n: np.round(rng.random(400), 3) for n in rules.features()}

@@ -10,7 +10,7 @@ from tests.llm.conftest import DOCS, prose
 from tests.llm.test_near import brute, varied
 
 import corpus_pipeline
-from reciprospark.llm import bpe, outliers, rules
+from reciprospark.llm import bpe, common, outliers, rules
 from reciprospark.llm.common import table
 
 
@@ -75,6 +75,12 @@ def test_stages_keep_columns_that_clash(spark, corpus):
         assert out.columns == docs.columns and {tuple(r[c] for c in names) for r in out.collect()} == {("mine",) * len(names)}
 
 
+def test_a_run_leaves_the_table_before_its_last_stage_only(spark, corpus):
+    since = common.stored_so_far()
+    corpus_pipeline.run(spark, corpus).count()
+    assert [p.rsplit("-", 1)[1] for p in common._STORED[since:]] == ["decontamination"]
+
+
 def test_empty_tables(spark, folder):
     d = folder(documents=([], DOCS), labels=([], "doc_id long, quality int, toxic int"), benchmark=([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, d).count() == 0

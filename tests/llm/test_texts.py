@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import random
 
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tests.llm.conftest import DOCS, prose
 
-from reciprospark.llm import bpe, common, decontaminate, pieces, seating, simhash, statistics
+from reciprospark.llm import bpe, common, decontaminate, lm, pieces, rules, seating, simhash, statistics, toxicity
 
 BENCH = "item_id long, text string"
 
@@ -175,6 +176,51 @@ def test_counts_against_brute_force(odd_docs):
     assert [tuple(int(got[n][k]) for n in names) for k in range(len(texts))] == [brute_counts(t) for t in texts]
 
 
+def test_token_counts_of_rows_against_greedy_search(spark, odd_docs):
+    """Every row of the query's table, with the pieces of the file itself."""
+    with open(pieces.default_path(), encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    byte = {c: b for b, c in enumerate(bpe.byte_alphabet())}
+    tokens = {bytes(byte[c] for c in t) for t in vocab if all(c in byte for c in t)} | {bytes([b]) for b in range(256)}
+    longest = max(map(len, tokens))
+
+    def count(word):
+        n, at = 0, 0
+        while at < len(word):
+            for size in range(min(longest, len(word) - at), 0, -1):
+                piece = word[at : at + size]
+                if (b" " + piece in tokens or size == 1) if at == 0 else (piece in tokens and piece[:1] != b" "):
+                    break
+            n, at = n + 1, at + size
+        return n
+
+    rows = [r for r in odd_docs if len(r[1] or "") < 90_000] + [(70 + k, f"{prose(k, 30)} Überraschung naïve 日本語 don't #{k}$$", "en", "s", 1) for k in range(5)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("n_tokens", F.lit("mine"))
+    got = sorted((r.doc_id or -1, r.n_words, r.n_tokens) for r in pieces.token_counts(docs).collect())
+    assert got == sorted((r[0] or -1, len((r[1] or "").encode().split()), sum(map(count, (r[1] or "").encode().split()))) for r in rows)
+
+
+CLASH = ("score", "n_votes", "n_words", "n_tokens", "fp", "sig", "h", "held", "ids", "word", "bits", "y", "__times")
+
+
+def test_operators_pass_columns_with_clashing_names(spark, odd_docs):
+    docs = spark.createDataFrame(odd_docs, DOCS).withColumns({c: F.lit("mine") for c in CLASH})
+    made = {
+        "pieces": (pieces.token_counts(docs), {"n_words", "n_tokens"}),
+        "bpe": (bpe.encoded(docs), {"ids"}),
+        "toxicity": (toxicity.scored(docs, toxicity.Model([], np.zeros(len(toxicity.PATTERNS) + 3))), {"score", "n_votes"}),
+        "rules": (rules.scored(docs, rules.Ensemble(0.0, ())), {"score", *statistics.COUNTS}),
+        "simhash": (simhash.fingerprints(docs), {"fp"}),
+    }
+    for name, (out, replaced) in made.items():
+        kept = [c for c in CLASH if c in out.columns and c not in replaced]
+        rows = out.collect()
+        assert len(rows) == len(odd_docs) and len(kept) >= len(CLASH) - len(replaced) and all(r[c] == "mine" for r in rows for c in kept), name
+    assert simhash.deduplicated(docs, 5, 0.8).columns == docs.columns
+    asked = docs.select("doc_id", "text", *[c for c in CLASH if c != "held"])
+    assert lm.scored(asked, F.lit(False)).count() == len(odd_docs)
+
+
 # fingerprints
 
 
