@@ -10,8 +10,9 @@ the minimum with 1e-4; both fall fast with similarity.
 
 Two rounds keep the work near-linear without losing links. The first compares lists of up to SMALL nodes in all pairs; in a
 longer one a node waits after a strong match or TRIES others. The second takes the longer lists again, with the components
-that the verified links have made: every pair of different components that reaches the minimum is verified. Nodes that are
-connected already need no further link; so all that the tally lets through is decided, in lists of any length.
+that the verified links have made, and with WIDE further positional bytes of each node, which make the tally sharper: every
+pair of different components that reaches both minima is verified. Nodes that are connected already need no further link; so
+all that the tallies let through is decided, in lists of any length.
 
 Texts are not shuffled to verify: of those whose node a bitmap of fixed size marks (see common.marks), one for each node and task is
 sent on, compressed, and an exact join follows. Links of one node are verified in PARTS groups, so that a large cluster is no
@@ -33,10 +34,10 @@ from pyspark.sql import functions as F
 
 from reciprospark.llm.common import MARKS, discard, marks, record, slices, stored
 
-SEED, BYTES, BAND, SPREAD, SMALL, TRIES, PARTS = 42, 64, 4, 4.0, 8, 4, 64
+SEED, BYTES, WIDE, BAND, SPREAD, SMALL, TRIES, PARTS = 42, 64, 512, 4, 4.0, 8, 4, 64
 _DRAW = np.random.default_rng(SEED)
-_FACTORS = _DRAW.integers(1, 1 << 63, BYTES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _DRAW.integers(0, 1 << 63, BYTES, dtype=np.uint64)
+_FACTORS = _DRAW.integers(1, 1 << 63, BYTES + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _DRAW.integers(0, 1 << 63, BYTES + WIDE, dtype=np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,10 +61,12 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, ends, strict=True)), dtype=np.uint64, count=len(ends)))
 
 
-def fingerprint(hashes: np.ndarray) -> bytes:
-    low = np.full(BYTES, np.iinfo(np.uint64).max, dtype=np.uint64)
+def fingerprint(hashes: np.ndarray, at: slice = slice(BYTES)) -> bytes:
+    """The positional bytes of a set of shingles; those beyond BYTES are the further ones."""
+    factors, shifts = _FACTORS[at], _SHIFTS[at]
+    low = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
     for k in range(0, len(hashes), 512):
-        low = np.minimum(low, (hashes[k : k + 512, None] * _FACTORS + _SHIFTS).min(axis=0))
+        low = np.minimum(low, (hashes[k : k + 512, None] * factors + shifts).min(axis=0))
     return (((low ^ (low >> np.uint64(32))) * _MIX) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
@@ -72,9 +75,9 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(len(a) + len(b) - both, 1)
 
 
-def minimum(similarity: float) -> int:
-    """The least number of agreeing bytes of a pair to verify."""
-    return max(BAND, int(BYTES * similarity - SPREAD * (BYTES * similarity * (1 - similarity)) ** 0.5))
+def minimum(similarity: float, n: int = BYTES) -> int:
+    """The least number of agreeing bytes, of n, of a pair to verify."""
+    return max(BAND, int(n * similarity - SPREAD * (n * similarity * (1 - similarity)) ** 0.5))
 
 
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
@@ -108,8 +111,8 @@ def listed(nodes: DataFrame) -> DataFrame:
     return nodes.mapInArrow(run, "key long, fp long, sig binary")
 
 
-def _by_list(rows: DataFrame, columns: tuple[str, ...], out: str, of: Callable[..., list[list]]) -> DataFrame:
-    """What ``of`` gives of each list of rows (key, fp, sig, ...): its key, then the given columns and the bytes as arrays."""
+def _by_list(rows: DataFrame, columns: tuple[str, ...], n_bytes: int, out: str, of: Callable[..., list[list]]) -> DataFrame:
+    """What ``of`` gives of each list of rows (key, sig of n_bytes, ...): its key, then the given columns and the bytes as arrays."""
     names = ("key", *columns)
     schema = pa.schema([(n.split()[0], pa.int64()) for n in out.split(", ")])
 
@@ -120,9 +123,9 @@ def _by_list(rows: DataFrame, columns: tuple[str, ...], out: str, of: Callable[.
         return record(schema, [np.concatenate([np.zeros(0, np.int64), *[x[k] for x in found]]) for k in range(len(schema))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [*(np.zeros(0, np.int64) for _ in names), np.zeros((0, BYTES), np.uint8)]  # a list that the next batch may continue
+        held = [*(np.zeros(0, np.int64) for _ in names), np.zeros((0, n_bytes), np.uint8)]  # a list that the next batch may continue
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, BYTES)
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, n_bytes)
             held = [np.concatenate(x) for x in zip(held, [*(batch.column(n).to_numpy() for n in names), sig], strict=True)]
             if len(held[0]) and len(stop := np.flatnonzero(np.diff(held[0]))):
                 stop = int(stop[-1]) + 1
@@ -149,8 +152,8 @@ def _first(sig: np.ndarray, least: int, strong: int) -> list[tuple[int, int]]:
     return out
 
 
-def _apart(root: np.ndarray, sig: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Pairs of one list that agree in enough bytes and belong to different components: all of them."""
+def _apart(root: np.ndarray, sig: np.ndarray, least: int, least_wide: int) -> list[tuple[int, int]]:
+    """Pairs of one list that agree in enough bytes, of the first ones and of all, and belong to different components: all of them."""
     _, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
     if len(sizes) < 2:
         return []
@@ -158,7 +161,8 @@ def _apart(root: np.ndarray, sig: np.ndarray, least: int) -> list[tuple[int, int
     place = np.argsort(np.argsort(sizes, kind="stable"))  # of each component, by size
     for k in np.flatnonzero(of != int(np.argmax(place))).tolist():  # each pair from its smaller component
         others = np.flatnonzero(place[of] > place[of[k]])
-        out += [(k, j) for j in others[(sig[others] == sig[k]).sum(axis=1) >= least].tolist()]
+        others = others[(sig[others, :BYTES] == sig[k, :BYTES]).sum(axis=1) >= least]
+        out += [(k, j) for j in others[(sig[others] == sig[k]).sum(axis=1) >= least_wide].tolist()]
     return out
 
 
@@ -176,42 +180,48 @@ def first_round(nodes: DataFrame, similarity: float) -> DataFrame:
         more = fp if len(fp) > SMALL else fp[:0]
         return [np.repeat([0, 1], [len(a), len(more)]), np.concatenate([a, np.full(len(more), key)]), np.concatenate([b, more])]
 
-    return _by_list(listed(nodes), ("fp",), "kind long, a long, b long", of)
+    return _by_list(listed(nodes), ("fp",), BYTES, "kind long, a long, b long", of)
 
 
 def second_round(members: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of nodes in a list whose components differ. members: key, fp, root, sig."""
-    least = minimum(similarity)
-    return _by_list(members, ("fp", "root"), "a long, b long", lambda key, fp, root, sig: _columns(_apart(root, sig, least), fp)).distinct()
+    """Distinct pairs (a, b) of nodes in a list whose components differ. members: key, fp, root, sig (all bytes)."""
+    least, wide = minimum(similarity), minimum(similarity, BYTES + WIDE)
+    return _by_list(members, ("fp", "root"), BYTES + WIDE, "a long, b long", lambda key, fp, root, sig: _columns(_apart(root, sig, least, wide), fp)).distinct()
 
 
-def bodies(docs: DataFrame, fps: DataFrame) -> DataFrame:
-    """fp and the compressed words of each of fps (distinct fp): one row for each node."""
-    found = marks(fps.select(F.col("fp").alias("key"))).toPandas()  # of a fixed size
-    bitmap = np.zeros(MARKS // 64, dtype=np.uint64)
-    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    held = docs.sparkSession.sparkContext.broadcast(bitmap)
+def _bitmap(fps: DataFrame) -> np.ndarray:
+    """The bitmap of nodes (fp), of a fixed size."""
+    found = marks(fps.select(F.col("fp").alias("key"))).toPandas()
+    out = np.zeros(MARKS // 64, dtype=np.uint64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def bodies(docs: DataFrame, fps: DataFrame, long: DataFrame, width: int) -> DataFrame:
+    """fp, the compressed words (body) and, for those of long, the further bytes (wide) of each of fps (distinct fp): one row for each node."""
+    held = docs.sparkSession.sparkContext.broadcast((_bitmap(fps), _bitmap(long)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        schema = pa.schema([("fp", pa.int64()), ("body", pa.binary())])
+        schema = pa.schema([("fp", pa.int64()), ("body", pa.binary()), ("wide", pa.binary())])
         for _, texts in slices(batches):
             words = [t.lower().split() for t in texts]
             fp = np.array([node(w) for w in words], dtype=np.uint64)
-            bit = (held.value[(fp & np.uint64(MARKS - 1)) >> np.uint64(6)] >> (fp & np.uint64(63))) & np.uint64(1)
+            asked, further = (((b[(fp & np.uint64(MARKS - 1)) >> np.uint64(6)] >> (fp & np.uint64(63))) & np.uint64(1)).astype(bool) for b in held.value)
             out = []
-            for k in np.flatnonzero(bit).tolist():
+            for k in np.flatnonzero(asked).tolist():
                 if (f := int(fp[k])) not in seen:
                     seen.add(f)
-                    out.append((fp[k : k + 1].view(np.int64)[0], zstandard.compress(b" ".join(words[k]), 3)))
-            yield record(schema, [[x[0] for x in out], [x[1] for x in out]])
+                    out.append((fp[k : k + 1].view(np.int64)[0], zstandard.compress(b" ".join(words[k]), 3), fingerprint(shingles(texts[k], width), slice(BYTES, None)) if further[k] else None))
+            yield record(schema, [[x[i] for x in out] for i in range(3)])
 
-    return docs.select("text").mapInArrow(run, "fp long, body binary").join(fps, "fp", "left_semi").dropDuplicates(["fp"])
+    return docs.select("text").mapInArrow(run, "fp long, body binary, wide binary").join(fps, "fp", "left_semi").dropDuplicates(["fp"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least the given similarity. texts: fp, body."""
     pairs = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS)))
+    texts = texts.select("fp", "body")
     one = pairs.select("a", "part").distinct().join(texts.withColumnsRenamed({"fp": "a", "body": "one"}), "a")
     both = pairs.join(texts.withColumnsRenamed({"fp": "b", "body": "other"}), "b").join(one, ["a", "part"])
 
@@ -239,13 +249,14 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, comp
     pairs = found.where("kind = 0").select("a", "b").distinct()
     long = found.where("kind = 1")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).union(long.select(F.col("b").alias("fp")))
-    texts = stored(bodies(docs, ends.distinct()), "bodies")
+    texts = stored(bodies(docs, ends.distinct(), long.select(F.col("b").alias("fp")), width), "bodies")
     good = stored(verified(pairs, texts, width, similarity), "good")
     if long.isEmpty():
         discard(found, texts)
         return good
     roots = components(good)
-    members = long.select(F.col("a").alias("key"), F.col("b").alias("fp")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(nodes, "fp")
+    members = long.select(F.col("a").alias("key"), F.col("b").alias("fp")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    members = members.join(nodes, "fp").join(texts.select("fp", "wide"), "fp").select("key", "fp", "root", F.concat("sig", "wide").alias("sig"))
     rest = second_round(members, similarity).join(pairs, ["a", "b"], "left_anti")
     out = stored(good.union(verified(rest, texts, width, similarity)), "links")
     discard(found, texts, good, roots)
