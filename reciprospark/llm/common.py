@@ -32,25 +32,55 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Rows that go to a Python worker at once: Spark's default of 10,000 whole texts are tens of MB, several times over.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on in this session, at most BATCH_ROWS rows go to a Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 _PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_STORED: list[str] = []
 
 
 def stored(df: DataFrame, name: str = "part") -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, and survives the loss of executors."""
     path = f"{shared_dir(df.sparkSession)}-{name}"
+    _STORED.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables that stored() returned and that nothing reads any more."""
     for df in tables:
         if path := _PATHS.pop(df, None):
-            context = df.sparkSession.sparkContext
-            at = context._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+            _STORED.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def stored_so_far() -> int:
+    """A mark for sweep()."""
+    return len(_STORED)
+
+
+def sweep(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Remove the tables stored since a mark, but for those to keep: for callers who have written what an operator gave them."""
+    kept = {_PATHS.get(df) for df in keep}
+    for path in [p for p in _STORED[since:] if p not in kept]:
+        _STORED.remove(path)
+        _delete(spark, path)
 
 
 def fresh(name: str, taken: Iterable[str]) -> str:
@@ -94,6 +124,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), SLICE_BYTES, side="right")))
             yield batch.slice(at, end - at), [x or b"" for x in texts.slice(at, end - at).to_pylist()]
             at = end
+    pa.default_memory_pool().release_unused()  # the worker lives on, for tasks of other stages
 
 
 def record(schema: pa.Schema, columns: list) -> pa.RecordBatch:
