@@ -1,0 +1,50 @@
+"""Programs that are not part of the engine, run over rows: one run, of one or more steps, for each row.
+
+A run has a working folder of its own on the executor, which goes when it ends; what it leaves are the columns of its row. A run that
+fails has an outcome and does not stop the others; a task that runs again runs its rows again, so steps must be repeatable.
+"""
+
+from __future__ import annotations
+
+import subprocess
+import tempfile
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from reciprospark.operators.orchestration import error_code
+
+LAST_CHARS = 2000
+
+
+def run_steps(rows: DataFrame, steps: Sequence[Sequence[str]], timeout: float = 3600.0) -> DataFrame:
+    """rows with status, failed_step (from 0, null), output (the last step's), message and error_code.
+
+    Each step is a program and its arguments, in which {column} stands for a value of the row. The first step that fails, or takes
+    longer than timeout seconds, ends the run."""
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + ["status string, failed_step int, output string, message string"])
+
+    def one(values: dict) -> tuple:
+        output = ""
+        with tempfile.TemporaryDirectory() as folder:
+            for k, step in enumerate(steps):
+                try:
+                    done = subprocess.run([part.format(**values) for part in step], cwd=folder, capture_output=True, text=True, timeout=timeout, check=False)
+                except (OSError, subprocess.TimeoutExpired) as e:
+                    return "FAILURE", k, None, str(e)[-LAST_CHARS:]
+                if done.returncode:
+                    return "FAILURE", k, None, (done.stderr.strip() or f"ended with {done.returncode}")[-LAST_CHARS:]
+                output = done.stdout.strip()[-LAST_CHARS:]
+        return "SUCCESS", None, output, None
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            made = [one(r) for r in f.to_dict("records")]
+            out = f.copy()
+            for k, (name, kind) in enumerate((("status", "object"), ("failed_step", "Int32"), ("output", "object"), ("message", "object"))):
+                out[name] = pd.array([m[k] for m in made], dtype=kind)
+            yield out
+
+    return rows.mapInPandas(run, fields).withColumn("error_code", F.when(F.col("status") == "FAILURE", error_code(F.col("message"))))

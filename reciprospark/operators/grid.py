@@ -69,6 +69,18 @@ def reciprocal_basis(cell: tuple[float, ...]) -> np.ndarray:
     return np.linalg.inv(real).T
 
 
+def with_settings(crystals: DataFrame) -> DataFrame:
+    """crystals (a .. gamma, u) with setting: each one's own A = U B, nine by rows, in column arithmetic."""
+    ca, cb, cg = (F.cos(F.radians(c)) for c in CELL[3:])
+    sg = F.sin(F.radians(CELL[5]))
+    height = F.sqrt(F.greatest(1 - ca * ca - cb * cb - cg * cg + 2 * ca * cb * cg, F.lit(0.0))) / sg
+    r11, r12, r13, r22, r23, r33 = F.col("a"), F.col("b") * cg, F.col("c") * cb, F.col("b") * sg, F.col("c") * (ca - cb * cg) / sg, F.col("c") * height
+    zero = F.lit(0.0)
+    basis = ((1 / r11, zero, zero), (-r12 / (r11 * r22), 1 / r22, zero), ((r12 * r23 - r13 * r22) / (r11 * r22 * r33), -r23 / (r22 * r33), 1 / r33))
+    cells = [sum((F.col("u")[3 * i + k] * basis[k][j] for k in (1, 2)), F.col("u")[3 * i] * basis[0][j]) for i in range(3) for j in range(3)]
+    return crystals.withColumn("setting", F.array(*cells))
+
+
 def mean_cell(crystals: DataFrame) -> tuple[float, ...]:
     row = crystals.agg(*[F.avg(c).alias(c) for c in CELL]).first()
     if row.a is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +72,16 @@ def rotation_angle(a1: np.ndarray, a2: np.ndarray) -> float:
     return float(min(each))
 
 
+def rotation_angles(pairs: DataFrame, one: str, other: str) -> DataFrame:
+    """pairs of settings (arrays of nine, by rows) with angle, as rotation_angle gives it."""
+
+    @F.pandas_udf("double")
+    def angle(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([rotation_angle(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    return pairs.withColumn("angle", angle(one, other))
+
+
 def geometry_passed() -> Column:
     """Of n_reflections, q_ok, cell_ok, orientation_ok: a check that was not made counts as passed."""
     return F.col("q_ok") & (F.col("n_reflections") > 0) & F.coalesce("cell_ok", F.lit(True)) & F.coalesce("orientation_ok", F.lit(True))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reciprospark.operators import grid as grids
-from reciprospark.operators import masks, merging, scaling
+from reciprospark.operators import external, masks, merging, orchestration, scaling
 from reciprospark.plans import merging_queries as mq
 from reciprospark.plans import pixel_queries as pq
 from reciprospark.plans import stand_ins as st
@@ -194,16 +194,47 @@ def text_report(spark, d):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-@query("U07_uniform_adapters", sql("obs", "select 'observations' as kind, count(*) as n from obs union all select 'own', count(*) from obs where still_id = 1"))
+@query("U07_uniform_adapters", sql("obs", "select 'observations' as kind, count(*) as n from obs union all select 'own', count(*) from customer"))
 def uniform_adapters(spark, d):
     """One interface for every kind of table, an own one among them."""
     path = scratch(spark, "observations")
     sinks.save_observations(st.observations(spark, d).drop("still_id"), path)
-    adapters.register("own", lambda session, at: st.observations(session, at).where("still_id = 1"))
+    adapters.register("own", lambda session, at: st.crystals(session, at))
     each = {"observations": path, "own": d}
     return merging.concatenated([adapters.read(spark, k, p).agg(F.lit(k).alias("kind"), F.count("*").alias("n")) for k, p in each.items()])
 
 
+# programs beside the engine
+
+_STILLS = "select s_suppkey::int as image_id, s_suppkey % 7 = 3 as bad from supplier"
+
+
+def _inputs(spark, d):
+    """Images: each is a run of a program."""
+    return st.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("image_id"), F.when(F.col("s_suppkey") % 7 == 3, 1).otherwise(0).alias("bad"))
+
+
+@query("S13_external_stills", f"select image_id, case when bad then 'FAILURE' else 'SUCCESS' end as status, case when not bad then (image_id * 2)::varchar end as output, case when bad then 'InputFileError' end as error_code from ({_STILLS})")
+def external_stills(spark, d):
+    """One program for each image; some find no input."""
+    out = external.run_steps(_inputs(spark, d), [["sh", "-c", "test {bad} -eq 0 || {{ echo image not found >&2; exit 2; }}; echo $(( {image_id} * 2 ))"]])
+    return out.select("image_id", "status", "output", "error_code")
+
+
+@query("S14_external_sequence", f"select image_id, case when bad then 'FAILURE' else 'SUCCESS' end as status, case when bad then 2 end as failed_step, case when not bad then (image_id * 2 + 1)::varchar end as output from ({_STILLS})")
+def external_sequence(spark, d):
+    """Four steps in a folder of their own, each on what the one before has left."""
+    steps = ["echo {image_id} > imported", "echo $(( $(cat imported) * 2 )) > spots", "test {bad} -eq 0 && echo $(( $(cat spots) + 1 )) > indexed", "cat indexed"]
+    out = external.run_steps(_inputs(spark, d), [["sh", "-c", s] for s in steps])
+    return out.select("image_id", "status", "failed_step", "output")
+
+
+@query("S15_external_batch", f"select case when bad then 'FAILURE' else 'SUCCESS' end as status, case when bad then 'ProcessingError' end as error_code, count(*) as n from ({_STILLS}) group by all")
+def external_batch(spark, d):
+    """The outcomes of a batch, counted."""
+    return orchestration.outcome_summary(external.run_steps(_inputs(spark, d), [["test", "{bad}", "-eq", "0"]]))
+
+
 # incremental
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from reciprospark.functions import air, corrections, vec
@@ -409,12 +408,13 @@ def reference_cells(spark, d):
     return out.select("still_id", "space_group", "mismatch")
 
 
-@query("R16_misorientation", sql("crystals", "select x.still_id, round(degrees(acos(greatest(least(2 * cos(x.turn - y.turn) + 1, 3.0), -1.0) / 2 - 0.5)), 3) as angle from crystals x join crystals y on y.still_id = x.still_id + 1 where x.still_id < 6"))
+@query("R16_misorientation", sql("crystals", "select x.still_id, round(degrees(acos(greatest(least(2 * cos(x.turn - y.turn) + 1, 3.0), -1.0) / 2 - 0.5)), 3) as angle from crystals x join crystals y on y.still_id = x.still_id + 1"))
 def misorientation(spark, d):
-    """Angles between pairs of crystals, each pair on the driver."""
-    basis = grids.reciprocal_basis((10.0, 15.0, 20.0, 90.0, 90.0, 90.0))
-    a = {row.still_id: np.array(row.u).reshape(3, 3) @ basis for row in st.crystals(spark, d).where("still_id < 7").collect()}  # seven crystals
-    return spark.createDataFrame([(k, round(validation.rotation_angle(a[k], a[k + 1]), 3)) for k in sorted(a) if k + 1 in a], "still_id int, angle double")
+    """Angles between each crystal's orientation and the next one's."""
+    cell = dict(zip(grids.CELL, (10.0, 15.0, 20.0, 90.0, 90.0, 90.0), strict=True))  # one cell, so that settings differ by rotations
+    settings = grids.with_settings(st.crystals(spark, d).withColumns({c: F.lit(x) for c, x in cell.items()})).select("still_id", "setting")
+    pairs = settings.join(settings.select((F.col("still_id") - 1).alias("still_id"), F.col("setting").alias("other")), "still_id")
+    return validation.rotation_angles(pairs, "setting", "other").select("still_id", r("angle", "angle", 3))
 
 
 @query("M19_geometry_validation", "select c_custkey as still_id, c_custkey % 4 <> 0 and c_custkey % 10 > 0 and coalesce(case when c_custkey % 3 = 0 then null else c_custkey % 3 = 1 end, true) as passed from customer")

@@ -92,4 +92,5 @@ def last_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def to_memory(frame: DataFrame, name: str, mode: str = "complete") -> StreamingQuery:
+    """The aggregate as a table of the driver's memory: for tests and a look at small maps; to_table is for the rest."""
     return frame.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()

@@ -183,6 +183,13 @@ def test_point_groups():
         symmetry.parsed(["x,y"])
 
 
+def test_settings_of_each_crystal(spark):
+    cell = (10.0, 12.0, 15.0, 80.0, 95.0, 110.0)
+    turn = [0.6, -0.8, 0.0, 0.8, 0.6, 0.0, 0.0, 0.0, 1.0]
+    got = grids.with_settings(spark.createDataFrame([(*cell, turn)], "a double, b double, c double, alpha double, beta double, gamma double, u array<double>")).first().setting
+    assert np.array(got).reshape(3, 3) == pytest.approx(np.array(turn).reshape(3, 3) @ grids.reciprocal_basis(cell))
+
+
 def test_mates_are_one_reflection(spark):
     ops = symmetry.operations("P 43 21 2")
     mates = symmetry.mates(spark.createDataFrame([(1.0, 2.0, 3.0)], "h double, k double, l double"), ops)

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reciprospark.operators import external
 from reciprospark.operators.grid import Grid
 from reciprospark.operators.scaling import ScaleModel, Smoother
 from reciprospark.plans import stand_ins as st
@@ -111,6 +112,15 @@ def test_stills_added_again_replace_themselves(spark, tmp_path):
         accumulate.of_arrays(spark, 1, [(0, 0, 0)] * 2, [1.0], [1.0])
 
 
+def test_programs_beside_the_engine(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
+    got = {r.k: (r.status, r.failed_step, r.output) for r in external.run_steps(rows, [["sh", "-c", "echo {name} > f; test {k} -ne 2"], ["cat", "f"]]).collect()}
+    assert got == {1: ("SUCCESS", None, "a"), 2: ("FAILURE", 0, None), 3: ("SUCCESS", None, "c")}
+    assert external.run_steps(rows, [["no-such-program"]]).where("status = 'FAILURE' and failed_step = 0").count() == 3
+    slow = external.run_steps(rows.limit(1), [["sleep", "5"]], timeout=0.2).first()
+    assert slow.status == "FAILURE" and "timed out" in slow.message and external.run_steps(rows.limit(0), [["true"]]).count() == 0
+
+
 def test_unknown_adapter(spark):
     with pytest.raises(ValueError, match="no reader"):
         adapters.read(spark, "unheard", "x")
