@@ -152,16 +152,19 @@ def _first(sig: np.ndarray, least: int, strong: int) -> list[tuple[int, int]]:
     return out
 
 
-def _apart(root: np.ndarray, sig: np.ndarray, least: int, least_wide: int) -> list[tuple[int, int]]:
-    """Pairs of one list that agree in enough bytes, of the first ones and of all, and belong to different components: all of them."""
+def _apart(root: np.ndarray, sig: np.ndarray, least: int, least_wide: int, band: int) -> list[tuple[int, int]]:
+    """Pairs of one list that agree in enough bytes, of the first ones and of all, and belong to different components: all of
+    them that share no list of an earlier run of bytes, where they are compared as well."""
     _, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
     if len(sizes) < 2:
         return []
     out = []
+    runs = np.ascontiguousarray(sig[:, :BYTES]).view(f"<u{BAND}")[:, :band]
     place = np.argsort(np.argsort(sizes, kind="stable"))  # of each component, by size
     for k in np.flatnonzero(of != int(np.argmax(place))).tolist():  # each pair from its smaller component
         others = np.flatnonzero(place[of] > place[of[k]])
         others = others[(sig[others, :BYTES] == sig[k, :BYTES]).sum(axis=1) >= least]
+        others = others[~(runs[others] == runs[k]).any(axis=1)]
         out += [(k, j) for j in others[(sig[others] == sig[k]).sum(axis=1) >= least_wide].tolist()]
     return out
 
@@ -184,9 +187,9 @@ def first_round(nodes: DataFrame, similarity: float) -> DataFrame:
 
 
 def second_round(members: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of nodes in a list whose components differ. members: key, fp, root, sig (all bytes)."""
+    """Pairs (a, b), each once, of nodes in a list whose components differ. members: key, fp, root, sig (all bytes)."""
     least, wide = minimum(similarity), minimum(similarity, BYTES + WIDE)
-    return _by_list(members, ("fp", "root"), BYTES + WIDE, "a long, b long", lambda key, fp, root, sig: _columns(_apart(root, sig, least, wide), fp)).distinct()
+    return _by_list(members, ("fp", "root"), BYTES + WIDE, "a long, b long", lambda key, fp, root, sig: _columns(_apart(root, sig, least, wide, key >> 32), fp))
 
 
 def _bitmap(fps: DataFrame) -> np.ndarray:
@@ -257,7 +260,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, comp
     roots = components(good)
     members = long.select(F.col("a").alias("key"), F.col("b").alias("fp")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     members = members.join(nodes, "fp").join(texts.select("fp", "wide"), "fp").select("key", "fp", "root", F.concat("sig", "wide").alias("sig"))
-    rest = second_round(members, similarity).join(pairs, ["a", "b"], "left_anti")
+    rest = stored(second_round(members, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
     out = stored(good.union(verified(rest, texts, width, similarity)), "links")
-    discard(found, texts, good, roots)
+    discard(found, texts, good, rest)
     return out
