@@ -143,17 +143,17 @@ def _above(v: np.ndarray, parent: np.ndarray) -> np.ndarray:
     return np.where(parent >= 0, v[:, np.maximum(parent, 0)], 0)
 
 
-def mutual_information(v: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Of all pairs of voters, within the classes; q: each row's share in the toxic one."""
-    out = np.zeros((v.shape[1], v.shape[1]))
-    for w in (q, 1 - q):
+def mutual_information(v: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+    """Of all pairs of voters, within the classes; toxic, clean: what each row counts in them."""
+    out, rows = np.zeros((v.shape[1], v.shape[1])), (toxic + clean).sum()
+    for w in (toxic, clean):
         total = w.sum() + 1e-9
         both = (v * w[:, None]).T @ v / total
         a = np.diag(both)[:, None]
         b = a.T
         for p, expected in ((both, a * b), (a - both, a * (1 - b)), (b - both, (1 - a) * b), (1 - a - b + both, (1 - a) * (1 - b))):
             ok = (p > 1e-12) & (expected > 1e-300)
-            out += total / len(v) * np.where(ok, p * np.log(np.where(ok, p, 1) / np.where(ok, expected, 1)), 0)
+            out += total / rows * np.where(ok, p * np.log(np.where(ok, p, 1) / np.where(ok, expected, 1)), 0)
     return out
 
 
@@ -181,19 +181,22 @@ def _alone(rate: np.ndarray, above: np.ndarray, together: np.ndarray) -> np.ndar
     return x
 
 
-def label_model(v: np.ndarray, rates: tuple[np.ndarray, np.ndarray], share: float, rounds: int = 60) -> tuple[LabelModel, np.ndarray]:
-    """Expectation maximisation over votes v, from the voters' rates in the clean and the toxic class and the share of the latter. The model, and the posterior of each row."""
+def label_model(v: np.ndarray, rates: tuple[np.ndarray, np.ndarray], share: float, weight: np.ndarray | None = None, rounds: int = 60) -> tuple[LabelModel, np.ndarray]:
+    """Expectation maximisation over votes v, from the voters' rates in the clean and the toxic class and the share of the latter.
+    weight: how many rows vote so (1). The model, and the posterior of each row."""
+    weight = np.ones(len(v)) if weight is None else weight
     prior = float(np.log(share / (1 - share)))
     size = v.shape[1]
     model = LabelModel(prior, np.full(size, -1), np.stack([np.log(r / (1 - r)) for r in rates]), np.zeros(size))
     q = logistic(model.odds(v))
     for number in range(rounds):
-        parent = forest(mutual_information(v, q), len(v)) if number in (0, 5, 15) else model.parent
+        toxic, clean = weight * q, weight * (1 - q)
+        parent = forest(mutual_information(v, toxic, clean), weight.sum()) if number in (0, 5, 15) else model.parent
         above = _above(v, parent)
-        on, votes, under = q @ (v * above), q @ v, q @ above
-        a, b, c, d = on + 0.5, under - on + 0.5, votes - on + 0.5, q.sum() - under - votes + on + 0.5
+        on, votes, under = toxic @ (v * above), toxic @ v, toxic @ above
+        a, b, c, d = on + 0.5, under - on + 0.5, votes - on + 0.5, toxic.sum() - under - votes + on + 0.5
         together = np.where(parent >= 0, np.clip(np.log(a * d / (b * c)), -6, 6), 0)
-        base = [(w @ v + PSEUDO * rate) / (w.sum() + PSEUDO) for w, rate in zip((1 - q, q), rates, strict=True)]
+        base = [(w @ v + PSEUDO * rate) / (w.sum() + PSEUDO) for w, rate in zip((clean, toxic), rates, strict=True)]
         alone = np.stack([_alone(b, np.where(parent >= 0, b[np.maximum(parent, 0)], 0), together) for b in base])
         model = LabelModel(prior, parent, alone, together)
         last, q = q, logistic(model.odds(v))
@@ -208,15 +211,16 @@ def inputs(v: np.ndarray, terms: int) -> np.ndarray:
     return np.concatenate([v, np.log1p(n), np.minimum(n, 1)], axis=1).astype(np.float64)
 
 
-def linear(x: np.ndarray, q: np.ndarray, penalty: float = PENALTY, rounds: int = 50) -> np.ndarray:
-    """Logistic regression on soft labels by Newton steps; the last weight is the bias."""
+def linear(x: np.ndarray, q: np.ndarray, weight: np.ndarray | None = None, penalty: float = PENALTY, rounds: int = 50) -> np.ndarray:
+    """Logistic regression on soft labels by Newton steps; weight: how many rows each one stands for (1). The last weight is the bias."""
+    weight = np.ones(len(x)) if weight is None else weight
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], penalty * len(x))
+    ridge = np.full(x.shape[1], penalty * weight.sum())
     ridge[-1] = 1e-9
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge), x.T @ (q - p) - ridge * w)
+        step = np.linalg.solve((x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (q - p)) - ridge * w)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
@@ -242,16 +246,17 @@ def learned(docs: DataFrame, labels: DataFrame, keep: Column, limit: int = SAMPL
             votes = [voters.votes(t).astype(np.uint8).tobytes() for t in texts]
             yield record(pa.schema([("h", pa.int64()), ("y", pa.float64()), ("votes", pa.binary())]), [batch.column("h"), batch.column("y"), votes])
 
-    rows = sample.select(F.xxhash64("doc_id").alias("h"), "text", "y").mapInArrow(run, "h long, y double, votes binary").orderBy("h", "y", "votes").limit(limit).toPandas()
+    rows = sample.select(F.xxhash64("doc_id").alias("h"), "text", "y").mapInArrow(run, "h long, y double, votes binary").orderBy("h", "y", "votes").limit(limit)
+    rows = rows.groupBy("votes").agg(F.count("*").alias("n"), F.sum("y").alias("toxic")).orderBy("votes").toPandas()  # rows that vote alike are one, with a weight
     size = len(terms) + len(PATTERNS)
-    y = rows["y"].to_numpy(float)
-    if not terms or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.5
+    toxic, weight = rows["toxic"].to_numpy(float), rows["n"].to_numpy(float)
+    share = float(toxic.sum() / weight.sum()) if len(rows) else 0.5
+    if not terms or share in (0.0, 1.0):
         return Model([], np.concatenate([np.zeros(len(PATTERNS) + 2), [np.log((share + 1e-3) / (1 - share + 1e-3))]]))
     v = np.frombuffer(b"".join(bytes(x) for x in rows["votes"]), dtype=np.uint8).reshape(-1, size).astype(np.float64)
-    rates = tuple((w @ v + 0.1) / (w.sum() + 0.2) for w in (1 - y, y))
-    _, posterior = label_model(v, rates, float(y.mean()))
-    return Model(terms, linear(inputs(v, len(terms)), posterior))
+    rates = tuple((w @ v + 0.1) / (w.sum() + 0.2) for w in (weight - toxic, toxic))
+    _, posterior = label_model(v, rates, share, weight)
+    return Model(terms, linear(inputs(v, len(terms)), posterior, weight))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

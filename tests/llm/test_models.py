@@ -330,6 +330,10 @@ def test_label_model_finds_rates_without_labels():
     v = (rng.random((6000, 5)) < rates).astype(float)
     v = np.concatenate([v, np.where(rng.random(6000) < 0.9, v[:, 0], 1 - v[:, 0])[:, None]], axis=1)
     model, q = toxicity.label_model(v, (np.full(6, 0.1), np.full(6, 0.4)), 0.2)
+    once, at, times = np.unique(v, axis=0, return_inverse=True, return_counts=True)
+    again, same = toxicity.label_model(once, (np.full(6, 0.1), np.full(6, 0.4)), 0.2, times.astype(float))
+    assert same[at.ravel()] == pytest.approx(q, abs=1e-6) and (again.parent == model.parent).all()
+    assert toxicity.linear(once, same, times.astype(float)) == pytest.approx(toxicity.linear(v, q), abs=1e-4)
     assert q @ v[:, :5] / q.sum() == pytest.approx(np.array([0.7, 0.6, 0.5, 0.4, 0.5]), abs=0.06)
     assert ((q > 0.5) == y).mean() > 0.94 and 0 in (model.parent[5], 5 * (model.parent[0] != 5))
 
