@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, lm, outliers, pieces, quotes, rules, simhash, toxicity, urls
+from reciprospark.llm import bpe, decontaminate, infill, lm, outliers, pieces, quotes, rules, simhash, toxicity, trie, urls
 
 QUERIES = {
     "op1_pitman_yor": lm.op1_pitman_yor,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_quote_links": quotes.op9_quote_links,
     "op10_weak_supervision": toxicity.op10_weak_supervision,
+    "op11_prefix_trie": trie.op11_prefix_trie,
+    "op13_infill": infill.op13_infill,
 }
 ORACLES = {
     "op3_decontamination": decontaminate.ORACLE,
     "op5_url_filter": urls.ORACLE,
     "op9_quote_links": quotes.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
+    "op13_infill": infill.ORACLE,
 }
