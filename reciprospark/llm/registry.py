@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reciprospark.llm import bpe, decontaminate, infill, lm, outliers, pieces, quotes, rules, simhash, toxicity, trie, urls
+from reciprospark.llm import bpe, decontaminate, infill, lm, minhash, outliers, pieces, quotes, rules, simhash, toxicity, trie, urls
 
 QUERIES = {
     "op1_pitman_yor": lm.op1_pitman_yor,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quote_links": quotes.op9_quote_links,
     "op10_weak_supervision": toxicity.op10_weak_supervision,
     "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_minhash": minhash.op12_minhash,
     "op13_infill": infill.op13_infill,
 }
 ORACLES = {
@@ -23,5 +24,6 @@ ORACLES = {
     "op5_url_filter": urls.ORACLE,
     "op9_quote_links": quotes.ORACLE,
     "op11_prefix_trie": trie.ORACLE,
+    "op12_minhash": minhash.ORACLE,
     "op13_infill": infill.ORACLE,
 }
