@@ -50,7 +50,9 @@ def divergence(hist: DataFrame, grid: Grid, most: int = MOST) -> DataFrame:
     return both.groupBy("voxel_idx").agg(F.first("rate").alias("rate"), F.sum(F.col("p") * (F.log("p") - log_poisson)).alias("divergence"))
 
 
-def outlying(hist: DataFrame, grid: Grid, most_divergence: float, over: DataFrame | None = None, most_overflow: float = 0.0) -> DataFrame:
-    """Voxels of a divergence beyond the given one, or with an overflow beyond most_overflow."""
-    out = divergence(hist, grid).where(F.col("divergence") > most_divergence).select("voxel_idx")
-    return out if over is None else out.union(over.where(F.col("overflow") > most_overflow).select("voxel_idx")).distinct()
+def outlying(hist: DataFrame, over: DataFrame, grid: Grid, most_divergence: float, most_overflow: float = 0.0) -> DataFrame:
+    """Voxels of a divergence beyond the given one, or with counts beyond the bins that add up to more than most_overflow.
+
+    hist and over are what histogram() and overflow() give of the same pixels: a voxel of great counts alone is in the latter only."""
+    wide = divergence(hist, grid).where(F.col("divergence") > most_divergence).select("voxel_idx")
+    return wide.union(over.where(F.col("overflow") > most_overflow).select("voxel_idx")).distinct()

@@ -12,6 +12,7 @@ from reciprospark.operators import quantiles
 from reciprospark.operators.grid import Grid, with_centres
 from reciprospark.operators.symmetry import reduced
 from reciprospark.operators.validation import enough_partiality
+from reciprospark.sources.shared import scratch
 
 TINY = 1e-10
 MAD_TO_SIGMA = 1.4826
@@ -29,40 +30,70 @@ def nested(flat: DataFrame) -> DataFrame:
 
 
 def observed_enough(obs: DataFrame, least: int) -> DataFrame:
-    """Observations of voxels that have at least so many."""
+    """Observations of voxels that have at least so many. Counts are partial sums, so a crowded voxel meets in no task."""
     if least <= 1:
         return obs
-    return obs.withColumn("_n", F.count("*").over(Window.partitionBy("voxel_idx"))).where(F.col("_n") >= least).drop("_n")
+    enough = obs.groupBy("voxel_idx").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("voxel_idx")
+    return obs.join(enough, "voxel_idx", "left_semi")
 
 
-def without_outliers(obs: DataFrame, threshold: float = 3.0, hot: int = quantiles.MOST) -> DataFrame:
+def without_outliers(obs: DataFrame, threshold: float = 3.0, hot: int = quantiles.MOST, least: int = 1) -> DataFrame:
     """Within threshold robust sigmas of the voxel's median; all of a voxel of up to two, or if none were left.
 
-    Medians are windows over voxels. A voxel of over hot observations is not brought into one task: its medians
-    are narrowed by histograms (one count beforehand tells which voxels, if any, are)."""
-    crowded = [r.voxel_idx for r in obs.groupBy("voxel_idx").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("voxel_idx").collect()]
-    if not crowded:
-        return _by_window(obs, threshold)
-    keys = F.broadcast(obs.sparkSession.createDataFrame([(k,) for k in crowded], "voxel_idx long"))
-    own = obs.join(keys, "voxel_idx", "left_semi")
+    A voxel with an intensity that is null or NaN, or whose median is infinite, keeps all. Voxels of fewer than ``least`` go. The rule is
+    the same for voxels of any size: medians are windows over voxels, but a voxel of over ``hot`` observations is not brought into one
+    task (see quantiles.medians). Partial counts tell which voxels are.
+    """
+    crowded = F.col("n") > max(hot, least, 2)
+    sizes = obs.groupBy("voxel_idx").agg(F.count("*").alias("n"), F.max(~finite_or_infinite(F.col("intensity"))).alias("odd"))
+    large = sizes.where(crowded)
+    if large.isEmpty():
+        return _by_window(obs, threshold, least)
+    large = obs.sparkSession.read.schema(large.schema).parquet(_written(large))
+    rest = _by_window(obs.join(large, "voxel_idx", "left_anti"), threshold, least)
+    return rest.unionByName(_by_table(obs.join(large.select("voxel_idx"), "voxel_idx", "left_semi"), large, threshold).select(*obs.columns))
 
-    def with_median(rows: DataFrame, value: str, name: str) -> DataFrame:
-        found = quantiles.by_key(rows.select(F.col("voxel_idx").alias("key"), F.col(value).cast("double").alias("value")), [0.5])
-        return rows.join(F.broadcast(rows.sparkSession.createDataFrame([(k, v[0]) for k, v in found.items()], f"voxel_idx long, {name} double")), "voxel_idx", "left")
 
-    own = with_median(own, "intensity", "_median").withColumn("_off", F.abs(F.col("intensity") - F.col("_median")))
-    own = with_median(own, "_off", "_mad").withColumn("_near", F.col("_off") <= threshold * MAD_TO_SIGMA * F.col("_mad"))
-    left = own.groupBy("voxel_idx").agg(F.max("_near").alias("_any"))
-    own = own.join(F.broadcast(left), "voxel_idx").where(F.col("_near") | ~F.col("_any"))  # a row for each crowded voxel
-    return _by_window(obs.join(keys, "voxel_idx", "left_anti"), threshold).unionByName(own.select(*obs.columns))
+def _written(table: DataFrame) -> str:
+    path = scratch(table.sparkSession, "crowded")
+    table.write.parquet(path)
+    return path
 
 
-def _by_window(obs: DataFrame, threshold: float) -> DataFrame:
+def finite_or_infinite(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value.cast("double"))
+
+
+def _sound(median: Column) -> Column:
+    """A median that outliers can be measured against, else null."""
+    return F.when(F.abs(median) < float("inf"), median)
+
+
+def _by_window(obs: DataFrame, threshold: float, least: int) -> DataFrame:
     over = Window.partitionBy("voxel_idx")
-    out = obs.withColumn("_median", F.median("intensity").over(over)).withColumn("_off", F.abs(F.col("intensity") - F.col("_median")))
-    out = out.withColumn("_mad", F.median("_off").over(over)).withColumn("_n", F.count("*").over(over))
-    out = out.withColumn("_near", F.col("_off") <= threshold * MAD_TO_SIGMA * F.col("_mad")).withColumn("_any", F.max("_near").over(over))
-    return out.where((F.col("_n") <= 2) | F.col("_near") | ~F.col("_any")).drop("_median", "_off", "_mad", "_n", "_near", "_any")
+    x = F.col("intensity").cast("double")
+    out = obs.withColumns({"_n": F.count("*").over(over), "_odd": F.max(~finite_or_infinite(x)).over(over), "_median": F.median(x).over(over)})
+    out = out.where(F.col("_n") >= least) if least > 1 else out
+    out = out.withColumn("_off", F.when(~F.col("_odd"), F.abs(x - _sound(F.col("_median")))))
+    out = out.withColumns({"_mad": F.median("_off").over(over), "_low": F.min("_off").over(over)})
+    bound = threshold * MAD_TO_SIGMA * F.col("_mad")
+    apart = (F.col("_n") > 2) & (F.col("_low") <= bound) & (F.col("_off") > bound)
+    return out.where(~F.coalesce(apart, F.lit(False))).drop("_n", "_odd", "_median", "_off", "_mad", "_low")
+
+
+def _by_table(obs: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
+    """The same of crowded voxels (voxel_idx, n, odd), by joins with a row for each of them."""
+    x = F.col("intensity").cast("double")
+    key = F.col("voxel_idx").alias("key")
+    judged = crowded.where("not odd").select("voxel_idx")
+    rows = obs.join(judged, "voxel_idx", "left_semi")
+    middle = quantiles.medians(rows.select(key, x.alias("value"))).select(F.col("key").alias("voxel_idx"), _sound(F.col("median")).alias("_median"))
+    off = rows.join(middle, "voxel_idx").select(key, F.abs(x - F.col("_median")).alias("value")).where("value is not null")
+    spread = quantiles.medians(off).join(off.groupBy("key").agg(F.min("value").alias("low")), "key")
+    bound = threshold * MAD_TO_SIGMA * F.col("median")
+    bounds = spread.select(F.col("key").alias("voxel_idx"), F.when(F.col("low") <= bound, bound).alias("_bound"))
+    out = obs.join(middle.join(bounds, "voxel_idx"), "voxel_idx", "left")
+    return out.where(~F.coalesce(F.abs(x - F.col("_median")) > F.col("_bound"), F.lit(False)))
 
 
 def merge_columns(method: str) -> tuple[Column, Column]:
@@ -86,9 +117,7 @@ def merged(obs: DataFrame, method: str = "inverse_variance", least: int = 1) ->
 
 def merge(binned: DataFrame, grid: Grid, method: str = "inverse_variance", least: int = 1, reject: float | None = None) -> DataFrame:
     """Merged map of scaled, binned observations, with voxel centres. reject: outlier threshold, None: off."""
-    out = observed_enough(binned, least)
-    if reject is not None:
-        out = without_outliers(out, reject)
+    out = observed_enough(binned, least) if reject is None else without_outliers(binned, reject, least=least)
     return with_centres(merged(out, method, least), grid)
 
 

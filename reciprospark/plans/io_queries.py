@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reciprospark.operators import grid as grids
-from reciprospark.operators import external, masks, merging, orchestration, scaling
+from reciprospark.operators import masks, merging, orchestration, scaling
 from reciprospark.plans import merging_queries as mq
 from reciprospark.plans import pixel_queries as pq
 from reciprospark.plans import stand_ins as st
@@ -204,37 +204,6 @@ def uniform_adapters(spark, d):
     return merging.concatenated([adapters.read(spark, k, p).agg(F.lit(k).alias("kind"), F.count("*").alias("n")) for k, p in each.items()])
 
 
-# programs beside the engine
-
-_STILLS = "select s_suppkey::int as image_id, s_suppkey % 7 = 3 as bad from supplier"
-
-
-def _inputs(spark, d):
-    """Images: each is a run of a program."""
-    return st.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("image_id"), F.when(F.col("s_suppkey") % 7 == 3, 1).otherwise(0).alias("bad"))
-
-
-@query("S13_external_stills", f"select image_id, case when bad then 'FAILURE' else 'SUCCESS' end as status, case when not bad then (image_id * 2)::varchar end as output, case when bad then 'InputFileError' end as error_code from ({_STILLS})")
-def external_stills(spark, d):
-    """One program for each image; some find no input."""
-    out = external.run_steps(_inputs(spark, d), [["sh", "-c", "test {bad} -eq 0 || {{ echo image not found >&2; exit 2; }}; echo $(( {image_id} * 2 ))"]])
-    return out.select("image_id", "status", "output", "error_code")
-
-
-@query("S14_external_sequence", f"select image_id, case when bad then 'FAILURE' else 'SUCCESS' end as status, case when bad then 2 end as failed_step, case when not bad then (image_id * 2 + 1)::varchar end as output from ({_STILLS})")
-def external_sequence(spark, d):
-    """Four steps in a folder of their own, each on what the one before has left."""
-    steps = ["echo {image_id} > imported", "echo $(( $(cat imported) * 2 )) > spots", "test {bad} -eq 0 && echo $(( $(cat spots) + 1 )) > indexed", "cat indexed"]
-    out = external.run_steps(_inputs(spark, d), [["sh", "-c", s] for s in steps])
-    return out.select("image_id", "status", "failed_step", "output")
-
-
-@query("S15_external_batch", f"select case when bad then 'FAILURE' else 'SUCCESS' end as status, case when bad then 'ProcessingError' end as error_code, count(*) as n from ({_STILLS}) group by all")
-def external_batch(spark, d):
-    """The outcomes of a batch, counted."""
-    return orchestration.outcome_summary(external.run_steps(_inputs(spark, d), [["test", "{bad}", "-eq", "0"]]))
-
-
 # incremental
 
 
@@ -248,16 +217,28 @@ def add_observations(spark, d):
     return spark.read.parquet(out).groupBy("voxel_idx", "still_id").agg(F.count("*").alias("n"))
 
 
-@query("T01_added_counts", sql(st.BINNED, "select * from (select 'first' as what, count(*) as n from binned where still_id < 4 union all select 'again', count(*) from binned where still_id < 4 union all select 'rest', count(*) from binned where still_id >= 4 union all select 'stored', count(*) from binned)"))
+@query("T01_added_counts", sql(st.BINNED, "select * from (select 'first' as what, count(*) as n from binned where still_id < 4 and obs_id % 3 = 0 union all select 'first again', count(*) from binned where still_id < 4 and obs_id % 3 = 0 union all select 'more of them', count(*) from binned where still_id < 4 and obs_id % 3 <> 0 union all select 'rest', count(*) from binned where still_id >= 4 union all select 'stored', count(*) from binned)"))
 def added_counts(spark, d):
-    """Numbers binned of stills added in two parts, the first part twice; a still added again replaces itself."""
+    """Numbers binned of stills added in parts, one part twice under one batch id: parts of a still add up, a batch that comes again replaces itself."""
     obs = st.observations(spark, d)
     g, path = st.grid(obs), scratch(spark, "binned")
-    parts = {"first": obs.where("still_id < 4"), "again": obs.where("still_id < 4"), "rest": obs.where("still_id >= 4")}
-    seen = [(k, accumulate.add_observations(p, g, path)) for k, p in parts.items()]
+    low, third = F.col("still_id") < 4, F.col("obs_id") % 3 == 0
+    parts = [("first", obs.where(low & third), "a"), ("first again", obs.where(low & third), "a"), ("more of them", obs.where(low & ~third), "b"), ("rest", obs.where(~low), None)]
+    seen = [(what, accumulate.add_observations(part, g, path, batch)) for what, part, batch in parts]
     return spark.createDataFrame([*seen, ("stored", accumulate.finalized(spark, path)[0].count())], "what string, n long")
 
 
+@query("T01_stills_of_parts", sql(st.BINNED, "select still_id, count(*) as n, count(distinct voxel_idx) as n_voxels, round(sum(intensity) / 1e3, 2) as total from binned group by 1"))
+def stills_of_parts(spark, d):
+    """What is stored of each still when every still comes in three parts."""
+    obs = st.observations(spark, d)
+    g, path = st.grid(obs), scratch(spark, "binned")
+    for k in range(3):
+        accumulate.add_observations(obs.where(F.pmod("obs_id", F.lit(3)) == k), g, path)
+    stored = accumulate.finalized(spark, path)[0]
+    return stored.groupBy("still_id").agg(F.count("*").alias("n"), F.countDistinct("voxel_idx").alias("n_voxels"), r(F.sum("intensity") / 1e3, "total", 2))
+
+
 @query("T02_finalize", sql(st.BINNED, "select sum(n)::bigint as n_observations, count(*) as n_voxels, round(avg(n), 6) as mean_n, round(stddev_pop(n), 6) as std_n, min(n) as min_n, max(n) as max_n from (select count(*) as n from binned group by voxel_idx)"))
 def finalize(spark, d):
     obs = st.observations(spark, d)

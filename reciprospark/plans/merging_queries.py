@@ -56,7 +56,7 @@ def count_per_voxel(spark, d):
 
 @query("M03_outlier_rejection", sql(st.APPLIED, f"select voxel_idx, count(*) as n, round(sum(intensity), 2) as total from {REJECTED} group by 1"))
 def outlier_rejection(spark, d):
-    out = merging.without_outliers(merging.observed_enough(_applied(spark, d)[0], 2))
+    out = merging.without_outliers(_applied(spark, d)[0], least=2)
     return out.groupBy("voxel_idx").agg(F.count("*").alias("n"), r(F.sum("intensity"), "total", 2))
 
 

@@ -129,9 +129,13 @@ divergent as materialized (select voxel_idx, first(rate) as rate, sum(p * (ln(p)
 st.SQL["divergent"] = _SPREAD
 
 
+def _tallied(binned):
+    return binned.withColumn("count", 1 + (F.col("obs_id") * F.col("obs_id") + F.col("voxel_idx")) % 9)
+
+
 def _hist(spark, d):
     b, g = st.binned(spark, d)
-    return counts.histogram(b.withColumn("count", 1 + (F.col("obs_id") * F.col("obs_id") + F.col("voxel_idx")) % 9)), g
+    return counts.histogram(_tallied(b)), g
 
 
 @query("X06_divergence", sql(f"{st.BINNED} divergent", "select voxel_idx, round(rate, 9) as rate, round(divergence, 6) as divergence from divergent"))
@@ -143,5 +147,17 @@ def divergence(spark, d):
 
 @query("X06_outlying_voxels", sql(f"{st.BINNED} divergent", "select voxel_idx from divergent where divergence > 0.5"))
 def outlying_voxels(spark, d):
-    hist, g = _hist(spark, d)
-    return counts.outlying(hist, g, 0.5)
+    """No count is beyond the bins here."""
+    b, g = st.binned(spark, d)
+    return counts.outlying(_hist(spark, d)[0], counts.overflow(_tallied(b)), g, 0.5)
+
+
+st.SQL["low_hist"] = _SPREAD.replace("count(*) as n from binned group by all", "count(*) as n from binned where 1 + (obs_id * obs_id + voxel_idx) % 9 <= 6 group by all", 1)
+
+
+@query("X06_outlying_or_overflowing", sql(f"{st.BINNED} low_hist", "select voxel_idx from divergent where divergence > 0.5 union select voxel_idx from binned where 1 + (obs_id * obs_id + voxel_idx) % 9 > 6 group by 1 having sum(1 + (obs_id * obs_id + voxel_idx) % 9) > 800"))
+def outlying_or_overflowing(spark, d):
+    """Voxels unlike a Poisson process up to a count of 6, or with many greater counts."""
+    b, g = st.binned(spark, d)
+    rows = _tallied(b)
+    return counts.outlying(counts.histogram(rows, 6), counts.overflow(rows, 6), g, 0.5, 800.0)

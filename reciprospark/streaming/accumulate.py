@@ -6,6 +6,9 @@ batch operations.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,17 +34,14 @@ def accumulate(stream: DataFrame, grid: Grid, path: str, checkpoint: str) -> Str
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def add_observations(obs: DataFrame, grid: Grid, path: str) -> int:
-    """Bin the observations of stills into path and give the number binned. A still that is added again replaces itself."""
-    found = binned(obs, grid)
-    session = obs.sparkSession
-    before = session.conf.get("spark.sql.sources.partitionOverwriteMode")
-    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        counted = found.observe(seen := Observation(), F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite").partitionBy("still_id").parquet(path)
-    finally:
-        session.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+def add_observations(obs: DataFrame, grid: Grid, path: str, batch: str | None = None) -> int:
+    """Bin observations, add them to path and give the number binned. Parts of a still add up, and so do observations that come twice.
+
+    batch: the caller's id of this part. The same id again replaces what it has written before, so a part can be run again after a failure;
+    without an id each call is a part of its own. A part is one folder, of any number of stills."""
+    found = binned(obs, grid).observe(seen := Observation(), F.count(F.lit(1)).alias("n"))
+    name = uuid.uuid4().hex if batch is None else hashlib.md5(str(batch).encode()).hexdigest()
+    found.write.mode("overwrite").parquet(f"{path}/batch=b{name}")
     return seen.get["n"]
 
 
@@ -55,7 +55,7 @@ def of_arrays(spark: SparkSession, still_id: int, q, intensities, sigmas) -> Dat
 
 def finalized(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """All that was accumulated in path, and one row of its statistics."""
-    rows = spark.read.parquet(path)
+    rows = spark.read.parquet(path).drop("batch")
     return rows, accumulation_statistics(rows)
 
 

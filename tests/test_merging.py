@@ -210,6 +210,13 @@ def test_divergence_finds_the_voxel_with_peaks(spark):
     assert max(found[v] for v in (0, 1, 2, 8, 9)) < 0.1 < min(found[v] for v in (4, 5, 6))
 
 
+def test_counts_beyond_the_bins_are_judged(spark):
+    grid = grids.Grid(IDENTITY, (1, 1, 1), (0, 0, 0), (9, 9, 9))
+    pixels_ = spark.createDataFrame([(5, 300), (5, 400), (7, 2), (7, 3)], "voxel_idx long, count int")
+    found = [counts.outlying(counts.histogram(pixels_), counts.overflow(pixels_), grid, 1e9, most).collect() for most in (0.0, 699.0, 700.0)]
+    assert [[r.voxel_idx for r in x] for x in found] == [[5], [5], []]
+
+
 def test_batch_goes_on_after_a_failure(spark):
     images = spark.createDataFrame([(0, 0, 2, 2, [1.0, 2.0, 3.0, 4.0], 0.0), (1, 0, 2, 2, [1.0], None), (2, 0, 2, 2, None, 0.1)], "image_id int, panel_id int, n_slow int, n_fast int, data array<double>, increment double")
     obs, out = orchestration.process_batch(images, pixels.Panel((0.0, 0.0, 100.0)), pixels.Beam(1.0))
@@ -235,3 +242,30 @@ def test_crowded_voxels_are_judged_alike(spark):
     obs = spark.createDataFrame(rows, OBS)
     one, other = (sorted(map(tuple, merging.without_outliers(obs, 3.0, hot).collect())) for hot in (50, 10**6))
     assert one == other and 0 < len(one) < len(rows)
+
+
+def plain_rejection(rows, threshold, least):
+    """What is kept, by the rule in plain numpy."""
+    out, voxels = [], {}
+    for r in rows:
+        voxels.setdefault(r[0], []).append(r)
+    for own in voxels.values():
+        x = np.array([np.nan if r[2] is None else r[2] for r in own])
+        with np.errstate(invalid="ignore"):
+            off = np.abs(x - np.median(x))
+            keep = off <= threshold * 1.4826 * np.median(off)
+        if len(own) >= least:
+            out += own if len(own) <= 2 or not keep.any() else [r for r, k in zip(own, keep, strict=True) if k]
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("hot", [2, 3, 5, 20, 10**6])
+def test_one_rule_for_voxels_of_all_sizes(spark, hot):
+    nan, inf = math.nan, math.inf
+    cases = [[nan] * 4, [1.0, 2.0, 1.5, None, 90.0], [1.0, 2.0, 3.0, nan, 500.0], [inf] * 3, [1.0, 2.0, 3.0, inf], [1.0, inf, inf, inf, 2.0], [-inf, -inf, inf, inf], [-inf, 1.0, 2.0, 3.0, inf], [5.0, 5.0, 5.0, 6.0], [1.0], [1.0, 99.0], [None] * 3, [0.0, -0.0, 0.0, 1e-300], [1.0, 3.0] * 3, [1e308, -1e308, 1.7e308, 1.0]]
+    rng = np.random.default_rng(5)
+    cases += [list(map(float, np.round(rng.standard_cauchy(n), 1))) for n in (3, 4, 7, 8, 25, 26, 400)]
+    rows = [(v, k % 3, x, 1.0) for v, own in enumerate(cases) for k, x in enumerate(own)]
+    obs = spark.createDataFrame(rows, OBS)
+    for threshold, least in ((3.0, 1), (0.5, 2), (0.1, 4)):
+        assert sorted(str(tuple(r)) for r in merging.without_outliers(obs, threshold, hot, least).collect()) == plain_rejection(rows, threshold, least)

@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reciprospark.operators import external
 from reciprospark.operators.grid import Grid
 from reciprospark.operators.scaling import ScaleModel, Smoother
 from reciprospark.plans import stand_ins as st
@@ -102,23 +101,23 @@ def test_long_headers_are_read_whole(spark, tmp_path):
     assert got == {"a": (7.5, None), "b": (None, 0.5)}
 
 
-def test_stills_added_again_replace_themselves(spark, tmp_path):
+def test_parts_of_a_still_add_up(spark, tmp_path):
+    path = str(tmp_path / "b")
     one = accumulate.of_arrays(spark, 4, [(0.1, 0.2, 0.3), (9.0, 9.0, 9.0)], [1.0, 2.0], [1.0, 1.0])
-    assert [accumulate.add_observations(one, GRID, str(tmp_path / "b")) for _ in range(2)] == [1, 1]
-    assert accumulate.add_observations(accumulate.of_arrays(spark, 5, [], [], []), GRID, str(tmp_path / "b")) == 0
-    rows, statistics = accumulate.finalized(spark, str(tmp_path / "b"))
-    assert rows.count() == 1 and statistics.first().n_observations == 1
+    more = accumulate.of_arrays(spark, 4, [(1.1, 0.2, 0.3)] * 2, [3.0, 3.0], [1.0, 1.0])
+    assert [accumulate.add_observations(x, GRID, path) for x in (one, more, more)] == [1, 2, 2]
+    assert accumulate.add_observations(accumulate.of_arrays(spark, 5, [], [], []), GRID, path) == 0
+    rows, statistics = accumulate.finalized(spark, path)
+    assert sorted(r.intensity for r in rows.collect()) == [1.0, 3.0, 3.0, 3.0, 3.0] and statistics.first().n_observations == 5 and "batch" not in rows.columns
     with pytest.raises(ValueError, match="2 vectors, 1 intensities"):
         accumulate.of_arrays(spark, 1, [(0, 0, 0)] * 2, [1.0], [1.0])
 
 
-def test_programs_beside_the_engine(spark):
-    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
-    got = {r.k: (r.status, r.failed_step, r.output) for r in external.run_steps(rows, [["sh", "-c", "echo {name} > f; test {k} -ne 2"], ["cat", "f"]]).collect()}
-    assert got == {1: ("SUCCESS", None, "a"), 2: ("FAILURE", 0, None), 3: ("SUCCESS", None, "c")}
-    assert external.run_steps(rows, [["no-such-program"]]).where("status = 'FAILURE' and failed_step = 0").count() == 3
-    slow = external.run_steps(rows.limit(1), [["sleep", "5"]], timeout=0.2).first()
-    assert slow.status == "FAILURE" and "timed out" in slow.message and external.run_steps(rows.limit(0), [["true"]]).count() == 0
+def test_a_batch_that_comes_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "b")
+    one = accumulate.of_arrays(spark, 4, [(0.1, 0.2, 0.3)], [1.0], [1.0])
+    assert [accumulate.add_observations(one, GRID, path, batch) for batch in ("x/1", "x/1", "x/2", "7", None)] == [1] * 5
+    assert accumulate.finalized(spark, path)[0].count() == 4
 
 
 def test_unknown_adapter(spark):
