@@ -55,10 +55,11 @@ def solid_angle_factor(omega: Column) -> Column:
     return F.when(omega <= 0, F.lit(1.0)).otherwise(F.lit(1.0) / F.when(omega <= 0, F.lit(1.0)).otherwise(omega))
 
 
-def air_factor(lab: vec.Vector, wavelength: float, temperature_k: float = 293.15, pressure_atm: float = 1.0) -> Column:
-    """exp(mu r) for a path of |lab| mm; mu is one number of the driver."""
-    mu = air_attenuation(HC / wavelength, temperature_k, pressure_atm)
-    return F.exp(F.lit(mu) * vec.norm(lab) / 1000.0)
+def air_factor(lab: vec.Vector, wavelength: float, temperature_k: float = 293.15, pressure_atm: float = 1.0, mu: Column | None = None) -> Column:
+    """exp(mu r) for a path of |lab| mm; mu is one number of the driver, or a column where it is given."""
+    if mu is None:
+        mu = F.lit(air_attenuation(HC / wavelength, temperature_k, pressure_atm))
+    return F.exp(mu * vec.norm(lab) / 1000.0)
 
 
 def total_factor(factors: Mapping[str, Column]) -> Column:

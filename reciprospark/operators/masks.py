@@ -74,9 +74,16 @@ def box_pixels(reflections: DataFrame, half: int = 2, n_slow: int | None = None,
     return rows.withColumn("fast", F.explode(side(x, n_fast)))
 
 
+def of_image(table: DataFrame) -> list[str]:
+    """The key of a pixel: with the image where a table has one."""
+    return ["image_id", *KEY] if "image_id" in table.columns else KEY
+
+
 def spot_pixels(reflections: DataFrame, half: int = 2, n_slow: int | None = None, n_fast: int | None = None) -> DataFrame:
-    """Pixels of the boxes around spots, each once."""
-    return box_pixels(reflections.select("panel_id", "x", "y"), half, n_slow, n_fast).select(*KEY).distinct()
+    """Pixels of the boxes around spots, each once; of each image for reflections with an image_id."""
+    keys = of_image(reflections)
+    own = [c for c in keys if c not in ("slow", "fast")]
+    return box_pixels(reflections.select(*own, "x", "y"), half, n_slow, n_fast).select(*keys).distinct()
 
 
 def spot_centres(reflections: DataFrame) -> DataFrame:
@@ -99,17 +106,18 @@ def is_peak(code: Column) -> Column:
 
 
 def shoebox_pixels(reflections: DataFrame, n_slow: int, n_fast: int) -> DataFrame:
-    """Peak pixels of shoeboxes: cells with a foreground or strong bit, on the panel that z names, inside the panel."""
+    """Peak pixels of shoeboxes: cells with a foreground or strong bit, on the panel that z names, inside the panel; of each image for reflections with an image_id."""
     require_columns(reflections, ["shoebox"], "reflections")
-    cells = reflections.select("shoebox", F.posexplode("shoebox.mask").alias("at", "code"))
+    image = [c for c in of_image(reflections) if c == "image_id"]
+    cells = reflections.select(*image, "shoebox", F.posexplode("shoebox.mask").alias("at", "code"))
     wide, high = F.col("shoebox.x2") - F.col("shoebox.x1"), F.col("shoebox.y2") - F.col("shoebox.y1")
     cells = cells.where((wide > 0) & (high > 0) & is_peak(F.col("code")))
     plane = F.greatest(wide * high, F.lit(1))
     cells = cells.select(
-        F.floor(F.col("shoebox.z1") + F.col("at") / plane).cast("int").alias("panel_id"),
+        *image, F.floor(F.col("shoebox.z1") + F.col("at") / plane).cast("int").alias("panel_id"),
         F.floor(F.col("shoebox.y1") + (F.col("at") % plane) / F.greatest(wide, F.lit(1))).cast("int").alias("slow"),
         (F.col("shoebox.x1") + F.col("at") % F.greatest(wide, F.lit(1))).cast("int").alias("fast"),
-    )
+    )
     return cells.where(F.col("slow").between(0, n_slow - 1) & F.col("fast").between(0, n_fast - 1)).distinct()
 
 
@@ -119,6 +127,18 @@ def total_mask(mask: DataFrame, peaks: DataFrame) -> DataFrame:
     return mask.join(marked, KEY, "left").select(*KEY, (F.col("good") & F.col("_peak").isNull()).alias("good"))
 
 
+def image_masks(pixels: DataFrame, mask: DataFrame | None, peaks: DataFrame | None) -> DataFrame:
+    """pixels (image_id, panel_id, slow, fast, ...) with good: whether the mask that all images share calls the pixel good (a pixel that it lacks is good)
+    and no peak of the pixel's own image covers it (peaks: image_id, panel_id, slow, fast). Equi-joins; images without peaks keep the shared mask."""
+    out, good = pixels, F.lit(True)
+    if mask is not None:
+        out, good = out.join(mask.select(*KEY, F.col("good").alias("_shared")), KEY, "left"), F.coalesce("_shared", F.lit(True))
+    if peaks is not None:
+        keys = of_image(peaks)
+        out, good = out.join(peaks.select(*keys, F.lit(True).alias("_peak")).distinct(), keys, "left"), good & F.col("_peak").isNull()
+    return out.withColumn("good", good).select(*[c for c in pixels.columns if c != "good"], "good")
+
+
 def mask_summary(mask: DataFrame) -> DataFrame:
     """Pixels, good pixels and their share, by panel."""
     return mask.groupBy("panel_id").agg(F.count("*").alias("n"), F.count_if("good").alias("n_good")).withColumn("good_share", F.col("n_good") / F.col("n"))

@@ -11,6 +11,7 @@ from reciprospark.operators import grid as grids
 from reciprospark.operators import merging, scaling
 from reciprospark.operators.pixels import Beam, Extraction, Panel, observations, unfolded
 from reciprospark.sources.headers import route
+from reciprospark.sources.shared import scratch
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,7 @@ def routed(images: DataFrame, forced: Column | str | None = None, legacy: bool =
 
 
 def error_code(message: Column) -> Column:
-    """The code of a failure from its message; the first that fits."""
+    """The code of a failure from its message; the first that fits. The codes and their order."""
     low = F.lower(message)
     return (
         F.when(message.contains("Input") | low.contains("not found"), "InputFileError")
@@ -67,16 +68,27 @@ class Defaults:
         return [(f.name, str(getattr(self, f.name))) for f in fields(self)]
 
 
-def process_batch(images: DataFrame, panel: Panel, beam: Beam, settings: Extraction = Extraction(), bad: DataFrame | None = None, forced: str | None = None) -> tuple[DataFrame, DataFrame]:
+def process_batch(
+    images: DataFrame, panel: Panel | DataFrame, beam: Beam | DataFrame, settings: Extraction = Extraction(), bad: DataFrame | None = None,
+    forced: str | None = None, peaks: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """All images of a batch at once: their observations, and one outcome for each image.
 
-    images: image_id, panel_id, n_slow, n_fast, data (array), increment. An image without data, or with data of another size than it
-    says, fails by itself: it has an outcome with an error code and no observations; the others go on.
+    images: image_id, panel_id, n_slow, n_fast, data (array), increment. An image without data, with data of another size than it
+    says, or without a beam or panel in the tables of models, fails by itself: it has an outcome with an error code and no observations; the others
+    go on. bad: pixels of the mask that all share; peaks: of each image. The observations are written once to the shared folder and counted from there.
     """
     size = F.col("n_slow") * F.col("n_fast")
     doubt = F.when(F.col("data").isNull(), F.lit("Input image not found")).when(F.size("data") != size, F.lit("image of another size than its header says"))
     checked = routed(images, forced).withColumn("message", doubt)
-    found = observations(unfolded(checked.where("message is null")), panel, beam, settings, bad).withColumnRenamed("image_id", "still_id")
+    if isinstance(panel, DataFrame) and isinstance(beam, DataFrame):
+        known = checked.join(panel.select("panel_id", F.lit(True).alias("_panel")).distinct(), "panel_id", "left").join(beam.select("image_id", F.lit(True).alias("_beam")).distinct(), "image_id", "left")
+        lacks = F.when(F.col("_panel").isNull(), F.lit("no panel model")).when(F.col("_beam").isNull(), F.lit("no beam model"))
+        checked = known.withColumn("message", F.coalesce("message", lacks)).drop("_panel", "_beam")
+    found = observations(unfolded(checked.where("message is null")), panel, beam, settings, bad, peaks=peaks).withColumnRenamed("image_id", "still_id")
+    path = scratch(images.sparkSession, "extracted")
+    found.write.parquet(path)
+    found = images.sparkSession.read.schema(found.schema).parquet(path)
     counts = found.groupBy("still_id").agg(F.count("*").alias("n_observations")).withColumnRenamed("still_id", "image_id")
     out = checked.select("image_id", "route", "message").join(counts, "image_id", "left")
     failed = F.col("message").isNotNull()

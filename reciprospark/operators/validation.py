@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reciprospark.functions import vec
 from reciprospark.operators import quantiles
-from reciprospark.operators.pixels import Panel
+from reciprospark.operators.pixels import Panel, lab_position
 from reciprospark.schema import missing_columns
 
 
@@ -18,15 +17,24 @@ def sampled(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return rows.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary")), key).limit(n)
 
 
-def q_residuals(reflections: DataFrame, panel: Panel, s0: tuple[float, float, float]) -> DataFrame:
-    """reflections (s1 array, x, y) with delta: |(s1 - s0) - (|s0| l - s0)|, l the direction to the pixel."""
-    length = float(np.linalg.norm(s0))
-    lab = tuple(F.lit(o) + F.col("x") * (panel.px_fast * f) + F.col("y") * (panel.px_slow * s) for o, f, s in zip(panel.origin, panel.fast_axis, panel.slow_axis, strict=True))
+def q_residuals(reflections: DataFrame, panel: Panel | DataFrame, s0: tuple[float, float, float] | DataFrame) -> DataFrame:
+    """reflections (s1 array, x, y) with delta: |(s1 - s0) - (|s0| l - s0)|, l the direction to the pixel.
+
+    panel: one for all, or a table joined by panel_id; s0: one for all, or a table of beams joined by image_id. Without a model: null."""
+    out, added = reflections, []
+    if isinstance(panel, DataFrame):
+        added += ["_origin", "_fast", "_slow", "_px_fast", "_px_slow"]
+        out = out.join(panel.select("panel_id", *[F.col(c).alias(n) for c, n in zip(("origin", "fast_axis", "slow_axis", "px_fast", "px_slow"), added, strict=True)]), "panel_id", "left")
+        panel = Panel(*[tuple(F.col(n)[k] for k in range(3)) for n in added[:3]], F.col("_px_fast"), F.col("_px_slow"))
+    if isinstance(s0, DataFrame):
+        out = out.join(s0.select("image_id", *[F.col(f"s0{k}").alias(f"_s0{k}") for k in "xyz"]), "image_id", "left")
+        s0, added = tuple(F.col(f"_s0{k}") for k in "xyz"), [*added, *[f"_s0{k}" for k in "xyz"]]
+    length, lab = vec.norm(s0), lab_position(panel, F.col("y"), F.col("x"))
     r = vec.norm(lab)
-    return reflections.withColumn("delta", vec.norm([F.col("s1")[k] - length * x / r for k, x in enumerate(lab)]))
+    return out.withColumn("delta", vec.norm([F.col("s1")[k] - length * x / r for k, x in enumerate(lab)])).drop(*added)
 
 
-def q_consistency(reflections: DataFrame, panel: Panel, s0: tuple[float, float, float], tolerance: float = 0.01, most: int | None = 500, key: str = "refl_id") -> DataFrame:
+def q_consistency(reflections: DataFrame, panel: Panel | DataFrame, s0: tuple[float, float, float] | DataFrame, tolerance: float = 0.01, most: int | None = 500, key: str = "refl_id") -> DataFrame:
     """One row: n, mean, median and max of the residuals of a sample (most None: of all rows), and passed. Missing columns or no rows: not passed."""
     if missing_columns(reflections, ["s1", "x", "y", key]):
         return reflections.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"), *[F.lit(None).cast("double").alias(c) for c in ("mean", "median", "max")], F.lit(False).alias("passed"))
@@ -73,13 +81,14 @@ def rotation_angle(a1: np.ndarray, a2: np.ndarray) -> float:
 
 
 def rotation_angles(pairs: DataFrame, one: str, other: str) -> DataFrame:
-    """pairs of settings (arrays of nine, by rows) with angle, as rotation_angle gives it."""
-
-    @F.pandas_udf("double")
-    def angle(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([rotation_angle(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
-
-    return pairs.withColumn("angle", angle(one, other))
+    """pairs of settings (arrays of nine, by rows) with angle, as rotation_angle gives it: column arithmetic on the inverse by cofactors."""
+    a, b = ([[F.col(n)[3 * i + j] for j in range(3)] for i in range(3)] for n in (one, other))
+    cofactors = [[a[(i + 1) % 3][(j + 1) % 3] * a[(i + 2) % 3][(j + 2) % 3] - a[(i + 1) % 3][(j + 2) % 3] * a[(i + 2) % 3][(j + 1) % 3] for j in range(3)] for i in range(3)]
+    det = vec.dot(a[0], cofactors[0])
+    flat = F.abs(det) < 1e-300
+    trace = sum((b[i][j] * cofactors[i][j] for i in range(3) for j in range(3)), F.lit(0.0)) / F.when(flat, F.lit(1.0)).otherwise(det)  # of b times the inverse of a
+    each = [F.degrees(F.acos(F.greatest(F.least((s * trace - 1) / 2, F.lit(1.0)), F.lit(-1.0)))) for s in (1, -1)]
+    return pairs.withColumn("angle", F.when(flat, F.lit(180.0)).otherwise(F.least(*each)))
 
 
 def geometry_passed() -> Column:

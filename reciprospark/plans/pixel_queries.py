@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reciprospark.functions import air, corrections, vec
 from reciprospark.operators import grid as grids
-from reciprospark.operators import masks, pixels, validation
+from reciprospark.operators import attenuation, masks, pixels, validation
 from reciprospark.operators import orchestration as orch
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
@@ -17,6 +17,7 @@ from reciprospark.streaming import accumulate
 
 QUERIES, ORACLES, query = lister()
 sql = st.with_tables
+_BAD_SQL = "slow between 2 and 3 and fast between 1 and 5"
 LAB = ("lab_x", "lab_y", "lab_z")
 
 
@@ -118,21 +119,61 @@ def _interpolated(element: str) -> str:
     return f"case when e <= 1000 then {pairs[0][1]!r}::double {cases} else {pairs[-1][1]!r}::double end"
 
 
-_ENERGIES = [500.0 + 1700.0 * k for k in range(65)]
+_AT = "(select image_id, 12398.4::double / wavelength as e from beams)"
 
 
-@query("P13_mass_attenuation", "with x as (select (500.0 + 1700.0 * unnest(range(65)))::double as e) " + " union all ".join(f"select '{n}' as element, e as energy, round({_interpolated(n)}, 9) as mu from x" for n in air.COEFFICIENTS))
+@query("P13_mass_attenuation", sql("beams", " union all ".join(f"select image_id, '{n}' as element, round({_interpolated(n)}, 9) as mu from {_AT}" for n in air.COEFFICIENTS) + f" union all select image_id, 'Xx', 0.001 from {_AT}"))
 def mass_attenuation(spark, d):
-    return spark.createDataFrame([(n, e, round(air.mass_attenuation(n, e), 9)) for n in air.COEFFICIENTS for e in _ENERGIES], "element string, energy double, mu double")
+    """Coefficients of the elements of air, and of one that the table lacks, at the energy of each image's beam."""
+    elements = F.explode(F.array(*map(F.lit, (*air.COEFFICIENTS, "Xx")))).alias("element")
+    rows = st.beams(spark, d).select("image_id", elements, (F.lit(air.HC) / F.col("wavelength")).alias("energy"))
+    return attenuation.mass_attenuation(rows, attenuation.tabulated(spark)).select("image_id", "element", r("mu", "mu", 9))
 
 
 _MASS = " + ".join(f"{f!r}::double * {air.MOLAR_MASSES[n]!r}" for n, f in air.COMPOSITION.items())
 _MU = " + ".join(f"{f!r}::double * {_interpolated(n)}" for n, f in air.COMPOSITION.items())
+_AIR_OF = f"100 * ({_MASS}) / (0.08206::double * 293.15) / 1000 * ({_MU})"
 
 
-@query("P14_air_coefficient", f"with x as (select (500.0 + 1700.0 * unnest(range(65)))::double as e) select e as energy, round(100 * ({_MASS}) / (0.08206::double * 293.15) / 1000 * ({_MU}), 12) as mu from x")
+@query("P14_air_coefficient", sql("beams", f"select image_id, round({_AIR_OF}, 12) as mu from {_AT}"))
 def air_coefficient(spark, d):
-    return spark.createDataFrame([(e, round(air.air_attenuation(e), 12)) for e in _ENERGIES], "energy double, mu double")
+    return attenuation.with_air(st.beams(spark, d)).select("image_id", r("air", "mu", 12))
+
+
+# several panels, a beam for each image
+
+st.SQL["pixels5"] = "pixels5 as (select p.* replace ((image_id % 5)::int as panel_id) from pixels p)"
+st.SQL["placed5"] = "placed5 as (select *, ox + fast * (px_fast * co) + slow * (px_slow * -si) as lab_x, oy + fast * (px_fast * si) + slow * (px_slow * co) as lab_y, oz as lab_z from pixels5 join panels using (panel_id) join beams using (image_id))"
+st.SQL["geometry5"] = "geometry5 as (select *, sqrt(qx * qx + qy * qy + qz * qz) as q from (select *, 2 * pi() / wavelength * (lab_x / r - s0x / s0) as qx, 2 * pi() / wavelength * (lab_y / r) as qy, 2 * pi() / wavelength * (lab_z / r + 1.0 / s0) as qz from (select *, sqrt(lab_x * lab_x + lab_y * lab_y + lab_z * lab_z) as r, sqrt(s0x * s0x + 1.0) as s0 from placed5)))"
+GEO5 = "pixels pixels5 panels beams placed5 geometry5"
+
+
+def _modelled(spark, d):
+    rows, panel, beam = pixels.with_models(st.panelled(_pixels(spark, d)), st.panels(spark, d), st.beams(spark, d))
+    return pixels.without_models(pixels.with_geometry(rows, panel, beam))
+
+
+@query("P02_several_panels", sql(GEO5, "select image_id, panel_id, slow, fast, round(lab_x, 6) as lab_x, round(lab_y, 6) as lab_y, round(lab_z, 6) as lab_z from placed5"))
+def several_panels(spark, d):
+    """Laboratory positions on panels of a table."""
+    return _modelled(spark, d).select("image_id", "panel_id", "slow", "fast", *[r(c, c) for c in LAB])
+
+
+@query("P03_beam_of_each_image", sql(GEO5, "select image_id, slow, fast, round(qx, 6) as qx, round(qy, 6) as qy, round(qz, 6) as qz, round(q, 5) as q, round(2 * pi() / q, 4) as d from geometry5"))
+def beam_of_each_image(spark, d):
+    """Scattering vectors by the wavelength and direction of each image's beam."""
+    return _modelled(spark, d).select("image_id", "slow", "fast", *[r(c, c) for c in ("qx", "qy", "qz")], r("q", "q", 5), r("d", "d", 4))
+
+
+_FACTOR5 = f"(r * r * r / (px_fast * px_slow * lab_z)) * exp(({_AIR_OF}) * r / 1000.0)"
+
+
+@query("J03_panels_and_beams", sql(GEO5, f"select image_id, panel_id, slow, fast, round(qx, 6) as qx, round((raw - 1.0) * factor / 1e6, 6) as intensity, case when raw < 0 then 'nan' else round(sqrt(raw) * factor / 1e6, 6)::varchar end as sigma from (select *, {_FACTOR5} as factor from (select *, 12398.4::double / wavelength as e from geometry5)) where not ({_BAD_SQL})"))
+def panels_and_beams(spark, d):
+    """Observations of all pixels, negative counts among them, by tables of panels and beams; attenuation in air by each image's energy."""
+    out = pixels.observations(st.panelled(_pixels(spark, d)), st.panels(spark, d), st.beams(spark, d), pixels.Extraction(constant_background=1.0), st.panelled(_pixels(spark, d)).where(_BAD_SQL).select("panel_id", "slow", "fast"))
+    sigma = F.when(F.isnan("sigma"), "nan").otherwise(F.round(F.col("sigma") / 1e6, 6).cast("string"))
+    return out.select("image_id", "panel_id", "slow", "fast", r("qx", "qx"), r(F.col("intensity") / 1e6, "intensity"), sigma.alias("sigma"))
 
 
 @query("P18_factor_check", sql("pixels", f"select {KEYS}, case when raw <= 0 then 'lp not positive' when raw < 0.1 or raw > 10 then 'lp out of range' when 1.0 + fast / 20.0 > 1.2 then 'air out of range' end as doubt from pixels"))
@@ -141,7 +182,7 @@ def factor_check(spark, d):
     return _pixels(spark, d).select("image_id", "slow", "fast", corrections.doubtful_factor(f).alias("doubt"))
 
 
-_BAD = "slow between 2 and 3 and fast between 1 and 5"
+_BAD = _BAD_SQL
 
 
 def _bad(spark, d):
@@ -345,6 +386,47 @@ def mask_summary(spark, d):
     return rounded(masks.mask_summary(masks.combined_mask(_static(spark, d), _dynamic(spark, d))), 9)
 
 
+# masks of each image
+
+st.SQL["image_peaks"] = "image_peaks as (select distinct (refl_id % 37)::int as image_id, panel_id, slow, fast from " + _EACH + ")"
+st.SQL["image_masks"] = "image_masks as (select p.*, s.good and k.slow is null as good, s.good as shared, k.slow is not null as peak from pixels p join static s using (panel_id, slow, fast) left join image_peaks k using (image_id, panel_id, slow, fast))"
+st.SQL["det"], st.SQL["static"] = _DET, _STATIC
+BY_IMAGE = "pixels reflections det static image_peaks image_masks"
+
+
+def _image_peaks(spark, d):
+    return masks.spot_pixels(st.image_reflections(spark, d), 1, 8, 8)
+
+
+def _image_masks(spark, d):
+    return masks.image_masks(_pixels(spark, d), _static(spark, d), _image_peaks(spark, d))
+
+
+@query("M16_image_masks", sql(BY_IMAGE, "select image_id, slow, fast, good from image_masks"))
+def image_masks(spark, d):
+    """The total mask of each image: the static one, without the peaks of that image."""
+    return _image_masks(spark, d).select("image_id", "slow", "fast", "good")
+
+
+@query("J07_peaks_of_each_image", sql(BY_IMAGE, "select image_id, count(*) as n, count(*) filter (shared) as n_shared, count(*) filter (peak) as n_peak, count(*) filter (good) as n_good from image_masks group by 1"))
+def peaks_of_each_image(spark, d):
+    shared = masks.image_masks(_pixels(spark, d), _static(spark, d), None).withColumnRenamed("good", "shared")
+    both = masks.image_masks(shared, None, _image_peaks(spark, d)).withColumnRenamed("good", "unhit")
+    return both.groupBy("image_id").agg(F.count("*").alias("n"), F.count_if("shared").alias("n_shared"), F.count_if(~F.col("unhit")).alias("n_peak"), F.count_if(F.col("shared") & F.col("unhit")).alias("n_good"))
+
+
+@query("F01_pixels_of_each_image", sql(BY_IMAGE, "select image_id, slow, fast, round(raw, 6) as raw from image_masks where good"))
+def pixels_of_each_image(spark, d):
+    """What an anti-join with each image's peaks leaves."""
+    out = pixels.usable(pixels.usable(_pixels(spark, d), _static(spark, d).where("not good")), _image_peaks(spark, d))
+    return out.select("image_id", "slow", "fast", r("raw", "raw"))
+
+
+@query("M15_image_shoeboxes", f"with b as ({_SHOEBOX}), c as (select *, unnest(range(12))::int as k from b) select distinct (event_id % 37)::int as image_id, z1 + k // 6 as panel_id, (y1 + (k % 6) // 3)::int as slow, (x1 + k % 3)::int as fast from c where (((event_id + k) % 7) * 4)::int & 20 <> 0 and y1 + (k % 6) // 3 between 0 and 7 and x1 + k % 3 between 0 and 7")
+def image_shoeboxes(spark, d):
+    return masks.shoebox_pixels(_shoeboxes(spark, d).withColumn("image_id", (F.col("event_id") % 37).cast("int")), 8, 8)
+
+
 # validation
 
 
@@ -370,6 +452,15 @@ def reflection_panel(spark, d):
     return validation.q_residuals(_s1(spark, d), st.PANEL, (0.0, 0.0, -1.0)).select("refl_id", r("delta", "delta", 9))
 
 
+@query("J09_panels_of_a_table", sql("reflections panels", "select refl_id, round(sqrt(pow(lx / r + 0.01 * partiality - lx / r, 2)), 9) as delta from (select *, sqrt(lx * lx + ly * ly + oz * oz) as r from (select *, ox + x * (px_fast * co) + y * (px_slow * -si) as lx, oy + x * (px_fast * si) + y * (px_slow * co) as ly from (select refl_id, (refl_id % 5)::int as panel_id, x, y, partiality from reflections) join panels using (panel_id)))"))
+def panels_of_a_table(spark, d):
+    """Residuals of reflections on five panels; their beam vectors are off by a hundredth of the partiality."""
+    t = st.reflections(spark, d).withColumn("panel_id", (F.col("refl_id") % 5).cast("int")).join(st.panels(spark, d), "panel_id")
+    lab = [F.col("origin")[k] + F.col("x") * F.col("px_fast") * F.col("fast_axis")[k] + F.col("y") * F.col("px_slow") * F.col("slow_axis")[k] for k in range(3)]
+    t = t.withColumn("s1", F.array(lab[0] / vec.norm(lab) + 0.01 * F.col("partiality"), lab[1] / vec.norm(lab), lab[2] / vec.norm(lab))).select("refl_id", "panel_id", "x", "y", "s1")
+    return validation.q_residuals(t, st.panels(spark, d), (0.0, 0.0, -1.0)).select("refl_id", r("delta", "delta", 9))
+
+
 @query("O07_consistency_outcome", "with " + st.SQL["reflections"] + ", " + _DELTA + " select count(*) as n, case when avg(delta) <= 0.0001 and max(delta) <= 0.0005 then 'SUCCESS' else 'FAILURE' end as status, 'q consistency check failed' as message, 'ConsistencyCheckFailed' as error_code from delta")
 def consistency_outcome(spark, d):
     """The outcome of a check with a narrow tolerance."""
@@ -498,6 +589,26 @@ def batch_observations(spark, d):
     return _batch(spark, d)[0].select("still_id", "slow", "fast", r("intensity", "intensity", 1))
 
 
+def _batch5(spark, d):
+    """A batch of five panels and a beam for each image, with the peaks of each; images of no beam among them."""
+    images = st.panelled(st.images(spark, d)).withColumns({"increment": F.lit(0.0), "data": F.transform("data", F.abs)})
+    peaks = st.panelled(_image_peaks(spark, d))
+    return orch.process_batch(images, st.panels(spark, d), st.beams(spark, d).where("image_id % 11 <> 4"), pixels.Extraction(), peaks=peaks)
+
+
+_LEFT5 = "(select p.* from pixels5 p left join image_peaks k using (image_id, slow, fast) where k.slow is null and image_id % 11 <> 4)"
+
+
+@query("O02_batch_with_models", sql("pixels reflections pixels5 image_peaks", f"select vec_id::int as image_id, 'stills' as route, case when vec_id % 11 = 4 then 'FAILURE' else 'SUCCESS' end as status, case when vec_id % 11 = 4 then 'no beam model' end as message, case when vec_id % 11 = 4 then 'DIALSModelIncomplete' end as error_code, coalesce(n, 0)::bigint as n_observations from embeddings left join (select image_id, count(*) as n from {_LEFT5} group by 1) on image_id = vec_id"))
+def batch_with_models(spark, d):
+    return _batch5(spark, d)[1]
+
+
+@query("O02_observations_with_peaks", sql("pixels reflections pixels5 image_peaks panels beams placed5", f"select image_id as still_id, panel_id, slow, fast, round(abs(raw) * {_FACTOR5} / 1e6, 6) as intensity from (select *, sqrt(lab_x * lab_x + lab_y * lab_y + lab_z * lab_z) as r, 12398.4::double / wavelength as e from placed5) semi join {_LEFT5} using (image_id, slow, fast)"))
+def observations_with_peaks(spark, d):
+    return _batch5(spark, d)[0].select("still_id", "panel_id", "slow", "fast", r(F.col("intensity") / 1e6, "intensity"))
+
+
 @query("O02_batch_summary", "select case when vec_id % 7 in (3, 5) then 'FAILURE' else 'SUCCESS' end as status, case vec_id % 7 when 3 then 'ProcessingError' when 5 then 'InputFileError' end as error_code, count(*) as n from embeddings group by all")
 def batch_summary(spark, d):
     return orch.outcome_summary(_batch(spark, d)[1])

@@ -57,7 +57,35 @@ def reflections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five panels, each turned and moved a little."""
+    k = F.col("r_regionkey").cast("double")
+    turn = k * 0.01
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("int").alias("panel_id"), F.lit(8).alias("n_fast"), F.lit(8).alias("n_slow"), (0.172 + k * 0.001).alias("px_fast"), (0.172 + k * 0.002).alias("px_slow"),
+        F.array(k * 2 - 60.0, k * 3 - 40.0, k + 200.0).alias("origin"), F.array(F.cos(turn), F.sin(turn), F.lit(0.0)).alias("fast_axis"), F.array(-F.sin(turn), F.cos(turn), F.lit(0.0)).alias("slow_axis"),
+    )
+
+
+def beams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A beam for each image: thirteen wavelengths, three directions."""
+    k = F.col("vec_id")
+    return table(spark, sf_dir, "embeddings").select(k.cast("int").alias("image_id"), (0.2 + (k % 13) * 0.9).alias("wavelength"), ((k % 3) * 0.01).alias("s0x"), F.lit(0.0).alias("s0y"), F.lit(-1.0).alias("s0z"))
+
+
+def panelled(images: DataFrame) -> DataFrame:
+    """Images, or pixels, of five panels: image k is on panel k % 5."""
+    return images.withColumn("panel_id", (F.col("image_id") % 5).cast("int"))
+
+
+def image_reflections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reflections, each on one of 37 images."""
+    return reflections(spark, sf_dir).withColumn("image_id", (F.col("refl_id") % 37).cast("int"))
+
+
 SQL = {
+    "panels": "panels as (select r_regionkey::int as panel_id, 0.172 + k * 0.001::double as px_fast, 0.172 + k * 0.002::double as px_slow, k * 2 - 60.0 as ox, k * 3 - 40.0 as oy, k + 200.0 as oz, cos(k * 0.01::double) as co, sin(k * 0.01::double) as si from (select *, r_regionkey::double as k from region))",
+    "beams": "beams as (select vec_id::int as image_id, 0.2 + (vec_id % 13) * 0.9::double as wavelength, (vec_id % 3) * 0.01::double as s0x, 0.0 as s0y, -1.0 as s0z from embeddings)",
     "obs": "obs as (select l_orderkey * 8 + l_linenumber as obs_id, (l_suppkey % 7)::int as still_id, l_quantity / 50.0 as qx, l_discount * 10.0 as qy, l_tax * 10.0 as qz, l_extendedprice as intensity, sqrt(l_extendedprice) + 1.0 as sigma from lineitem)",
     "scales": "scales as (select (s_suppkey % 7)::int as still_id, 1.0 + round(avg(s_acctbal), 2) / 20000.0 as multiplicative_scale from supplier where s_suppkey % 7 <> 3 group by 1)",
     "pixels": "pixels as (select vec_id::int as image_id, 0 as panel_id, (i // 8)::int as slow, (i % 8)::int as fast, v::double * 100.0 as raw from (select vec_id, unnest(embedding) as v, generate_subscripts(embedding, 1) - 1 as i from embeddings))",

@@ -108,3 +108,64 @@ def test_q_consistency_of_wrong_input(spark):
     got = validation.q_consistency(spark.createDataFrame([(1,)], "a int"), pixels.Panel((0.0, 0.0, 1.0)), (0.0, 0.0, -1.0)).first()
     assert got.n == 0 and got.passed is False
     assert validation.rotation_angle(np.eye(3), -np.eye(3)) == 0.0 and validation.rotation_angle(np.zeros((3, 3)), np.eye(3)) == 180.0
+
+
+def test_peaks_of_one_image_leave_the_others_alone(spark):
+    px = spark.createDataFrame([(i, 0, s, f, float(10 * i + f)) for i in range(3) for s in range(2) for f in range(4)], "image_id int, panel_id int, slow int, fast int, raw double")
+    peaks = spark.createDataFrame([(1, 0, 0, 2), (1, 0, 0, 2), (2, 0, 1, 3), (9, 0, 0, 0)], "image_id int, panel_id int, slow int, fast int")
+    shared = masks.static_mask(masks.detector(spark, [(0, 2, 4)]), [masks.in_rectangle(0, 0, 0, 0)])
+    want = {(i, s, f) for i in range(3) for s in range(2) for f in range(4)} - {(1, 0, 2), (2, 1, 3)} - {(i, 0, 0) for i in range(3)}
+    good = masks.image_masks(px, shared, peaks)
+    assert {(r.image_id, r.slow, r.fast) for r in good.where("good").collect()} == want and good.count() == 24
+    assert {(r.image_id, r.slow, r.fast) for r in pixels.usable(pixels.usable(px, shared.where("not good")), peaks).collect()} == want
+    got = pixels.observations(px, pixels.Panel((0.0, 0.0, 200.0)), pixels.Beam(1.0), bad=shared.where("not good"), peaks=peaks)
+    assert {(r.image_id, r.slow, r.fast) for r in got.collect()} == want
+    spots = spark.createDataFrame([(0, 0, 1.0, 0.0), (1, 0, 3.0, 1.0), (1, 0, None, 1.0)], "image_id int, panel_id int, x double, y double")
+    assert {tuple(r) for r in masks.spot_pixels(spots, 0, 2, 4).collect()} == {(0, 0, 0, 1), (1, 0, 1, 3)}
+    assert masks.image_masks(px, None, peaks.limit(0)).where("good").count() == 24
+
+
+PANELS = "panel_id int, n_fast int, n_slow int, px_fast double, px_slow double, origin array<double>, fast_axis array<double>, slow_axis array<double>"
+BEAMS = "image_id int, wavelength double, s0x double, s0y double, s0z double"
+
+
+def test_tables_of_panels_and_beams_equal_single_ones(spark):
+    panels = {0: pixels.Panel((-5.0, 3.0, 200.0)), 1: pixels.Panel((5.0, -3.0, 150.0), (0.6, 0.8, 0.0), (-0.8, 0.6, 0.0), 0.1, 0.2)}
+    beams = {0: pixels.Beam(1.0), 1: pixels.Beam(0.7, (0.1, 0.0, -2.0)), 2: pixels.Beam(14.0)}
+    px = spark.createDataFrame([(i, p, s, f, float(s * f - 2)) for i in range(4) for p in range(3) for s in range(3) for f in range(3)], "image_id int, panel_id int, slow int, fast int, raw double")
+    panel_rows = spark.createDataFrame([(k, 3, 3, p.px_fast, p.px_slow, list(p.origin), list(p.fast_axis), list(p.slow_axis)) for k, p in panels.items()], PANELS)
+    beam_rows = spark.createDataFrame([(k, b.wavelength, *map(float, b.s0)) for k, b in beams.items()], BEAMS)
+    for settings in (pixels.Extraction(gain=2.0), pixels.Extraction(min_res=1e9, max_res=0.0, use_air=False, drop_invalid=True)):
+        got = pixels.observations(px, panel_rows, beam_rows, settings).collect()
+        want = [r for i, b in beams.items() for p, panel in panels.items() for r in pixels.observations(px.where(f"image_id = {i} and panel_id = {p}"), panel, b, settings).collect()]
+        key = lambda r: r[:4]
+        for x, y in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+            assert x[:4] == y[:4] and x[4:] == pytest.approx(y[4:], rel=1e-12, nan_ok=True)
+    with pytest.raises(ValueError, match="both"):
+        pixels.observations(px, panel_rows, beams[0])
+
+
+def test_attenuation_of_tables(spark):
+    from reciprospark.operators import attenuation
+
+    energies = [-1.0, 0.0, 1.0, 999.0, 1000.0, 1234.5, 5000.0, 99_999.0, 100_000.0, 1e6]
+    rows = spark.createDataFrame([(n, e) for n in ("N", "Ar", "Xx") for e in [*energies, None]], "element string, energy double")
+    got = {(r.element, r.energy): r.mu for r in attenuation.mass_attenuation(rows, attenuation.tabulated(spark)).collect()}
+    assert len(got) == 33 and all(v is None if (e is None or e <= 0) else v == pytest.approx(air.mass_attenuation(n, e)) for (n, e), v in got.items())
+    waves = [1.0, 1.0, 0.05, 20.0, 0.0, -1.0, None]
+    found = attenuation.with_air(spark.createDataFrame(list(enumerate(waves)), "image_id int, wavelength double"), temperature_k=300.0).collect()
+    assert {r.image_id: r.air for r in found} == pytest.approx({k: 0.001 if not w or w < 0 else air.air_attenuation(air.HC / w, 300.0) for k, w in enumerate(waves)})
+    own = spark.createDataFrame([("Xx", 1000.0, 2.0), ("Xx", 10_000.0, 0.02)], "element string, energy double, coefficient double")
+    assert attenuation.mass_attenuation(spark.createDataFrame([("Xx", 3162.2776601683795)], "element string, energy double"), own).first().mu == pytest.approx(0.2)
+
+
+def test_angles_in_columns_equal_those_of_matrices(spark):
+    rng = np.random.default_rng(8)
+    pairs = []
+    for k in range(60):
+        turn, _ = np.linalg.qr(rng.normal(size=(3, 3)))
+        a = rng.normal(size=(3, 3))
+        pairs.append((k, a.ravel().tolist(), (turn @ a * (1 if k % 3 else -1)).ravel().tolist()))
+    pairs += [(60, np.zeros(9).tolist(), np.eye(3).ravel().tolist()), (61, np.eye(3).ravel().tolist(), np.eye(3).ravel().tolist()), (62, (np.eye(3) * 0.01).ravel().tolist(), (-np.eye(3) * 0.01).ravel().tolist())]
+    got = {r.k: r.angle for r in validation.rotation_angles(spark.createDataFrame(pairs, "k int, a array<double>, b array<double>"), "a", "b").collect()}
+    assert got == pytest.approx({k: validation.rotation_angle(a, b) for k, a, b in pairs}, abs=1e-4)
