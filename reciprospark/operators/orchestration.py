@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reciprospark.operators import grid as grids
 from reciprospark.operators import merging, scaling
 from reciprospark.operators.pixels import Beam, Extraction, Panel, observations, unfolded
+from reciprospark.sources import store
 from reciprospark.sources.headers import route
 from reciprospark.sources.shared import scratch
 
@@ -111,10 +112,12 @@ def may_merge(n_outputs: int, settings: MergePhase | None) -> bool:
 
 
 def merge_phase(obs: DataFrame, setting, settings: MergePhase = MergePhase()) -> tuple[DataFrame, dict]:
-    """Grid, binning, refinement and merge of observations of several stills: the map, and numbers of the run."""
+    """Grid, binning, refinement and merge of observations of several stills: the map, and numbers of the run.
+
+    The binned observations are stored once, dealt by voxel: refinement, rejection and merging read them as they lie."""
     grid = grids.fit(obs, setting, settings.ndiv, settings.d_min, settings.d_max)
-    binned = grids.binned(obs, grid)
-    stills = [r.still_id for r in binned.select("still_id").distinct().collect()]  # one number for each image
-    model, info = scaling.refined(binned, scaling.ScaleModel.start(stills), settings.rounds, settings.tolerance, settings.tolerance)
+    path = scratch(obs.sparkSession, "binned")
+    binned = store.create(grids.binned(obs, grid), path)
+    model, info = scaling.refine(binned, scaling.ScaleTable.start(binned), settings.rounds, settings.tolerance, settings.tolerance)
     voxels = merging.merge(scaling.applied(model.scaled(binned)), grid, settings.method, settings.least, settings.reject)
-    return voxels, info | {"grid": grid.summary(), "scales": model.info()}
+    return voxels, info | {"grid": grid.summary(), "scales": scaling.model_info(model.scales, "b").first().asDict()}

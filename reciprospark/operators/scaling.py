@@ -7,10 +7,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reciprospark.sources import store
+from reciprospark.sources.shared import scratch
+
 #: Up to so many stills, scales are a literal map in the plan; beyond, a table that is joined.
 LITERAL_STILLS = 500
 MOST_POINTS = 5
@@ -145,7 +147,7 @@ def safe_scale() -> Column:
     return F.when(F.abs("scale") > 1e-9, F.col("scale")).otherwise(F.lit(1e-9))
 
 
-def normal_sums(referred: DataFrame, model: ScaleModel, weighted: bool = False) -> DataFrame:
+def normal_sums(referred: DataFrame, model: ScaleModel | ScaleTable, weighted: bool = False) -> DataFrame:
     """For each still: sums of the normal equations (jr, jj and, with a smoother, the borders) and of the R-factor."""
     m = safe_scale()
     x = F.col("intensity") / m
@@ -162,59 +164,81 @@ def normal_sums(referred: DataFrame, model: ScaleModel, weighted: bool = False)
     return referred.groupBy("still_id").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
 
 
-def _step(rows, model: ScaleModel) -> tuple[ScaleModel, float]:
-    """A Gauss-Newton step. The normal matrix is diagonal in the stills with a border for each control point: the stills are
-    eliminated (Schur complement), so the cost is linear in their number and the matrix to solve has as many rows as points."""
-    ids = list(model.stills)
-    at = {s: k for k, s in enumerate(ids)}
-    n, p = len(ids), len(model.smoother.values) if model.smoother else 0
-    jj, jr, border = np.full(n, DAMPING), np.zeros(n), np.zeros((n, p))
-    corner, points = DAMPING * np.eye(p), np.zeros(p)
-    for row in rows:
-        k = at.get(row.still_id)
-        if k is not None:
-            jj[k] += row.jj
-            jr[k] = row.jr
-        for i in range(p):
-            points[i] += row[f"kr{i}"]
-            if k is not None:
-                border[k, i] = row[f"jk{i}"]
-            for o in range(i, p):
-                corner[i, o] += row[f"kk{i}_{o}"]
-                if o != i:
-                    corner[o, i] += row[f"kk{i}_{o}"]
-    ratio = border / jj[:, None]
-    by_point = np.linalg.solve(corner - border.T @ ratio, -points + ratio.T @ jr) if p else np.zeros(0)
-    shift = np.concatenate([-jr / jj - ratio @ by_point, by_point])
-    stills = {s: b + float(d) for (s, b), d in zip(model.stills.items(), shift, strict=False)}
-    smoother = Smoother(tuple(v + float(d) for v, d in zip(model.smoother.values, shift[n:], strict=True)), model.smoother.q_min, model.smoother.q_max) if p else None
-    return ScaleModel(stills, smoother), float(np.abs(shift).max())
+@dataclass(frozen=True)
+class ScaleTable:
+    """A ScaleModel of any number of stills: the b of each is a row of a table (still_id, b) that is joined."""
+
+    scales: DataFrame
+    smoother: Smoother | None = None
 
+    @classmethod
+    def start(cls, binned: DataFrame, smoother: Smoother | None = None) -> ScaleTable:
+        return cls(binned.select("still_id").distinct().withColumn("b", F.lit(1.0)), smoother)
+
+    def scaled(self, obs: DataFrame) -> DataFrame:
+        """obs with scale (M). Spark broadcasts the scales where their size allows it."""
+        out = obs.join(self.scales.select("still_id", F.col("b").alias("_b")), "still_id", "left").withColumn("scale", F.coalesce("_b", F.lit(1.0))).drop("_b")
+        return out if self.smoother is None else out.withColumn("scale", F.col("scale") * self.smoother.column(F.col("q")))
 
-def refined(binned: DataFrame, model: ScaleModel, rounds: int = 10, tolerance: float = 1e-6, shift_tolerance: float = 1e-6, weighted: bool = False, partitions: int | None = None) -> tuple[ScaleModel, dict]:
-    """Gauss-Newton refinement of the scales.
 
-    The observations are dealt by voxel once and kept (memory, then disk); a round is a join of each voxel's mean in place and one
-    small aggregation by still, whose rows (at most one for each still) come to the driver for the solution. Parameters are
-    numbers of the driver, so no lineage builds up.
+def _stored(table: DataFrame, name: str) -> DataFrame:
+    path = scratch(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def stepped(sums: DataFrame, model: ScaleTable) -> tuple[ScaleTable, dict]:
+    """A Gauss-Newton step from normal_sums. The normal matrix is diagonal in the stills with a border for each control point: the
+    stills are eliminated (Schur complement) by one aggregation, whose single row comes to the driver for a system of as many rows
+    as there are points; their own shifts are column arithmetic, written as the next table of scales.
+
+    Gives the model and, as numbers, n (stills seen), off, total (sums of the R-factor) and shift (the largest)."""
+    p = len(model.smoother.values) if model.smoother else 0
+    known, zero = F.col("b").isNotNull(), F.lit(0.0)
+    both = sums.join(model.scales.select("still_id", "b"), "still_id", "full")
+    jj = F.coalesce("jj", zero) + DAMPING
+    own = {"ratio": F.when(known, F.coalesce("jr", zero) / jj)} | {f"ratio{i}": F.when(known, F.coalesce(f"jk{i}", zero) / jj) for i in range(p)}
+    both = both.withColumns(own)
+    smoother, by_point, found = None, [], {}
+    if p:
+        both = _stored(both, "sums")
+        cells = {f"kr{i}": F.sum(f"kr{i}") for i in range(p)} | {f"back{i}": F.sum(F.col(f"ratio{i}") * F.col("jr")) for i in range(p)}
+        for i in range(p):
+            cells |= {f"kk{i}_{o}": F.sum(f"kk{i}_{o}") for o in range(i, p)} | {f"less{i}_{o}": F.sum(F.col(f"ratio{i}") * F.col(f"jk{o}")) for o in range(i, p)}
+        row = both.agg(*[F.coalesce(c, zero).alias(n) for n, c in cells.items()]).first()
+        corner = np.array([[row[f"kk{min(i, o)}_{max(i, o)}"] - row[f"less{min(i, o)}_{max(i, o)}"] for o in range(p)] for i in range(p)]) + DAMPING * np.eye(p)
+        by_point = np.linalg.solve(corner, [row[f"back{i}"] - row[f"kr{i}"] for i in range(p)]).tolist()
+        smoother = Smoother(tuple(v + d for v, d in zip(model.smoother.values, by_point, strict=True)), model.smoother.q_min, model.smoother.q_max)
+    shift = -F.col("ratio")
+    for i, d in enumerate(by_point):
+        shift = shift - F.col(f"ratio{i}") * d
+    after = _stored(both.select("still_id", "b", (F.col("b") + shift).alias("after"), "off", "total", F.col("off").isNotNull().alias("seen")), "scales")
+    row = after.agg(F.count_if("seen").alias("n"), F.sum("off").alias("off"), F.sum("total").alias("total"), F.max(F.abs(F.col("after") - F.col("b"))).alias("shift")).first()
+    found = {"n": row.n, "off": row.off or 0.0, "total": row.total or 0.0, "shift": max([row.shift or 0.0, *map(abs, by_point)])}
+    return ScaleTable(after.where("after is not null").select("still_id", F.col("after").alias("b")), smoother), found
+
+
+def refine(binned: DataFrame, model: ScaleTable, rounds: int = 10, tolerance: float = 1e-6, shift_tolerance: float = 1e-6, weighted: bool = False, buckets: int | None = None) -> tuple[ScaleTable, dict]:
+    """Gauss-Newton refinement of the scales, and numbers of the run.
+
+    The observations are written once, dealt by voxel (sources.store), so a round's means of the voxels and their join need no shuffle and a lost
+    executor costs a read. A round is one aggregation by still; what it gives, and the scales, are tables: nothing that grows with the stills comes
+    to the driver, and no lineage builds up.
     """
     if rounds < 1:
         raise ValueError("at least one round")
     needed = ["voxel_idx", "still_id", "intensity", "sigma"] + (["q"] if model.smoother else [])
-    dealt = binned.select(*needed)
-    dealt = (dealt.repartition(partitions, "voxel_idx") if partitions else dealt.repartition("voxel_idx")).persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch(binned.sparkSession, "dealt")
+    dealt = store.create(binned.select(*needed), path, buckets)
     try:
         before, stopped, info = math.inf, "rounds", {}
         for number in range(1, rounds + 1):
-            referred = with_references(model.scaled(dealt))
-            rows = normal_sums(referred, model, weighted).collect()
-            if not rows:
-                return model, {"n_iterations": 0, "r_factor": math.inf, "converged": False, "stopped_by": "empty"}
-            total = sum(r.total for r in rows)
-            r = sum(x.off for x in rows) / total if total > 0 else math.inf
+            last, (model, found) = model, stepped(normal_sums(with_references(model.scaled(dealt)), model, weighted), model)
+            if not found["n"]:
+                return last, {"n_iterations": 0, "r_factor": math.inf, "converged": False, "stopped_by": "empty"}
+            r = found["off"] / found["total"] if found["total"] > 0 else math.inf
             info.setdefault("initial_r_factor", r)
-            last, (model, shift) = model, _step(rows, model)
-            if abs(before - r) < tolerance and shift < shift_tolerance:
+            if abs(before - r) < tolerance and found["shift"] < shift_tolerance:
                 stopped = "tolerance"
                 break
             before = r
@@ -223,10 +247,22 @@ def refined(binned: DataFrame, model: ScaleModel, rounds: int = 10, tolerance: f
         final = r_factor(model.scaled(known)).first().r_factor
         return model, info | {"n_iterations": number, "r_factor": final, "converged": stopped == "tolerance", "stopped_by": stopped}
     finally:
-        dealt.unpersist()
+        store.forget(binned.sparkSession, path)
+
+
+def refined(binned: DataFrame, model: ScaleModel, rounds: int = 10, tolerance: float = 1e-6, shift_tolerance: float = 1e-6, weighted: bool = False, partitions: int | None = None) -> tuple[ScaleModel, dict]:
+    """As refine(), from and to a model whose scales are numbers of the driver: for as many stills as a dictionary may hold."""
+    start = ScaleTable(binned.sparkSession.createDataFrame(list(model.stills.items()), "still_id long, b double"), model.smoother)
+    found, info = refine(binned, start, rounds, tolerance, shift_tolerance, weighted, partitions)
+    return ScaleModel({int(r.still_id): r.b for r in found.scales.orderBy("still_id").collect()}, found.smoother), info
 
 
 def normalised(model: ScaleModel) -> ScaleModel:
     """The same relative scales with mean 1: fixes the free overall factor."""
     mean = float(np.mean(list(model.stills.values())))
     return ScaleModel({s: b / mean for s, b in model.stills.items()}, model.smoother)
+
+
+def relative(scales: DataFrame) -> DataFrame:
+    """A table of scales (still_id, b) divided by their mean."""
+    return scales.crossJoin(F.broadcast(scales.agg(F.avg("b").alias("_mean")))).withColumn("b", F.col("b") / F.col("_mean")).drop("_mean")  # one row

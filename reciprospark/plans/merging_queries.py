@@ -9,6 +9,8 @@ from reciprospark.operators import grid as grids
 from reciprospark.operators import grouped, merging, orchestration, scaling, symmetry
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
+from reciprospark.sources import store
+from reciprospark.sources.shared import scratch
 from reciprospark.streaming import accumulate
 
 QUERIES, ORACLES, query = lister()
@@ -135,9 +137,9 @@ st.SQL["refined3"] = _rounds(3)
 @query("M09_refinement", sql(f"{st.BINNED} refined3", "select still_id, round(b / avg(b) over (), 6) as multiplicative_scale from s3"))
 def refinement(spark, d):
     """Scales after three rounds, relative to their mean."""
-    model, _ = scaling.refined(st.binned(spark, d)[0], scaling.ScaleModel.start(range(7)), rounds=3)
-    rows = [(k, round(v, 6)) for k, v in scaling.normalised(model).stills.items()]
-    return spark.createDataFrame(rows, "still_id int, multiplicative_scale double")
+    b, _ = st.binned(spark, d)
+    model, _ = scaling.refine(b, scaling.ScaleTable.start(b), rounds=3)
+    return scaling.relative(model.scales).select("still_id", r("b", "multiplicative_scale"))
 
 
 def _model(spark, d):
@@ -415,6 +417,42 @@ def running_statistics(spark, d):
     return out.select("voxel_idx", "n", r("mean", "mean", 4), r(F.col("variance") / 1e6, "variance", 4))
 
 
+def _stored(spark, d, parts: int = 1):
+    """The binned observations in a store that is dealt by voxel, written in parts."""
+    b, g = st.binned(spark, d)
+    path = scratch(spark, "store")
+    store.create(b.where(F.pmod("obs_id", F.lit(parts)) == 0), path)
+    for k in range(1, parts):
+        store.append(b.where(F.pmod("obs_id", F.lit(parts)) == k), path)
+    return path, g
+
+
+@query("K05_voxel_store", sql(st.BINNED, "select voxel_idx, count(*) as n, round(sum(intensity) / 1e3, 2) as total from binned group by 1"))
+def voxel_store(spark, d):
+    """A store written in three parts; what groups by voxel needs no shuffle."""
+    return store.opened(spark, _stored(spark, d, 3)[0]).groupBy("voxel_idx").agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e3, "total", 2))
+
+
+@query("L01_stored_lookup", sql(st.BINNED, "select obs_id, voxel_idx, still_id, round(intensity, 4) as intensity from binned where voxel_idx in (select max(voxel_idx) from binned union all select min(voxel_idx) from binned)"))
+def stored_lookup(spark, d):
+    """Observations of the first and the last voxel that is occupied: a read of their buckets."""
+    path, _ = _stored(spark, d)
+    ends = store.opened(spark, path).agg(F.min("voxel_idx").alias("low"), F.max("voxel_idx").alias("high")).first()
+    return store.lookup(spark, path, ends.low, ends.high).select("obs_id", "voxel_idx", "still_id", r("intensity", "intensity", 4))
+
+
+@query("M06_stored_reference", ORACLES["M06_voxel_reference"])
+def stored_reference(spark, d):
+    scaled = scaling.with_scales(store.opened(spark, _stored(spark, d)[0]), st.scales(spark, d))
+    return scaling.references(scaled).select("voxel_idx", r("reference", "reference", 4), r("reference_sigma", "reference_sigma"), "n")
+
+
+@query("M03_stored_rejection", ORACLES["M03_outlier_rejection"])
+def stored_rejection(spark, d):
+    applied = scaling.applied(scaling.with_scales(store.opened(spark, _stored(spark, d)[0]), st.scales(spark, d)))
+    return merging.without_outliers(applied, least=2).groupBy("voxel_idx").agg(F.count("*").alias("n"), r(F.sum("intensity"), "total", 2))
+
+
 @query("L01_point_lookup", sql(st.BINNED, "select still_id, count(*) as n, round(sum(intensity), 2) as total from binned where voxel_idx = (select min(voxel_idx) from binned) group by 1"))
 def point_lookup(spark, d):
     b, _ = st.binned(spark, d)

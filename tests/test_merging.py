@@ -157,7 +157,7 @@ def test_still_ids_are_whole_longs(spark):
     assert [{r.still_id: r.scale for r in m.scaled(obs).collect()} for m in (few, many)] == [{ids[0]: 2.0, 7: 1.0}] * 2
 
 
-def test_steps_equal_the_whole_normal_equations():
+def test_steps_equal_the_whole_normal_equations(spark):
     rng = np.random.default_rng(0)
     n, p = 6, 3
     model = scaling.ScaleModel.start(range(n), scaling.Smoother((1.0, 1.1, 0.9), 0.1, 1.0))
@@ -166,11 +166,16 @@ def test_steps_equal_the_whole_normal_equations():
     rows = []
     for s in range(n):
         a, k, e = j[still == s, s], j[still == s, n:], r[still == s]
-        row = {"still_id": s, "jj": a @ a, "jr": a @ e} | {f"kr{i}": k[:, i] @ e for i in range(p)} | {f"jk{i}": a @ k[:, i] for i in range(p)} | {f"kk{i}_{o}": k[:, i] @ k[:, o] for i in range(p) for o in range(i, p)}
+        row = {"still_id": s, "jj": float(a @ a), "jr": float(a @ e)} | {f"kr{i}": float(k[:, i] @ e) for i in range(p)} | {f"jk{i}": float(a @ k[:, i]) for i in range(p)} | {f"kk{i}_{o}": float(k[:, i] @ k[:, o]) for i in range(p) for o in range(i, p)}
         rows.append(Row(**row))
     shift = np.linalg.solve(j.T @ j + scaling.DAMPING * np.eye(n + p), -j.T @ r)
-    got, most = scaling._step(rows, model)
-    assert np.array([*got.stills.values(), *got.smoother.values]) == pytest.approx(np.array([*[1.0] * n, 1.0, 1.1, 0.9]) + shift) and most == pytest.approx(np.abs(shift).max())
+    scales = spark.createDataFrame([*model.stills.items(), (99, 3.0)], "still_id long, b double")  # one without observations
+    sums = spark.createDataFrame([Row(**(r.asDict() | {"off": 1.0, "total": 2.0})) for r in rows])
+    got, found = scaling.stepped(sums, scaling.ScaleTable(scales, model.smoother))
+    after = {r.still_id: r.b for r in got.scales.collect()}
+    most = found["shift"]
+    assert after.pop(99) == 3.0 and (found["n"], found["off"], found["total"]) == (n, n, 2 * n)
+    assert np.array([*[after[s] for s in range(n)], *got.smoother.values]) == pytest.approx(np.array([*[1.0] * n, 1.0, 1.1, 0.9]) + shift) and most == pytest.approx(np.abs(shift).max())
 
 
 def test_point_groups():
@@ -269,3 +274,44 @@ def test_one_rule_for_voxels_of_all_sizes(spark, hot):
     obs = spark.createDataFrame(rows, OBS)
     for threshold, least in ((3.0, 1), (0.5, 2), (0.1, 4)):
         assert sorted(str(tuple(r)) for r in merging.without_outliers(obs, threshold, hot, least).collect()) == plain_rejection(rows, threshold, least)
+
+
+def exchanges(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_a_store_is_dealt_by_voxel(spark, tmp_path):
+    from reciprospark.sources import store
+
+    path = str(tmp_path / "store")
+    rng = np.random.default_rng(2)
+    rows = [(int(v), k % 5, float(x), 1.0) for k, (v, x) in enumerate(zip(rng.integers(0, 200, 4000), rng.normal(size=4000), strict=True))]
+    first = store.create(spark.createDataFrame(rows[:3000], OBS), path, 16)
+    assert first.count() == 3000
+    both = store.append(spark.createDataFrame([(*r[:3], 1, r[3]) for r in rows[3000:]], "voxel_idx long, still_id int, intensity double, extra int, sigma double"), path)
+    store.forget(spark, path)
+    again = store.opened(spark, path)
+    assert sorted(map(tuple, again.collect())) == sorted(rows) and both.columns == again.columns
+    assert exchanges(again.groupBy("voxel_idx").count()) == 0 and exchanges(merging.merged(again)) == 0 and exchanges(merging.without_outliers(again)) == 0
+    found = store.lookup(spark, path, 17)
+    assert sorted(map(tuple, found.collect())) == sorted(r for r in rows if r[0] == 17)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # only then the plan says which buckets are read
+    assert "SelectedBucketsCount: 1 out of 16" in store.lookup(spark, path, 17)._jdf.queryExecution().explainString(mode)
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert sorted(map(tuple, store.lookup(spark, path, 17, 3).collect())) == sorted(r for r in rows if r[0] in (3, 17)) and store.lookup(spark, path).count() == 0
+    store.forget(spark, path)
+
+
+def test_refinement_of_scales_in_a_table(spark):
+    rng = np.random.default_rng(4)
+    rows = [(v, s, (50.0 + v) * (0.5 + 0.01 * s), 5.0) for v in range(30) for s in rng.choice(90, 40, replace=False).tolist()]
+    obs = spark.createDataFrame(rows, OBS)
+    model, info = scaling.refine(obs, scaling.ScaleTable.start(obs), rounds=12)
+    got = {r.still_id: r.b for r in scaling.relative(model.scales).collect()}
+    mean = np.mean([0.5 + 0.01 * s for s in got])
+    assert got == pytest.approx({s: (0.5 + 0.01 * s) / mean for s in got}, rel=1e-4) and info["r_factor"] < 1e-5 < info["initial_r_factor"]
+    as_numbers, same = scaling.refined(obs, scaling.ScaleModel.start(got), rounds=12)
+    assert {k: as_numbers.stills[k] for k in got} == pytest.approx({r.still_id: r.b for r in model.scales.collect()}) and same["r_factor"] == pytest.approx(info["r_factor"], abs=1e-9)
+    assert scaling.refine(obs.limit(0), scaling.ScaleTable.start(obs))[1]["stopped_by"] == "empty"
