@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from reciprospark.functions import vec
-from reciprospark.operators import absolute, counts, merging
+from reciprospark.operators import absolute, counts, merging, terms
 from reciprospark.operators import grid as grids
 from reciprospark.plans import merging_queries as mq
 from reciprospark.plans import stand_ins as st
@@ -93,6 +93,43 @@ def four_terms(spark, d):
     return absolute.applied(obs).groupBy("still_id").agg(r(F.avg("intensity"), "intensity", 4), r(F.avg("sigma"), "sigma"))
 
 
+# fitting of the terms
+
+_SCALE = terms.Term("b", (terms.Axis("qx", 0.0, 1.0, 5),), smoothness=1e-6)
+_PANEL = terms.Term("d", by=("still_id",))
+
+
+def _distorted(spark, d):
+    """Observations distorted by a scale along qx and a factor of each still; what they were is the reference."""
+    obs = st.observations(spark, d).withColumn("reference", F.col("intensity"))
+    return obs.withColumn("intensity", F.col("reference") * (1 + F.col("qx") / 2) * (1 + (F.col("still_id") - 3) / 20.0))
+
+
+st.SQL["distorted"] = "distorted as (select * replace (intensity * (1 + qx / 2) * (1 + (still_id - 3) / 20.0::double) as intensity), intensity as reference from obs)"
+
+
+@query("X09_cell_sums", sql("obs distorted", "select _cell0, count(*) as n, round(sum((1 - u) * (1 - u) * g) / 1e3, 4) as n0_0, round(sum(u * (1 - u) * g) / 1e3, 4) as n0_1, round(sum(u * u * g) / 1e3, 4) as n1_1, round(sum((1 - u) * h) / 1e3, 4) as r0, round(sum(u * h) / 1e3, 4) as r1 from (select _cell0, qx * 4 - _cell0 as u, reference * reference / (sigma * sigma + 1e-10) as g, reference * intensity / (sigma * sigma + 1e-10) as h from (select *, least(floor(qx * 4), 3)::int as _cell0 from distorted)) group by 1"))
+def term_cell_sums(spark, d):
+    """The normal equations of the scale, by cell of its control points."""
+    out = terms.cell_sums(terms.with_terms(_distorted(spark, d), [], {}), _SCALE)
+    return out.select("_cell0", "n", *[r(F.col(c) / 1e3, c, 4) for c in ("n0_0", "n0_1", "n1_1", "r0", "r1")])
+
+
+@query("X09_panel_step", sql("obs distorted", "select still_id, round(sum(reference * intensity / (sigma * sigma + 1e-10)) / sum(reference * reference / (sigma * sigma + 1e-10)), 8) as d from distorted group by 1"))
+def panel_step(spark, d):
+    """One step for the term that has a value for each panel."""
+    sums = terms.cell_sums(terms.with_terms(_distorted(spark, d), [], {}), _PANEL)
+    return terms.solved(sums, _PANEL).select("still_id", r("v0", "d", 8))
+
+
+@query("X09_fitted_terms", "select 'b' as term, null::int as still_id, k::int as cell, round(1 + k / 8.0::double, 4) as low, round(1 + (k + 1) / 8.0::double, 4) as high from range(4) t(k) union all select distinct 'd', (l_suppkey % 7)::int, 0, round(1 + (l_suppkey % 7 - 3) / 20.0::double, 4), null from lineitem")
+def fitted_terms(spark, d):
+    """Both terms together, one after the other, until they are what was planted."""
+    fitted, _ = terms.fit(_distorted(spark, d), [_SCALE, _PANEL], rounds=8)
+    b = fitted["b"].select(F.lit("b").alias("term"), F.lit(None).cast("int").alias("still_id"), F.col("_cell0").alias("cell"), r("v0", "low", 4), r("v1", "high", 4))
+    return b.unionByName(fitted["d"].select(F.lit("d").alias("term"), "still_id", F.lit(0).alias("cell"), r("v0", "low", 4), F.lit(None).cast("double").alias("high")))
+
+
 # counts
 
 _COUNT = "(qx * 50)::int"
