@@ -245,3 +245,37 @@ def finalize(spark, d):
     path = scratch(spark, "binned")
     accumulate.add_observations(obs, st.grid(obs), path)
     return rounded(accumulate.finalized(spark, path)[1])
+
+
+def _in_two_runs(spark, d):
+    """Binned observations as files, of which the first half was there when a stream ran, the other when it ran again from its checkpoint."""
+    b, _ = st.binned(spark, d)
+    source, out, checkpoint = (scratch(spark, n) for n in ("in", "running", "checkpoint"))
+    rows = b.select("obs_id", "voxel_idx", "intensity", "sigma")
+    for k in range(2):
+        rows.where(F.pmod("obs_id", F.lit(2)) == k).drop("obs_id").repartition(3).write.mode("append").parquet(source)
+        stream = accumulate.observation_stream(spark, source, "voxel_idx long, intensity double, sigma double", 2)
+        accumulate.keep_running(stream, out, checkpoint).awaitTermination()
+    return accumulate.latest(spark, out)
+
+
+@query("T04_merge_in_two_runs", sql(st.BINNED, "select voxel_idx, count(*) as n, round(sum(intensity / (sigma * sigma + 1e-10)) / sum(1.0 / (sigma * sigma + 1e-10)), 4) as intensity, round(1.0 / sqrt(sum(1.0 / (sigma * sigma + 1e-10))), 6) as sigma from binned group by 1"))
+def merge_in_two_runs(spark, d):
+    out = accumulate.from_sums(_in_two_runs(spark, d))
+    return out.select("voxel_idx", "n", r("intensity", "intensity", 4), r("sigma", "sigma"))
+
+
+@query("M25_statistics_in_two_runs", sql(st.BINNED, "select voxel_idx, count(*) as n, round(avg(intensity), 4) as mean, round(var_pop(intensity) / 1e6, 6) as variance from binned group by 1"))
+def statistics_in_two_runs(spark, d):
+    out = accumulate.from_sums(_in_two_runs(spark, d))
+    return out.select("voxel_idx", "n", r("mean", "mean", 4), r(F.col("variance") / 1e6, "variance"))
+
+
+@query("M25_combined_statistics", ORACLES["M25_statistics_in_two_runs"])
+def combined_statistics(spark, d):
+    """The same from sums that were kept apart, by still."""
+    b, _ = st.binned(spark, d)
+    parts = accumulate.running_sums(b.where("still_id < 3"))
+    for rest in ("still_id between 3 and 4", "still_id > 4"):
+        parts = parts.unionByName(accumulate.running_sums(b.where(rest)))
+    return accumulate.from_sums(accumulate.combined(parts)).select("voxel_idx", "n", r("mean", "mean", 4), r(F.col("variance") / 1e6, "variance"))

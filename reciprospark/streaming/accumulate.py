@@ -71,6 +71,55 @@ def running_merge(stream: DataFrame) -> DataFrame:
     return out.withColumns({"intensity": F.col("wx") / F.col("w"), "sigma": F.lit(1.0) / F.sqrt("w")})
 
 
+def running_sums(stream: DataFrame) -> DataFrame:
+    """What a running merge of each voxel keeps: n, mean and m2 (the sum of squared deviations, as Welford's update gives it) of the
+    intensities, and the inverse-variance sums w and wx."""
+    w = F.lit(1.0) / (F.col("sigma") * F.col("sigma") + TINY)
+    x = F.col("intensity")
+    return stream.groupBy("voxel_idx").agg(F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.sum(w).alias("w"), F.sum(w * x).alias("wx"))
+
+
+def combined(parts: DataFrame) -> DataFrame:
+    """Running sums of parts that were kept apart (rows of running_sums, any number for a voxel), as of one run over all of them."""
+    n, mean = F.col("n"), F.col("mean")
+    together = F.sum(n * mean) / F.sum(n)
+    whole = parts.where("n > 0").groupBy("voxel_idx").agg(F.sum(n).alias("n"), together.alias("mean"), F.sum("m2").alias("_within"), F.sum("w").alias("w"), F.sum("wx").alias("wx"))
+    between = parts.where("n > 0").join(whole.select("voxel_idx", F.col("mean").alias("_mean")), "voxel_idx").groupBy("voxel_idx").agg(F.sum(n * F.pow(mean - F.col("_mean"), 2)).alias("_between"))
+    return whole.join(between, "voxel_idx").select("voxel_idx", "n", "mean", (F.col("_within") + F.col("_between")).alias("m2"), "w", "wx")
+
+
+def from_sums(sums: DataFrame) -> DataFrame:
+    """sums with variance, and the merged intensity and sigma."""
+    return sums.withColumns({"variance": F.col("m2") / F.col("n"), "intensity": F.col("wx") / F.col("w"), "sigma": F.lit(1.0) / F.sqrt("w")})
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_running(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """running_sums of a stream of binned observations, as state that outlives a run: the next call with the same checkpoint goes on
+    with what has come since. The state is in RocksDB, so it may be larger than memory. Each micro-batch writes the voxels that it changed to a
+    folder of path, of its own number: a batch that runs again after a failure replaces itself. See latest()."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    name, conf = "spark.sql.streaming.stateStore.providerClass", stream.sparkSession.conf
+    before = conf.get(name, None)
+    conf.set(name, ROCKSDB)
+    try:
+        return running_sums(stream).writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last row of each voxel that keep_running has written."""
+    rows = spark.read.parquet(path)
+    names = [c for c in rows.columns if c not in ("voxel_idx", "batch")]
+    return rows.groupBy("voxel_idx").agg(F.max_by(F.struct(*names), "batch").alias("x")).select("voxel_idx", *[f"x.{c}" for c in names])
+
+
 def running_mask_statistics(pixels: DataFrame) -> DataFrame:
     """The sums that a dynamic mask needs, as a streaming aggregation."""
     return pixel_statistics(pixels)

@@ -58,6 +58,26 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {r.voxel_idx: (r.n, round(r.intensity, 9)) for r in spark.table("running").collect()} == merged
 
 
+def test_a_stream_goes_on_where_it_ended(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(int(v), float(x), float(e)) for v, x, e in zip(rng.integers(0, 20, 600), rng.normal(1e6, 3.0, 600), rng.uniform(1, 2, 600), strict=True)]
+    columns = "voxel_idx long, intensity double, sigma double"
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for part in (rows[:200], rows[200:205], [], rows[205:]):
+        spark.createDataFrame(part, columns).repartition(2).write.mode("append").parquet(source)
+        accumulate.keep_running(accumulate.observation_stream(spark, source, columns, 1), out, checkpoint).awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != accumulate.ROCKSDB
+    got = {r.voxel_idx: r for r in accumulate.from_sums(accumulate.latest(spark, out)).collect()}
+    parts = accumulate.running_sums(spark.createDataFrame(rows[:77], columns)).unionByName(accumulate.running_sums(spark.createDataFrame(rows[77:], columns)))
+    apart = {r.voxel_idx: r for r in accumulate.from_sums(accumulate.combined(parts)).collect()}
+    assert len(got) == len(apart) == 20
+    for v, r in got.items():
+        x, e = (np.array([row[k] for row in rows if row[0] == v]) for k in (1, 2))
+        want = (len(x), x.mean(), x.var(), (x / e**2).sum() / (1 / e**2).sum(), (1 / e**2).sum() ** -0.5)
+        for own in (r, apart[v]):
+            assert (own.n, own["mean"], own.variance, own.intensity, own.sigma) == pytest.approx(want, rel=1e-7)
+
+
 def test_settings_and_regions(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"beamstop": {"type": "circle", "center_x": 1, "center_y": 2, "radius": 1}}')
     assert len(tables.static_regions(tables.settings(spark, str(tmp_path / "m.json")))[0]) == 1
