@@ -8,10 +8,11 @@ texts of equal words are one node, and nodes with an equal band share a bucket.
 Candidates are a star: each member of a bucket with its least node, so a bucket of n has n - 1 pairs, and groups of copies
 have nearly the same star in all bands. Candidates are confirmed on their whole sets. Two members that are no copies of
 the star's centre may still be copies of each other. So members of a bucket that belong to different components, the
-centre aside, are open: they are put into buckets anew by sharper bands (SECOND), with stars again; what is open after that is
-compared by the agreeing bins of its signature, in blocks of at most TILE members, each pair of blocks a group of
-its own, and pairs of different components with enough agreeing bins are confirmed. Nodes that are connected already
-need no further link, and no member waits unseen, however large a bucket is.
+centre aside, are open: they are put into buckets anew by sharper bands (SECOND) and compared there by the agreeing bins of
+their signatures, in blocks of about TILE members, each pair of blocks a group of its own. First each member with the
+one of another component that it agrees with most, which connects nearly all that can be; then all pairs of components
+that are different even so, if enough bins agree. All these are confirmed. Nodes that are connected already need no further link,
+and no pair of an open bucket is passed over, however large the bucket is.
 
 What can be lost: at a similarity of 0.85 a pair shares no bucket of FIRST with a probability of 2e-8, none of SECOND with 3e-8 and
 falls under the agreeing bins asked for (SPREAD standard deviations below the similarity) with 1e-9; all fall fast with similarity.
@@ -106,7 +107,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
 
 
 def sharper(texts: DataFrame, width: int) -> DataFrame:
-    """fp, root, keys (of the sharper buckets) and sig (a byte for each bin). texts: fp, root, body."""
+    """fp, keys (of the sharper buckets) and sig (a byte for each bin). texts: fp, body."""
     rows, n = SECOND
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,9 +116,10 @@ def sharper(texts: DataFrame, width: int) -> DataFrame:
                 batch = whole.slice(at, 256)
                 sigs = np.array([signature(near.shingles(zstandard.decompress(x.as_py()), width), rows * n) for x in batch.column("body")], dtype=np.uint64)
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(0, len(batch) * n + 1, n, dtype=np.int32)), pa.array(bands(sigs, rows).ravel()))
-                yield record(pa.schema([("fp", pa.int64()), ("root", pa.int64()), ("keys", pa.list_(pa.int64())), ("sig", pa.binary())]), [batch.column("fp"), batch.column("root"), keys, [x.astype(np.uint8).tobytes() for x in sigs]])
+                yield record(pa.schema([("fp", pa.int64()), ("keys", pa.list_(pa.int64())), ("sig", pa.binary())]), [batch.column("fp"), keys, [x.astype(np.uint8).tobytes() for x in sigs]])
+        pa.default_memory_pool().release_unused()  # the worker lives on, for tasks of other stages
 
-    return texts.select("fp", "root", "body").mapInArrow(run, "fp long, root long, keys array<long>, sig binary")
+    return texts.select("fp", "body").mapInArrow(run, "fp long, keys array<long>, sig binary")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -133,10 +135,21 @@ def star(members: DataFrame) -> DataFrame:
 
 
 def opened(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, fp and root of those members (centres aside) whose bucket has members of several components. roots: fp, root."""
+    """fp of those members (centres aside) whose bucket has members of several components, each once. roots: fp, root."""
     rows = members.where("n > 2 and fp <> centre").select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    return rows.join(several, "key")
+    return rows.join(_several(rows), "key").select("fp").distinct()
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """The keys of buckets with members of several components. rows: key, root."""
+    return rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+
+
+def apart(wide: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of sharper buckets of several components: key, band, fp, root, sig. wide: fp, keys, sig; roots: fp, root."""
+    rows = wide.select("fp", F.posexplode("keys").alias("band", "key")).join(roots, "fp", "left")
+    rows = rows.select("key", F.col("band").cast("long").alias("band"), "fp", F.coalesce("root", "fp").alias("root"))
+    return rows.join(_several(rows), "key").join(wide.select("fp", "sig"), "fp")
 
 
 def least_agreeing(similarity: float) -> int:
@@ -144,25 +157,33 @@ def least_agreeing(similarity: float) -> int:
     return int(bins * similarity - SPREAD * (bins * similarity * (1 - similarity)) ** 0.5)
 
 
-def compared(rows: DataFrame, least: int, tile: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components with enough agreeing bins. rows: key, fp, root, sig.
+def compared(rows: DataFrame, least: int, tile: int, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components with enough agreeing bins, each once. rows: key, band, fp, root, sig.
 
-    A bucket's members are dealt to blocks of about ``tile``; each two of its blocks, and each with itself, are a group."""
+    A bucket's members are dealt to blocks of about ``tile``; each two of its blocks, and each with itself, are a group. A pair that shares
+    several buckets is taken in the first. nearest: of a member only the pair that agrees most in a group: at most one for each member."""
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
     rows = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    rows = rows.select(group.alias("key"), "fp", "root", F.signum(F.col("own") - F.col("other")).cast("long").alias("side"), "sig")
+    rows = rows.select(group.alias("key"), "band", "fp", "root", F.signum(F.col("own") - F.col("other")).cast("long").alias("side"), "sig")
+    of_band, n = SECOND
 
-    def of(_: int, fp: np.ndarray, root: np.ndarray, side: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
-        found = []
+    def of(_: int, band: np.ndarray, fp: np.ndarray, root: np.ndarray, side: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
+        found, first = [], int(band[0]) * of_band
         for k in np.flatnonzero(side <= 0).tolist():
             others = np.flatnonzero((side > 0) & (root != root[k])) if side[k] else k + 1 + np.flatnonzero((side[k + 1 :] == 0) & (root[k + 1 :] != root[k]))
-            found += [(k, j) for j in others[(sig[others] == sig[k]).sum(axis=1) >= least].tolist()]
+            if not len(others):
+                continue
+            same = sig[others] == sig[k]
+            agree = same.sum(axis=1)
+            if first:
+                agree[same[:, :first].reshape(len(others), -1, of_band).all(axis=2).any(axis=1)] = 0
+            picked = np.flatnonzero(agree >= least)
+            found += [(k, j) for j in others[picked[[agree[picked].argmax()]] if nearest and len(picked) else picked].tolist()]
         return near._columns(found, fp)
 
-    rows_, n = SECOND
-    return near._by_list(rows, ("fp", "root", "side"), rows_ * n, "a long, b long", of).distinct()
+    return near._by_list(rows, ("band", "fp", "root", "side"), of_band * n, "a long, b long", of)
 
 
 def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, tile: int = TILE) -> DataFrame:
@@ -171,19 +192,18 @@ def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, similarity: flo
     pairs = stored(star(members), "pairs")
     texts = stored(near.bodies(docs, members.select("fp").distinct(), members.select("fp").limit(0), width), "bodies")
     good = stored(near.verified(pairs, texts, width, similarity), "good")
-    left = stored(opened(members, components(good)), "open")
+    roots = stored(components(good), "roots")
+    left = stored(opened(members, roots), "open")
     if left.isEmpty():
-        discard(members, pairs, texts, left)
+        discard(members, pairs, texts, roots, left)
         return good
-    wide = stored(sharper(texts.join(left.select("fp", "root").distinct(), "fp"), width), "wide")
-    sharp = stored(buckets(wide.select("fp", "keys")), "sharp")
-    centres = wide.select(F.col("fp").alias("a"), F.col("root").alias("root_a")), wide.select(F.col("fp").alias("b"), F.col("root").alias("root_b"))
-    more = stored(star(sharp).join(centres[0], "a").join(centres[1], "b").where("root_a <> root_b").select("a", "b").join(pairs, ["a", "b"], "left_anti"), "more")
-    good_more = stored(near.verified(more, texts, width, similarity), "good")
-    still = opened(sharp, components(good.union(good_more))).join(wide.select("fp", "sig"), "fp")
-    rest = stored(compared(still, least_agreeing(similarity), tile).join(pairs.union(more), ["a", "b"], "left_anti"), "rest")
-    out = stored(good.union(good_more).union(near.verified(rest, texts, width, similarity)), "links")
-    discard(members, pairs, texts, good, left, wide, sharp, more, good_more, rest)
+    wide, least = stored(sharper(texts.join(left, "fp"), width), "wide"), least_agreeing(similarity)
+    more = stored(compared(apart(wide, roots), least, tile, nearest=True).distinct().join(pairs, ["a", "b"], "left_anti"), "more")
+    good_more = stored(good.union(near.verified(more, texts, width, similarity)), "good")
+    after = stored(components(good_more), "roots")
+    rest = stored(compared(apart(wide, after), least, tile).distinct().join(pairs.union(more), ["a", "b"], "left_anti"), "rest")
+    out = stored(good_more.union(near.verified(rest, texts, width, similarity)), "links")
+    discard(members, pairs, texts, good, roots, left, wide, more, good_more, after, rest)
     return out
 
 

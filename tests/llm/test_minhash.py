@@ -85,10 +85,18 @@ def test_blocks_compare_all_pairs_of_different_components(spark):
     for k in range(60):
         sig = base.copy()
         sig[: int(rng.integers(0, 400))] ^= 1 + k
-        rows.append((k % 2, k, int(rng.integers(0, 20)), bytearray(sig.tobytes())))
-    want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2] and sum(x == y for x, y in zip(a[3], b[3], strict=True)) >= 600}
-    for tile in (4, 1000):
-        assert {tuple(r) for r in minhash.compared(spark.createDataFrame(rows, "key long, fp long, root long, sig binary"), 600, tile).collect()} == want
+        rows.append((k % 2, 79, k, int(rng.integers(0, 20)), bytearray(sig.tobytes())))  # the first 40 bands differ in all of these
+    bands = lambda x, y: [n for n in range(80) if x[10 * n : 10 * n + 10] == y[10 * n : 10 * n + 10]]
+    agree = {(a[2], b[2]): sum(x == y for x, y in zip(a[4], b[4], strict=True)) for a in rows for b in rows if a[0] == b[0] and a[2] < b[2] and a[3] != b[3]}
+    for band in (0, 39, 79):
+        first = {p: n for p, n in agree.items() if n >= 600 and not [x for x in bands(*(rows[k][4] for k in p)) if x < band]}
+        table = spark.createDataFrame([(r[0], band, *r[2:]) for r in rows], "key long, band long, fp long, root long, sig binary")
+        for tile in (4, 1000):
+            got = [tuple(r) for r in minhash.compared(table, 600, tile).collect()]
+            assert len(got) == len({*got}) and {*got} == first.keys()
+            one = [tuple(r) for r in minhash.compared(table, 600, tile, nearest=True).collect()]
+            assert {*one} <= first.keys() and {p[0] for p in one if tile == 1000} == {p[0] for p in first if tile == 1000}
+            assert tile != 1000 or all(first[p] == max(n for q, n in first.items() if q[0] == p[0]) for p in one)
 
 
 def test_rows_that_are_kept_and_the_query(spark, folder, odd_docs):
