@@ -51,11 +51,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=512)
+@lru_cache(maxsize=64)  # at most 6 MB in a worker
 def probes(bins: int, block: int, size: int = 64) -> np.ndarray:
     """For each bin the bins to try, a block of them at a time: a fixed sequence of random bins of its own."""
     tries = np.arange(block * size, (block + 1) * size, dtype=np.uint64)
-    return (mixed(np.arange(1, bins + 1, dtype=np.uint64)[:, None] * _A + mixed(tries + _C)) % np.uint64(bins)).astype(np.int32)
+    return (mixed(np.arange(1, bins + 1, dtype=np.uint64)[:, None] * _A + mixed(tries + _C)) % np.uint64(bins)).astype(np.uint16)
 
 
 def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
