@@ -168,6 +168,12 @@ def diagnostics(obs: DataFrame, crystals: DataFrame, grid: Grid) -> DataFrame:
     return found.crossJoin(spread)  # one row each
 
 
+def doubtful_observation() -> Column:
+    """Why an observation cannot be binned or merged, null if it can."""
+    unsound = lambda c: F.col(c).isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
+    return F.when(unsound(Q[0]) | unsound(Q[1]) | unsound(Q[2]), "q is not finite").when(unsound("intensity"), "intensity is not finite").when(unsound("sigma") | (F.col("sigma") <= 0), "sigma is not positive")
+
+
 def fit(obs: DataFrame, setting, ndiv: tuple[int, int, int], d_min: float | None = None, d_max: float | None = None) -> Grid:
     """The grid that holds the observations of a resolution range: one job with one row."""
     if (d_min is None) != (d_max is None) or (d_min is not None and not 0 < d_min < d_max):

@@ -21,6 +21,11 @@ def detector(spark, panels: Sequence[tuple[int, int, int]]) -> DataFrame:
     return rows.select("panel_id", "slow", F.explode(F.sequence(F.lit(0), F.col("n_fast") - 1)).alias("fast"))
 
 
+def positions(pixels: DataFrame) -> DataFrame:
+    """All pixels that images have, each once."""
+    return pixels.select(*KEY).distinct()
+
+
 def in_circle(slow: float, fast: float, radius: float) -> Column:
     return F.pow(F.col("slow") - slow, 2) + F.pow(F.col("fast") - fast, 2) <= radius * radius
 

@@ -23,10 +23,14 @@ def flattened(nested: DataFrame) -> DataFrame:
     return nested.select("voxel_idx", F.inline(F.arrays_zip("intensities", "sigmas", "still_ids"))).withColumnsRenamed({"intensities": "intensity", "sigmas": "sigma", "still_ids": "still_id"})
 
 
-def nested(flat: DataFrame) -> DataFrame:
-    """The inverse of flattened, for export; a voxel's observations meet in one row."""
-    rows = flat.groupBy("voxel_idx").agg(F.sort_array(F.collect_list(F.struct("still_id", "intensity", "sigma"))).alias("o"))
-    return rows.select("voxel_idx", F.col("o.intensity").alias("intensities"), F.col("o.sigma").alias("sigmas"), F.col("o.still_id").alias("still_ids"))
+def nested(flat: DataFrame, most: int = 100_000) -> DataFrame:
+    """The inverse of flattened, for export: voxel_idx, part, and arrays in order of still_id, intensity and sigma. A voxel of over about ``most``
+    observations comes in several rows (part 0, 1, ...), so no row grows without a bound; which part an observation is in depends on itself alone."""
+    sizes = flat.groupBy("voxel_idx").agg(F.ceil(F.count("*") / most).cast("int").alias("_parts"))
+    salt = F.pmod(F.xxhash64("still_id", "intensity", "sigma", *[c for c in ("obs_id", "image_id", "slow", "fast") if c in flat.columns]), F.col("_parts"))
+    rows = flat.join(sizes, "voxel_idx").withColumn("part", F.when(F.col("_parts") == 1, 0).otherwise(salt).cast("int"))
+    rows = rows.groupBy("voxel_idx", "part").agg(F.sort_array(F.collect_list(F.struct("still_id", "intensity", "sigma"))).alias("o"))
+    return rows.select("voxel_idx", "part", F.col("o.intensity").alias("intensities"), F.col("o.sigma").alias("sigmas"), F.col("o.still_id").alias("still_ids"))
 
 
 def observed_enough(obs: DataFrame, least: int) -> DataFrame:

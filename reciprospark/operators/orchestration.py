@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reciprospark.operators import grid as grids
-from reciprospark.operators import merging, scaling
+from reciprospark.operators import merging, scaling, validation
 from reciprospark.operators.pixels import Beam, Extraction, Panel, observations, unfolded
 from reciprospark.sources import store
 from reciprospark.sources.headers import route
@@ -68,6 +68,11 @@ class Defaults:
     def rows(self) -> list[tuple[str, str]]:
         return [(f.name, str(getattr(self, f.name))) for f in fields(self)]
 
+    def filled(self, settings: DataFrame) -> DataFrame:
+        """settings (a row for each image or batch) with every setting as a column: the row's own where it has one that is not null, else the default."""
+        have = {c.lower() for c in settings.columns}
+        return settings.withColumns({f.name: F.coalesce(F.col(f.name), F.lit(getattr(self, f.name))) if f.name in have else F.lit(getattr(self, f.name)) for f in fields(self)})
+
 
 def process_batch(
     images: DataFrame, panel: Panel | DataFrame, beam: Beam | DataFrame, settings: Extraction = Extraction(), bad: DataFrame | None = None,
@@ -111,6 +116,41 @@ def may_merge(n_outputs: int, settings: MergePhase | None) -> bool:
     return settings is not None and n_outputs >= 2
 
 
+def gate(outcomes: DataFrame, settings: MergePhase | None, *by: str) -> DataFrame:
+    """Of each batch (by): n_outputs, its images that succeeded, and may_merge."""
+    found = outcomes.groupBy(*by).agg(F.count_if(F.col("status") == "SUCCESS").alias("n_outputs"))
+    return found.withColumn("may_merge", F.lit(settings is not None) & (F.col("n_outputs") >= 2))
+
+
+def processed_and_validated(
+    images: DataFrame, reflections: DataFrame, crystals: DataFrame, panel: Panel | DataFrame, s0, references: DataFrame | None = None,
+    settings: Defaults = Defaults(), forced: str | None = None,
+) -> DataFrame:
+    """One outcome for each image (image_id, increment): its route, what indexing found, the checks of its geometry, and a status.
+
+    reflections (image_id, x, y, s1, ...; panel_id for a table of panels) and crystals (image_id, cell, space_group) are what indexing gave; an image
+    without either failed there. Its geometry passes if the residuals of q are within the tolerance (the mean) and five times it (the greatest),
+    and its cell, where references has one for its space group, is within the tolerances. Each table is aggregated by image once, and joined.
+
+    Fixed values: the names of status and error codes."""
+    d = F.col("delta")
+    residuals = validation.q_residuals(reflections, panel, s0).groupBy("image_id").agg(F.count("*").alias("n_reflections"), F.avg(d).alias("mean_residual"), F.max(d).alias("max_residual"))
+    cells = crystals.withColumn("mismatch", F.lit(None).cast("string")).withColumn("_known", F.lit(False))
+    if references is not None:
+        known = references.select("space_group", F.lit(True).alias("_known")).distinct()
+        cells = validation.cell_mismatch_of(crystals, references, settings.cell_length_tolerance, settings.cell_angle_tolerance).join(known, "space_group", "left")
+    cells = cells.groupBy("image_id").agg(F.min("mismatch").alias("mismatch"), F.when(F.max(F.coalesce("_known", F.lit(False))), F.count("mismatch") == 0).alias("cell_ok"))
+    out = routed(images, forced).select("image_id", "route").join(residuals, "image_id", "left").join(cells.withColumn("_crystal", F.lit(True)), "image_id", "left")
+    indexed = F.col("_crystal").isNotNull() & F.col("n_reflections").isNotNull()
+    q_ok = (F.col("mean_residual") <= settings.q_tolerance) & (F.col("max_residual") <= 5 * settings.q_tolerance)
+    out = out.withColumns({"q_ok": F.coalesce(q_ok, F.lit(False)), "orientation_ok": F.lit(None).cast("boolean")})
+    passed = validation.geometry_passed()
+    status = F.when(~indexed, "FAILURE_DIALS_PROCESSING").when(passed, "SUCCESS").otherwise("FAILURE_GEOMETRY_VALIDATION")
+    code = F.when(~indexed, "DIALS_PROCESSING_FAILED").when(~passed, "GEOMETRY_VALIDATION_FAILED")
+    message = F.when(~indexed, "no crystal or reflections").when(passed, "Processed and validated").otherwise("Validation failed")
+    return out.select("image_id", "route", status.alias("status"), code.alias("error_code"), message.alias("message"), F.coalesce("n_reflections", F.lit(0).cast("long")).alias("n_reflections"), "mean_residual", "max_residual", F.when(indexed, F.col("q_ok")).alias("q_ok"), "cell_ok", "mismatch")
+
+
 def merge_phase(obs: DataFrame, setting, settings: MergePhase = MergePhase()) -> tuple[DataFrame, dict]:
     """Grid, binning, refinement and merge of observations of several stills: the map, and numbers of the run.
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,10 +93,14 @@ def q_projections(obs: DataFrame, width: float) -> DataFrame:
     return rows.select(F.explode(planes).alias("p"), "intensity").groupBy("p.plane", "p.i", "p.j").agg(F.count("*").alias("n"), F.avg("intensity").alias("mean"))
 
 
-def evaluated(spark, f, low: float, high: float, n: int = 100) -> DataFrame:
-    """q and scale: any function of one |q|, at n places."""
-    places = [low + (high - low) * k / max(n - 1, 1) for k in range(n)]
-    return spark.createDataFrame([(q, float(f(q))) for q in places], "q double, scale double")
+def evaluated(rows: DataFrame, f: Callable[[float], float], q: str = "q", n: int = 100) -> DataFrame:
+    """q and scale: any Python function of one |q|, at n places over the range of a table's |q|."""
+
+    @F.pandas_udf("double")
+    def scale(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: float(f(v)))
+
+    return places(rows, q, n).select("q", scale("q").alias("scale"))
 
 
 def phase_summary(phases: dict[str, DataFrame]) -> DataFrame:
@@ -111,14 +117,24 @@ def scale_summary(scales: DataFrame, value: str = "multiplicative_scale") -> Dat
     return scales.agg(F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("low"), F.max(v).alias("high"), (F.avg(v) - F.stddev_pop(v)).alias("mean_less_std"), (F.avg(v) + F.stddev_pop(v)).alias("mean_plus_std"))
 
 
-def smoother_curve(spark, points: list[tuple[float, float]], low: float = 0.1, high: float = 2.0, n: int = 100) -> DataFrame:
-    """Linear interpolation of control points at n places, held at both ends."""
+def interpolated(points: list[tuple[float, float]], x: Column) -> Column:
+    """Linear interpolation of control points, held at both ends."""
     points = sorted(points)
-    x = F.lit(low) + F.col("id") * ((high - low) / (n - 1))
     y = F.lit(points[-1][1])
     for (x0, y0), (x1, y1) in reversed(list(zip(points, points[1:], strict=False))):
         y = F.when(x < x1, F.lit(y0) + (x - x0) * ((y1 - y0) / (x1 - x0))).otherwise(y)
-    return spark.range(n).select(x.alias("q"), F.when(x < points[0][0], F.lit(points[0][1])).otherwise(y).alias("scale"))
+    return F.when(x < points[0][0], F.lit(points[0][1])).otherwise(y)
+
+
+def places(rows: DataFrame, q: str = "q", n: int = 100) -> DataFrame:
+    """n places (q) at equal steps over the range that a table has; none for an empty one."""
+    ends = rows.agg(F.min(q).alias("low"), F.max(q).alias("high")).where("low is not null")
+    return ends.select("low", "high", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")).select((F.col("low") + (F.col("high") - F.col("low")) * F.col("k") / max(n - 1, 1)).alias("q"))
+
+
+def smoother_curve(rows: DataFrame, points: list[tuple[float, float]], q: str = "q", n: int = 100) -> DataFrame:
+    """q and scale at n places over the range of a table's |q|."""
+    return places(rows, q, n).select("q", interpolated(points, F.col("q")).alias("scale"))
 
 
 def extraction_summary(obs: DataFrame) -> DataFrame:

@@ -113,6 +113,12 @@ def product(components: Sequence[Callable[[DataFrame], Column]], obs: DataFrame)
     return obs.withColumn("scale", out)
 
 
+def doubtful_scale(value: str = "multiplicative_scale", low: float = FLOOR, high: float = 1 / FLOOR) -> Column:
+    """What is wrong with a still's scale, null if nothing is."""
+    v = F.col(value)
+    return F.when(v.isNull(), "missing").when(F.isnan(v) | (F.abs(v) == float("inf")), "not finite").when(v <= 0, "not positive").when((v < low) | (v > high), "out of range")
+
+
 def model_info(scales: DataFrame, value: str = "multiplicative_scale") -> DataFrame:
     """One row: number, mean, deviation and range of the scales of a table, for any number of stills."""
     v = F.col(value)

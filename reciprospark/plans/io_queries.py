@@ -42,6 +42,16 @@ def experiment_save(spark, d):
     return merging.concatenated([found[k].agg(F.lit(k).alias("part"), F.count("*").alias("n"), r(F.avg(v), "value")) for k, v in parts.items()])
 
 
+@query("K09_model_tables", sql("crystals reflections beams", "select 'beam' as part, count(*) as n, round(avg(wavelength), 6) as value from beams union all select 'crystal', count(*), round(avg(a), 6) from crystals union all select 'reflections', count(*), round(avg(x), 6) from reflections where refl_id % 37 = 5"))
+def model_tables(spark, d):
+    """Beams, crystals and reflections saved as tables with a row for each, and read again; of the reflections one image's."""
+    path = scratch(spark, "models")
+    sinks.save_models(path, beam=st.beams(spark, d), crystal=st.crystals(spark, d), reflections=st.image_reflections(spark, d))
+    found = tables.models(spark, path, "beam", "crystal", "reflections")
+    parts = {"beam": (found["beam"], "wavelength"), "crystal": (found["crystal"], "a"), "reflections": (found["reflections"].where("image_id = 5"), "x")}
+    return merging.concatenated([rows.agg(F.lit(k).alias("part"), F.count("*").alias("n"), r(F.avg(c), "value")) for k, (rows, c) in parts.items()])
+
+
 @query("S05_reflection_scan", sql("reflections", "select round_even(frame, 0)::int as frame, count(*) as n, round(sum(x), 4) as x, round(sum(y), 4) as y from reflections group by 1"))
 def reflection_scan(spark, d):
     """Reflections from their file, their centres from the observed centroid."""
@@ -142,16 +152,18 @@ def scaling_scan(spark, d):
     return spark.createDataFrame([(k, round(v * found.smoother.at(0.1), 5), round(v, 5)) for k, v in found.stills.items()], "still_id int, low double, scale double")
 
 
-_CONFIG = '{"beamstop": {"type": "circle", "center_x": 4, "center_y": 3, "radius": 2}, "untrusted_rects": [{"min_x": 0, "max_x": 2, "min_y": 6, "max_y": 7}], "untrusted_panels": [5]}'
+_CONFIG = '{"beamstop": {"type": "circle", "center_x": 4, "center_y": 3, "radius": 2}, "untrusted_rects": [{"min_x": 0, "max_x": 2, "min_y": 6, "max_y": 7}], "untrusted_panels": [2]}'
 
 
-@query("S12_config_scan", pq.MASKS + "select panel_id, slow, fast, good from static")
+@query("S12_config_scan", sql("pixels", "select image_id, count(*) as n, round(sum(raw), 3) as total from pixels where not (pow(slow - 3.0, 2) + pow(fast - 4.0, 2) <= 4.0 or (slow between 6 and 7 and fast between 0 and 2)) and image_id % 5 <> 2 group by 1"))
 def config_scan(spark, d):
-    """A mask configuration from a file, and the mask that it asks for."""
+    """A mask configuration from a file, and what the mask that it asks for leaves of each image."""
     path = scratch(spark, "config")
     sinks.save_text(spark, [_CONFIG], path)
     regions, untrusted = tables.static_regions(tables.settings(spark, path))
-    return masks.static_mask(masks.detector(spark, [(0, 8, 8)]), regions, untrusted)
+    px = st.panelled(pq._pixels(spark, d))
+    good = masks.static_mask(masks.positions(px), regions, untrusted)
+    return masks.image_masks(px, good, None).where("good").groupBy("image_id").agg(F.count("*").alias("n"), r(F.sum("raw"), "total", 3))
 
 
 @query("K04_json_save", sql("obs hkl bounds", "select 'grid' as what, (high_h - low_h + 1) * (high_k - low_k + 1) * (high_l - low_l + 1) as n from bounds union all select 'observations', count(*) from obs"))
@@ -171,12 +183,17 @@ def append_store(spark, d):
     return spark.read.parquet(path).groupBy("voxel_idx").agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e3, "total", 2))
 
 
-@query("K06_run_log", "select status, error_code, count(*) as n from (values ('SUCCESS', null), ('SUCCESS', null), ('FAILURE', 'InputFileError')) t(status, error_code) group by all")
+@query("K06_run_log", "select status, error_code, vec_id % 2 = 0 as has_artifacts, count(*) as n from (select vec_id, case when vec_id % 7 in (3, 5) then 'FAILURE' else 'SUCCESS' end as status, case when vec_id % 7 in (3, 5) then 'InputFileError' end as error_code from embeddings) group by all")
 def run_log(spark, d):
+    """The outcomes of all images in a log that two runs have written."""
     path = scratch(spark, "log")
-    sinks.append_outcomes(spark, [("a.cbf", "SUCCESS", None, None, {"observations": "a.parquet"})], path)
-    sinks.append_outcomes(spark, [("b.cbf", "SUCCESS", None, None, {}), ("c.cbf", "FAILURE", "file not found", "InputFileError", None)], path)
-    return spark.read.parquet(path).groupBy("status", "error_code").agg(F.count("*").alias("n"))
+    k = F.col("vec_id")
+    failed = (k % 7).isin(3, 5)
+    rows = st.table(spark, d, "embeddings").select("vec_id", F.format_string("%d.cbf", k).alias("input_path"), F.when(failed, "FAILURE").otherwise("SUCCESS").alias("status"), F.when(failed, "file not found").alias("message"), F.when(failed, "InputFileError").alias("error_code"))
+    artifacts = F.create_map(F.lit("observations"), F.concat("input_path", F.lit(".parquet")))
+    sinks.append_outcomes(spark, rows.where("vec_id % 2 = 0").withColumn("artifacts", artifacts), path)
+    sinks.append_outcomes(spark, rows.where("vec_id % 2 = 1"), path)
+    return spark.read.parquet(path).groupBy("status", "error_code", F.col("artifacts").isNotNull().alias("has_artifacts")).agg(F.count("*").alias("n"))
 
 
 @query("K08_manifest", sql("obs", "select still_id, 'still-' || still_id || '.parquet' as observations, count(*) as n from obs group by 1"))

@@ -9,6 +9,7 @@ from reciprospark.operators import grid as grids
 from reciprospark.operators import grouped, merging, orchestration, scaling, symmetry
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
+from reciprospark.schema import lacking
 from reciprospark.sources import store
 from reciprospark.sources.shared import scratch
 from reciprospark.streaming import accumulate
@@ -79,7 +80,7 @@ def min_observations(spark, d):
 
 @query("M01_flatten_binned", sql(st.BINNED, "select voxel_idx, still_id, count(*) as n, round(sum(intensity), 2) as total, round(sum(sigma), 2) as sigmas from binned group by all"))
 def flatten_binned(spark, d):
-    flat = merging.flattened(merging.nested(st.binned(spark, d)[0]))
+    flat = merging.flattened(merging.nested(st.binned(spark, d)[0], 40))  # most voxels come in several rows
     return flat.groupBy("voxel_idx", "still_id").agg(F.count("*").alias("n"), r(F.sum("intensity"), "total", 2), r(F.sum("sigma"), "sigmas", 2))
 
 
@@ -507,10 +508,11 @@ def merge_phase(spark, d):
     return rounded(out.withColumn("I_merged_relative", F.round("I_merged_relative", 4)))
 
 
-@query("O03_merge_gate", "select * from (values (0, true, false), (1, true, false), (2, true, true), (7, true, true), (7, false, false)) t(n_outputs, configured, open)")
+@query("O03_merge_gate", "select vec_id // 3 as batch, count(*) filter (vec_id % 7 not in (3, 5)) as n_outputs, count(*) filter (vec_id % 7 not in (3, 5)) >= 2 as may_merge from embeddings group by 1")
 def merge_gate(spark, d):
-    cases = [(0, True), (1, True), (2, True), (7, True), (7, False)]
-    return spark.createDataFrame([(n, c, orchestration.may_merge(n, orchestration.MergePhase() if c else None)) for n, c in cases], "n_outputs int, configured boolean, open boolean")
+    """Which batches of three images go on to merging: those with two outputs at least."""
+    outcomes = st.table(spark, d, "embeddings").select(F.expr("vec_id div 3").alias("batch"), F.when((F.col("vec_id") % 7).isin(3, 5), "FAILURE").otherwise("SUCCESS").alias("status"))
+    return orchestration.gate(outcomes, orchestration.MergePhase(), "batch")
 
 
 @query("X07_voxel_integration", sql(st.BINNED, "select voxel_idx, round(sum(intensity), 2) as counts, count(*) as pixels, round(sum(still_id * intensity) / sum(intensity), 6) as mean_frame from binned group by 1"))
@@ -547,12 +549,16 @@ def scale_components(spark, d):
     return scaling.product(parts, st.observations(spark, d)).groupBy("still_id").agg(r(F.avg("scale"), "scale"))
 
 
-@query("U05_evaluated_smoother", f"with x as (select 0.05::double + k * (1.95::double / 99) as q0 from range(100) t(k)), y as (select q0, greatest(0.1, least(1.5, q0)) as x from x) select round(q0, 9) as q, round(greatest(0.01, ({' + '.join(f'{v!r} * exp(-pow((x - {p!r}) / 0.7, 2))' for v, p in zip(_SMOOTHER.values, _SMOOTHER.points, strict=True))}) / ({' + '.join(f'exp(-pow((x - {p!r}) / 0.7, 2))' for p in _SMOOTHER.points)})), 9) as scale from y")
+_PLACES = "(select low + (high - low) * k / 99 as q0 from (select min(sqrt(qx * qx + qy * qy + qz * qz)) as low, max(sqrt(qx * qx + qy * qy + qz * qz)) as high from obs), range(100) t(k))"
+
+
+@query("U05_evaluated_smoother", sql("obs", f"select round(q0, 9) as q, round(greatest(0.01, ({' + '.join(f'{v!r} * exp(-pow((x - {p!r}) / 0.7, 2))' for v, p in zip(_SMOOTHER.values, _SMOOTHER.points, strict=True))}) / ({' + '.join(f'exp(-pow((x - {p!r}) / 0.7, 2))' for p in _SMOOTHER.points)})), 9) as scale from (select q0, greatest(0.1, least(1.5, q0)) as x from {_PLACES})"))
 def evaluated_smoother(spark, d):
-    """A function of one |q| on the driver, evaluated for a curve."""
+    """Any Python function of one |q|, evaluated for a curve over the range of the observations."""
     from reciprospark.operators.reports import evaluated
 
-    return rounded(evaluated(spark, _SMOOTHER.at, 0.05, 2.0), 9)
+    obs = st.observations(spark, d).withColumn("q", vec.norm([F.col(c) for c in grids.Q]))
+    return rounded(evaluated(obs, _SMOOTHER.at), 9)
 
 
 _MATES = [("h", "k", "l"), ("-h", "-k", "l"), ("-h", "k", "-l"), ("h", "-k", "-l")]
@@ -603,12 +609,29 @@ def chunk_union(spark, d):
     return merging.concatenated(chunks).agg(F.count("*").alias("n"), r(F.sum("intensity") / 1e6, "total", 4))
 
 
-@query("L08_required_columns", "select 'obs' as name, 2 as n_missing")
+@query("L08_required_columns", "select o_orderkey as file_id, case o_orderkey % 3 when 0 then 'frame_idx,sigma' when 1 then 'frame_idx' else '' end as lacks from orders")
 def required_columns(spark, d):
-    from reciprospark.schema import missing_columns
+    """What each file of a manifest lacks of the columns that are required."""
+    k = F.col("o_orderkey") % 3
+    some = F.array(*map(F.lit, ("qx", "intensity")))
+    have = F.when(k == 0, some).when(k == 1, F.array_append(some, "sigma")).otherwise(F.concat(some, F.array(F.lit("sigma"), F.lit("frame_idx"))))
+    return st.table(spark, d, "orders").select(F.col("o_orderkey").alias("file_id"), F.array_join(lacking(have, ["qx", "sigma", "frame_idx"]), ",").alias("lacks"))
+
 
-    lack = missing_columns(st.observations(spark, d), ["qx", "sigma", "frame_idx", "panel_id"])
-    return spark.createDataFrame([("obs", len(lack))], "name string, n_missing int")
+@query("C08_scale_guards", "select s_suppkey, case when s is null then 'missing' when isnan(s) then 'not finite' when s <= 0 then 'not positive' when s < 0.01 or s > 100 then 'out of range' end as doubt from (select s_suppkey, case s_suppkey % 5 when 0 then null when 1 then 'nan'::double else s_acctbal / 50 end as s from supplier)")
+def scale_guards(spark, d):
+    """What is wrong with the scales of a table."""
+    k = F.col("s_suppkey") % 5
+    scales = st.table(spark, d, "supplier").select("s_suppkey", F.when(k == 1, float("nan")).when(k != 0, F.col("s_acctbal") / 50).alias("multiplicative_scale"))
+    return scales.select("s_suppkey", scaling.doubtful_scale().alias("doubt"))
+
+
+@query("G14_input_validation", sql("obs", "select still_id, doubt, count(*) as n from (select *, case when obs_id % 11 = 0 then 'q is not finite' when obs_id % 13 = 0 then 'intensity is not finite' when obs_id % 7 = 0 then 'sigma is not positive' end as doubt from obs) group by all"))
+def input_validation(spark, d):
+    """Observations of each still that cannot be binned or merged, by the reason."""
+    k = F.col("obs_id")
+    obs = st.observations(spark, d).withColumns({"qy": F.when(k % 11 == 0, float("nan")).otherwise(F.col("qy")), "intensity": F.when(k % 13 != 0, F.col("intensity")), "sigma": F.when(k % 7 == 0, -F.col("sigma")).otherwise(F.col("sigma"))})
+    return obs.withColumn("doubt", grids.doubtful_observation()).groupBy("still_id", "doubt").agg(F.count("*").alias("n"))
 
 
 _WHOLE = "(select round_even(h, 0)::int as h, round_even(k, 0)::int as k, round_even(l, 0)::int as l, intensity, sigma, (obs_id % 20) / 20.0::double as partiality from hkl)"

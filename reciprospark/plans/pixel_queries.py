@@ -250,14 +250,22 @@ def _spots(spark, d):
     return masks.spot_pixels(masks.of_frame(st.reflections(spark, d), 7), 1, 8, 8)
 
 
-@query("M12_static_mask", MASKS + "select panel_id, slow, fast, good from static")
+_GOOD = "not (pow(slow - 3.0, 2) + pow(fast - 4.0, 2) <= 4.0 or (slow between 6 and 7 and fast between 0 and 2) or panel_id = 3)"
+_SEEN = "select distinct (image_id % 5)::int as panel_id, slow, fast from pixels"
+
+
+@query("M12_static_mask", sql("pixels", f"select *, {_GOOD} as good from ({_SEEN})"))
 def static_mask(spark, d):
-    return _static(spark, d)
+    """The static mask of all pixels that the images of five panels have; one panel is not trusted."""
+    seen = masks.positions(st.panelled(_pixels(spark, d)))
+    return masks.static_mask(seen, [masks.in_circle(3, 4, 2), masks.in_rectangle(6, 7, 0, 2)], [3])
 
 
-@query("F12_regions", "with " + _DET + " select slow, fast, pow(slow - 3.0, 2) + pow(fast - 4.0, 2) <= 4.0 as in_circle, slow between 6 and 7 and fast between 0 and 2 as in_rectangle from det")
+@query("F12_regions", sql("pixels", "select image_id, count(*) filter (c) as n_circle, round(sum(raw) filter (c), 3) as circle, count(*) filter (b) as n_rectangle, round(sum(raw) filter (b), 3) as rectangle from (select *, pow(slow - 3.0, 2) + pow(fast - 4.0, 2) <= 4.0 as c, slow between 6 and 7 and fast between 0 and 2 as b from pixels) group by 1"))
 def regions(spark, d):
-    return masks.detector(spark, [(0, 8, 8)]).select("slow", "fast", masks.in_circle(3, 4, 2).alias("in_circle"), masks.in_rectangle(6, 7, 0, 2).alias("in_rectangle"))
+    """Pixels and counts of each image inside a circle and inside a rectangle."""
+    c, b = masks.in_circle(3, 4, 2), masks.in_rectangle(6, 7, 0, 2)
+    return _pixels(spark, d).groupBy("image_id").agg(F.count_if(c).alias("n_circle"), r(F.sum(F.when(c, F.col("raw"))), "circle", 3), F.count_if(b).alias("n_rectangle"), r(F.sum(F.when(b, F.col("raw"))), "rectangle", 3))
 
 
 @query("M10_pixel_statistics", MASKS + "select panel_id, slow, fast, round(total, 3) as total, n, round(low, 6) as low, round(high, 6) as high from stats")
@@ -375,10 +383,12 @@ def mask_algebra(spark, d):
     return out.drop("panel_id")
 
 
-@query("M17_mask_compatibility", MASKS + "select * from (select panel_id, count(*) as n1, max(slow) as slow1, max(fast) as fast1 from static group by 1) join (select panel_id, count(*) as n2, max(slow) as slow2, max(fast) as fast2 from static where slow < 5 group by 1) using (panel_id)")
+@query("M17_mask_compatibility", sql("pixels", ", a as (select panel_id, count(*) as n1, max(slow) as slow1, max(fast) as fast1 from (" + _SEEN + ") group by 1), b as (select panel_id, count(*) as n2, max(slow) as slow2, max(fast) as fast2 from (select distinct (image_id % 5)::int as panel_id, slow, fast from pixels where image_id % 5 <> 1 and (image_id % 5 <> 4 or slow < 5)) group by 1) select panel_id, n1, slow1, fast1, n2, slow2, fast2 from a full join b using (panel_id) where n1 is distinct from n2"))
 def mask_compatibility(spark, d):
-    s = _static(spark, d)
-    return masks.incompatible_panels(s, s.where("slow < 5"))
+    """Panels on which the masks of two sets of images do not fit: one lacks a panel, and a part of another."""
+    px = st.panelled(_pixels(spark, d))
+    one = masks.static_mask(masks.positions(px))
+    return masks.incompatible_panels(one, masks.static_mask(masks.positions(px.where("panel_id <> 1 and (panel_id <> 4 or slow < 5)"))))
 
 
 @query("R14_mask_summary", MASKS + "select panel_id, count(*) as n, count(*) filter (good) as n_good, round(avg(good::int), 9) as good_share from combined group by 1")
@@ -614,6 +624,34 @@ def batch_summary(spark, d):
     return orch.outcome_summary(_batch(spark, d)[1])
 
 
-@query("O06_defaults", "select * from (values ('gain', '1.0'), ('cell_length_tolerance', '0.02'), ('cell_angle_tolerance', '2.0'), ('orientation_tolerance', '5.0'), ('q_tolerance', '0.01'), ('pixel_step', '1'), ('lp_correction', 'False'), ('hot_pixel', '1000000.0'), ('negative_pixel', '0.0'), ('most_bad_pixels', '0.1'), ('peak_border', '2'), ('least_partiality', '0.1'), ('min_spot_area', '3')) t(name, value)")
+@query("O06_defaults", "select vec_id::int as image_id, case when vec_id % 4 = 0 then 2.5 else 1.0 end::double as gain, 0.02::double as cell_length_tolerance, 2.0::double as cell_angle_tolerance, 5.0::double as orientation_tolerance, 0.01::double as q_tolerance, case when vec_id % 3 = 0 then 4 else 1 end as pixel_step, false as lp_correction, 1000000.0::double as hot_pixel, 0.0::double as negative_pixel, 0.1::double as most_bad_pixels, 2 as peak_border, 0.1::double as least_partiality, 3 as min_spot_area from embeddings")
 def defaults(spark, d):
-    return spark.createDataFrame(orch.Defaults().rows(), "name string, value string")
+    """The settings of each image: its own, where it has some, and the defaults."""
+    k = F.col("image_id")
+    own = st.beams(spark, d).select("image_id", F.when(k % 4 == 0, 2.5).alias("gain"), F.when(k % 3 == 0, 4).alias("pixel_step"))
+    return orch.Defaults().filled(own)
+
+
+def _indexed(spark, d):
+    """What indexing gave of the images: reflections with beam vectors that are off, crystals of three groups."""
+    found = _s1(spark, d).withColumn("image_id", (F.col("refl_id") % 37).cast("int")).where("image_id % 6 <> 5")
+    group = F.when(F.col("still_id") % 3 == 0, "P 1").when(F.col("still_id") % 3 == 1, "P 2").otherwise("P 3")
+    crystals = st.crystals(spark, d).withColumn("space_group", group).withColumnRenamed("still_id", "image_id").where("image_id % 9 <> 4")
+    references = spark.createDataFrame(_CELLS, "space_group string, r_a double, r_b double, r_c double, r_alpha double, r_beta double, r_gamma double")
+    images = st.beams(spark, d).select("image_id", F.when(F.col("image_id") % 2 == 0, 0.0).alias("increment"))
+    return images, found, crystals, references
+
+
+_INDEXED = f"""images as (select vec_id::int as image_id, case when vec_id % 2 = 0 then 'stills' else 'sequence' end as route from embeddings),
+residuals as (select refl_id % 37 as image_id, count(*) as n, avg(partiality * 0.002::double) as mean, max(partiality * 0.002::double) as most from reflections where (refl_id % 37) % 6 <> 5 group by 1),
+cells as (select still_id as image_id, space_group, case {_OFF} end as mismatch from (select *, case still_id % 3 when 0 then 'P 1' when 1 then 'P 2' else 'P 3' end as space_group from crystals) where still_id % 9 <> 4),
+checked as (select i.image_id, route, n, mean, most, mismatch, case when c.image_id is null or n is null then null else mean <= 0.00095 and most <= 0.00475 end as q_ok, case when space_group <> 'P 3' then mismatch is null end as cell_ok from images i left join residuals using (image_id) left join cells c on c.image_id = i.image_id)"""
+st.SQL["indexed"] = _INDEXED
+
+
+@query("O05_process_and_validate", sql("reflections crystals indexed", "select image_id, route, case when q_ok is null then 'FAILURE_DIALS_PROCESSING' when q_ok and coalesce(cell_ok, true) then 'SUCCESS' else 'FAILURE_GEOMETRY_VALIDATION' end as status, case when q_ok is null then 'DIALS_PROCESSING_FAILED' when not (q_ok and coalesce(cell_ok, true)) then 'GEOMETRY_VALIDATION_FAILED' end as error_code, case when q_ok is null then 'no crystal or reflections' when q_ok and coalesce(cell_ok, true) then 'Processed and validated' else 'Validation failed' end as message, coalesce(n, 0)::bigint as n_reflections, round(mean, 9) as mean_residual, round(most, 9) as max_residual, q_ok, cell_ok, mismatch from checked"))
+def process_and_validate(spark, d):
+    """Route, processing, checks of the geometry and status of each image."""
+    images, found, crystals, references = _indexed(spark, d)
+    settings = orch.Defaults(q_tolerance=0.00095, cell_length_tolerance=0.004, cell_angle_tolerance=0.03)
+    return rounded(orch.processed_and_validated(images, found, crystals, st.PANEL, (0.0, 0.0, -1.0), references, settings), 9)

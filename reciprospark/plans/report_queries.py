@@ -68,9 +68,16 @@ def scale_summary(spark, d):
     return rounded(reports.scale_summary(st.scales(spark, d)))
 
 
-@query("R07_smoother_curve", "select round(q, 9) as q, round(case when q < 0.5 then 1.0 when q < 1.0 then 1.0 + (q - 0.5) * 0.4 when q < 1.5 then 1.2 - (q - 1.0) * 0.6 else 0.9 end, 9) as scale from (select 0.1::double + k * (1.9::double / 99) as q from range(100) t(k))")
+@query("R05_log_histogram", sql(st.APPLIED, f"select least(floor(ln(i / 100.0) / ln(1000.0) * 30), 29)::int as bin, count(*) as n from (select I_merged_relative as i from {mq._merged_sql('applied')}) where i between 100.0 and 100000.0 group by 1"))
+def log_histogram(spark, d):
+    """Merged intensities that are positive, in bins of equal ratio."""
+    return reports.log_histogram(_map(spark, d)[0], "I_merged_relative", 100.0, 100_000.0, 30)
+
+
+@query("R07_smoother_curve", sql("obs", f"select round(q0, 9) as q, round(case when q0 < 0.5 then 1.0 when q0 < 1.0 then 1.0 + (q0 - 0.5) * 0.4 when q0 < 1.5 then 1.2 - (q0 - 1.0) * 0.6 else 0.9 end, 9) as scale from {mq._PLACES}"))
 def smoother_curve(spark, d):
-    return rounded(reports.smoother_curve(spark, [(0.5, 1.0), (1.0, 1.2), (1.5, 0.9)]), 9)
+    """A curve of control points over the range of the observations."""
+    return rounded(reports.smoother_curve(_obs(spark, d), [(0.5, 1.0), (1.0, 1.2), (1.5, 0.9)]), 9)
 
 
 @query("R08_map_summary", sql(st.APPLIED, f"select count(*) as n_voxels, round(100.0 * count(*) filter (i > 0) / count(*), 3) as percent_positive, round(avg(i / s), 3) as snr_mean, round(stddev_pop(i / s), 3) as snr_std, sum(n)::bigint as n_observations from (select I_merged_relative as i, Sigma_merged_relative as s, num_observations as n from {mq._merged_sql('applied')})"))

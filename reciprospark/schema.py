@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 PIXELS = "image_id int, panel_id int, slow int, fast int, raw double"
 MASK = "panel_id int, slow int, fast int, good boolean"
@@ -33,3 +34,8 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "table")
     if lack := missing_columns(df, required):
         raise ValueError(f"{what} lacks columns: {', '.join(lack)}")
     return df
+
+
+def lacking(have: Column, required: Iterable[str]) -> Column:
+    """Of an array of the columns that a file has: those required that it lacks, sorted; for a manifest of any number of files."""
+    return F.array_sort(F.array_except(F.array(*map(F.lit, required)), F.coalesce(have, F.array().cast("array<string>"))))

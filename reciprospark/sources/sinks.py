@@ -34,8 +34,14 @@ def append_binned(binned: DataFrame, path: str) -> None:
     binned.write.mode("append").parquet(path)
 
 
-def append_outcomes(spark: SparkSession, outcomes: list[tuple], path: str) -> None:
-    spark.createDataFrame(outcomes, OUTCOMES).coalesce(1).write.mode("append").parquet(path)
+def append_outcomes(spark: SparkSession, outcomes: DataFrame | list[tuple], path: str) -> None:
+    """Add outcomes to a run log: a table of any of the columns of schema.OUTCOMES, or a few rows of all of them."""
+    if isinstance(outcomes, DataFrame):
+        kinds = [tuple(x.split(" ", 1)) for x in OUTCOMES.split(", ", 4)]
+        rows = outcomes.select(*[(F.col(n) if n in outcomes.columns else F.lit(None)).cast(kind).alias(n) for n, kind in kinds])
+    else:
+        rows = spark.createDataFrame(outcomes, OUTCOMES).coalesce(1)
+    rows.write.mode("append").parquet(path)
 
 
 def save_mask(mask: DataFrame, path: str) -> None:
@@ -68,7 +74,8 @@ def save_report(numbers: DataFrame, path: str, title: str = "report") -> None:
 
 
 def save_experiments(beam: DataFrame, panel: DataFrame, crystal: DataFrame, path: str) -> None:
-    """One experiment file in JSON, as tables.experiments reads it; lists are in order of image_id, panel_id and still_id."""
+    """One experiment file in JSON, for exchange, as tables.experiments reads it; lists are in order of image_id, panel_id and still_id. It is one row of one
+    task: for the few thousand models of an experiment. See save_models for any number."""
 
     def listed(df: DataFrame, key: str) -> DataFrame:
         rows = F.sort_array(F.collect_list(F.struct(F.col(key).alias("_k"), F.struct(*[c for c in df.columns if c != key]).alias("_v"))))
@@ -79,5 +86,19 @@ def save_experiments(beam: DataFrame, panel: DataFrame, crystal: DataFrame, path
     out.coalesce(1).write.mode("overwrite").json(path)
 
 
+MODELS = ("beam", "panel", "crystal", "reflections")
+
+
+def save_models(path: str, **models: DataFrame) -> None:
+    """Models of any number of images: of beam, panel, crystal and reflections those given, each a table under path with a row for each item;
+    reflections are sorted by image where they have one. tables.models reads them."""
+    if unknown := sorted(set(models) - set(MODELS)):
+        raise ValueError(f"no models: {', '.join(unknown)}")
+    for name, rows in models.items():
+        if "image_id" in rows.columns:
+            rows = rows.repartitionByRange("image_id").sortWithinPartitions("image_id")
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
 def save_manifest(outputs: DataFrame, path: str) -> None:
     outputs.write.mode("overwrite").json(path)

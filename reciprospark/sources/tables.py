@@ -131,6 +131,11 @@ def experiments(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"beam": beam, "panel": panel, "crystal": crystal}
 
 
+def models(spark: SparkSession, path: str, *names: str) -> dict[str, DataFrame]:
+    """The named tables that sinks.save_models has written."""
+    return {n: spark.read.parquet(f"{path}/{n}") for n in names}
+
+
 def reference_cells(spark: SparkSession, path: str) -> DataFrame:
     """Cells of CRYST1 records of text files."""
     return spark.read.text(path).select(reference_cell(F.col("value")).alias("c")).where("c is not null").select("c.*")
