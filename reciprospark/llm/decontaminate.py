@@ -4,9 +4,10 @@ Words are lower-cased runs of ASCII digits, ASCII letters and characters beyond
 words of a test item; an item with fewer words, but some, is one window. A scan looks each window of a text up by a
 64-bit hash, verifies it word by word, and marks the words that any occurrence covers.
 
-The test windows are cut into blocks of at most BLOCK_WORDS words (and one item), a bound on what is broadcast: each block is
-one pass over the documents, which is written to the shared folder before the next begins, and the passes' spans are merged by
-row; so any number of items is handled, and a worker holds one block at a time.
+The test windows are cut into blocks of at most BLOCK_WORDS words (and one item), a bound on what is broadcast. One block is one
+narrow pass over the documents. Of several, each is a pass that writes what it has hit only (a digest of the text, its spans and items: what is
+hit depends on the text alone); a last pass joins that to the texts that a bitmap of fixed size marks, and merges the spans. So any
+number of items is handled, a worker holds one block at a time, and no text is written.
 
 Cases: null and empty texts have no words and are never hit; an item without words has no window; repeated items count
 once by their id; an item of null id hits words but is not listed; repeated documents are each reported. ``hits`` replaces
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import discard, fresh, record, slices, stored, table
+from reciprospark.llm.common import discard, fresh, marked, marks, record, slices, stored, table
 
 WINDOW = 10
 #: Words of test items in one broadcast: about 100 MB in a Python worker.
@@ -118,50 +119,104 @@ ADDED = ("n_words", "n_hit", "items", "spans")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with n_words, n_hit, items (sorted ids) and spans (of words, stop excluded). One narrow pass for each block of test items."""
+    """docs with n_words, n_hit, items (sorted ids) and spans (of words, stop excluded). One narrow pass for each block of test items, and a last one where there are several."""
     docs = docs.select(*[c for c in docs.columns if c.lower() not in ADDED])
     return _passes(docs, benchmark, dict(zip(ADDED, ADDED, strict=True)), size, block_words, False)
 
 
+SPAN = pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))
+
+
 def _passes(docs: DataFrame, benchmark: DataFrame, names: dict[str, str], size: int, block_words: int, cut: bool) -> DataFrame:
-    """docs after a scan for each block; the columns ADDED go by names. cut: the last scan cuts the spans out of the texts."""
-    found, before, of = docs, None, blocks(benchmark, size, block_words)
+    """docs with the columns ADDED, which go by names, of all blocks. cut: the spans are cut out of the texts."""
+    of = blocks(benchmark, size, block_words)
     windows = next(of, Windows([], size))
-    while True:
-        after = next(of, None)
-        done = _pass(docs, found, names, windows, cut and after is None)
-        if after is None:
-            return done
-        done = stored(done, "hits")
-        if before is not None:
-            discard(before)
-        found, before, windows = done, done, after
-
-
-def _pass(docs: DataFrame, found: DataFrame, names: dict[str, str], windows: Windows, cut: bool) -> DataFrame:
-    """One scan of docs, or of found: docs after earlier scans, whose spans and items are merged with this one's."""
-    held, kept, more = docs.sparkSession.sparkContext.broadcast(windows), docs.columns, found is not docs
-    span = pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))
-    extra = [(names["n_words"], pa.int64()), (names["n_hit"], pa.int64()), (names["items"], pa.list_(pa.string())), (names["spans"], span)]
+    after = next(of, None)
+    if after is None:
+        return _scanned(docs, windows, names, cut)
+    parts = []
+    while windows is not None:
+        parts.append(stored(_hit_by(docs, windows), "hits"))
+        windows, after = after, next(of, None)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.union(part)
+    found = stored(found.groupBy("digest").agg(F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans")), "found")  # a row for each block at most
+    discard(*parts)
+    digest, flag = (fresh(c, (*docs.columns, *names.values(), "word", "bits")) for c in ("digest", "flag"))
+    rows = marked(docs.withColumn(digest, text_digest()), F.xxhash64(digest), stored(marks(found.select(F.xxhash64("digest").alias("key"))), "marks"), flag)
+    own = found.select(F.col("digest").alias(digest), F.col("items").alias(names["items"]), F.col("spans").alias(names["spans"]))
+    hit = rows.where(F.col(flag)).join(own, digest, "left")
+    none = {names["items"]: F.lit(None).cast("array<string>"), names["spans"]: F.lit(None).cast(SPANS)}
+    rows = hit.unionByName(rows.where(~F.col(flag)).withColumns(none)).drop(digest, flag)
+    return _merged(rows, docs, names, cut)
+
+
+def text_digest() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
+def _hit_by(docs: DataFrame, windows: Windows) -> DataFrame:
+    """digest, items and spans of the distinct texts of a task that windows hit."""
+    held = docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            n, hit, items, spans = held.value.scan(texts)
-            if more:
-                for k, (was, mine) in enumerate(zip(batch.column(names["spans"]).to_pylist(), batch.column(names["items"]).to_pylist(), strict=True)):
-                    items[k] |= set(mine)
-                    spans[k] = merged(spans[k] + [(s["first"], s["stop"]) for s in was])
-                    hit[k] = sum(b - a for a, b in spans[k])
-            own = {f.name: batch.column(f.name) for f in batch.schema if f.name in kept}
-            if cut and hit.any():
-                kind = own["text"].type
-                own["text"] = pa.array([without(t, x) if x else t for t, x in zip(own["text"].to_pylist(), spans, strict=True)], type=kind)
-            schema = pa.schema([*[f for f in batch.schema if f.name in kept], *[pa.field(*x) for x in extra]])
-            yield record(schema, [*own.values(), n, hit, [sorted(x) for x in items], [[{"first": a, "stop": b} for a, b in x] for x in spans]])
+        schema = pa.schema([("digest", pa.binary()), ("items", pa.list_(pa.string())), ("spans", SPAN)])
+        for _, texts in slices(batches):
+            _, hit, items, spans = held.value.scan(texts)
+            at = np.flatnonzero(hit).tolist()
+            yield record(schema, [[hashlib.md5(texts[k]).digest() for k in at], [sorted(items[k]) for k in at], [_rows(spans[k]) for k in at]])
+
+    return docs.select("text").mapInArrow(run, f"digest binary, items array<string>, spans {SPANS}").dropDuplicates(["digest"])
+
+
+def _rows(spans: list[tuple[int, int]]) -> list[dict]:
+    return [{"first": a, "stop": b} for a, b in spans]
 
+
+def _finished(batch: pa.RecordBatch, kept: list[str], more: list, n: np.ndarray, items: list, spans: list, cut: bool) -> pa.RecordBatch:
+    own = {f.name: batch.column(f.name) for f in batch.schema if f.name in kept}
+    if cut and any(spans):
+        kind = own["text"].type
+        own["text"] = pa.array([without(t, x) if x else t for t, x in zip(own["text"].to_pylist(), spans, strict=True)], type=kind)
+    schema = pa.schema([*[f for f in batch.schema if f.name in kept], *[pa.field(*x) for x in more]])
+    return record(schema, [*own.values(), n, [sum(b - a for a, b in x) for x in spans], [sorted(x) for x in items], [_rows(x) for x in spans]])
+
+
+def _mapped(rows: DataFrame, docs: DataFrame, names: dict[str, str], run) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     added = ", ".join(f"`{names[c]}` {t}" for c, t in zip(ADDED, ("long", "long", "array<string>", SPANS), strict=True))
-    return found.mapInArrow(run, f"{fields}, {added}")
+    return rows.mapInArrow(run, f"{fields}, {added}")
+
+
+def _more(names: dict[str, str]) -> list:
+    return [(names[c], t) for c, t in zip(ADDED, (pa.int64(), pa.int64(), pa.list_(pa.string()), SPAN), strict=True)]
+
+
+def _scanned(docs: DataFrame, windows: Windows, names: dict[str, str], cut: bool) -> DataFrame:
+    """One scan, of the only block."""
+    held, kept, more = docs.sparkSession.sparkContext.broadcast(windows), docs.columns, _more(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            n, _, items, spans = held.value.scan(texts)
+            yield _finished(batch, kept, more, n, items, spans, cut)
+
+    return _mapped(docs, docs, names, run)
+
+
+def _merged(rows: DataFrame, docs: DataFrame, names: dict[str, str], cut: bool) -> DataFrame:
+    """What earlier scans have found (items and spans of all blocks, or null), as of one scan."""
+    kept, more = docs.columns, _more(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            n = np.array([len(words_of(t)) for t in texts], dtype=np.int64)
+            items = [{*(x or ())} for x in batch.column(names["items"]).to_pylist()]
+            spans = [merged([(s["first"], s["stop"]) for s in x or ()]) for x in batch.column(names["spans"]).to_pylist()]
+            yield _finished(batch, kept, more, n, items, spans, cut)
+
+    return _mapped(rows, docs, names, run)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
