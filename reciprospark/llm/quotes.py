@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import stored, table
+from reciprospark.llm.common import fresh, stored, table
 
 MARKS = r"^[ \t]*(>[ \t]*)+"
 
@@ -72,15 +72,19 @@ def unquoted(text: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~x.rlike(MARKS)), "\n")
 
 
+ADDED = ("parent", "thread", "depth", "n_quoted", "max_level")
+
+
 def linked(messages: DataFrame) -> DataFrame:
     """messages with parent, thread, depth (0: begins a thread), n_quoted (lines), max_level, and text without quotes.
 
     Columns of messages with such names are replaced; others stay.
     """
-    own = messages.drop("parent", "thread", "depth", "n_quoted", "max_level")
-    found = threads(parents(own.select("conv_id", "turn", "text"))).withColumnsRenamed({"conv_id": "__conv", "turn": "__turn"})
+    own = messages.select(*[c for c in messages.columns if c.lower() not in ADDED])
+    conv, turn = (fresh(c, (*own.columns, *ADDED)) for c in ("conv_id", "turn"))
+    found = threads(parents(own.select("conv_id", "turn", "text"))).withColumnsRenamed({"conv_id": conv, "turn": turn})
     levels = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), level)
-    out = own.join(found, own.conv_id.eqNullSafe(found["__conv"]) & (own.turn == found["__turn"]), "left").drop("__conv", "__turn")
+    out = own.join(found, own.conv_id.eqNullSafe(found[conv]) & (own.turn == found[turn]), "left").drop(conv, turn)
     return out.withColumns({
         "thread": F.coalesce("thread", "turn"), "depth": F.coalesce("depth", F.lit(0).cast("long")),
         "n_quoted": F.size(F.filter(levels, lambda x: x > 0)).cast("long"), "max_level": F.array_max(levels).cast("long"), "text": unquoted(F.col("text")),

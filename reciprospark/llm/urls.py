@@ -8,12 +8,13 @@ middle between the low QUANTILE of the scores of allowed URLs and the high one o
 digits there, so that the quantiles are of counts of a bounded number of values. A URL that no rule
 decides is allowed if its score reaches the bound.
 
-Scale: counting is a partial aggregation over n-grams; scores come from a join of n-grams with their ratio, salted by SALTS
-since each URL may hold the same n-gram; each distinct URL is scored once and joined back to its pages.
+Scale: counting is a partial aggregation over n-grams. The ratios of up to BROADCAST n-grams are broadcast, so the n-grams of a
+URL meet their ratios where they are made, and one row for each URL is all that is shuffled; of more n-grams the join is a plain one, whose frequent
+keys Spark splits at run time. Both give the same scores. Each distinct URL is scored once and joined back to its pages.
 
 Cases: the path of "http://net" is empty and does not start with that of the rule "net/", which therefore does not fit; a
 URL of any length is scored whole, a row for each character; a null URL and one without "://" have an empty host and path, which are scored like others; without an allowed
-and a blocked URL to learn from, what no rule decides is allowed; repeated rows are each judged.
+and a blocked URL to learn from, what no rule decides is allowed; repeated rows are each judged; other columns of pages are passed through, whatever their names, but for those of the names that are added.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import stored, table
+from reciprospark.llm.common import fresh, stored, table
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-ORDER, ALPHABET, QUANTILE, SALTS = 4, 256, 0.02, 16
+ORDER, ALPHABET, QUANTILE = 4, 256, 0.02
+#: N-grams whose ratios are broadcast at most: some 20 MB.
+BROADCAST = 200_000
 #: URLs whose md5 begins with a lower hex digit calibrate.
 HELD = "3"
 _BEGIN, _END = "\x02", "\x03"
@@ -74,23 +77,28 @@ def ratios(grams: DataFrame) -> DataFrame:
     return before.select(F.col("g").alias("gram"), (F.log("p_good") - F.log("p_bad")).alias("ratio"))
 
 
-def scores(urls: DataFrame) -> DataFrame:
+def scores(urls: DataFrame, broadcast: int = BROADCAST) -> DataFrame:
     """urls (key, verdict: of its rule or null; distinct keys) with score."""
     line = F.concat(F.lit(_BEGIN * (ORDER - 1)), F.col("key"), F.lit(_END))
     places = urls.select("key", "verdict", line.alias("line")).select("key", "verdict", "line", F.explode(F.sequence(F.lit(1), F.length("line") - (ORDER - 1))).alias("at"))
     places = places.select("key", F.expr(f"substring(line, at, {ORDER})").alias("gram"), F.when(learned_from(), F.col("verdict")).alias("learn"))
     grams = places.groupBy("gram").agg(*[F.sum((F.coalesce("learn", F.lit("")) == v).cast("long")).alias(c) for c, v in (("good", "allow"), ("bad", "block"))])
-    table_ = ratios(stored(grams, "grams")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = places.select("key", "gram", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int").alias("salt"))
-    return places.join(table_, ["gram", "salt"]).groupBy("key").agg(F.round(F.avg("ratio"), 9).alias("score"))
+    of = stored(ratios(stored(grams, "grams")), "ratios")
+    of = F.broadcast(of) if of.count() <= broadcast else of
+    return places.select("key", "gram").join(of, "gram").groupBy("key").agg(F.round(F.avg("ratio"), 9).alias("score"))
 
 
 def learned_from() -> Column:
     return F.substring(F.md5(F.col("key").cast("binary")), 1, 1) >= HELD
 
 
+ADDED = ("host", "path", "rule", "score", "verdict")
+
+
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     """pages with host, path, rule, score and verdict; columns with such names are replaced."""
+    pages = pages.select(*[c for c in pages.columns if c.lower() not in ADDED])
+    own = pages.columns
     host, path = host_and_path(F.col("url"))
     pages = pages.withColumn("host", host).withColumn("path", path)
     pages = pages.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
@@ -106,10 +114,10 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     at = held.agg(*[F.percentile(F.when(F.col("verdict") == v, F.col("score")), F.lit(q), F.col("n")).alias(v) for v, q in (("allow", QUANTILE), ("block", 1 - QUANTILE))]).first()
     ends = [x for x in (at.allow, at.block) if x is not None] or [0.0]
     bound = sum(ends) / len(ends) if seen.allow and seen.block else float("-inf")
-    found = found.withColumnsRenamed({"key": "__key", "score": "__score"})
-    pages = pages.drop("score", "verdict").join(found, key == F.col("__key"), "left")
-    verdict = F.coalesce(by_rule, F.when(F.col("__score") < F.lit(bound), F.lit("block")).otherwise(F.lit("allow")))
-    return pages.withColumn("verdict", verdict).withColumn("score", F.col("__score")).drop("__key", "__score")
+    at_key = fresh("key", pages.columns)
+    pages = pages.join(found.withColumnRenamed("key", at_key), key == F.col(at_key), "left")
+    verdict = F.coalesce(by_rule, F.when(F.col("score") < F.lit(bound), F.lit("block")).otherwise(F.lit("allow")))
+    return pages.select(*own, "host", "path", "rule", "score", verdict.alias("verdict"))
 
 
 def op5_url_filter(spark, sf_dir: str) -> DataFrame:

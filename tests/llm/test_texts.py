@@ -343,3 +343,24 @@ def test_many_customers_follow_their_conditional():
         got = np.bincount(seating._many(np.full(8000, float(n)), np.full(8000, q), d, rng), minlength=n + 1)[1:]
         often = want >= 5
         assert (np.square(got - want)[often] / want[often]).sum() < often.sum() + 5 * math.sqrt(2 * often.sum()) + 3 and got[~often].sum() < 200
+
+
+def test_clashing_names_of_url_filter_and_quotations(spark):
+    from reciprospark.llm import quotes, urls
+
+    pages = [(k, f"http://{h}/{p}/page{k}", k, k, k) for k, (h, p) in enumerate([("a.net", "x"), ("example.net", "en"), ("example.com", "de"), ("b.org", "fr"), ("other.com", "q")] * 12)] + [(99, None, 1, 1, 1)]
+    got = urls.judged(spark.createDataFrame(pages, "page_id long, url string, __key int, KEY int, Score int"))
+    assert got.columns == ["page_id", "url", "__key", "KEY", "host", "path", "rule", "score", "verdict"]
+    plain = {r.page_id: (r.host, r.rule, r.score, r.verdict) for r in urls.judged(spark.createDataFrame([p[:2] for p in pages], "page_id long, url string")).collect()}
+    assert {r.page_id: (r.host, r.rule, r.score, r.verdict) for r in got.collect()} == plain and {r["__key"] for r in got.collect()} == {*range(60)}
+    rows = [(1, 0, "the first line\nand more", 7, 8), (1, 1, "> the first line\nyes", 7, 8)]
+    out = quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, text string, __conv int, __turn int"))
+    assert {(r.turn, r.parent, r["__conv"], r["__turn"]) for r in out.collect()} == {(0, None, 7, 8), (1, 0, 7, 8)}
+
+
+def test_ratios_that_are_not_broadcast_give_the_same_scores(spark):
+    from reciprospark.llm import urls
+
+    keys = spark.createDataFrame([(f"h{k % 7}.net/p{k}/q", "allow" if k % 3 else "block" if k % 2 else None) for k in range(60)], "key string, verdict string")
+    one, other = ({r.key: r.score for r in urls.scores(keys, n).collect()} for n in (0, urls.BROADCAST))
+    assert one == pytest.approx(other) and len(one) == 60
