@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -64,6 +64,50 @@ class Smoother:
         return max(FLOOR, sum(a * b for a, b in zip(w, self.values, strict=True)) / sum(w))
 
 
+#: How many control points count at a place, and the width of their weights over their spacing.
+NEAREST, WIDTH_RATIO = 3, 0.65
+
+
+@dataclass(frozen=True)
+class WindowedSmoother(Smoother):
+    """A Smoother of which only the nearest control points count at a place, with a width that is a fixed share of their spacing. From four values
+    on, the first and the last lie half a spacing beyond the ends of the range; two or three lie at its ends (and its middle)."""
+
+    nearest: int = NEAREST
+    ratio: float = WIDTH_RATIO
+
+    @property
+    def spacing(self) -> float:
+        n = len(self.values)
+        return (self.q_max - self.q_min) / max(1, n - 2 if n >= 4 else n - 1)
+
+    @property
+    def points(self) -> list[float]:
+        first = self.q_min - self.spacing / 2 if len(self.values) >= 4 else self.q_min
+        return [first + self.spacing * k for k in range(len(self.values))]
+
+    def _first(self, place):
+        """The first of the points that count, as a number from 0, for a place in spacings from the first point."""
+        return place - (self.nearest - 1) / 2
+
+    def weights(self, q: Column) -> list[Column]:
+        n, m = len(self.values), min(self.nearest, len(self.values))
+        x = F.greatest(F.lit(self.q_min), F.least(F.lit(self.q_max), q))
+        low = F.greatest(F.least(F.floor(self._first((x - self.points[0]) / self.spacing) + 0.5), F.lit(n - m)), F.lit(0))
+        raw = [F.when((low <= k) & (low + m > k), F.exp(-F.pow((x - p) / (self.ratio * self.spacing), 2))).otherwise(0.0) for k, p in enumerate(self.points)]
+        total = raw[0]
+        for r in raw[1:]:
+            total = total + r
+        return [r / total for r in raw]
+
+    def at(self, q: float) -> float:
+        n, m = len(self.values), min(self.nearest, len(self.values))
+        x = min(max(q, self.q_min), self.q_max)
+        low = max(min(math.floor(self._first((x - self.points[0]) / self.spacing) + 0.5), n - m), 0)
+        w = [math.exp(-(((x - p) / (self.ratio * self.spacing)) ** 2)) if low <= k < low + m else 0.0 for k, p in enumerate(self.points)]
+        return max(FLOOR, sum(a * b for a, b in zip(w, self.values, strict=True)) / sum(w))
+
+
 @dataclass(frozen=True)
 class ScaleModel:
     """b of each still, times the smoother's a(q). A still the model does not know has scale 1."""
@@ -214,7 +258,7 @@ def stepped(sums: DataFrame, model: ScaleTable) -> tuple[ScaleTable, dict]:
         row = both.agg(*[F.coalesce(c, zero).alias(n) for n, c in cells.items()]).first()
         corner = np.array([[row[f"kk{min(i, o)}_{max(i, o)}"] - row[f"less{min(i, o)}_{max(i, o)}"] for o in range(p)] for i in range(p)]) + DAMPING * np.eye(p)
         by_point = np.linalg.solve(corner, [row[f"back{i}"] - row[f"kr{i}"] for i in range(p)]).tolist()
-        smoother = Smoother(tuple(v + d for v, d in zip(model.smoother.values, by_point, strict=True)), model.smoother.q_min, model.smoother.q_max)
+        smoother = replace(model.smoother, values=tuple(v + d for v, d in zip(model.smoother.values, by_point, strict=True)))
     shift = -F.col("ratio")
     for i, d in enumerate(by_point):
         shift = shift - F.col(f"ratio{i}") * d

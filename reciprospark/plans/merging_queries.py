@@ -198,6 +198,18 @@ def resolution_smoother(spark, d):
     return obs.groupBy("still_id").agg(r(F.avg("a"), "mean"), r(F.min("a"), "low"), r(F.max("a"), "high"))
 
 
+_WINDOWED = scaling.WindowedSmoother((1.0, 1.2, 0.9, 1.1, 1.0), 0.1, 1.5)
+_LOW = f"greatest(least(floor(({_X} - {_WINDOWED.points[0]!r}) / {_WINDOWED.spacing!r} - 1 + 0.5), 2), 0)"
+_NEAR = [f"case when lo <= {k} and lo + 3 > {k} then exp(-pow(({_X} - {p!r}) / {0.65 * _WINDOWED.spacing!r}, 2)) else 0 end" for k, p in enumerate(_WINDOWED.points)]
+
+
+@query("C03_windowed_smoother", sql("obs", f"select still_id, round(avg(a), 6) as mean, round(min(a), 6) as low, round(max(a), 6) as high from (select still_id, greatest(0.01, ({' + '.join(f'{v!r} * ({w})' for v, w in zip(_WINDOWED.values, _NEAR, strict=True))}) / ({' + '.join(f'({w})' for w in _NEAR)})) as a from (select *, {_LOW} as lo from obs)) group by 1"))
+def windowed_smoother(spark, d):
+    """A scale by |q| of which the three nearest control points count."""
+    obs = st.observations(spark, d).withColumn("a", _WINDOWED.column(vec.norm([F.col(c) for c in grids.Q])))
+    return obs.groupBy("still_id").agg(r(F.avg("a"), "mean"), r(F.min("a"), "low"), r(F.max("a"), "high"))
+
+
 @query("C04_q_magnitude", sql("obs", "select still_id, round(avg(sqrt(qx * qx + qy * qy + qz * qz)), 6) as q from obs group by 1"))
 def q_magnitude(spark, d):
     return st.observations(spark, d).groupBy("still_id").agg(r(F.avg(vec.norm([F.col(c) for c in grids.Q])), "q"))

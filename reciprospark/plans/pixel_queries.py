@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reciprospark.functions import air, corrections, vec
 from reciprospark.operators import grid as grids
-from reciprospark.operators import attenuation, masks, pixels, validation
+from reciprospark.operators import attenuation, masks, pixels, scans, validation
 from reciprospark.operators import orchestration as orch
 from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
@@ -537,6 +537,39 @@ def angle_to_frame(spark, d):
 
 
 
+_SCANS = "scans as (select s_suppkey as scan_id, (s_suppkey % 50) * 7.0::double as start, case when s_suppkey % 4 = 0 then -0.5 else 0.5 end::double as width, (10 + s_suppkey % 20)::int as n_frames from supplier where s_suppkey % 3 <> 1)"
+_ANGLES = "angles as (select event_id as image_id, case when event_id % 101 <> 0 then (event_id % 3700) * 0.1::double + 0.05 end as angle from events)"
+
+
+def _scans(spark, d):
+    k = F.col("s_suppkey")
+    return st.table(spark, d, "supplier").where("s_suppkey % 3 <> 1").select(k.alias("scan_id"), ((k % 50) * 7.0).alias("start"), F.when(k % 4 == 0, -0.5).otherwise(0.5).alias("width"), (10 + k % 20).cast("int").alias("n_frames"))
+
+
+def _framed(spark, d):
+    k = F.col("event_id")
+    images = st.table(spark, d, "events").select(k.alias("image_id"), F.when(k % 101 != 0, (k % 3700) * 0.1 + 0.05).alias("angle"))
+    return scans.framed(images, _scans(spark, d))
+
+
+st.SQL["scans"], st.SQL["angles"] = _SCANS, _ANGLES
+st.SQL["framed"] = "framed as (select a.image_id, a.angle, min(scan_id) as scan_id, count(scan_id) as n_scans, arg_min(f, scan_id) as frame from angles a left join (select i.image_id, scan_id, floor((angle - start) / width + 1e-9)::int as f from angles i, scans where (angle - start) / width + 1e-9 >= 0 and floor((angle - start) / width + 1e-9) < n_frames) using (image_id) group by all)"
+
+
+@query("J10_frames_among_scans", sql("scans angles framed", "select image_id, scan_id, frame, n_scans, case when angle is null then 'no angle in the header' when n_scans = 0 then 'no scan has this angle' end as message from framed"))
+def frames_among_scans(spark, d):
+    """The scan and frame of each image by its angle; scans overlap, run in both directions, and leave gaps."""
+    return _framed(spark, d).select("image_id", "scan_id", "frame", "n_scans", "message")
+
+
+@query("S01_models_of_frames", sql("scans angles framed", "select image_id, scan_id, frame, case when scan_id is not null and frame >= scan_id % 4 then scan_id * 1000 + frame - (frame - scan_id % 4) % 6 end as model from framed"))
+def models_of_frames(spark, d):
+    """The crystal of each image's frame: models are known at every sixth frame of a scan, from one of its first on."""
+    known = _scans(spark, d).select("scan_id", F.explode(F.sequence((F.col("scan_id") % 4).cast("int"), F.lit(40), F.lit(6))).alias("frame"))
+    known = known.withColumn("model", F.col("scan_id") * 1000 + F.col("frame"))
+    return scans.with_scan_models(_framed(spark, d), known).select("image_id", "scan_id", "frame", "model")
+
+
 @query("S02_angle_increment", "select event_id, case when event_id % 5 = 0 then null else (case when event_id % 3 = 0 then -1.5 when event_id % 3 = 1 then 0.0 else 1.5 end)::double end as increment, null::double as start from events")
 def angle_increment(spark, d):
     value = F.when(F.col("event_id") % 3 == 0, "-1.5000").when(F.col("event_id") % 3 == 1, "0.0000").otherwise("+1.5")

@@ -315,3 +315,20 @@ def test_refinement_of_scales_in_a_table(spark):
     as_numbers, same = scaling.refined(obs, scaling.ScaleModel.start(got), rounds=12)
     assert {k: as_numbers.stills[k] for k in got} == pytest.approx({r.still_id: r.b for r in model.scales.collect()}) and same["r_factor"] == pytest.approx(info["r_factor"], abs=1e-9)
     assert scaling.refine(obs.limit(0), scaling.ScaleTable.start(obs))[1]["stopped_by"] == "empty"
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_the_nearest_control_points_count(spark, n):
+    values = (1.0, 1.4, 0.7, 1.1, 0.9)[:n]
+    smoother = scaling.WindowedSmoother(values, 0.2, 1.4)
+    spacing = 1.2 / max(1, n - 2 if n >= 4 else n - 1)
+    points = np.array([0.2 + spacing * (k - (0.5 if n >= 4 else 0.0)) for k in range(n)])
+    assert smoother.points == pytest.approx(points.tolist())
+    places = [-1.0, 0.2, 0.31, 0.61, 0.81, 0.95, 1.21, 1.4, 9.0]
+    rows = spark.createDataFrame([(q,) for q in places], "q double").select("q", smoother.column(F.col("q")).alias("a"), *[w.alias(f"w{k}") for k, w in enumerate(smoother.weights(F.col("q")))]).collect()
+    for r in rows:
+        x = min(max(r.q, 0.2), 1.4)
+        near = np.argsort(np.abs(points - x), kind="stable")[:3]
+        w = np.where(np.isin(np.arange(n), near), np.exp(-(((x - points) / (0.65 * spacing)) ** 2)), 0.0)
+        assert r.a == pytest.approx(w @ values / w.sum()) == pytest.approx(smoother.at(r.q))
+        assert [r[f"w{k}"] for k in range(n)] == pytest.approx((w / w.sum()).tolist())
