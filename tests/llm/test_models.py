@@ -314,11 +314,11 @@ def test_correlated_voters_share_their_evidence():
     y = rng.random(8000) < 0.3
     lone = (rng.random((8000, 5)) < np.where(y, 0.6, 0.05)[:, None]).astype(float)
     twins = np.where(rng.random((8000, 2)) < 0.97, lone[:, 4:], 1 - lone[:, 4:])
-    model, q = toxicity.label_model(np.concatenate([lone, twins], axis=1), (np.full(7, 0.05), np.full(7, 0.5)), 0.3)
+    model, q = toxicity.label_model(toxicity.Votes.of(np.concatenate([lone, twins], axis=1)), (np.full(7, 0.05), np.full(7, 0.5)), 0.3)
     assert ((q > 0.5) == y).mean() > 0.93 and sorted(tuple(sorted((k, p))) for k, p in enumerate(model.parent.tolist()) if k >= 4 <= p) in ([(4, 5), (4, 6)], [(4, 5), (5, 6)], [(4, 6), (5, 6)])
     votes = np.zeros((3, 7))
     votes[1, 0] = votes[2, 4:] = 1  # none, one by itself, three that go together
-    none, one, three = model.odds(votes)
+    none, one, three = model.odds(toxicity.Votes.of(votes))
     assert 0 < three - none < 1.5 * (one - none)
 
 
@@ -329,21 +329,92 @@ def test_label_model_finds_rates_without_labels():
     rates = np.where(y[:, None], [0.7, 0.6, 0.5, 0.4, 0.5], [0.02, 0.05, 0.03, 0.1, 0.02])
     v = (rng.random((6000, 5)) < rates).astype(float)
     v = np.concatenate([v, np.where(rng.random(6000) < 0.9, v[:, 0], 1 - v[:, 0])[:, None]], axis=1)
-    model, q = toxicity.label_model(v, (np.full(6, 0.1), np.full(6, 0.4)), 0.2)
+    model, q = toxicity.label_model(toxicity.Votes.of(v), (np.full(6, 0.1), np.full(6, 0.4)), 0.2)
     once, at, times = np.unique(v, axis=0, return_inverse=True, return_counts=True)
-    again, same = toxicity.label_model(once, (np.full(6, 0.1), np.full(6, 0.4)), 0.2, times.astype(float))
+    again, same = toxicity.label_model(toxicity.Votes.of(once), (np.full(6, 0.1), np.full(6, 0.4)), 0.2, times.astype(float))
     assert same[at.ravel()] == pytest.approx(q, abs=1e-6) and (again.parent == model.parent).all()
-    assert toxicity.linear(once, same, times.astype(float)) == pytest.approx(toxicity.linear(v, q), abs=1e-4)
+    assert toxicity.linear(toxicity.Inputs(toxicity.Votes.of(once), 5), same, times.astype(float)) == pytest.approx(toxicity.linear(toxicity.Inputs(toxicity.Votes.of(v), 5), q), abs=1e-4)
     assert q @ v[:, :5] / q.sum() == pytest.approx(np.array([0.7, 0.6, 0.5, 0.4, 0.5]), abs=0.06)
     assert ((q > 0.5) == y).mean() > 0.94 and 0 in (model.parent[5], 5 * (model.parent[0] != 5))
 
 
 def test_forest_keeps_the_strongest_edges():
     info = np.array([[0, 0.5, 0.4, 0], [0.5, 0, 0.45, 0], [0.4, 0.45, 0, 0], [0, 0, 0, 0]])
-    parent = toxicity.forest(info, 1000)
+    parent = toxicity.forest(info.__getitem__, 4, 1000)
     assert sorted(tuple(sorted((k, p))) for k, p in enumerate(parent.tolist()) if p >= 0) == [(0, 1), (1, 2)]
 
 
+def test_terms_against_plain_python(spark):
+    rng = random.Random(9)
+    vocabulary = ["grumble", "grumbler", "grumbling", "snarl", "snarling", "vexing", "ok", "fine", "Übel", "übler"]
+    rows = [(" ".join([*prose(k, 12).split(), *rng.choices(vocabulary, k=rng.randrange(4) if k % 3 else 0)]) + "!?", int(k % 3 > 0)) for k in range(240)] + [(None, 0), ("", 1)]
+    clean, toxic = (sum(y == c for _, y in rows) for c in (0, 1))
+    counts = {}
+    for text, y in rows:
+        words = set("".join(c if ord(c) >= 128 or c.isalnum() else " " for c in text or "").lower().split())
+        for t in {t for w in words for t in (w, *[w[:n] + "*" for n in (4, 5, 6, 7) if len(w) > n])}:
+            counts.setdefault(t, [0, 0])[y] += 1
+    share = {t: (b + 0.1) / (toxic + 0.2) / ((a + 0.1) / (clean + 0.2)) for t, (a, b) in counts.items()}
+    wanted = sorted((t for t in counts if counts[t][1] >= 4 and share[t] >= 24), key=lambda t: (-math.log(share[t]) * counts[t][1] ** 0.5, t))
+    kept = []
+    for t in wanted:
+        stem = t.rstrip("*")
+        covered = any(k.endswith("*") and stem.startswith(k[:-1]) for k in kept)
+        same = t.endswith("*") and any(k.rstrip("*").startswith(stem) and counts[k][1] >= 0.8 * counts[t][1] for k in kept)
+        if not covered and not same:
+            kept.append(t)
+    got = toxicity.mined(spark.createDataFrame(rows, "text string, y int"))
+    assert got == kept and len(got) > 3
+
+
+def test_odds_against_plain_python():
+    rng = np.random.default_rng(11)
+    size = 12
+    v = (rng.random((80, size)) < 0.3).astype(float)
+    parent = np.array([-1, 0, 0, 1, -1, 4, 4, 4, 5, -1, 9, -1])
+    model = toxicity.LabelModel(-0.7, parent, rng.normal(0, 2, (2, size)), np.where(parent >= 0, rng.normal(0, 2, size), 0))
+    want = []
+    for row in v:
+        total = -0.7
+        for k in range(size):
+            up = parent[k] >= 0 and row[parent[k]]
+            p = [1 / (1 + math.exp(-(model.alone[c][k] + (model.together[k] if up else 0)))) for c in (0, 1)]
+            total += math.log(p[1] / p[0]) if row[k] else math.log((1 - p[1]) / (1 - p[0]))
+        want.append(total)
+    votes = toxicity.Votes.of(v)
+    assert model.odds(votes) == pytest.approx(want, abs=1e-9)
+    w = rng.random(80)
+    assert np.stack([votes.beside(k, w) for k in range(size)]) == pytest.approx((v * w[:, None]).T @ v)
+    assert votes.above(parent).tolist() == [bool(parent[k] >= 0 and v[i, parent[k]]) for i in range(80) for k in range(size) if v[i, k]]
+    x = toxicity.Inputs(votes, 10)
+    n = v[:, :10].sum(axis=1)
+    whole = np.concatenate([v, np.log1p(n)[:, None], np.minimum(n, 1)[:, None], np.ones((80, 1))], axis=1)
+    a, b = rng.random(size + 3), rng.random(80)
+    assert x.times(a) == pytest.approx(whole @ a) and x.back(b) == pytest.approx(b @ whole) and x.squares(b) == pytest.approx(b @ whole**2)
+
+
+def test_many_voters_need_no_matrix_of_pairs():
+    rng = np.random.default_rng(12)
+    y = rng.random(3000) < 0.3
+    rows = [np.unique(rng.integers(0, 2000, 12) + (2000 if t else 0)) for t in y]
+    votes = toxicity.Votes(rows, 4000)
+    rates = tuple((votes.by_voter(w.astype(float)) + 0.1) / (w.sum() + 0.2) for w in (~y, y))
+    model, q = toxicity.label_model(votes, rates, float(y.mean()), rounds=2)
+    assert ((q > 0.5) == y).mean() > 0.99
+    fitted = toxicity.Model(["t"] * (4000 - len(toxicity.PATTERNS)), toxicity.linear(toxicity.Inputs(votes, 4000 - len(toxicity.PATTERNS)), q))
+    assert ((fitted.scores(votes) > 0.5) == y).mean() > 0.99
+
+
+EMPTY = {"documents": ([], DOCS), "labels": ([], LABELS), "benchmark": ([], "item_id long, text string")}
+
+
+@pytest.mark.parametrize("name", ["op2_rule_ensemble", "op3_decontamination", "op4_outliers", "op6_simhash", "op7_token_counts", "op8_bpe", "op10_weak_supervision"])
+def test_empty_documents(spark, folder, name):
+    from reciprospark.llm import registry
+
+    assert registry.QUERIES[name](spark, folder(**EMPTY)).count() == 0
+
+
 def test_no_labels(spark, folder):
     d = folder(documents=([(1, "a b", "en", "s", 1)], DOCS), labels=([], LABELS))
     assert [r.score for r in toxicity.op10_weak_supervision(spark, d).collect()] == [pytest.approx(0.5)]

@@ -364,3 +364,32 @@ def test_ratios_that_are_not_broadcast_give_the_same_scores(spark):
     keys = spark.createDataFrame([(f"h{k % 7}.net/p{k}/q", "allow" if k % 3 else "block" if k % 2 else None) for k in range(60)], "key string, verdict string")
     one, other = ({r.key: r.score for r in urls.scores(keys, n).collect()} for n in (0, urls.BROADCAST))
     assert one == pytest.approx(other) and len(one) == 60
+
+
+def test_the_simhash_query_against_all_pairs(spark, folder, odd_docs):
+    def plain(text):
+        words = (text or "").encode().lower().split()
+        shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+        h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    rows = [r for r in odd_docs if len(r[1] or "") < 200_000] + [(100 + k, prose(k // 3, 90) + (f" extra{k}" if k % 3 == 1 else ""), "en", "s", 1) for k in range(60)] + [(50, prose(4, 90), "fr", None, 1), (51, "  ", "fr", None, 1)]
+    prints = [plain(r[1]) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                root[find(i)] = find(j)
+    ids = {}
+    for k, r in enumerate(rows):
+        if r[0] is not None:
+            ids[find(k)] = min(ids.get(find(k), r[0]), r[0])
+    want = sorted((str(r[0]), f"{prints[k]:016x}", str(ids.get(find(k)))) for k, r in enumerate(rows))
+    got = simhash.op6_simhash(spark, folder(documents=(rows, DOCS))).collect()
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want and len(set(ids.values())) < 40
