@@ -28,8 +28,11 @@ def at_ranks(rows: DataFrame, ranks: Iterable[tuple[int, int]], ranges: dict[int
         hit = rows.join(F.broadcast(table), "key").where(F.col("value").between(F.col("lo"), F.col("hi")))
         part = F.least(F.floor((F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS), F.lit(BUCKETS - 1)).alias("part")
         counts = hit.groupBy("key", "rank", part).agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+        of: dict[tuple[int, int], list] = {}
+        for c in counts:
+            of.setdefault((c["key"], c["rank"]), []).append(c)
         for (k, r), (_, _, _, below) in wide.items():
-            for c in sorted((c for c in counts if (c["key"], c["rank"]) == (k, r)), key=lambda c: c.part):
+            for c in sorted(of[k, r], key=lambda c: c.part):
                 if below + c.n >= r:
                     open_[k, r] = c.lo, c.hi, c.n, below
                     break

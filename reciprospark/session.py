@@ -11,3 +11,15 @@ def session(name: str = "reciprospark", **settings: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> str:
+    """Send this package to the executors, for sessions started from another folder or without an installed package: a zip file, whose path is given."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    path = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="ship-")) / package.name), "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(path)
+    return path

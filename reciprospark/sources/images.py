@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual
 
@@ -126,8 +126,8 @@ _TESTS: dict[type, Callable] = {
 
 
 class ImageReader(DataSourceReader):
-    def __init__(self, path: str) -> None:
-        self.path, self.filters = path, []
+    def __init__(self, path: str, headers: bool = False) -> None:
+        self.path, self.headers, self.filters = path, headers, []
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
         for f in filters:
@@ -173,10 +173,11 @@ class ImageReader(DataSourceReader):
                 values = {c: number(header, name) for c, name in _HEADER.items()}
                 if not self.passes(values):
                     continue
-                content = head + f.read()
+                content = b"" if self.headers else head + f.read()
             slow = fast = data = message = None
             try:
-                slow, fast, data = pixels_of(content)
+                if not self.headers:
+                    slow, fast, data = pixels_of(content)
             except ValueError as e:
                 message = str(e)
             row = [path, length, *values.values(), 0, slow, fast, data, message]
@@ -198,7 +199,7 @@ class Images(DataSource):
     def reader(self, schema) -> ImageReader:
         if not (path := self.options.get("path")):
             raise ValueError("give the path of the images")
-        return ImageReader(path)
+        return ImageReader(path, self.options.get("headers", "false").lower() == "true")
 
 
 def register(spark: SparkSession) -> None:
@@ -207,7 +208,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(Images)
 
 
-def images(spark: SparkSession, path: str):
-    """The images under a path (see SCHEMA)."""
+def images(spark: SparkSession, path: str, headers: bool = False) -> DataFrame:
+    """The images under a path (see SCHEMA). headers: of each file only its first HEADER_BYTES are read, and pixels are null."""
     register(spark)
-    return spark.read.format(NAME).load(path)
+    return spark.read.format(NAME).option("headers", str(headers).lower()).load(path)

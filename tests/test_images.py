@@ -73,6 +73,8 @@ def test_rejected_images_are_not_decoded(spark, tmp_path):
     assert [type(x) for x in kept] == [images.GreaterThan] and len(reader.filters) == 2
     read = [b for p in reader.partitions() for b in reader.read(p)]
     assert len(read) == 2 and all(b.column("message")[0].as_py() is None for b in read)
+    heads = images.images(spark, str(tmp_path), headers=True).collect()
+    assert sorted(r.start_angle for r in heads) == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0] and {(r.data, r.message) for r in heads} == {(None, None)}
     with pytest.raises(Exception, match="nothing-here"):
         images.images(spark, str(tmp_path / "nothing-here")).collect()
 

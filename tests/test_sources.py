@@ -150,6 +150,29 @@ def test_stand_ins(spark):
     assert g.total_voxels > 10
 
 
+def test_the_package_reaches_workers_of_a_session_from_another_folder(tmp_path):
+    import subprocess
+    import sys
+
+    script = f"""
+import sys
+sys.path.insert(0, {st.__file__.rsplit('/', 3)[0]!r})
+from reciprospark.session import session, ship
+from reciprospark.operators import validation
+spark = session(spark__master="local[1]")
+ship(spark)
+def size(rows):
+    import reciprospark.functions.vec as v
+    for r in rows:
+        r["v"] = len(v.__name__)
+        yield r
+print("GOT", spark.range(3).mapInPandas(size, "id long, v long").agg({{"v": "max"}}).first()[0])
+"""
+    (tmp_path / "script.py").write_text(script)
+    done = subprocess.run([sys.executable, "script.py"], cwd=tmp_path, capture_output=True, text=True, timeout=120, env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
+    assert "GOT 26" in done.stdout, done.stderr[-800:]
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
