@@ -49,11 +49,75 @@ def point_group(group: str) -> str:
     return "".join(p[0] for p in parts) if " " in group.strip() else parts[0]  # a screw axis turns as its rotation does
 
 
+_TOKEN = re.compile(r"-[1-6]|[1-6][1-5]?/[a-z]|[1-6][1-5]?|[a-z]")
+
+
+def elements(group: str) -> list[str]:
+    """The symmetry elements of a Hermann-Mauguin symbol without their translations: "P n m a" gives m, m, m and "I 41/a m d" gives 4/m, m, m."""
+    text = group.strip()
+    rest = re.sub(r"\s+", "", text[1:])
+    if not re.fullmatch(r"[PABCFIRH]", text[:1]) or not rest or "".join(found := _TOKEN.findall(rest)) != rest:
+        return []
+    if " " in text:
+        found = [x for part in text[1:].split() for x in _TOKEN.findall(part)]
+    return ["m" if x.isalpha() else x[:2] if x[0] == "-" else x[0] + ("/m" if "/" in x else "") for x in found]
+
+
+def negative(m):
+    return tuple(tuple(-x for x in row) for row in m)
+
+
+def generators(found: list[str]) -> list | None:
+    """What generates the point group of elements in the order of a symbol; None if they name none. The axes that an element's
+    place stands for go by the crystal system: c, a and a - b of the tetragonal, trigonal and hexagonal, c, a + b + c and a - b of the
+    cubic, a, b and c of the others; one element alone is along b if it is of the monoclinic system."""
+    turns = {"3": _3Z, "4": _4Z, "6": _6Z}
+    first = found[0].strip("-").split("/")[0] if found else ""
+    cubic = len(found) > 1 and found[1] in ("3", "-3") and first in ("2", "4", "m")
+    if cubic:
+        axes = [turns.get(first, _2Z), _3XYZ, _2XY]
+    elif first in ("3", "6"):
+        axes = [turns[first], _2XY, _2YX]
+    elif first == "4":
+        axes = [_4Z, _2X, _2XY]
+    else:
+        axes = [_2Y] if len(found) == 1 else [_2X, _2Y, _2Z]
+        if any(x.strip("-").split("/")[0] not in ("1", "2", "m") for x in found):
+            return None
+    if not found or len(found) > len(axes) or len(found) == 2 and axes[0] is _2X:
+        return None
+    out = []
+    for x, axis in zip(found, axes, strict=False):
+        if x == "-1" or x.endswith("/m"):
+            out.append(negative(IDENTITY))
+        if x == "m":
+            axis = {id(_4Z): _2Z}.get(id(axis), axis)
+            out.append(negative(axis))
+        elif x == "-3":
+            out += [axis, negative(IDENTITY)]
+        elif x[0] == "-" and x != "-1":
+            out.append(negative(axis))
+        elif x not in ("1", "-1"):
+            out.append(axis)
+    return out
+
+
 def operations(group: str):
-    """The rotations of a space group by its symbol, as "P 43 21 2"; ValueError for symbols without them."""
-    if (symbol := point_group(group)) not in GENERATORS:
+    """The rotations, mirrors and inversions of a space group by its Hermann-Mauguin symbol, as "P 43 21 2", "Pnma" or "F d -3 m"; ValueError for what is no such symbol.
+
+    Symbols of digits alone that are written without blanks are point groups: "P222"."""
+    if (symbol := point_group(group)) in GENERATORS:
+        return closed(GENERATORS[symbol])
+    if (found := generators(elements(group))) is None:
         raise ValueError(f"no operations for space group {group!r}; pass them as matrices")
-    return closed(GENERATORS[symbol])
+    return closed(found)
+
+
+def for_indices(ops):
+    """The operations as they act on Miller indices: transposed. An operation R takes a point x to R x, and a plane of indices h to R^T h. For
+    orthogonal axes the mates of a whole group are the same either way; for hexagonal ones they are not, and only the transposed ones keep |q|.
+    What takes ops takes them as they are: pass operations(group) for R h, for_indices(operations(group)) for R^T h."""
+    return tuple(tuple(zip(*op, strict=True)) for op in ops)
 
 
 def parsed(triplets) -> tuple:

@@ -338,6 +338,20 @@ def symmetry_reduction(spark, d):
     return out.groupBy(*[r(c, c, 9) for c in grids.HKL]).agg(F.count("*").alias("n"))
 
 
+@query("G08_mirrors_and_inversion", sql("obs hkl", "select round(sum(abs(h)) / 1e3, 6) as h, round(sum(abs(k)) / 1e3, 6) as k, round(sum(abs(l)) / 1e3, 6) as l, still_id, count(*) as n from hkl group by still_id"))
+def mirrors_and_inversion(spark, d):
+    """Indices reduced by a group with mirrors, from its full symbol: the greatest of eight mates has no negative index."""
+    out = symmetry.reduced(grids.with_hkl(st.observations(spark, d), st.inverse()), symmetry.operations("P n m a"))
+    return out.groupBy("still_id").agg(*[r(F.sum(c) / 1e3, c) for c in grids.HKL], F.count("*").alias("n"))
+
+
+@query("G08_hexagonal_indices", sql("obs hkl", "select still_id, count(*) as n, round(sum(greatest(h, k, -h - k, -h, -k, h + k)) / 1e3, 6) as h from hkl group by still_id"))
+def hexagonal_indices(spark, d):
+    """Indices reduced by a sixfold axis with inversion: mates h k l, -k h+k l, ... and their negatives, of which the greatest first index counts."""
+    out = symmetry.reduced(grids.with_hkl(st.observations(spark, d), st.inverse()), symmetry.for_indices(symmetry.operations("P 6/m")))
+    return out.groupBy("still_id").agg(F.count("*").alias("n"), r(F.sum("h") / 1e3, "h"))
+
+
 @query("G09_subdivide", sql("obs hkl", "select " + ", ".join(f"round_even({c} * {n}, 0)::bigint as s{c}" for c, n in zip("hkl", st.NDIV, strict=True)) + ", count(*) as n from hkl group by all"))
 def subdivide(spark, d):
     hkl = grids.with_hkl(st.observations(spark, d), st.inverse())

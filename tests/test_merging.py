@@ -183,11 +183,46 @@ def test_point_groups():
     assert {g: len(symmetry.operations(g)) for g in sizes} == sizes
     assert all(round(np.linalg.det(np.array(m))) == 1 for g in sizes for m in symmetry.operations(g))
     with pytest.raises(ValueError, match="no operations"):
-        symmetry.operations("P -1")
+        symmetry.operations("P 5")
     with pytest.raises(ValueError, match="no symmetry operation"):
         symmetry.parsed(["x,y"])
 
 
+#: Orders of the point groups of some symbols, all 32 classes among them.
+ORDERS = {
+    1: "P 1", 2: "P -1,P 2,P 21,C 2,P m,P c,C c,P 1 21 1,P 1 1 m", 3: "P 3,P 31,R 3", 4: "P 2/m,P 21/c,P 1 21/c 1,C 2/c,P21/c,C2/m,P 2 2 2,P 21 21 2,P m m 2,P n a 21,Pna21,P b c 21,P 4,I 41,P -4,I -4",
+    6: "P -3,R -3,P 3 2 1,P 31 1 2,R 3 2,P 3 m 1,R 3 c,R3c,P 3 1 m,P 6,P 65,P -6", 8: "P m m m,P n m a,Pnma,P b c a,F d d d,P 4/m,I 41/a,I41/a,P 4 2 2,P 43 21 2,P 4 m m,P 42 m c,I 41 c d,P -4 2 m,P -4 21 m,P-421m,I -4 2 d,I-42d,P -4 m 2",
+    12: "P -3 1 m,P -3 m 1,R -3 c,R-3c,P 6/m,P 63/m,P 6 2 2,P 61 2 2,P 6 m m,P 63 m c,P -6 m 2,P -6 2 c,P-62c,P 2 3,I 21 3", 16: "P 4/m m m,P 42/n c m,I 41/a m d,I41/amd",
+    24: "P 6/m m m,P 63/m m c,P63/mmc,P m -3,I a -3,Pm-3,P 4 3 2,F 41 3 2,P -4 3 m,F -4 3 c,I -4 3 d,F-43m", 48: "P m -3 m,F d -3 m,Fd-3m,I a -3 d",
+}
+
+
+def test_point_groups_with_mirrors_and_inversions():
+    for order, groups in ORDERS.items():
+        for group in groups.split(","):
+            ops = symmetry.operations(group)
+            assert len(ops) == order and all(abs(round(np.linalg.det(np.array(m)))) == 1 for m in ops), group
+            assert {tuple(map(tuple, (np.array(a) @ np.array(b)).tolist())) for a in ops for b in ops} == set(ops), group
+    centred = {g: symmetry.negative(IDENTITY) in {tuple(tuple(map(float, r)) for r in m) for m in symmetry.operations(g)} for g in ("P -1", "P m", "P 2/m", "P -4", "P 4/m", "P -6", "R -3", "P m -3", "P -4 3 m", "P n m a", "P n a 21")}
+    assert [g for g, yes in centred.items() if yes] == ["P -1", "P 2/m", "P 4/m", "R -3", "P m -3", "P n m a"]
+    for bad in ("P 7", "Q m", "", "P 2 2", "P 5 m", "P x y z w", "P 3 3 3 3"):
+        with pytest.raises(ValueError):
+            symmetry.operations(bad)
+
+
+def test_indices_turn_by_the_transposed_matrices():
+    """In hexagonal axes only they keep |q|, which a metric of a = b = 3, c = 5 and gamma = 120 gives."""
+    a = np.array([[3.0, -1.5, 0.0], [0.0, 3.0 * np.sqrt(0.75), 0.0], [0.0, 0.0, 5.0]])
+    metric = np.linalg.inv(a.T @ a)
+    h = np.array([1.0, 2.0, 3.0])
+    length = lambda op: (np.array(op) @ h) @ metric @ (np.array(op) @ h)
+    for group in ("P 3", "P 6/m", "P 63/m m c", "P 3 2 1", "R -3 c"):
+        ops = symmetry.operations(group)
+        assert [length(op) for op in symmetry.for_indices(ops)] == pytest.approx([h @ metric @ h] * len(ops))
+        assert max(abs(length(op) - h @ metric @ h) for op in ops) > 0.01
+    assert {*symmetry.for_indices(symmetry.operations("P 4/m m m"))} == {*symmetry.operations("P 4/m m m")}
+
+
 def test_settings_of_each_crystal(spark):
     cell = (10.0, 12.0, 15.0, 80.0, 95.0, 110.0)
     turn = [0.6, -0.8, 0.0, 0.8, 0.6, 0.0, 0.0, 0.0, 1.0]
