@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 from weakref import WeakKeyDictionary
 
@@ -13,6 +11,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reciprospark.sources.shared import scratch
+
 #: Texts are handled in slices of about this many bytes, which bounds a Python worker's memory (one longer text is a slice of its own).
 SLICE_BYTES = 4 << 20
 
@@ -21,17 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; where that is unset, as in tests, a temporary one is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 #: Rows that go to a Python worker at once: Spark's default of 10,000 whole texts are tens of MB, several times over.
 BATCH_ROWS = 1000
 
@@ -49,7 +38,7 @@ _STORED: list[str] = []
 
 def stored(df: DataFrame, name: str = "part") -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, and survives the loss of executors."""
-    path = f"{shared_dir(df.sparkSession)}-{name}"
+    path = scratch(df.sparkSession, name)
     _STORED.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -95,10 +84,19 @@ def fresh(name: str, taken: Iterable[str]) -> str:
 MARKS = 1 << 25
 
 
-def marks(keys: DataFrame) -> DataFrame:
+#: The largest bitmap: 32 MB. Keys beyond its size make it mark more than was put in, never less.
+MOST_MARKS = 1 << 28
+
+
+def bits_for(n: int) -> int:
+    """The bits of a bitmap in which n keys leave at most one in sixteen marked, within MARKS and MOST_MARKS."""
+    return min(max(1 << (16 * max(n, 1) - 1).bit_length(), MARKS), MOST_MARKS)
+
+
+def marks(keys: DataFrame, bits: int = MARKS) -> DataFrame:
     """A bitmap of the column key (long, hashed): word and bits. Of a fixed size, whatever the number of keys."""
-    bit = F.col("key").bitwiseAND(MARKS - 1)
-    return keys.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(key & 63 as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
+    bit = F.col("key").bitwiseAND(bits - 1)
+    return keys.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
 
 
 def marked(df: DataFrame, key: Column, bitmap: DataFrame, name: str) -> DataFrame:

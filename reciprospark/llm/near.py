@@ -9,12 +9,13 @@ are verified on their whole sets of shingles. At similarity 0.8 a pair shares no
 the minimum with 1e-4; both fall fast with similarity.
 
 Two rounds keep the work near-linear without losing links. The first compares lists of up to SMALL nodes in all pairs; in a
-longer one a node waits after a strong match or TRIES others. The second takes the longer lists again, with the components
-that the verified links have made, and with WIDE further positional bytes of each node, which make the tally sharper: every
-pair of different components that reaches both minima is verified. Nodes that are connected already need no further link; so
-all that the tallies let through is decided, in lists of any length.
+longer one a node waits after a strong match or TRIES others. Lists of over TILE nodes are dealt to blocks for that. The second takes the longer
+lists again, with the components that the verified links have made, and with WIDE further positional bytes of each node, which make the
+tally sharper: every pair of different components that reaches both minima is verified. A list's nodes are dealt to blocks of about
+TILE, and each two blocks, and each with itself, are a group of its own, so no task holds more than two blocks. Nodes that are
+connected already need no further link; so all that the tallies let through is decided, in lists of any length.
 
-Texts are not shuffled to verify: of those whose node a bitmap of fixed size marks (see common.marks), one for each node and task is
+Texts are not shuffled to verify: of those whose node a bitmap marks (see common.marks; its size goes by the number of nodes, up to 32 MB), one for each node and task is
 sent on, compressed, and an exact join follows. Links of one node are verified in PARTS groups, so that a large cluster is no
 hot key.
 
@@ -32,9 +33,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reciprospark.llm.common import MARKS, discard, marks, record, slices, stored
+from reciprospark.llm.common import bits_for, discard, marks, record, slices, stored
 
-SEED, BYTES, WIDE, BAND, SPREAD, SMALL, TRIES, PARTS = 42, 64, 512, 4, 4.0, 8, 4, 64
+SEED, BYTES, WIDE, BAND, SPREAD, SMALL, TRIES, PARTS, TILE = 42, 64, 512, 4, 4.0, 8, 4, 64, 1024
 _DRAW = np.random.default_rng(SEED)
 _FACTORS = _DRAW.integers(1, 1 << 63, BYTES + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _DRAW.integers(0, 1 << 63, BYTES + WIDE, dtype=np.uint64)
@@ -152,17 +153,13 @@ def _first(sig: np.ndarray, least: int, strong: int) -> list[tuple[int, int]]:
     return out
 
 
-def _apart(root: np.ndarray, sig: np.ndarray, least: int, least_wide: int, band: int) -> list[tuple[int, int]]:
-    """Pairs of one list that agree in enough bytes, of the first ones and of all, and belong to different components: all of
-    them that share no list of an earlier run of bytes, where they are compared as well."""
-    _, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
-    if len(sizes) < 2:
-        return []
+def _apart(root: np.ndarray, side: np.ndarray, sig: np.ndarray, least: int, least_wide: int, band: int) -> list[tuple[int, int]]:
+    """Pairs of a group that agree in enough bytes, of the first ones and of all, and belong to different components: all of
+    them that share no list of an earlier run of bytes, where they are compared as well. side: -1 and 1 of two blocks, 0 of a block by itself."""
     out = []
     runs = np.ascontiguousarray(sig[:, :BYTES]).view(f"<u{BAND}")[:, :band]
-    place = np.argsort(np.argsort(sizes, kind="stable"))  # of each component, by size
-    for k in np.flatnonzero(of != int(np.argmax(place))).tolist():  # each pair from its smaller component
-        others = np.flatnonzero(place[of] > place[of[k]])
+    for k in np.flatnonzero(side <= 0).tolist():
+        others = np.flatnonzero((side > 0) & (root != root[k])) if side[k] else k + 1 + np.flatnonzero((side[k + 1 :] == 0) & (root[k + 1 :] != root[k]))
         others = others[(sig[others, :BYTES] == sig[k, :BYTES]).sum(axis=1) >= least]
         others = others[~(runs[others] == runs[k]).any(axis=1)]
         out += [(k, j) for j in others[(sig[others] == sig[k]).sum(axis=1) >= least_wide].tolist()]
@@ -174,28 +171,49 @@ def _columns(pairs: list[tuple[int, int]], fp: np.ndarray) -> list[np.ndarray]:
     return [np.minimum(fp[at[:, 0]], fp[at[:, 1]]), np.maximum(fp[at[:, 0]], fp[at[:, 1]])]
 
 
-def first_round(nodes: DataFrame, similarity: float) -> DataFrame:
+def first_round(nodes: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
     """Of kind 0, pairs (a, b) to verify; of kind 1, members b of long lists a. nodes: distinct fp, with sig."""
     least, strong = minimum(similarity), int(np.ceil(BYTES * (1 + similarity) / 2))
-
-    def of(key: int, fp: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
+    rows = listed(nodes)
+    blocks = stored(rows.groupBy("key").agg(F.ceil(F.count("*") / tile).alias("blocks")).where("blocks > 1"), "blocks")
+    long = None
+    if blocks.isEmpty():
+        rows = rows.withColumn("dealt", F.lit(0).cast("long"))
+    else:
+        rows = rows.join(blocks, "key", "left")
+        long = rows.where("blocks is not null").select(F.lit(1).cast("long").alias("kind"), F.col("key").alias("a"), F.col("fp").alias("b"))
+        block = F.xxhash64("key", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+        rows = rows.select(F.when(F.col("blocks").isNotNull(), block).otherwise(F.col("key")).alias("key"), "fp", F.col("blocks").isNotNull().cast("long").alias("dealt"), "sig")
+
+    def of(key: int, fp: np.ndarray, dealt: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
         a, b = _columns(_first(sig, least, strong), fp)
-        more = fp if len(fp) > SMALL else fp[:0]
+        more = fp if len(fp) > SMALL and not dealt[0] else fp[:0]  # a dealt list is a long one as a whole
         return [np.repeat([0, 1], [len(a), len(more)]), np.concatenate([a, np.full(len(more), key)]), np.concatenate([b, more])]
 
-    return _by_list(listed(nodes), ("fp",), BYTES, "kind long, a long, b long", of)
+    found = _by_list(rows, ("fp", "dealt"), BYTES, "kind long, a long, b long", of)
+    return found if long is None else found.union(long)
 
 
-def second_round(members: DataFrame, similarity: float) -> DataFrame:
+def second_round(members: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
     """Pairs (a, b), each once, of nodes in a list whose components differ. members: key, fp, root, sig (all bytes)."""
     least, wide = minimum(similarity), minimum(similarity, BYTES + WIDE)
-    return _by_list(members, ("fp", "root"), BYTES + WIDE, "a long, b long", lambda key, fp, root, sig: _columns(_apart(root, sig, least, wide, key >> 32), fp))
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "blocks")
+    rows = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    rows = rows.select(group.alias("key"), F.shiftright("key", 32).alias("band"), "fp", "root", F.signum(F.col("own") - F.col("other")).cast("long").alias("side"), "sig")
+
+    def of(_: int, band: np.ndarray, fp: np.ndarray, root: np.ndarray, side: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
+        return _columns(_apart(root, side, sig, least, wide, int(band[0])), fp)
+
+    return _by_list(rows, ("band", "fp", "root", "side"), BYTES + WIDE, "a long, b long", of)
 
 
 def _bitmap(fps: DataFrame) -> np.ndarray:
-    """The bitmap of nodes (fp), of a fixed size."""
-    found = marks(fps.select(F.col("fp").alias("key"))).toPandas()
-    out = np.zeros(MARKS // 64, dtype=np.uint64)
+    """The bitmap of nodes (fp)."""
+    bits = bits_for(fps.count())
+    found = marks(fps.select(F.col("fp").alias("key")), bits).toPandas()
+    out = np.zeros(bits // 64, dtype=np.uint64)
     out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
     return out
 
@@ -210,7 +228,7 @@ def bodies(docs: DataFrame, fps: DataFrame, long: DataFrame, width: int) -> Data
         for _, texts in slices(batches):
             words = [t.lower().split() for t in texts]
             fp = np.array([node(w) for w in words], dtype=np.uint64)
-            asked, further = (((b[(fp & np.uint64(MARKS - 1)) >> np.uint64(6)] >> (fp & np.uint64(63))) & np.uint64(1)).astype(bool) for b in held.value)
+            asked, further = (((b[(fp & np.uint64(64 * len(b) - 1)) >> np.uint64(6)] >> (fp & np.uint64(63))) & np.uint64(1)).astype(bool) for b in held.value)
             out = []
             for k in np.flatnonzero(asked).tolist():
                 if (f := int(fp[k])) not in seen:
@@ -246,9 +264,9 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     return both.select("a", "b", "one", "other").mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, components: Callable[[DataFrame], DataFrame], tile: int = TILE) -> DataFrame:
     """Pairs (a, b) of nodes of at least the given similarity, enough of them to connect all. nodes: distinct fp, with sig."""
-    found = stored(first_round(nodes, similarity), "found")
+    found = stored(first_round(nodes, similarity, tile), "found")
     pairs = found.where("kind = 0").select("a", "b").distinct()
     long = found.where("kind = 1")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).union(long.select(F.col("b").alias("fp")))
@@ -260,7 +278,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, comp
     roots = components(good)
     members = long.select(F.col("a").alias("key"), F.col("b").alias("fp")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     members = members.join(nodes, "fp").join(texts.select("fp", "wide"), "fp").select("key", "fp", "root", F.concat("sig", "wide").alias("sig"))
-    rest = stored(second_round(members, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = stored(second_round(members, similarity, tile).join(pairs, ["a", "b"], "left_anti"), "rest")
     out = stored(good.union(verified(rest, texts, width, similarity)), "links")
     discard(found, texts, good, rest)
     return out

@@ -47,3 +47,23 @@ def test_fingerprints_agree_as_the_sets_do():
     assert near.jaccard(x, y) == brute(a, b)
     agree = np.mean(np.frombuffer(near.fingerprint(x), np.uint8) == np.frombuffer(near.fingerprint(y), np.uint8))
     assert abs(agree - brute(a, b)) < 0.15
+
+
+def test_lists_dealt_to_blocks_give_the_same_components(spark):
+    text = prose(5, 160)
+    rows = [(k, varied(text, 1 + k % 7, k)) for k in range(60)] + [(100 + k, varied(prose(6, 160), 30, k % 4)) for k in range(20)] + [(200 + k, prose(300 + k, 50)) for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = near.fingerprints(docs, 5).groupBy("fp").agg(simhash.F.min("sig").alias("sig"))
+    found = []
+    for tile in (near.TILE, 9):
+        links = near.links(docs, prints, 5, 0.8, simhash.components, tile)
+        found.append({(r.fp, r.root) for r in simhash.components(links).collect()})
+    nodes = {near.node(t.lower().split()) for _, t in [(k, t.encode()) for k, t in rows]}
+    assert found[0] == found[1] and len(found[0]) > 50 and len(nodes) > len(found[0])
+
+
+def test_bitmaps_go_by_the_number_of_keys():
+    from reciprospark.llm import common
+
+    assert common.bits_for(0) == common.bits_for(1 << 20) == common.MARKS
+    assert common.bits_for(1 << 23) == 1 << 27 and common.bits_for(10**12) == common.MOST_MARKS
