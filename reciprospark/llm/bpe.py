@@ -9,7 +9,8 @@ The vocabulary file is given by its path; it is read once in each Python worker
 with the engine on every machine) or from any other path that all machines have.
 
 Cases: null and empty texts give no ids and empty decoded text; strings of special tokens in a text give their ids;
-very long pretokens cost O(n log n); repeated documents are each encoded; other columns are passed through.
+very long pretokens cost O(n log n); repeated documents are each encoded; other columns are passed through; an empty table gives
+an empty one.
 """
 
 from __future__ import annotations

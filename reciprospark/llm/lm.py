@@ -225,8 +225,8 @@ def blocks(rows: DataFrame, replies: DataFrame, size: Sizes) -> DataFrame:
             keys, block, at = _pairs(u, w, grid)
             train = np.repeat(~np.array(r.held, dtype=bool), unpacked(r.lens, np.int64) + 1) & (at >= 0)
             counts = np.bincount(at[train], minlength=len(keys))
-            edges = np.searchsorted(block, np.arange(grid * grid + 1))
-            out += [(b, r.chunk, _delta(keys[a:e]), packed(counts[a:e].astype(np.uint32))) for b, (a, e) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if e > a]
+            first = np.flatnonzero(np.diff(block, prepend=-1))  # of the blocks that the chunk has pairs of: never all of the grid
+            out += [(int(block[a]), r.chunk, _delta(keys[a:e]), packed(counts[a:e].astype(np.uint32))) for a, e in zip(first.tolist(), [*first[1:].tolist(), len(block)], strict=False)]
         return pd.DataFrame(out, columns=["block", "chunk", "keys", "counts"])
 
     def count(f: pd.DataFrame) -> pd.DataFrame:

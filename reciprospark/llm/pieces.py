@@ -7,7 +7,8 @@ with the link, so each byte is read once and a word of n bytes costs O(n): its c
 the way. Each single byte is a piece, so every word has pieces.
 
 A worker remembers the counts of a bounded number of distinct words. Cases: null and empty texts have no tokens; very
-long words take linear time; repeated documents are each counted; other columns are passed through.
+long words take linear time; repeated documents are each counted; other columns are passed through; an empty table gives
+an empty one.
 """
 
 from __future__ import annotations
