@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from reciprospark.functions import air, corrections, vec
@@ -12,6 +13,7 @@ from reciprospark.plans import stand_ins as st
 from reciprospark.plans.registry import lister, r, rounded
 from reciprospark.schema import PIXELS
 from reciprospark.sources import headers
+from reciprospark.sources import images as image_files
 from reciprospark.sources.shared import scratch
 from reciprospark.streaming import accumulate
 
@@ -612,6 +614,21 @@ def image_scan(spark, d):
     return _pixels(spark, d).groupBy("image_id").agg(F.count("*").alias("n"), r(F.sum("raw"), "total", 3), F.max("slow").alias("slow"), F.max("fast").alias("fast"))
 
 
+@query("S01_decoded_images", sql("pixels", "select image_id, count(*) as n, sum(round(raw * 50))::bigint as total, min(round(raw * 50))::int as low, max(round(raw * 50))::int as high, max(slow) as slow, max(fast) as fast from pixels group by 1"))
+def decoded_images(spark, d):
+    """Images as whole files, with a header and a compressed stream of pixels, decoded to the pixels again."""
+
+    @F.pandas_udf("binary")
+    def file_of(data: pd.Series) -> pd.Series:
+        head = b"# Start_angle 1.0 deg.\n_array_data.data\nX-Binary-Size-Fastest-Dimension: 8\nX-Binary-Size-Second-Dimension: 8\n\n" + image_files.START
+        return data.map(lambda x: head + image_files.encoded(x))
+
+    whole = st.images(spark, d).select("image_id", file_of(F.transform("data", lambda x: F.round(x * 50).cast("int"))).alias("content"))
+    found = whole.select("image_id", image_files.decoded_column(F.col("content")).alias("f")).select("image_id", F.lit(0).alias("panel_id"), "f.n_slow", "f.n_fast", "f.data")
+    raw = F.col("raw").cast("int")
+    return pixels.unfolded(found).groupBy("image_id").agg(F.count("*").alias("n"), F.sum(raw).alias("total"), F.min(raw).alias("low"), F.max(raw).alias("high"), F.max("slow").alias("slow"), F.max("fast").alias("fast"))
+
+
 def _batch(spark, d):
     """Images some of which have no data, or less than they say."""
     k = F.col("image_id") % 7

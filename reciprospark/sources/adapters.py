@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reciprospark.sources import headers, tables
+from reciprospark.sources import headers, images, store, tables
 
 Reader = Callable[[SparkSession, str], DataFrame]
 READERS: dict[str, Reader] = {
@@ -23,6 +23,8 @@ READERS: dict[str, Reader] = {
     "voxels_npz": tables.voxels_npz,
     "reference_cells": tables.reference_cells,
     "headers": headers.headers,
+    "images": images.images,
+    "voxel_store": store.opened,
     "beam": lambda spark, path: tables.experiments(spark, path)["beam"],
     "panel": lambda spark, path: tables.experiments(spark, path)["panel"],
     "crystal": lambda spark, path: tables.experiments(spark, path)["crystal"],
