@@ -282,6 +282,53 @@ def test_compiled_rules_equal_numpy(spark):
     assert got == pytest.approx(want.tolist()) and ((np.array(got) > 0.5) == (y > 0)).mean() > 0.97 and len(model.rules) < 120
 
 
+def plain_features(text):
+    """The features of a text, counted the long way."""
+    raw = (text or "").encode()
+    words = raw.split()
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    windows = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    again = {k + j for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for j in range(3)}
+    seen, dup = set(), 0
+    for x in lines:
+        dup += x in seen
+        seen.add(x)
+    chars = len(text or "")
+    w, c, n = max(len(words), 1), max(chars, 1), max(len(lines), 1)
+    count = lambda of: sum(x in of for x in raw)
+    return {
+        "f_words": math.log1p(len(words)), "f_word_chars": sum(len(x.decode()) for x in words) / w, "f_symbols": count(b"#*$%&|<>") / w, "f_dup_lines": dup / n, "f_repeats": len(again) / w,
+        "f_distinct": len({*words}) / w, "f_upper": count(range(65, 91)) / c, "f_lower": count(range(97, 123)) / c, "f_digits": count(range(48, 58)) / c, "f_punct": count(b".,;:!?") / w,
+        "f_marked": sum(x[-1:] in [b"%c" % k for k in b"#*$%&|!<>"] for x in words) / w, "f_short_lines": sum(len(x) < 30 for x in lines) / n, "f_runs": sum(a == b for a, b in zip(words, words[1:], strict=False)) / w,
+    }
+
+
+def test_the_rule_query_against_plain_python(spark, folder, odd_docs):
+    rng = random.Random(21)
+    docs, labels = [r for r in odd_docs if r[0] not in (4, None)], []
+    for k in range(360):
+        words = prose(k, rng.randrange(20, 90)).split()
+        kind = k % 3
+        if kind == 1:
+            words = [w.upper() + "!" if rng.random() < 0.4 else w for w in words]
+        elif kind == 2:
+            words = [w for w in words for _ in range(1 + (rng.random() < 0.5))]
+        docs.append((1000 + k, "\n".join(" ".join(words[a : a + 9]) for a in range(0, len(words), 9)), "en", "s", 1))
+        labels.append((1000 + k, int((kind == 0) != (rng.random() < 0.05)), 0))
+    d = folder(documents=(docs, DOCS), labels=(labels, LABELS))
+    got = {r.doc_id: r for r in rules.op2_rule_ensemble(spark, d).collect()}
+    learn = {i: y for i, y, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    model = rules.learned(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"), "quality", rules.remainder(F.col("doc_id"), 3) != 1)
+    assert model.rules and len(learn) < len(labels)
+    for i, text, *_ in docs:
+        x = plain_features(text)
+        total = model.bias + sum(w for rule, w in model.rules if all((x[f] > b) == above for f, b, above in rule.terms))
+        assert got[i].score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9) and got[i].predicted == int(got[i].score >= 0.5)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+    held = [i for i, *_ in labels if i not in learn]
+    assert np.mean([got[i].predicted == ((i - 1000) % 3 == 0) for i in held]) > 0.93
+
+
 def test_one_class(spark):
     assert rules.fit({n: np.zeros(0) for n in rules.features()}, np.zeros(0)).rules == ()
     assert rules.fit({n: np.zeros(4) for n in rules.features()}, np.ones(4)).bias > 5
