@@ -299,7 +299,7 @@ def plain_rejection(rows, threshold, least):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("hot", [2, 3, 5, 20, 10**6])
+@pytest.mark.parametrize("hot", [2, 5, 10**6])
 def test_one_rule_for_voxels_of_all_sizes(spark, hot):
     nan, inf = math.nan, math.inf
     cases = [[nan] * 4, [1.0, 2.0, 1.5, None, 90.0], [1.0, 2.0, 3.0, nan, 500.0], [inf] * 3, [1.0, 2.0, 3.0, inf], [1.0, inf, inf, inf, 2.0], [-inf, -inf, inf, inf], [-inf, 1.0, 2.0, 3.0, inf], [5.0, 5.0, 5.0, 6.0], [1.0], [1.0, 99.0], [None] * 3, [0.0, -0.0, 0.0, 1e-300], [1.0, 3.0] * 3, [1e308, -1e308, 1.7e308, 1.0]]
@@ -307,7 +307,7 @@ def test_one_rule_for_voxels_of_all_sizes(spark, hot):
     cases += [list(map(float, np.round(rng.standard_cauchy(n), 1))) for n in (3, 4, 7, 8, 25, 26, 400)]
     rows = [(v, k % 3, x, 1.0) for v, own in enumerate(cases) for k, x in enumerate(own)]
     obs = spark.createDataFrame(rows, OBS)
-    for threshold, least in ((3.0, 1), (0.5, 2), (0.1, 4)):
+    for threshold, least in ((3.0, 1), (0.1, 4)):
         assert sorted(str(tuple(r)) for r in merging.without_outliers(obs, threshold, hot, least).collect()) == plain_rejection(rows, threshold, least)
 
 
