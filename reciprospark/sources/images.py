@@ -103,7 +103,7 @@ def decoded_column(content: Column) -> Column:
     kind = "struct<n_slow: int, n_fast: int, data: array<int>, message: string>"
 
     @F.udf(kind)
-    def decode(x: bytes | None):
+    def decode(x):
         try:
             slow, fast, data = pixels_of(bytes(x or b""))
         except ValueError as e:
