@@ -158,6 +158,6 @@ def merge_phase(obs: DataFrame, setting, settings: MergePhase = MergePhase()) ->
     grid = grids.fit(obs, setting, settings.ndiv, settings.d_min, settings.d_max)
     path = scratch(obs.sparkSession, "binned")
     binned = store.create(grids.binned(obs, grid), path)
-    model, info = scaling.refine(binned, scaling.ScaleTable.start(binned), settings.rounds, settings.tolerance, settings.tolerance)
+    model, info = scaling.refine(binned, None, settings.rounds, settings.tolerance, settings.tolerance, dealt=binned)
     voxels = merging.merge(scaling.applied(model.scaled(binned)), grid, settings.method, settings.least, settings.reject)
     return voxels, info | {"grid": grid.summary(), "scales": scaling.model_info(model.scales, "b").first().asDict()}

@@ -268,8 +268,12 @@ def stepped(sums: DataFrame, model: ScaleTable) -> tuple[ScaleTable, dict]:
     return ScaleTable(after.where("after is not null").select("still_id", F.col("after").alias("b")), smoother), found
 
 
-def refine(binned: DataFrame, model: ScaleTable, rounds: int = 10, tolerance: float = 1e-6, shift_tolerance: float = 1e-6, weighted: bool = False, buckets: int | None = None) -> tuple[ScaleTable, dict]:
-    """Gauss-Newton refinement of the scales, and numbers of the run.
+def refine(
+    binned: DataFrame, model: ScaleTable | None = None, rounds: int = 10, tolerance: float = 1e-6, shift_tolerance: float = 1e-6, weighted: bool = False,
+    buckets: int | None = None, dealt: DataFrame | None = None,
+) -> tuple[ScaleTable, dict]:
+    """Gauss-Newton refinement of the scales, and numbers of the run. model: None begins with scales of 1 for the stills that there are; dealt: the
+    same observations where a store has them already.
 
     The observations are written once, dealt by voxel (sources.store), so a round's means of the voxels and their join need no shuffle and a lost
     executor costs a read. A round is one aggregation by still; what it gives, and the scales, are tables: nothing that grows with the stills comes
@@ -277,9 +281,12 @@ def refine(binned: DataFrame, model: ScaleTable, rounds: int = 10, tolerance: fl
     """
     if rounds < 1:
         raise ValueError("at least one round")
-    needed = ["voxel_idx", "still_id", "intensity", "sigma"] + (["q"] if model.smoother else [])
+    smoother = model.smoother if model else None
     path = scratch(binned.sparkSession, "dealt")
-    dealt = store.create(binned.select(*needed), path, buckets)
+    if dealt is None:
+        dealt = store.create(binned.select("voxel_idx", "still_id", "intensity", "sigma", *(["q"] if smoother else [])), path, buckets)
+    first = model or ScaleTable.start(dealt)
+    model = ScaleTable(_stored(first.scales.select("still_id", "b"), "scales"), smoother)  # it is joined more than once
     try:
         before, stopped, info = math.inf, "rounds", {}
         for number in range(1, rounds + 1):

@@ -139,7 +139,7 @@ st.SQL["refined3"] = _rounds(3)
 def refinement(spark, d):
     """Scales after three rounds, relative to their mean."""
     b, _ = st.binned(spark, d)
-    model, _ = scaling.refine(b, scaling.ScaleTable.start(b), rounds=3)
+    model, _ = scaling.refine(b, rounds=3)
     return scaling.relative(model.scales).select("still_id", r("b", "multiplicative_scale"))
 
 
